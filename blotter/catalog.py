@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.plans import arrests as AR
 from blotter.plans import correlation as CO
@@ -126,3 +127,129 @@ def q_correlations(spark, d):
 @register("corr_summary")
 def q_corr_summary(spark, d):
     return CO.corr_summary(CO.correlations(TT.incidents(spark, d), TT.violence(spark, d)))
+
+
+# --- stream operators, batch form ------------------------------------------
+from blotter.operators import alerts as AL  # noqa: E402
+from blotter.operators import messages as MS  # noqa: E402
+from blotter.operators import windows as WO  # noqa: E402
+from blotter.plans import serving as SV  # noqa: E402
+
+WINDOW_SECONDS = 24 * 3600
+WINDOW, SLIDE = "24 hours", "6 hours"
+THRESHOLD = 10
+
+
+def validated_messages(spark, d):
+    return MS.with_validation(MS.parse_messages(TT.message_rows(spark, d)))
+
+
+def accepted_events(spark, d):
+    return MS.accepted(validated_messages(spark, d), keep=("id", "ts"))
+
+
+def trailing_counts(spark, d):
+    ev = accepted_events(spark, d).select("id", "ts", "district")
+    return WO.trailing_count(ev, WINDOW_SECONDS, key="district", ts="ts", order="id")
+
+
+def alerts_mart(spark, d):
+    return AL.alert_records(trailing_counts(spark, d), THRESHOLD)
+
+
+def window_counts(spark, d):
+    ev = accepted_events(spark, d).select("ts", "district")
+    return WO.sliding_counts(ev, WINDOW, SLIDE, key="district", ts="ts")
+
+
+@register("validate_events")
+def q_validate_events(spark, d):
+    return accepted_events(spark, d)
+
+
+@register("rejected_events")
+def q_rejected_events(spark, d):
+    return MS.rejected(validated_messages(spark, d), keep=("id",))
+
+
+@register("route_key")
+def q_route_key(spark, d):
+    return accepted_events(spark, d).select("id", MS.route_key("district").alias("route_key"))
+
+
+@register("events_to_json")
+def q_events_to_json(spark, d):
+    inc = TT.incidents(spark, d)
+    fields = {"CASE NUMBER": F.col("case_number"),
+              "DATE": F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"),
+              "PRIMARY TYPE": F.col("primary_type"), "DISTRICT": F.col("district"),
+              "ARREST": F.col("arrest"), "COMMUNITY AREA": F.col("community_area")}
+    return inc.filter(MS.publishable(fields)).select("id", MS.to_message(fields).alias("value"))
+
+
+@register("trailing_count")
+def q_trailing_count(spark, d):
+    return trailing_counts(spark, d)
+
+
+@register("alerts")
+def q_alerts(spark, d):
+    return alerts_mart(spark, d)
+
+
+@register("alerts_crossing")
+def q_alerts_crossing(spark, d):
+    return AL.alert_records(trailing_counts(spark, d), THRESHOLD, alert_on="crossing")
+
+
+@register("sliding_counts")
+def q_sliding_counts(spark, d):
+    return window_counts(spark, d)
+
+
+@register("window_alerts")
+def q_window_alerts(spark, d):
+    return AL.window_alert_records(window_counts(spark, d), THRESHOLD)
+
+
+@register("severity_mix")
+def q_severity_mix(spark, d):
+    return SV.severity_mix(alerts_mart(spark, d), 50)
+
+
+@register("recent_alerts")
+def q_recent_alerts(spark, d):
+    return SV.newest_alerts(alerts_mart(spark, d), 10)
+
+
+@register("busiest_now")
+def q_busiest_now(spark, d):
+    return SV.busiest_now(trailing_counts(spark, d), 5)
+
+
+# --- serving top-k and labels ----------------------------------------------
+@register("top_types")
+def q_top_types(spark, d):
+    return SV.top_by(AR.arrest_rate_type(TT.incidents(spark, d)), "crime_type", "arrest_rate", 10)
+
+
+@register("top_areas")
+def q_top_areas(spark, d):
+    return SV.top_by(VI.violence_by(TT.violence(spark, d), "community_area"),
+                     "community_area", "total_incidents", 10)
+
+
+@register("top15_types")
+def q_top15_types(spark, d):
+    return SV.top_by(AR.arrest_rates(TT.incidents(spark, d), TT.arrests(spark, d)),
+                     "crime_type", "arrest_rate", 15)
+
+
+@register("top20_areas")
+def q_top20_areas(spark, d):
+    return SV.top_by(VI.violence_stats(TT.violence(spark, d)), "community_area", "total_incidents", 20)
+
+
+@register("trend_labels")
+def q_trend_labels(spark, d):
+    return SV.trend_labels(TR.incident_trends(TT.incidents(spark, d)))

@@ -141,3 +141,112 @@ SELECT correlation_type, count(*) AS n,
        array_to_string(list_transform(string_split(replace(correlation_type, '_', ' '), ' '),
                        lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title
 FROM corr GROUP BY correlation_type""")
+
+
+# --- stream operators, batch form ------------------------------------------
+W_SECONDS = 24 * 3600
+SLIDE_SECONDS = 6 * 3600
+THRESHOLD = 10
+
+ACCEPTED = """accepted AS (
+  SELECT id, ts, case_number, strftime(ts, '%m/%d/%Y %I:%M:%S %p') AS date, '' AS block,
+         primary_type, district, arrest, '' AS latitude, '' AS longitude, '' AS description,
+         community_area, '' AS beat
+  FROM incidents
+  WHERE id % 50 NOT IN (0, 1) AND district IS NOT NULL AND primary_type IS NOT NULL)"""
+
+TRAILING = f"""trail AS (
+  SELECT id, ts, district,
+         count(*) OVER (PARTITION BY district ORDER BY ts
+                        RANGE BETWEEN INTERVAL {W_SECONDS} SECONDS PRECEDING AND CURRENT ROW)
+         - count(*) OVER (PARTITION BY district, ts)
+         + row_number() OVER (PARTITION BY district, ts ORDER BY id) AS event_count
+  FROM accepted)"""
+
+ALERTS = f"""alerts AS (
+  SELECT district, ts AS timestamp, CAST(event_count AS INTEGER) AS event_count,
+         CAST({THRESHOLD} AS INTEGER) AS threshold,
+         CASE WHEN event_count > {2 * THRESHOLD} THEN 'HIGH' ELSE 'MEDIUM' END AS severity
+  FROM trail WHERE event_count > {THRESHOLD})"""
+
+_W_US, _S_US = W_SECONDS * 1_000_000, SLIDE_SECONDS * 1_000_000
+WINDOWS = f"""windows AS (
+  SELECT make_timestamp(s) AS window_start, make_timestamp(s + {_W_US}) AS window_end,
+         district, count(*) AS event_count
+  FROM (SELECT district, t, unnest(generate_series(t // {_S_US} * {_S_US} - {_W_US - _S_US},
+                                                  t // {_S_US} * {_S_US}, {_S_US})) AS s
+        FROM (SELECT district, epoch_us(ts) AS t FROM accepted))
+  WHERE t >= s AND t < s + {_W_US}
+  GROUP BY s, district)"""
+
+_STREAM = _with(INCIDENTS, ACCEPTED, TRAILING, ALERTS, WINDOWS)
+
+ORACLE["validate_events"] = _with(INCIDENTS, ACCEPTED) + "SELECT * FROM accepted"
+ORACLE["rejected_events"] = _with(INCIDENTS) + """
+SELECT id, value, missing FROM (
+  SELECT id,
+    CASE WHEN id % 50 = 1 THEN json_object('DATE', d, 'BLOCK', '', 'PRIMARY TYPE', pt, 'DISTRICT', di,
+                                           'ARREST', arrest, 'LATITUDE', '', 'LONGITUDE', '', 'DESCRIPTION', '',
+                                           'COMMUNITY AREA', community_area, 'BEAT', '')
+         ELSE json_object('CASE NUMBER', case_number, 'DATE', d, 'BLOCK', '', 'PRIMARY TYPE', pt, 'DISTRICT', di,
+                          'ARREST', arrest, 'LATITUDE', '', 'LONGITUDE', '', 'DESCRIPTION', '',
+                          'COMMUNITY AREA', community_area, 'BEAT', '') END::VARCHAR AS value,
+    concat_ws(',', CASE WHEN id % 50 = 1 THEN 'CASE NUMBER' END, CASE WHEN di = '' THEN 'DISTRICT' END,
+              CASE WHEN pt = '' THEN 'PRIMARY TYPE' END) AS missing
+  FROM (SELECT *, strftime(ts, '%m/%d/%Y %I:%M:%S %p') AS d, coalesce(primary_type, '') AS pt,
+               CASE WHEN id % 50 = 0 THEN '' ELSE coalesce(district, '') END AS di FROM incidents))
+WHERE missing <> ''"""
+ORACLE["route_key"] = _with(INCIDENTS, ACCEPTED) + "SELECT id, coalesce(district, 'UNKNOWN') AS route_key FROM accepted"
+ORACLE["events_to_json"] = _with(INCIDENTS) + """
+SELECT id, json_object('CASE NUMBER', case_number, 'DATE', strftime(ts, '%m/%d/%Y %I:%M:%S %p'), 'BLOCK', '',
+                       'PRIMARY TYPE', coalesce(primary_type, ''), 'DISTRICT', district, 'ARREST', arrest,
+                       'LATITUDE', '', 'LONGITUDE', '', 'DESCRIPTION', '',
+                       'COMMUNITY AREA', community_area, 'BEAT', '')::VARCHAR AS value
+FROM incidents WHERE district IS NOT NULL AND district <> '' AND case_number <> ''"""
+ORACLE["trailing_count"] = _STREAM + "SELECT * FROM trail"
+ORACLE["alerts"] = _STREAM + "SELECT * FROM alerts"
+ORACLE["alerts_crossing"] = _STREAM + f"""
+SELECT district, ts AS timestamp, CAST(event_count AS INTEGER) AS event_count,
+       CAST({THRESHOLD} AS INTEGER) AS threshold,
+       CASE WHEN event_count > {2 * THRESHOLD} THEN 'HIGH' ELSE 'MEDIUM' END AS severity
+FROM (SELECT *, lag(event_count) OVER (PARTITION BY district ORDER BY ts, id) AS prev FROM trail)
+WHERE event_count > {THRESHOLD} AND (prev IS NULL OR prev <= {THRESHOLD})"""
+ORACLE["sliding_counts"] = _STREAM + "SELECT * FROM windows"
+ORACLE["window_alerts"] = _STREAM + f"""
+SELECT district, window_start, window_end, CAST(event_count AS INTEGER) AS event_count,
+       CAST({THRESHOLD} AS INTEGER) AS threshold,
+       CASE WHEN event_count > {2 * THRESHOLD} THEN 'HIGH' ELSE 'MEDIUM' END AS severity
+FROM windows WHERE event_count > {THRESHOLD}"""
+_NEWEST = "SELECT * FROM alerts ORDER BY timestamp DESC, district ASC, event_count DESC LIMIT {n}"
+ORACLE["severity_mix"] = _STREAM + (
+    f"SELECT severity, count(*) AS alert_count FROM ({_NEWEST.format(n=50)}) GROUP BY severity")
+ORACLE["recent_alerts"] = _STREAM + _NEWEST.format(n=10)
+ORACLE["busiest_now"] = _STREAM + """
+SELECT district, window_size FROM (
+  SELECT district, first(event_count ORDER BY ts DESC, id DESC) AS window_size FROM trail GROUP BY district)
+ORDER BY window_size DESC, district ASC LIMIT 5"""
+
+
+# --- serving top-k and labels ----------------------------------------------
+def _top(sql: str, group_type: str, measure: str, k: int) -> str:
+    return (f"SELECT * FROM ({sql}) WHERE group_type = '{group_type}' "
+            f"ORDER BY {measure} DESC, group_value ASC NULLS FIRST LIMIT {k}")
+
+
+ORACLE["top_types"] = _with(INCIDENTS) + _top(_arrest_sql("crime_type", "primary_type", True),
+                                               "crime_type", "arrest_rate", 10)
+ORACLE["top_areas"] = _with(VIOLENCE) + _top(_violence_sql("community_area"), "community_area",
+                                              "total_incidents", 10)
+ORACLE["top15_types"] = _with(INCIDENTS, ARRESTS) + _top(
+    _arrest_sql("crime_type", "primary_type", True) + " UNION ALL " + _arrest_sql("district", "district", False)
+    + " UNION ALL " + _RACE, "crime_type", "arrest_rate", 15)
+ORACLE["top20_areas"] = _with(VIOLENCE) + _top(" UNION ALL ".join(
+    _violence_sql(k) for k in ("month", "district", "community_area")), "community_area", "total_incidents", 20)
+ORACLE["trend_labels"] = _with(INCIDENTS, "trends AS (" + "\nUNION ALL\n".join(_trend_sql(p) for p in _PARTS) + ")") + """
+SELECT group_type, group_value, crime_count,
+       CASE group_type
+         WHEN 'month' THEN ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][CAST(group_value AS INTEGER)]
+         WHEN 'day_of_week' THEN ['Sun','Mon','Tue','Wed','Thu','Fri','Sat'][CAST(group_value AS INTEGER)]
+         ELSE group_value END AS label,
+       CAST(group_value AS INTEGER) AS sort_key
+FROM trends"""
