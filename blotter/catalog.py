@@ -253,3 +253,70 @@ def q_top20_areas(spark, d):
 @register("trend_labels")
 def q_trend_labels(spark, d):
     return SV.trend_labels(TR.incident_trends(TT.incidents(spark, d)))
+
+
+# --- loaders: raw CSV-layout rows -> typed, prepared rows -------------------
+from blotter.sources import loaders as LD  # noqa: E402
+
+
+def _loaded(kind, raw):
+    typed = LD.apply_types(raw, kind)
+    return LD.PREPARE[kind](typed.filter(~F.col("_rejected")).drop("_rejected"))
+
+
+@register("load_incidents")
+def q_load_incidents(spark, d):
+    return _loaded("incidents", TT.raw_incidents(spark, d)).select(
+        "id", "case_number", "date", "ts", "primary_type", "arrest", "district", "community_area",
+        "year", "latitude", "longitude")
+
+
+@register("load_arrests")
+def q_load_arrests(spark, d):
+    return _loaded("arrests", TT.raw_arrests(spark, d)).select(
+        "cb_no", "case_number", "arrest_date", "ts", "race", "charge_1_statute")
+
+
+@register("load_violence")
+def q_load_violence(spark, d):
+    return _loaded("violence", TT.raw_violence(spark, d)).select(
+        "case_number", "date", "ts", "gunshot_injury_i", "is_homicide", "community_area", "district",
+        "month", "latitude", "longitude")
+
+
+@register("load_registry")
+def q_load_registry(spark, d):
+    return _loaded("registry", TT.raw_registry(spark, d)).select("last", "gender", "victim_minor")
+
+
+@register("load_stations")
+def q_load_stations(spark, d):
+    return _loaded("stations", TT.raw_stations(spark, d)).select(
+        "district", "district_name", "latitude", "longitude")
+
+
+@register("parse_ts")
+def q_parse_ts(spark, d):
+    raw = TT.raw_incidents(spark, d).select(F.col("ID").cast("bigint").alias("id"), F.col("Date").alias("raw"))
+    from blotter.functions import parse_ts
+    return raw.select("id", "raw", parse_ts("raw").alias("parsed"))
+
+
+@register("normalize_flags")
+def q_normalize_flags(spark, d):
+    from blotter.functions import normalize_flag
+    raw = TT.raw_incidents(spark, d).select(F.col("ID").cast("bigint").alias("id"), F.col("Arrest").alias("raw"))
+    return raw.select("id", "raw", normalize_flag("raw").alias("flag"))
+
+
+@register("presence_flag")
+def q_presence_flag(spark, d):
+    return _loaded("violence", TT.raw_violence(spark, d)).groupBy("is_homicide").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("calendar_parts")
+def q_calendar_parts(spark, d):
+    from blotter.functions import calendar_parts
+    inc = TT.incidents(spark, d)
+    return inc.select("id", *[c.alias(n) for n, c in calendar_parts("ts").items()])

@@ -250,3 +250,70 @@ SELECT group_type, group_value, crime_count,
          ELSE group_value END AS label,
        CAST(group_value AS INTEGER) AS sort_key
 FROM trends"""
+
+
+# --- loaders ---------------------------------------------------------------
+def _date_text(ts: str, key: str) -> str:
+    txt = f"strftime({ts}, '%m/%d/%Y %I:%M:%S %p')"
+    return (f"CASE WHEN {key} % 97 = 0 THEN '13/40/' || strftime({ts}, '%Y %I:%M:%S %p') "
+            f"WHEN {key} % 7 = 0 THEN lower({txt}) ELSE {txt} END")
+
+
+def _flag_text(cond: str, key: str, yes: str, no: str) -> str:
+    base = f"CASE WHEN {cond} THEN '{yes}' ELSE '{no}' END"
+    return (f"CASE {key} % 4 WHEN 0 THEN {base} WHEN 1 THEN ' ' || lower({base}) || ' ' "
+            f"WHEN 2 THEN upper(left({base}, 1)) || lower(substr({base}, 2)) ELSE NULL END")
+
+
+_PARSE = "CAST(try_strptime({c}, '%m/%d/%Y %I:%M:%S %p') AS TIMESTAMP)"
+
+RAW_INCIDENTS = f"""raw_incidents AS (
+  SELECT CAST(event_id AS VARCHAR) AS id,
+         CASE WHEN event_id % 53 = 0 THEN NULL ELSE 'C' || CAST(event_id AS VARCHAR) END AS case_number,
+         {_date_text('ts', 'event_id')} AS date,
+         event_type AS primary_type,
+         {_flag_text("CAST(json_extract_string(props, '$.k') AS INTEGER) < 25", 'event_id', 'TRUE', 'FALSE')} AS arrest_raw,
+         CAST(user_id % 25 AS VARCHAR) AS district, CAST(user_id % 77 AS VARCHAR) AS community_area,
+         CASE WHEN event_id % 89 = 0 THEN 'n/a' ELSE CAST(year(ts) AS VARCHAR) END AS year_raw,
+         value AS latitude, CAST(user_id AS DOUBLE) AS longitude
+  FROM events)"""
+
+ORACLE["load_incidents"] = _with(RAW_INCIDENTS) + f"""
+SELECT id, case_number, date, {_PARSE.format(c='date')} AS ts, primary_type, upper(trim(arrest_raw)) AS arrest,
+       district, community_area, CAST(year_raw AS INTEGER) AS year, latitude, longitude
+FROM raw_incidents WHERE case_number IS NOT NULL AND try_cast(year_raw AS INTEGER) IS NOT NULL"""
+
+ORACLE["load_arrests"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS cb_no, CAST(o_orderkey AS VARCHAR) AS case_number,
+       {_date_text('o_orderdate', 'o_orderkey')} AS arrest_date,
+       {_PARSE.format(c=_date_text('o_orderdate', 'o_orderkey'))} AS ts,
+       o_orderpriority AS race, o_orderstatus AS charge_1_statute
+FROM orders WHERE o_orderkey % 53 <> 0"""
+
+ORACLE["load_violence"] = f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS case_number,
+       {_date_text('l_shipdate', 'k')} AS date, {_PARSE.format(c=_date_text('l_shipdate', 'k'))} AS ts,
+       upper(trim({_flag_text("l_linestatus = 'F'", 'k', 'Y', 'N')})) AS gunshot_injury_i,
+       CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_homicide,
+       CAST(l_partkey % 77 AS VARCHAR) AS community_area, CAST(l_suppkey % 25 AS VARCHAR) AS district,
+       CAST(month(l_shipdate) AS VARCHAR) AS month, l_extendedprice AS latitude, l_discount AS longitude
+FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem) WHERE k % 89 <> 0"""
+
+ORACLE["load_registry"] = f"""
+SELECT c_name AS last, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS gender,
+       upper(trim({_flag_text('c_acctbal < 0', 'c_custkey', 'Y', 'N')})) AS victim_minor
+FROM customer"""
+
+ORACLE["load_stations"] = """
+SELECT CAST(n_nationkey AS VARCHAR) AS district, n_name AS district_name,
+       900.0 + n_nationkey * 40.0 AS latitude, n_regionkey * 10.0 + 1.0 AS longitude
+FROM nation WHERE n_nationkey % 10 <> 9"""
+
+ORACLE["parse_ts"] = _with(RAW_INCIDENTS) + f"SELECT CAST(id AS BIGINT) AS id, date AS raw, {_PARSE.format(c='date')} AS parsed FROM raw_incidents"
+ORACLE["normalize_flags"] = _with(RAW_INCIDENTS) + "SELECT CAST(id AS BIGINT) AS id, arrest_raw AS raw, upper(trim(arrest_raw)) AS flag FROM raw_incidents"
+ORACLE["presence_flag"] = """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_homicide, count(*) AS n
+FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem) WHERE k % 89 <> 0 GROUP BY 1"""
+ORACLE["calendar_parts"] = """
+SELECT event_id AS id, year(ts) AS year, month(ts) AS month, dayofweek(ts) + 1 AS day_of_week, hour(ts) AS hour
+FROM events"""

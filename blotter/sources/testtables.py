@@ -117,3 +117,96 @@ def message_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = F.to_json(F.struct(*[fields[k].alias(k) for k in MESSAGE_FIELDS]))
     no_case = F.to_json(F.struct(*[fields[k].alias(k) for k in MESSAGE_FIELDS if k != "CASE NUMBER"]))
     return inc.select("id", "ts", F.when(F.col("id") % 50 == 1, no_case).otherwise(full).alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# Raw CSV-layout rows (all strings) for the loader queries. Defects by key:
+# missing case number (key % 53 = 0), impossible date (key % 97 = 0),
+# lower-case am/pm (key % 7 = 0), non-numeric typed value (key % 89 = 0),
+# and four spellings of each flag (key % 4).
+# ---------------------------------------------------------------------------
+def _date_text(ts, key):
+    txt = F.date_format(ts, "MM/dd/yyyy hh:mm:ss a")
+    return (F.when(key % 97 == 0, F.concat(F.lit("13/40/"), F.date_format(ts, "yyyy hh:mm:ss a")))
+            .when(key % 7 == 0, F.lower(txt)).otherwise(txt))
+
+
+def _flag_text(is_set, key, yes: str, no: str):
+    base = F.when(is_set, F.lit(yes)).otherwise(F.lit(no))
+    return (F.when(key % 4 == 0, base)
+            .when(key % 4 == 1, F.concat(F.lit(" "), F.lower(base), F.lit(" ")))
+            .when(key % 4 == 2, F.initcap(base))
+            .otherwise(F.lit(None).cast("string")))
+
+
+def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.sources.loaders import raw_frame
+    e = table(spark, sf_dir, "events")
+    key = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return raw_frame(e, "incidents", {
+        "ID": key,
+        "Case Number": F.when(key % 53 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), key.cast("string"))),
+        "Date": _date_text(F.col("ts"), key),
+        "Primary Type": F.col("event_type"),
+        "Arrest": _flag_text(k < 25, key, "TRUE", "FALSE"),
+        "District": F.col("user_id") % N_DISTRICTS,
+        "Community Area": F.col("user_id") % N_AREAS,
+        "Year": F.when(key % 89 == 0, F.lit("n/a")).otherwise(F.year("ts").cast("string")),
+        "Latitude": F.col("value"),
+        "Longitude": F.col("user_id").cast("double"),
+    })
+
+
+def raw_arrests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.sources.loaders import raw_frame
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    return raw_frame(o, "arrests", {
+        "CB_NO": key,
+        "CASE NUMBER": F.when(key % 53 == 0, F.lit(None)).otherwise(key.cast("string")),
+        "ARREST DATE": _date_text(F.col("o_orderdate"), key),
+        "RACE": F.col("o_orderpriority"),
+        "CHARGE 1 STATUTE": F.col("o_orderstatus"),
+    })
+
+
+def raw_violence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.sources.loaders import raw_frame
+    li = table(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return raw_frame(li, "violence", {
+        "CASE_NUMBER": F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
+        "DATE": _date_text(F.col("l_shipdate"), key),
+        "GUNSHOT_INJURY_I": _flag_text(F.col("l_linestatus") == "F", key, "Y", "N"),
+        "COMMUNITY_AREA": F.col("l_partkey") % N_AREAS,
+        "DISTRICT": F.col("l_suppkey") % N_DISTRICTS,
+        "MONTH": F.month("l_shipdate"),
+        "HOMICIDE_VICTIM_FIRST_NAME": F.when(F.col("l_returnflag") == "R",
+                                             F.concat(F.lit("V"), F.col("l_orderkey").cast("string"))),
+        "LATITUDE": F.when(key % 89 == 0, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string")),
+        "LONGITUDE": F.col("l_discount"),
+    })
+
+
+def raw_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.sources.loaders import raw_frame
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    return raw_frame(c, "registry", {
+        "LAST": F.col("c_name"),
+        "GENDER": F.when(key % 10 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")),
+        "VICTIM MINOR": _flag_text(F.col("c_acctbal") < 0, key, "Y", "N"),
+    })
+
+
+def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from blotter.sources.loaders import raw_frame
+    n = table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    return raw_frame(n, "stations", {
+        "DISTRICT": F.when(key % 10 == 9, F.lit(None)).otherwise(key.cast("string")),
+        "DISTRICT NAME": F.col("n_name"),
+        "LATITUDE": F.lit(900.0) + key * F.lit(40.0),
+        "LONGITUDE": F.col("n_regionkey") * F.lit(10.0) + F.lit(1.0),
+    })
