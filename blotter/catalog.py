@@ -320,3 +320,48 @@ def q_calendar_parts(spark, d):
     from blotter.functions import calendar_parts
     inc = TT.incidents(spark, d)
     return inc.select("id", *[c.alias(n) for n, c in calendar_parts("ts").items()])
+
+
+# --- hotspots ----------------------------------------------------------------
+from blotter.plans import hotspots as HS  # noqa: E402
+
+K = 10
+
+
+def seeded_hotspots(spark, d):
+    pts = HS.valid_points(TT.points(spark, d))
+    cents = HS.seed_centroids(pts, K)
+    return HS.centroid_counts(cents, HS.nearest_centroid(pts, cents))
+
+
+@register("valid_coords")
+def q_valid_coords(spark, d):
+    return HS.valid_points(TT.points(spark, d))
+
+
+@register("assign_nearest")
+def q_assign_nearest(spark, d):
+    pts = HS.valid_points(TT.points(spark, d))
+    return HS.nearest_centroid(pts, HS.seed_centroids(pts, K)).select("id", "cluster_id")
+
+
+@register("hotspot_counts")
+def q_hotspot_counts(spark, d):
+    return seeded_hotspots(spark, d)
+
+
+@register("hotspots_ranked")
+def q_hotspots_ranked(spark, d):
+    return SV.hotspots_ranked(seeded_hotspots(spark, d))
+
+
+@register("hotspots")
+def q_hotspots(spark, d):
+    hs, _ = HS.detect_hotspots(TT.points(spark, d), k=K, seed=42, max_iter=20)
+    return hs
+
+
+@register("kpi_overview")
+def q_kpi_overview(spark, d):
+    return SV.kpi_overview(alerts_mart(spark, d), TR.incident_trends(TT.incidents(spark, d)),
+                           seeded_hotspots(spark, d), VI.violence_stats(TT.violence(spark, d)))

@@ -317,3 +317,39 @@ FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem) WHERE k % 89 <
 ORACLE["calendar_parts"] = """
 SELECT event_id AS id, year(ts) AS year, month(ts) AS month, dayofweek(ts) + 1 AS day_of_week, hour(ts) AS hour
 FROM events"""
+
+
+# --- hotspots ----------------------------------------------------------------
+K = 10
+POINTS = """points AS (
+  SELECT p_partkey AS id,
+         CASE WHEN p_partkey % 50 = 0 THEN 0.0 ELSE p_retailprice END AS latitude,
+         CASE WHEN p_partkey % 50 = 1 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS longitude
+  FROM part),
+valid AS (SELECT * FROM points WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+                                 AND latitude <> 0.0 AND longitude <> 0.0)"""
+SEEDS = f"""seeds AS (
+  SELECT CAST(id % {K} AS INTEGER) AS cluster_id, round(avg(latitude), 6) AS latitude,
+         round(avg(longitude), 6) AS longitude
+  FROM valid GROUP BY 1)"""
+ASSIGNED = """assigned AS (
+  SELECT v.id, first(s.cluster_id ORDER BY (v.latitude - s.latitude) * (v.latitude - s.latitude)
+                                           + (v.longitude - s.longitude) * (v.longitude - s.longitude),
+                     s.cluster_id) AS cluster_id
+  FROM valid v, seeds s GROUP BY v.id)"""
+HOTSPOTS = """hotspots AS (
+  SELECT s.cluster_id, s.latitude, s.longitude, CAST(coalesce(c.n, 0) AS BIGINT) AS crime_count
+  FROM seeds s LEFT JOIN (SELECT cluster_id, count(*) AS n FROM assigned GROUP BY cluster_id) c
+    ON s.cluster_id = c.cluster_id)"""
+_HS = _with(POINTS, SEEDS, ASSIGNED, HOTSPOTS)
+ORACLE["valid_coords"] = _with(POINTS) + "SELECT * FROM valid"
+ORACLE["assign_nearest"] = _HS + "SELECT id, cluster_id FROM assigned"
+ORACLE["hotspot_counts"] = _HS + "SELECT * FROM hotspots"
+ORACLE["hotspots_ranked"] = _HS + "SELECT * FROM hotspots ORDER BY crime_count DESC, cluster_id"
+ORACLE["kpi_overview"] = _with(INCIDENTS, ACCEPTED, TRAILING, ALERTS, VIOLENCE, POINTS, SEEDS, ASSIGNED, HOTSPOTS) + """
+SELECT (SELECT count(*) FROM alerts) AS alerts_triggered,
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM incidents WHERE ts IS NOT NULL
+                                                         GROUP BY year(ts))) AS total_records,
+       (SELECT count(*) FROM hotspots) AS hotspot_clusters,
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM violence WHERE district IS NOT NULL
+                                                         GROUP BY district)) AS violence_incidents"""
