@@ -365,3 +365,45 @@ def q_hotspots(spark, d):
 def q_kpi_overview(spark, d):
     return SV.kpi_overview(alerts_mart(spark, d), TR.incident_trends(TT.incidents(spark, d)),
                            seeded_hotspots(spark, d), VI.violence_stats(TT.violence(spark, d)))
+
+
+# --- mart storage round trips ------------------------------------------------
+import uuid  # noqa: E402
+
+from blotter.session import scratch_path  # noqa: E402
+from blotter.sources import marts as MT  # noqa: E402
+
+
+def _scratch(spark, what):
+    return scratch_path(spark, f"{what}-{uuid.uuid4().hex[:12]}")
+
+
+@register("mart_roundtrip")
+def q_mart_roundtrip(spark, d):
+    base = _scratch(spark, "marts")
+    MT.write_mart(VI.violence_stats(TT.violence(spark, d)), "violence_stats", base)
+    return MT.read_mart(spark, "violence_stats", base)
+
+
+@register("mart_read")
+def q_mart_read(spark, d):
+    base = _scratch(spark, "marts")
+    MT.write_mart(TR.incident_trends(TT.incidents(spark, d)), "crime_trends", base)
+    trends = MT.read_mart(spark, "crime_trends", base)
+    return trends.filter(F.col("group_type") == "year").select("group_type", "group_value", "crime_count")
+
+
+@register("alerts_latest_docs")
+def q_alerts_latest_docs(spark, d):
+    path = _scratch(spark, "alert-docs")
+    MT.write_alert_docs(alerts_mart(spark, d), path, mode="overwrite")
+    return MT.latest_alert_docs(MT.read_alert_docs(spark, path), 20)
+
+
+@register("scan_csv_typed")
+def q_scan_csv_typed(spark, d):
+    path = _scratch(spark, "incidents-csv")
+    TT.raw_incidents(spark, d).write.mode("overwrite").option("header", "true").csv(path)
+    return LD.load_incidents(spark, path).select(
+        "id", "case_number", "date", "ts", "primary_type", "arrest", "district", "community_area",
+        "year", "latitude", "longitude")

@@ -353,3 +353,10 @@ SELECT (SELECT count(*) FROM alerts) AS alerts_triggered,
        (SELECT count(*) FROM hotspots) AS hotspot_clusters,
        (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM violence WHERE district IS NOT NULL
                                                          GROUP BY district)) AS violence_incidents"""
+
+
+# --- mart storage round trips ------------------------------------------------
+ORACLE["mart_roundtrip"] = ORACLE["violence_stats"]
+ORACLE["mart_read"] = ORACLE["trend_year"]
+ORACLE["alerts_latest_docs"] = _STREAM + _NEWEST.format(n=20)
+ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
