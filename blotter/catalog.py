@@ -407,3 +407,18 @@ def q_scan_csv_typed(spark, d):
     return LD.load_incidents(spark, path).select(
         "id", "case_number", "date", "ts", "primary_type", "arrest", "district", "community_area",
         "year", "latitude", "longitude")
+
+
+# --- Structured Streaming runs (file source, availableNow) -----------------
+@register("stream_alerts")
+def q_stream_alerts(spark, d):
+    from blotter.streaming.pipeline import stream_alerts
+    return stream_alerts(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD,
+                         work=_scratch(spark, "stream"))
+
+
+@register("stream_sliding_counts")
+def q_stream_sliding_counts(spark, d):
+    from blotter.streaming.pipeline import stream_window_counts
+    return stream_window_counts(spark, TT.message_rows(spark, d), WINDOW, SLIDE, "48 hours",
+                                work=_scratch(spark, "stream-windows"))

@@ -360,3 +360,7 @@ ORACLE["mart_roundtrip"] = ORACLE["violence_stats"]
 ORACLE["mart_read"] = ORACLE["trend_year"]
 ORACLE["alerts_latest_docs"] = _STREAM + _NEWEST.format(n=20)
 ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
+
+# The streaming runs must reproduce their batch forms exactly.
+ORACLE["stream_alerts"] = ORACLE["alerts"]
+ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
