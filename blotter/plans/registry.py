@@ -29,18 +29,21 @@ def registry_by_gender(registry: DataFrame) -> DataFrame:
 
 
 def registry_stats(registry: DataFrame) -> DataFrame:
-    """Summary + per-gender rows in one pass: GROUPING SETS ((), (gender)).
+    """Summary row + per-gender rows from one scan.
 
-    ``grouping(gender)`` tells the grand total apart from the NULL-gender group.
+    The per-gender aggregate is computed once; the 'all' row is a global
+    aggregate over those few rows (so an empty table still yields it, with
+    0 / 0.0), and Spark reuses the shared exchange instead of rescanning.
     """
-    agg = registry.select("gender", "victim_minor").groupingSets([[], ["gender"]], "gender").agg(
-        *_aggs(), F.grouping("gender").alias("__total"))
-    is_total = F.col("__total") == 1
-    return agg.select(
-        F.when(is_total, F.lit("all")).otherwise(F.col("gender")).alias("district"),
-        "offender_count", "minor_victim_count",
-        F.round(F.col("minor_victim_count") / F.greatest(F.col("offender_count"), F.lit(1)), 4)
-         .alias("minor_victim_proportion"))
+    by_gender = registry.select("gender", "victim_minor").groupBy("gender").agg(*_aggs())
+    total = by_gender.agg(
+        F.coalesce(F.sum("offender_count"), F.lit(0)).cast("bigint").alias("offender_count"),
+        F.coalesce(F.sum("minor_victim_count"), F.lit(0)).cast("bigint").alias("minor_victim_count"),
+    ).select(F.lit("all").alias("district"), "offender_count", "minor_victim_count")
+    rows = total.unionByName(by_gender.withColumnRenamed("gender", "district"))
+    return rows.withColumn(
+        "minor_victim_proportion",
+        F.round(F.col("minor_victim_count") / F.greatest(F.col("offender_count"), F.lit(1)), 4))
 
 
 def priority_records(registry: DataFrame) -> DataFrame:
