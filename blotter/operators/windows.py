@@ -37,7 +37,8 @@ def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts
     w_us = int(window_seconds) * 1_000_000
     b_us = w_us * max(int(bucket_factor), 1)
     t = F.col("__t")
-    base = df.withColumn("__t", micros(df, ts)).withColumn("__b", F.floor(t / F.lit(b_us)))
+    base = df.withColumn("__t", micros(df, ts)).withColumn(
+        "__b", F.expr(f"(__t - pmod(__t, {b_us})) div {b_us}"))  # exact floor division
     near_end = t >= (F.col("__b") + 1) * F.lit(b_us) - F.lit(w_us)
     tagged = base.withColumn(
         "__ctx", F.explode(F.when(near_end, F.array(F.lit(False), F.lit(True)))

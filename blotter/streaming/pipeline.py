@@ -99,10 +99,28 @@ def sliding_window_stream(accepted: DataFrame, window: str, slide: str, watermar
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "district", "event_count"))
 
 
-def build_alert_stream(messages: DataFrame, window_seconds: int, threshold: int) -> DataFrame:
-    """messages -> alert rows (district, timestamp, event_count, threshold, severity)."""
+def build_alert_stream(messages: DataFrame, window_seconds: int, threshold: int,
+                       alert_on: str = "event") -> DataFrame:
+    """messages -> alert rows (district, timestamp, event_count, threshold, severity).
+
+    Counters (events processed, alerts raised) are observed per micro-batch:
+    ``query.lastProgress["observedMetrics"]["stream_counters"]``.
+    """
     accepted, _ = validated_stream(messages)
-    return AL.alert_records(trailing_count_stream(accepted, window_seconds), threshold)
+    counts = trailing_count_stream(accepted, window_seconds)
+    counts = counts.observe("stream_counters", F.count(F.lit(1)).alias("processed"),
+                            F.count_if(F.col("event_count") > F.lit(threshold)).alias("alerts"))
+    if alert_on == "crossing":
+        raise ValueError("crossing alerts need ordered history; use the batch form")
+    return AL.alert_records(counts, threshold)
+
+
+def raw_event_sink(accepted: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Persist every accepted event as Parquet (the raw-event collection)."""
+    w = (accepted.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    return w.start()
 
 
 def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet"):

@@ -60,3 +60,20 @@ def test_sink_replay_of_a_batch_is_idempotent(spark, scratch):
     sink(df, 7)
     assert spark.read.parquet(f"{scratch}/a").count() == 1
     assert spark.read.json(f"{scratch}/docs").count() == 1
+
+
+def test_counters_and_raw_event_sink(spark, scratch):
+    msgs = TT.message_rows(spark, "/root/testdata/sf0.001")
+    src = f"{scratch}/src"
+    msgs.coalesce(1).write.parquet(src)
+    schema = "id long, ts timestamp_ntz, value string"
+    stream = SP.read_messages(spark, src, "parquet", schema=schema)
+    q = SP.run_available_now(SP.build_alert_stream(stream, 24 * 3600, 2), SP.batch_sink(f"{scratch}/out"),
+                             f"{scratch}/ckpt")
+    seen = [p["observedMetrics"]["stream_counters"] for p in q.recentProgress if p.get("observedMetrics")]
+    accepted, _ = SP.validated_stream(msgs)
+    assert sum(int(m["processed"]) for m in seen) == accepted.count()
+    assert sum(int(m["alerts"]) for m in seen) == spark.read.parquet(f"{scratch}/out").count()
+    acc_stream, _ = SP.validated_stream(SP.read_messages(spark, src, "parquet", schema=schema))
+    SP.raw_event_sink(acc_stream, f"{scratch}/raw", f"{scratch}/raw-ckpt").awaitTermination()
+    assert spark.read.parquet(f"{scratch}/raw").count() == accepted.count()
