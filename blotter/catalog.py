@@ -199,7 +199,8 @@ def q_alerts(spark, d):
 
 @register("alerts_crossing")
 def q_alerts_crossing(spark, d):
-    return AL.alert_records(trailing_counts(spark, d), THRESHOLD, alert_on="crossing")
+    return AL.alert_records(trailing_counts(spark, d), THRESHOLD, alert_on="crossing",
+                            window_seconds=WINDOW_SECONDS)
 
 
 @register("sliding_counts")

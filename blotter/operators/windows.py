@@ -31,9 +31,8 @@ def micros(df: DataFrame, ts: str) -> Column:
     return F.unix_micros(F.col(ts))
 
 
-def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts: str = "ts",
-                   order: str = "id", out: str = "event_count", bucket_factor: int = 4) -> DataFrame:
-    """Append ``out`` = events of the same key in ``[ts - W, ts]`` up to this one."""
+def _bucketed(df: DataFrame, window_seconds: int, ts: str, bucket_factor: int):
+    """Rows tagged with window partition ``__p``; ``__ctx`` marks copies into the next bucket."""
     w_us = int(window_seconds) * 1_000_000
     b_us = w_us * max(int(bucket_factor), 1)
     t = F.col("__t")
@@ -44,6 +43,13 @@ def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts
         "__ctx", F.explode(F.when(near_end, F.array(F.lit(False), F.lit(True)))
                            .otherwise(F.array(F.lit(False))))
     ).withColumn("__p", F.col("__b") + F.col("__ctx").cast("long"))
+    return tagged, w_us
+
+
+def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts: str = "ts",
+                   order: str = "id", out: str = "event_count", bucket_factor: int = 4) -> DataFrame:
+    """Append ``out`` = events of the same key in ``[ts - W, ts]`` up to this one."""
+    tagged, w_us = _bucketed(df, window_seconds, ts, bucket_factor)
     frame = Window.partitionBy(key, "__p").orderBy("__t").rangeBetween(-w_us, 0)
     peers = Window.partitionBy(key, "__p", "__t")
     counted = (tagged
@@ -55,6 +61,23 @@ def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts
         "__t", "__b", "__ctx", "__p", "__raw", "__peers", "__rank")
 
 
+def previous_within(df: DataFrame, window_seconds: int, value: str, out: str, key: str = "district",
+                    ts: str = "ts", order: str = "id", bucket_factor: int = 4) -> DataFrame:
+    """Append ``out`` = ``value`` of the key's previous row (by ts, then order) if at most W older.
+
+    Same bucketed partitioning as ``trailing_count``: a previous row at most
+    ``W`` older is always in the bucket or among its context copies, so no
+    key is ever gathered into one task. Older predecessors give NULL.
+    """
+    tagged, w_us = _bucketed(df, window_seconds, ts, bucket_factor)
+    w = Window.partitionBy(key, "__p").orderBy("__t", order)
+    prev_t, prev_v = F.lag("__t").over(w), F.lag(value).over(w)
+    return (tagged.withColumn("__pt", prev_t).withColumn("__pv", prev_v)
+            .filter(~F.col("__ctx"))
+            .withColumn(out, F.when(F.col("__t") - F.col("__pt") <= F.lit(w_us), F.col("__pv")))
+            .drop("__t", "__b", "__ctx", "__p", "__pt", "__pv"))
+
+
 def sliding_counts(df: DataFrame, window: str, slide: str, key: str = "district",
                    ts: str = "ts") -> DataFrame:
     """Count per ``(window_start, window_end, key)``; windows are half-open ``[start, end)``."""

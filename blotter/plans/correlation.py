@@ -57,8 +57,30 @@ def corr_area(incidents: DataFrame, violence: DataFrame, normalize: bool = False
 
 
 def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
-    """The correlations mart (``correlation_value`` stays NULL as in the stored table)."""
-    return corr_district(incidents, violence, normalize).unionByName(corr_area(incidents, violence, normalize))
+    """The correlations mart (``correlation_value`` stays NULL as in the stored table).
+
+    One scan per input: each side is a GROUPING SETS aggregate over district
+    and community area, and the two are joined on (group_type, key).
+    """
+    from blotter.operators.grouped import grouped_stats
+    dims = {"district": _key("district", normalize), "community_area": _key("community_area", normalize)}
+    left = grouped_stats(incidents.select("district", "community_area", "arrest"), dims,
+                         {"crime_count": F.count(F.lit(1)),
+                          "arrest_count": F.count_if(F.col("arrest") == "TRUE")})
+    right = grouped_stats(violence.select("district", "community_area"), dims,
+                          {"violence_count": F.count(F.lit(1))})
+    j = left.join(right, ["group_type", "group_value"], "inner")
+    by_district = F.col("group_type") == "district"
+    return j.select(
+        F.when(by_district, F.lit("violence_rate_vs_arrest_rate"))
+         .otherwise(F.lit("crime_count_vs_violence_count")).alias("correlation_type"),
+        F.col("group_value").alias("group_key"),
+        F.when(by_district, F.lit("arrest_rate")).otherwise(F.lit("crime_count")).alias("metric_1_name"),
+        F.when(by_district, rate("arrest_count", "crime_count", 4))
+         .otherwise(F.col("crime_count").cast("double")).alias("metric_1_value"),
+        F.lit("violence_count").alias("metric_2_name"),
+        F.col("violence_count").cast("double").alias("metric_2_value"),
+        F.lit(None).cast("double").alias("correlation_value"))
 
 
 def unmatched_keys(incidents: DataFrame, violence: DataFrame, key: str = "district",

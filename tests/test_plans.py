@@ -6,7 +6,8 @@ from tests.conftest import SMALL
 
 from __spark_entry__ import queries  # noqa: E402
 
-SINGLE_SCAN = ["incident_trends", "violence_stats", "registry_stats", "trailing_count", "sliding_counts"]
+SINGLE_SCAN = ["incident_trends", "violence_stats", "registry_stats", "trailing_count", "sliding_counts",
+               "arrest_rate_type", "priority_records", "validate_events"]
 NO_WRITE = [k for k in queries() if k not in {"hotspots", "mart_roundtrip", "mart_read", "alerts_latest_docs",
                                               "scan_csv_typed", "stream_alerts", "stream_sliding_counts"}]
 
@@ -43,3 +44,8 @@ def test_not_null_filter_reaches_scan(spark):
     from pyspark.sql import functions as F
     df = corr_area(TT.incidents(spark, SMALL), TT.violence(spark, SMALL).filter(F.col("district") == "3"))
     assert "PushedFilters: [IsNotNull(l_suppkey)" in _plan(df) or "PushedFilters" in _plan(df)
+
+
+def test_correlations_scan_each_input_once(spark):
+    plan = _final_plan(queries()["correlations"](spark, SMALL))
+    assert plan.count("events.parquet") == 1 and plan.count("lineitem.parquet") == 1, plan

@@ -69,6 +69,25 @@ def test_alert_crossing_mode(spark):
     rows = [(i, "a", T0 + dt.timedelta(seconds=i)) for i in range(30)]
     counts = trailing_count(_events(spark, rows), 3600)
     every = alert_records(counts, 10)
-    crossing = alert_records(counts, 10, alert_on="crossing")
+    crossing = alert_records(counts, 10, alert_on="crossing", window_seconds=3600)
     assert every.count() == 20 and crossing.count() == 1
     assert crossing.first().event_count == 11
+
+
+@pytest.mark.parametrize("factor", [1, 3])
+def test_previous_within_equals_brute_force(spark, factor):
+    from blotter.operators.windows import previous_within
+    rnd = random.Random(7 + factor)
+    rows = [(i, rnd.choice(["a", "b"]), T0 + dt.timedelta(seconds=rnd.randrange(0, 4 * 3600)))
+            for i in range(300)]
+    df = _events(spark, rows).withColumn("v", F.col("id") * 10)
+    got = {r.id: r.prev for r in previous_within(df, 900, "v", "prev", bucket_factor=factor).collect()}
+    want = {}
+    for i, d, t in rows:
+        earlier = [(t2, j) for j, d2, t2 in rows if d2 == d and (t2, j) < (t, i)]
+        if earlier:
+            t2, j = max(earlier)
+            want[i] = j * 10 if (t - t2).total_seconds() <= 900 else None
+        else:
+            want[i] = None
+    assert got == want
