@@ -423,3 +423,13 @@ def q_stream_sliding_counts(spark, d):
     from blotter.streaming.pipeline import stream_window_counts
     return stream_window_counts(spark, TT.message_rows(spark, d), WINDOW, SLIDE, "48 hours",
                                 work=_scratch(spark, "stream-windows"))
+
+
+# --- nearest station (declared in the reference docs) ----------------------
+@register("nearest_station")
+def q_nearest_station(spark, d):
+    from blotter.operators.spatial import nearest_site
+    pts = HS.valid_points(TT.points(spark, d))
+    out = nearest_site(pts, TT.stations(spark, d), site_id="district")
+    return out.select("id", F.col("nearest_site").alias("district"),
+                      F.round("nearest_d2", 6).alias("distance2"))

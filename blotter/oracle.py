@@ -364,3 +364,14 @@ ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
 # The streaming runs must reproduce their batch forms exactly.
 ORACLE["stream_alerts"] = ORACLE["alerts"]
 ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
+
+STATIONS = """stations AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS district, 900.0 + n_nationkey * 40.0 AS latitude,
+         n_regionkey * 10.0 + 1.0 AS longitude FROM nation)"""
+ORACLE["nearest_station"] = _with(POINTS, STATIONS) + """
+SELECT id, first(district ORDER BY d2, district) AS district, round(min(d2), 6) AS distance2
+FROM (SELECT v.id, s.district,
+             (v.latitude - s.latitude) * (v.latitude - s.latitude)
+             + (v.longitude - s.longitude) * (v.longitude - s.longitude) AS d2
+      FROM valid v, stations s)
+GROUP BY id"""
