@@ -6,16 +6,26 @@ over their whole extent; the matching DuckDB SQL lives in ``blotter.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.functions import calendar_parts, normalize_flag, parse_ts
+from blotter.operators import alerts as AL
+from blotter.operators import messages as MS
+from blotter.operators import windows as WO
 from blotter.plans import arrests as AR
 from blotter.plans import correlation as CO
+from blotter.plans import hotspots as HS
 from blotter.plans import registry as RG
+from blotter.plans import serving as SV
 from blotter.plans import trends as TR
 from blotter.plans import violence as VI
+from blotter.session import scratch_path
+from blotter.sources import loaders as LD
+from blotter.sources import marts as MT
 from blotter.sources import testtables as TT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,10 +140,6 @@ def q_corr_summary(spark, d):
 
 
 # --- stream operators, batch form ------------------------------------------
-from blotter.operators import alerts as AL  # noqa: E402
-from blotter.operators import messages as MS  # noqa: E402
-from blotter.operators import windows as WO  # noqa: E402
-from blotter.plans import serving as SV  # noqa: E402
 
 WINDOW_SECONDS = 24 * 3600
 WINDOW, SLIDE = "24 hours", "6 hours"
@@ -257,7 +263,6 @@ def q_trend_labels(spark, d):
 
 
 # --- loaders: raw CSV-layout rows -> typed, prepared rows -------------------
-from blotter.sources import loaders as LD  # noqa: E402
 
 
 def _loaded(kind, raw):
@@ -299,13 +304,11 @@ def q_load_stations(spark, d):
 @register("parse_ts")
 def q_parse_ts(spark, d):
     raw = TT.raw_incidents(spark, d).select(F.col("ID").cast("bigint").alias("id"), F.col("Date").alias("raw"))
-    from blotter.functions import parse_ts
     return raw.select("id", "raw", parse_ts("raw").alias("parsed"))
 
 
 @register("normalize_flags")
 def q_normalize_flags(spark, d):
-    from blotter.functions import normalize_flag
     raw = TT.raw_incidents(spark, d).select(F.col("ID").cast("bigint").alias("id"), F.col("Arrest").alias("raw"))
     return raw.select("id", "raw", normalize_flag("raw").alias("flag"))
 
@@ -318,13 +321,11 @@ def q_presence_flag(spark, d):
 
 @register("calendar_parts")
 def q_calendar_parts(spark, d):
-    from blotter.functions import calendar_parts
     inc = TT.incidents(spark, d)
     return inc.select("id", *[c.alias(n) for n, c in calendar_parts("ts").items()])
 
 
 # --- hotspots ----------------------------------------------------------------
-from blotter.plans import hotspots as HS  # noqa: E402
 
 K = 10
 
@@ -369,10 +370,6 @@ def q_kpi_overview(spark, d):
 
 
 # --- mart storage round trips ------------------------------------------------
-import uuid  # noqa: E402
-
-from blotter.session import scratch_path  # noqa: E402
-from blotter.sources import marts as MT  # noqa: E402
 
 
 def _scratch(spark, what):
