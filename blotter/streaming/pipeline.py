@@ -150,17 +150,22 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, output_mode: str = "
 
 
 def stage_messages(messages: DataFrame, path: str, chunks: int) -> None:
-    """Write message rows as ``chunks`` time-ordered appends (one file each)."""
+    """Write message rows as ``chunks`` time-ordered appends, so a file source replays them in order.
+
+    The messages are materialised once (``{path}_staged``, with their time in
+    microseconds); each chunk is then a filtered read of that copy.
+    """
     spark = messages.sparkSession
-    t = micros(messages, "ts")
-    bounds = messages.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    staged = f"{path.rstrip('/')}_staged"
+    messages.withColumn("__t", micros(messages, "ts")).write.mode("overwrite").parquet(staged)
+    copy = spark.read.parquet(staged)
+    bounds = copy.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
     step = -(-(hi - lo) // chunks)
     for i in range(chunks):
         a, b = lo + i * step, lo + (i + 1) * step
-        (messages.filter((t >= F.lit(a)) & (t < F.lit(b))).coalesce(1)
-         .write.mode("append").parquet(path))
-    del spark
+        (copy.filter((F.col("__t") >= F.lit(a)) & (F.col("__t") < F.lit(b))).drop("__t")
+         .coalesce(1).write.mode("append").parquet(path))
 
 
 def stream_alerts(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
