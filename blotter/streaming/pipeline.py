@@ -89,14 +89,19 @@ def trailing_count_stream(accepted: DataFrame, window_seconds: int) -> DataFrame
 def sliding_window_stream(accepted: DataFrame, window: str, slide: str, watermark: str) -> DataFrame:
     """Count per (sliding window, district); watermark bounds the open windows.
 
-    ``withWatermark`` needs a TIMESTAMP (not NTZ) column, so the event time is
-    cast; windows are reported back as NTZ wall-clock values.
+    ``withWatermark`` needs a TIMESTAMP (not NTZ) column. The NTZ event time is
+    moved through its microsecond value (not a zone-dependent cast), so the
+    windows align on the wall clock exactly as the batch form's, whatever the
+    session time zone; they are reported back as NTZ values.
     """
-    ev = accepted.withColumn("__ets", F.col("ts").cast("timestamp")).withWatermark("__ets", watermark)
+    ntz_epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    ev = (accepted.withColumn("__ets", F.timestamp_micros(micros(accepted, "ts")))
+          .withWatermark("__ets", watermark))
+    back = lambda c: F.expr(f"timestampadd(MICROSECOND, unix_micros({c}), {ntz_epoch})")
     return (ev.groupBy(F.window("__ets", window, slide).alias("w"), "district")
             .agg(F.count(F.lit(1)).alias("event_count"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "district", "event_count"))
+            .select(back("w.start").alias("window_start"), back("w.end").alias("window_end"),
+                    "district", "event_count"))
 
 
 def build_alert_stream(messages: DataFrame, window_seconds: int, threshold: int,

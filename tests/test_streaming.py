@@ -77,3 +77,20 @@ def test_counters_and_raw_event_sink(spark, scratch):
     acc_stream, _ = SP.validated_stream(SP.read_messages(spark, src, "parquet", schema=schema))
     SP.raw_event_sink(acc_stream, f"{scratch}/raw", f"{scratch}/raw-ckpt").awaitTermination()
     assert spark.read.parquet(f"{scratch}/raw").count() == accepted.count()
+
+
+def test_stream_windows_do_not_depend_on_session_zone(spark, scratch):
+    from blotter.operators.windows import sliding_counts
+    msgs = TT.message_rows(spark, "/root/testdata/sf0.001")
+    accepted, _ = SP.validated_stream(msgs)
+    batch = sorted(tuple(r) for r in sliding_counts(accepted, "5 hours", "2 hours").collect())
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        got = SP.stream_window_counts(spark, msgs, "5 hours", "2 hours", "12 hours", chunks=2,
+                                      work=f"{scratch}/w")
+        got = sorted(tuple(r) for r in got.select("window_start", "window_end", "district",
+                                                  "event_count").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == batch
