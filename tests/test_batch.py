@@ -24,3 +24,26 @@ def test_run_batch_writes_every_mart(spark, scratch):
     years = MT.read_mart(spark, "crime_trends", out).filter("group_type = 'year'").collect()
     staged = spark.read.parquet(f"{out}/_staged/incidents")
     assert sum(r.crime_count for r in years) == staged.filter("ts IS NOT NULL").count()
+
+
+def test_cli_batch_and_stream(spark, scratch):
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    inc = f"{scratch}/inc"
+    TT.raw_incidents(spark, SMALL).write.option("header", "true").csv(inc)
+    env = dict(os.environ, PYTHONPATH=root)
+    r = subprocess.run([sys.executable, "-m", "blotter", "--master", "local[2]", "batch", "--incidents", inc,
+                        "--out", f"{scratch}/marts", "--k", "3", "--max-iter", "3"],
+                       capture_output=True, text=True, env=env, timeout=600, check=True)
+    written = json.loads(r.stdout.strip().splitlines()[-1])
+    assert set(written) == {"crime_trends", "hotspots"} and written["hotspots"] == 3
+    src = f"{scratch}/msgs"
+    TT.message_rows(spark, SMALL).write.parquet(src)
+    subprocess.run([sys.executable, "-m", "blotter", "--master", "local[2]", "stream", "--source", src,
+                    "--format", "parquet", "--out", f"{scratch}/alerts", "--checkpoint", f"{scratch}/ck",
+                    "--window-seconds", str(24 * 3600), "--threshold", "2", "--available-now"],
+                   capture_output=True, text=True, env=env, timeout=600, check=True)
+    assert spark.read.parquet(f"{scratch}/alerts").count() > 0

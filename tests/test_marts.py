@@ -74,3 +74,15 @@ def test_jdbc_roundtrip_with_embedded_derby(spark):
         pytest.skip(f"no embedded JDBC driver: {type(e).__name__}")
     back = MT.read_mart(spark, "sex_offender_stats", "", fmt="jdbc", jdbc_url=url, jdbc_props=props)
     assert n == back.count() == df.count()
+
+
+def test_padded_keys_need_normalisation(spark):
+    from blotter.plans.correlation import correlations, unmatched_keys
+    inc = spark.createDataFrame([(1, "c1", None, "T", "001", "7", "TRUE")], INC)
+    vio = spark.createDataFrame([("1", "1", "07", 0, "Y")],
+                                "month string, district string, community_area string, is_homicide int, gunshot_injury_i string")
+    assert correlations(inc, vio).count() == 0
+    assert {r.district for r in unmatched_keys(inc, vio).collect()} == {"001", "1"}
+    got = {(r.correlation_type, r.group_key) for r in correlations(inc, vio, normalize=True).collect()}
+    assert got == {("violence_rate_vs_arrest_rate", "1"), ("crime_count_vs_violence_count", "7")}
+    assert unmatched_keys(inc, vio, normalize=True).count() == 0
