@@ -306,7 +306,8 @@ FROM customer"""
 
 ORACLE["load_stations"] = """
 SELECT CAST(n_nationkey AS VARCHAR) AS district, n_name AS district_name,
-       900.0 + n_nationkey * 40.0 AS latitude, n_regionkey * 10.0 + 1.0 AS longitude
+       CAST(900.0 + n_nationkey * 40.0 AS DOUBLE) AS latitude,
+       CAST(n_regionkey * 10.0 + 1.0 AS DOUBLE) AS longitude
 FROM nation WHERE n_nationkey % 10 <> 9"""
 
 ORACLE["parse_ts"] = _with(RAW_INCIDENTS) + f"SELECT CAST(id AS BIGINT) AS id, date AS raw, {_PARSE.format(c='date')} AS parsed FROM raw_incidents"
@@ -315,7 +316,8 @@ ORACLE["presence_flag"] = """
 SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_homicide, count(*) AS n
 FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem) WHERE k % 89 <> 0 GROUP BY 1"""
 ORACLE["calendar_parts"] = """
-SELECT event_id AS id, year(ts) AS year, month(ts) AS month, dayofweek(ts) + 1 AS day_of_week, hour(ts) AS hour
+SELECT event_id AS id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week, CAST(hour(ts) AS INTEGER) AS hour
 FROM events"""
 
 
@@ -366,8 +368,8 @@ ORACLE["stream_alerts"] = ORACLE["alerts"]
 ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
 
 STATIONS = """stations AS (
-  SELECT CAST(n_nationkey AS VARCHAR) AS district, 900.0 + n_nationkey * 40.0 AS latitude,
-         n_regionkey * 10.0 + 1.0 AS longitude FROM nation)"""
+  SELECT CAST(n_nationkey AS VARCHAR) AS district, CAST(900.0 + n_nationkey * 40.0 AS DOUBLE) AS latitude,
+         CAST(n_regionkey * 10.0 + 1.0 AS DOUBLE) AS longitude FROM nation)"""
 ORACLE["nearest_station"] = _with(POINTS, STATIONS) + """
 SELECT id, first(district ORDER BY d2, district) AS district, round(min(d2), 6) AS distance2
 FROM (SELECT v.id, s.district,

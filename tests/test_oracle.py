@@ -14,12 +14,19 @@ def test_every_query_has_an_oracle_except_kmeans():
     assert set(queries()) - set(oracle_sql()) == {"hotspots"}
 
 
+CANON = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    s_cols, s_rows = spark_bag(queries()[key](spark, SMALL))
+    df = queries()[key](spark, SMALL)
+    s_cols, s_rows = spark_bag(df)
     d_cols, d_rows = duck_bag(duck, oracle_sql()[key])
     assert s_cols == d_cols
     assert s_rows == d_rows
+    rel = duck.sql(oracle_sql()[key])
+    assert {c: CANON.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
 
 def test_entry_smoke(spark):
