@@ -48,6 +48,18 @@ def top_by(mart: DataFrame, group_type: str, measure: str, k: int) -> DataFrame:
             .orderBy(F.col(measure).desc(), F.col("group_value").asc_nulls_first()).limit(k))
 
 
+def mart_slice(mart: DataFrame, group_type: str, order: str = "group_value", descending: bool = False,
+               numeric: bool = False) -> DataFrame:
+    """Rows of one group type, sorted for display.
+
+    The ``group_type`` filter prunes to one partition folder of a stored mart.
+    ``numeric`` sorts the string key as an integer ('10' after '9').
+    """
+    key = F.col(order).cast("int") if numeric else F.col(order)
+    key = key.desc_nulls_last() if descending else key.asc_nulls_first()
+    return mart.filter(F.col("group_type") == group_type).orderBy(key, F.col("group_value").asc_nulls_first())
+
+
 def trend_labels(trends: DataFrame) -> DataFrame:
     """Trend rows with display labels and an integer sort key (string keys sort wrong)."""
     label = (F.when(F.col("group_type") == "month", month_name("group_value"))

@@ -86,3 +86,13 @@ def test_padded_keys_need_normalisation(spark):
     got = {(r.correlation_type, r.group_key) for r in correlations(inc, vio, normalize=True).collect()}
     assert got == {("violence_rate_vs_arrest_rate", "1"), ("crime_count_vs_violence_count", "7")}
     assert unmatched_keys(inc, vio, normalize=True).count() == 0
+
+
+def test_mart_slice_sorts_for_display(spark):
+    from blotter.plans.serving import mart_slice
+    from blotter.plans.trends import incident_trends
+    t = incident_trends(TT.incidents(spark, SMALL))
+    hours = [r.group_value for r in mart_slice(t, "hour", numeric=True).collect()]
+    assert hours == [str(h) for h in sorted(int(h) for h in hours)]
+    by_count = [r.crime_count for r in mart_slice(t, "hour", "crime_count", descending=True).collect()]
+    assert by_count == sorted(by_count, reverse=True)

@@ -94,3 +94,18 @@ def test_stream_windows_do_not_depend_on_session_zone(spark, scratch):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == batch
+
+
+def test_processing_time_clock(spark, scratch):
+    msgs = TT.message_rows(spark, "/root/testdata/sf0.001")
+    src = f"{scratch}/src"
+    msgs.coalesce(1).write.parquet(src)
+    stream = SP.read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string")
+    SP.run_available_now(SP.build_alert_stream(stream, 300, 10, clock="processing"),
+                         SP.batch_sink(f"{scratch}/out"), f"{scratch}/ckpt")
+    out = spark.read.parquet(f"{scratch}/out")
+    # one batch, one processing time: each district's k-th event counts k
+    accepted, _ = SP.validated_stream(msgs)
+    per_district = {r.district: r.n for r in accepted.groupBy("district").count().withColumnRenamed("count", "n").collect()}
+    want = sum(max(0, n - 10) for n in per_district.values())
+    assert out.count() == want
