@@ -17,6 +17,11 @@ from blotter.functions import normalize_key, rate
 CORR_COLUMNS = ["correlation_type", "group_key", "metric_1_name", "metric_1_value",
                 "metric_2_name", "metric_2_value", "correlation_value"]
 
+# Labels stored in the correlations table.
+DISTRICT_TYPE = "violence_rate_vs_arrest_rate"
+AREA_TYPE = "crime_count_vs_violence_count"
+ARREST_RATE, CRIME_COUNT, VIOLENCE_COUNT = "arrest_rate", "crime_count", "violence_count"
+
 
 def _key(c: str, normalize: bool):
     return normalize_key(c) if normalize else F.col(c)
@@ -33,9 +38,9 @@ def corr_district(incidents: DataFrame, violence: DataFrame, normalize: bool = F
              .groupBy(_key("district", normalize).alias("group_key"))
              .agg(F.count(F.lit(1)).alias("violence_count")))
     return left.join(right, "group_key", "inner").select(
-        F.lit("violence_rate_vs_arrest_rate").alias("correlation_type"), "group_key",
-        F.lit("arrest_rate").alias("metric_1_name"), F.col("arrest_rate").alias("metric_1_value"),
-        F.lit("violence_count").alias("metric_2_name"),
+        F.lit(DISTRICT_TYPE).alias("correlation_type"), "group_key",
+        F.lit(ARREST_RATE).alias("metric_1_name"), F.col("arrest_rate").alias("metric_1_value"),
+        F.lit(VIOLENCE_COUNT).alias("metric_2_name"),
         F.col("violence_count").cast("double").alias("metric_2_value"),
         F.lit(None).cast("double").alias("correlation_value"))
 
@@ -49,9 +54,9 @@ def corr_area(incidents: DataFrame, violence: DataFrame, normalize: bool = False
              .groupBy(_key("community_area", normalize).alias("group_key"))
              .agg(F.count(F.lit(1)).alias("violence_count")))
     return left.join(right, "group_key", "inner").select(
-        F.lit("crime_count_vs_violence_count").alias("correlation_type"), "group_key",
-        F.lit("crime_count").alias("metric_1_name"), F.col("crime_count").cast("double").alias("metric_1_value"),
-        F.lit("violence_count").alias("metric_2_name"),
+        F.lit(AREA_TYPE).alias("correlation_type"), "group_key",
+        F.lit(CRIME_COUNT).alias("metric_1_name"), F.col("crime_count").cast("double").alias("metric_1_value"),
+        F.lit(VIOLENCE_COUNT).alias("metric_2_name"),
         F.col("violence_count").cast("double").alias("metric_2_value"),
         F.lit(None).cast("double").alias("correlation_value"))
 
@@ -72,13 +77,12 @@ def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = Fa
     j = left.join(right, ["group_type", "group_value"], "inner")
     by_district = F.col("group_type") == "district"
     return j.select(
-        F.when(by_district, F.lit("violence_rate_vs_arrest_rate"))
-         .otherwise(F.lit("crime_count_vs_violence_count")).alias("correlation_type"),
+        F.when(by_district, F.lit(DISTRICT_TYPE)).otherwise(F.lit(AREA_TYPE)).alias("correlation_type"),
         F.col("group_value").alias("group_key"),
-        F.when(by_district, F.lit("arrest_rate")).otherwise(F.lit("crime_count")).alias("metric_1_name"),
+        F.when(by_district, F.lit(ARREST_RATE)).otherwise(F.lit(CRIME_COUNT)).alias("metric_1_name"),
         F.when(by_district, rate("arrest_count", "crime_count", 4))
          .otherwise(F.col("crime_count").cast("double")).alias("metric_1_value"),
-        F.lit("violence_count").alias("metric_2_name"),
+        F.lit(VIOLENCE_COUNT).alias("metric_2_name"),
         F.col("violence_count").cast("double").alias("metric_2_value"),
         F.lit(None).cast("double").alias("correlation_value"))
 
