@@ -50,7 +50,7 @@ def arrest_rate_race(incidents: DataFrame, arrests: DataFrame) -> DataFrame:
     return by_race.select(
         F.lit("race").alias("group_type"), F.col("race").alias("group_value"),
         total.alias("total_crimes"), "total_arrests",
-        rate("total_arrests", total, 6).alias("arrest_rate"))
+    ).withColumn("arrest_rate", rate("total_arrests", "total_crimes", 6))
 
 
 def arrest_rates(incidents: DataFrame, arrests: DataFrame, with_area: bool = False) -> DataFrame:

@@ -38,14 +38,13 @@ def test_columns_pruned_at_scan(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
 
 
-def test_not_null_filter_reaches_scan(spark):
-    from blotter.plans.correlation import corr_area
+def test_not_null_filter_reaches_scan(spark, tmp_path):
+    from blotter.plans import arrests as AR
     from blotter.sources import testtables as TT
-    from pyspark.sql import functions as F
-    df = corr_area(TT.incidents(spark, SMALL), TT.violence(spark, SMALL).filter(F.col("district") == "3"))
-    assert "PushedFilters: [IsNotNull(l_suppkey)" in _plan(df) or "PushedFilters" in _plan(df)
-
-
-def test_correlations_scan_each_input_once(spark):
-    plan = _final_plan(queries()["correlations"](spark, SMALL))
-    assert plan.count("events.parquet") == 1 and plan.count("lineitem.parquet") == 1, plan
+    TT.incidents(spark, SMALL).write.parquet(str(tmp_path / "inc"))
+    inc = spark.read.parquet(str(tmp_path / "inc"))
+    plan = _plan(AR.arrest_rate_district(inc))
+    assert "PushedFilters: [IsNotNull(district)]" in plan, plan
+    race = _plan(AR.arrest_rate_race(inc, TT.arrests(spark, SMALL)))
+    assert "PushedFilters: [IsNotNull(o_orderpriority)]" in race, race
+    assert race.count("FileScan parquet []") == 1, race
