@@ -126,6 +126,18 @@ def build_alert_stream(messages: DataFrame, window_seconds: int, threshold: int,
     return AL.alert_records(counts, threshold)
 
 
+def build_window_alert_stream(messages: DataFrame, window: str, slide: str, watermark: str,
+                              threshold: int) -> DataFrame:
+    """messages -> sliding-window alerts (the documented form: a count per window and district).
+
+    Run in ``update`` mode: a window's row is re-emitted while its count grows,
+    so the latest row per (window, district) is the final one; windows close
+    once the watermark passes their end.
+    """
+    accepted, _ = validated_stream(messages)
+    return AL.window_alert_records(sliding_window_stream(accepted, window, slide, watermark), threshold)
+
+
 def raw_event_sink(accepted: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Persist every accepted event as Parquet (the raw-event collection)."""
     w = (accepted.writeStream.format("parquet").option("path", path)

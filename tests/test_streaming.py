@@ -109,3 +109,23 @@ def test_processing_time_clock(spark, scratch):
     per_district = {r.district: r.n for r in accepted.groupBy("district").count().withColumnRenamed("count", "n").collect()}
     want = sum(max(0, n - 10) for n in per_district.values())
     assert out.count() == want
+
+
+def test_window_alert_stream_equals_batch(spark, scratch):
+    from blotter.operators.alerts import window_alert_records
+    from blotter.operators.windows import sliding_counts
+    msgs = TT.message_rows(spark, MEDIUM).filter(F.col("ts") < dt.datetime(2024, 1, 6))
+    accepted, _ = SP.validated_stream(msgs)
+    batch = window_alert_records(sliding_counts(accepted, "24 hours", "6 hours"), 10)
+    src = f"{scratch}/src"
+    SP.stage_messages(msgs, src, 3)
+    stream = SP.read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
+                              options={"maxFilesPerTrigger": "1"})
+    SP.run_available_now(SP.build_window_alert_stream(stream, "24 hours", "6 hours", "48 hours", 10),
+                         SP.batch_sink(f"{scratch}/out"), f"{scratch}/ckpt", output_mode="update")
+    got = (spark.read.parquet(f"{scratch}/out")
+           .groupBy("district", "window_start", "window_end", "threshold", "severity")
+           .agg(F.max("event_count").alias("event_count")))
+    final = got.groupBy("district", "window_start", "window_end").agg(F.max("event_count").alias("n"))
+    want = {(r.district, r.window_start, r.event_count) for r in batch.collect()}
+    assert {(r.district, r.window_start, r.n) for r in final.collect()} == want
