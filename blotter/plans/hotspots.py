@@ -3,8 +3,10 @@
 ``detect_hotspots`` fits ``pyspark.ml`` K-Means (k-means||, euclidean). Its
 result depends on the input partitioning, so the points are hash-partitioned
 by id and sorted within partitions first: same data and partition count give
-the same centroids. The features are persisted (memory and disk) while the
-iterations run and released afterwards.
+the same centroids. The input is left unpersisted so K-Means caches its own
+vector instances (memory and disk) for the iterations, which measured faster
+than caching the rows; the membership count then predicts on a plain scan of
+the points (no repartition needed for it).
 
 Counting members is one ``groupBy(prediction)`` joined to the k centroids
 (a left join, empty clusters count 0) instead of one filter job per cluster.
@@ -16,7 +18,6 @@ each point takes the minimum of (squared distance, cluster id) over it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,21 +28,19 @@ def valid_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -
     return df.filter(valid_coords(lat, lon))
 
 
+def features(points: DataFrame) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    return VectorAssembler(inputCols=["latitude", "longitude"], outputCol="features").transform(
+        valid_points(points))
+
+
 def fit_hotspots(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
                  partitions: int | None = None, id_col: str = "id"):
-    """Fit K-Means on (latitude, longitude); returns (model, features frame)."""
+    """Fit K-Means on the valid (latitude, longitude) points; returns the model."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    pts = valid_points(points)
-    n = partitions or pts.sparkSession.sparkContext.defaultParallelism
-    pts = pts.repartition(n, id_col).sortWithinPartitions(id_col)
-    data = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="features").transform(pts)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
-    finally:
-        data.unpersist()
-    return model, data
+    n = partitions or points.sparkSession.sparkContext.defaultParallelism
+    pts = valid_points(points).repartition(n, id_col).sortWithinPartitions(id_col)
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features(pts))
 
 
 def centroid_counts(centroids: DataFrame, assigned: DataFrame, cluster: str = "cluster_id") -> DataFrame:
@@ -55,11 +54,11 @@ def centroid_counts(centroids: DataFrame, assigned: DataFrame, cluster: str = "c
 def detect_hotspots(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
                     partitions: int | None = None):
     """(hotspots frame: cluster_id, latitude, longitude, crime_count; fitted model)."""
-    model, data = fit_hotspots(points, k, seed, max_iter, partitions)
+    model = fit_hotspots(points, k, seed, max_iter, partitions)
     spark = points.sparkSession
     centers = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
     centroids = spark.createDataFrame(centers, "cluster_id int, latitude double, longitude double")
-    assigned = model.transform(data).select(F.col("prediction").alias("cluster_id"))
+    assigned = model.transform(features(points)).select(F.col("prediction").alias("cluster_id"))
     return centroid_counts(centroids, assigned), model
 
 
