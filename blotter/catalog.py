@@ -198,6 +198,12 @@ def q_trailing_count(spark, d):
     return trailing_counts(spark, d)
 
 
+@register("trailing_count_ranked")
+def q_trailing_count_ranked(spark, d):
+    ev = accepted_events(spark, d).select("id", "ts", "district")
+    return WO.trailing_count(ev, WINDOW_SECONDS, key="district", ts="ts", order="id", method="ranked")
+
+
 @register("alerts")
 def q_alerts(spark, d):
     return alerts_mart(spark, d)

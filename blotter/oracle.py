@@ -204,6 +204,7 @@ SELECT id, json_object('CASE NUMBER', case_number, 'DATE', strftime(ts, '%m/%d/%
                        'COMMUNITY AREA', community_area, 'BEAT', '')::VARCHAR AS value
 FROM incidents WHERE district IS NOT NULL AND district <> '' AND case_number <> ''"""
 ORACLE["trailing_count"] = _STREAM + "SELECT * FROM trail"
+ORACLE["trailing_count_ranked"] = ORACLE["trailing_count"]
 ORACLE["alerts"] = _STREAM + "SELECT * FROM alerts"
 ORACLE["alerts_crossing"] = _STREAM + f"""
 SELECT district, ts AS timestamp, CAST(event_count AS INTEGER) AS event_count,

@@ -3,10 +3,10 @@
 ``detect_hotspots`` fits ``pyspark.ml`` K-Means (k-means||, euclidean). Its
 result depends on the input partitioning, so the points are hash-partitioned
 by id and sorted within partitions first: same data and partition count give
-the same centroids. The input is left unpersisted so K-Means caches its own
-vector instances (memory and disk) for the iterations, which measured faster
-than caching the rows; the membership count then predicts on a plain scan of
-the points (no repartition needed for it).
+the same centroids. The input is left unpersisted and K-Means manages its own
+caching for the iterations (measured no slower than persisting the rows
+ourselves); the membership count then predicts on a plain scan of the
+points, which needs no repartition.
 
 Counting members is one ``groupBy(prediction)`` joined to the k centroids
 (a left join, empty clusters count 0) instead of one filter job per cluster.

@@ -91,3 +91,32 @@ def test_previous_within_equals_brute_force(spark, factor):
         else:
             want[i] = None
     assert got == want
+
+
+@pytest.mark.parametrize("bucket", [None, 60, 500, 7200])
+def test_ranked_trailing_count_equals_brute_force(spark, bucket):
+    from blotter.operators.windows import trailing_count_ranked
+    rnd = random.Random(bucket or 3)
+    rows = []
+    for i in range(400):
+        t = T0 + dt.timedelta(seconds=rnd.randrange(0, 6 * 3600) // 30 * 30)
+        rows.append((i, rnd.choice(["a", "b", None]), t))
+    df = _events(spark, rows)
+    got = {r.id: r.event_count for r in trailing_count_ranked(df, 1800, bucket_seconds=bucket).collect()}
+    assert got == brute(rows, 1800)
+
+
+def test_ranked_handles_one_dense_key(spark):
+    from blotter.operators.windows import trailing_count_ranked
+    rows = [(i, "hot", T0 + dt.timedelta(seconds=i % 50)) for i in range(300)]   # all inside one window
+    got = {r.id: r.event_count for r in trailing_count_ranked(_events(spark, rows), 3600, bucket_seconds=5).collect()}
+    assert got == brute(rows, 3600)
+
+
+def test_auto_method_switches_on_density(spark):
+    rows = [(i, "hot", T0 + dt.timedelta(seconds=i % 50)) for i in range(120)]
+    df = _events(spark, rows)
+    want = brute(rows, 3600)
+    for kw in ({"method": "auto", "max_bucket_rows": 10}, {"method": "auto"}, {"method": "ranked"}):
+        got = {r.id: r.event_count for r in trailing_count(df, 3600, **kw).collect()}
+        assert got == want
