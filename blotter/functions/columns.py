@@ -17,12 +17,15 @@ def _c(c) -> Column:
 
 
 def parse_ts(c, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    """12-hour text -> TIMESTAMP_NTZ; bad, empty or one-digit parts -> NULL.
+    """12-hour text -> TIMESTAMP_NTZ (the wall clock as written); bad, empty or one-digit parts -> NULL.
 
-    ``try_to_timestamp`` never raises under ANSI mode. The session-zone value is
-    cast to NTZ so the wall clock survives whatever zone the session uses.
+    ``to_timestamp_ntz`` keeps the wall clock in every session zone (a
+    zone-aware parse would move times inside a daylight-saving gap), but it
+    raises on bad text under ANSI mode; ``try_to_timestamp`` never raises, so
+    it guards the branch and only parseable text reaches the NTZ parse.
     """
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    col, pattern = _c(c), F.lit(fmt)
+    return F.when(F.try_to_timestamp(col, pattern).isNotNull(), F.to_timestamp_ntz(col, pattern))
 
 
 def normalize_flag(c) -> Column:

@@ -67,3 +67,15 @@ def test_trend_of_loaded_rows_skips_missing_dates(spark):
     t = incident_trends(LD.load_incidents(spark, CSV))
     years = t.filter(F.col("group_type") == "year").collect()
     assert [(r.group_value, r.crime_count) for r in years] == [("2020", 2)]
+
+
+def test_parse_ts_keeps_wall_clock_in_a_dst_gap(spark):
+    df = spark.createDataFrame([("03/10/2024 02:30:00 AM",), ("13/40/2024 01:00:00 PM",), ("1/2/2020 1:05:00 PM",)],
+                               "s string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        got = [r.t for r in df.select(parse_ts("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [dt.datetime(2024, 3, 10, 2, 30), None, None]
