@@ -126,14 +126,48 @@ def trailing_count_ranked(df: DataFrame, window_seconds: int, key: str = "distri
     return paired.withColumn(out, F.col("__g") - F.col("__before")).select(*df.columns, out)
 
 
+def global_position(df: DataFrame, key: str, ts: str, order: str, bucket_seconds: int) -> DataFrame:
+    """Append ``__pos``: 1-based position of each row in its key's (ts, order) sequence.
+
+    A running count per (key, time bucket) plus the key's exclusive prefix of
+    bucket sizes; no task ever holds more than one bucket of one key.
+    """
+    b_us = max(int(bucket_seconds) * 1_000_000, 1)
+    rows = df.withColumn("__t", micros(df, ts)).withColumn(
+        "__b", F.expr(f"(__t - pmod(__t, {b_us})) div {b_us}"))
+    local = rows.withColumn("__lp", F.row_number().over(
+        Window.partitionBy(key, "__b").orderBy("__t", order)))
+    prior = (rows.groupBy(F.col(key).alias("__pk"), F.col("__b").alias("__pb"))
+             .agg(F.count(F.lit(1)).alias("__n"))
+             .withColumn("__prior", F.coalesce(F.sum("__n").over(
+                 Window.partitionBy("__pk").orderBy("__pb").rowsBetween(Window.unboundedPreceding, -1)),
+                 F.lit(0))))
+    return (local.join(prior, F.col(key).eqNullSafe(F.col("__pk")) & (F.col("__b") == F.col("__pb")))
+            .withColumn("__pos", F.col("__prior") + F.col("__lp"))
+            .drop("__pk", "__pb", "__n", "__prior", "__lp", "__b"))
+
+
 def previous_within(df: DataFrame, window_seconds: int, value: str, out: str, key: str = "district",
-                    ts: str = "ts", order: str = "id", bucket_factor: int = 4) -> DataFrame:
+                    ts: str = "ts", order: str = "id", bucket_factor: int = 4,
+                    method: str = "bucket") -> DataFrame:
     """Append ``out`` = ``value`` of the key's previous row (by ts, then order) if at most W older.
 
-    Same bucketed partitioning as ``trailing_count``: a previous row at most
-    ``W`` older is always in the bucket or among its context copies, so no
-    key is ever gathered into one task. Older predecessors give NULL.
+    ``method="bucket"``: same bucketed partitioning as ``trailing_count``; a
+    previous row at most ``W`` older is always in the bucket or among its
+    context copies. ``method="ranked"``: the predecessor is the row at
+    position - 1 of the same key (``global_position``), found by one
+    equi-join, so even a key dense within one window is never in one task.
+    Older predecessors give NULL either way.
     """
+    if method == "ranked":
+        w_us = int(window_seconds) * 1_000_000
+        ranked = global_position(df, key, ts, order, max(int(window_seconds) // 4, 1))
+        prev = ranked.select(F.col(key).alias("__qk"), (F.col("__pos") + 1).alias("__qpos"),
+                             F.col("__t").alias("__qt"), F.col(value).alias("__qv"))
+        j = ranked.join(prev, F.col(key).eqNullSafe(F.col("__qk")) & (F.col("__pos") == F.col("__qpos")),
+                        "left")
+        return j.withColumn(out, F.when(F.col("__t") - F.col("__qt") <= F.lit(w_us), F.col("__qv"))) \
+            .select(*df.columns, out)
     tagged, w_us = _bucketed(df, window_seconds, ts, bucket_factor)
     w = Window.partitionBy(key, "__p").orderBy("__t", order)
     prev_t, prev_v = F.lag("__t").over(w), F.lag(value).over(w)

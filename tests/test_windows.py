@@ -74,14 +74,15 @@ def test_alert_crossing_mode(spark):
     assert crossing.first().event_count == 11
 
 
-@pytest.mark.parametrize("factor", [1, 3])
+@pytest.mark.parametrize("factor", [1, 3, "ranked"])
 def test_previous_within_equals_brute_force(spark, factor):
     from blotter.operators.windows import previous_within
-    rnd = random.Random(7 + factor)
+    rnd = random.Random(7 + (factor if isinstance(factor, int) else 11))
     rows = [(i, rnd.choice(["a", "b"]), T0 + dt.timedelta(seconds=rnd.randrange(0, 4 * 3600)))
             for i in range(300)]
     df = _events(spark, rows).withColumn("v", F.col("id") * 10)
-    got = {r.id: r.prev for r in previous_within(df, 900, "v", "prev", bucket_factor=factor).collect()}
+    kw = {"method": "ranked"} if factor == "ranked" else {"bucket_factor": factor}
+    got = {r.id: r.prev for r in previous_within(df, 900, "v", "prev", **kw).collect()}
     want = {}
     for i, d, t in rows:
         earlier = [(t2, j) for j, d2, t2 in rows if d2 == d and (t2, j) < (t, i)]
