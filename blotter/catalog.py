@@ -421,6 +421,13 @@ def q_stream_alerts(spark, d):
                          work=_scratch(spark, "stream"))
 
 
+@register("stream_alerts_table")
+def q_stream_alerts_table(spark, d):
+    from blotter.streaming.pipeline import stream_alerts_table_state
+    return stream_alerts_table_state(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD,
+                                     work=_scratch(spark, "stream-table"))
+
+
 @register("stream_sliding_counts")
 def q_stream_sliding_counts(spark, d):
     from blotter.streaming.pipeline import stream_window_counts

@@ -366,6 +366,7 @@ ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
 
 # The streaming runs must reproduce their batch forms exactly.
 ORACLE["stream_alerts"] = ORACLE["alerts"]
+ORACLE["stream_alerts_table"] = ORACLE["alerts"]
 ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
 
 STATIONS = """stations AS (

@@ -243,6 +243,21 @@ def stream_alerts(spark: SparkSession, messages: DataFrame, window_seconds: int,
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_alerts_table_state(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
+                              chunks: int = 4, work: str | None = None, method: str = "auto") -> DataFrame:
+    """Run the alert stream with table state (``table_state_alert_sink``); read the sink."""
+    work = work or scratch_path(spark, "stream-table")
+    src, out = f"{work}/source", f"{work}/alerts"
+    stage_messages(messages, src, chunks)
+    stream = read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
+                           options={"maxFilesPerTrigger": "1"})
+    accepted, _ = validated_stream(stream)
+    run_available_now(accepted.select("id", "ts", "district"),
+                      table_state_alert_sink(f"{work}/history", out, window_seconds, threshold, method=method),
+                      f"{work}/checkpoint")
+    return spark.read.parquet(out).drop("batch_id")
+
+
 def stream_window_counts(spark: SparkSession, messages: DataFrame, window: str, slide: str,
                          watermark: str, chunks: int = 4, work: str | None = None) -> DataFrame:
     """Sliding-window counts from the stream (update mode; final value = max per window)."""
