@@ -58,3 +58,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for staged tables and stream state."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/blotter/{name}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its file system (any Hadoop-compatible store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -176,16 +176,16 @@ def table_state_alert_sink(history_dir: str, out_dir: str, window_seconds: int,
     the batch id: a replayed batch re-reads the same version and overwrites
     its own outputs. Input: accepted events with ``id, ts, district``.
     """
-    from pyspark.sql.utils import AnalysisException
-
     from blotter.operators.windows import trailing_count
+    from blotter.session import path_exists
     w_us = int(window_seconds) * 1_000_000
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            hist = spark.read.schema(HISTORY_SCHEMA).parquet(f"{history_dir.rstrip('/')}/v={batch_id - 1}")
-        except AnalysisException:
+        previous = f"{history_dir.rstrip('/')}/v={batch_id - 1}"
+        if batch_id > 0 and path_exists(spark, previous):
+            hist = spark.read.schema(HISTORY_SCHEMA).parquet(previous)
+        else:
             hist = spark.createDataFrame([], HISTORY_SCHEMA)
         new = batch.select("id", "ts", "district").withColumn("__new", F.lit(True))
         both = hist.withColumn("__new", F.lit(False)).unionByName(new)
