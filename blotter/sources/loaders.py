@@ -84,35 +84,46 @@ def rejected_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 # --- per-input preparation (typed, snake_case frame in, prepared frame out) --
-def prepare_incidents(df: DataFrame) -> DataFrame:
-    """Parse the date, normalise the arrest flag, drop rows without a case number."""
-    return (df.withColumn("ts", parse_ts("date"))
-            .withColumn("arrest", normalize_flag("arrest"))
-            .filter(F.col("case_number").isNotNull()))
-
+# Each input has derived columns (DERIVE) and a row condition (KEEP); PREPARE
+# applies both. Staging evaluates the condition instead of filtering, so
+# dropped rows are kept aside in the same single pass.
+def derive_incidents(df: DataFrame) -> DataFrame:
+    """Parse the date, normalise the arrest flag."""
+    return df.withColumn("ts", parse_ts("date")).withColumn("arrest", normalize_flag("arrest"))
 
-def prepare_stations(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("district").isNotNull())
 
+def derive_arrests(df: DataFrame) -> DataFrame:
+    return df.withColumn("ts", parse_ts("arrest_date"))
 
-def prepare_arrests(df: DataFrame) -> DataFrame:
-    return (df.withColumn("ts", parse_ts("arrest_date"))
-            .filter(F.col("case_number").isNotNull()))
 
-
-def prepare_violence(df: DataFrame) -> DataFrame:
+def derive_violence(df: DataFrame) -> DataFrame:
     """Parse the date, normalise the gunshot flag, homicide = victim first name present."""
     return (df.withColumn("ts", parse_ts("date"))
             .withColumn("gunshot_injury_i", normalize_flag("gunshot_injury_i"))
             .withColumn("is_homicide", presence_flag("homicide_victim_first_name")))
 
 
-def prepare_registry(df: DataFrame) -> DataFrame:
+def derive_registry(df: DataFrame) -> DataFrame:
     return df.withColumn("victim_minor", normalize_flag("victim_minor"))
 
 
-PREPARE = {"incidents": prepare_incidents, "stations": prepare_stations, "arrests": prepare_arrests,
-           "violence": prepare_violence, "registry": prepare_registry}
+DERIVE = {"incidents": derive_incidents, "stations": lambda df: df, "arrests": derive_arrests,
+          "violence": derive_violence, "registry": derive_registry}
+KEEP = {"incidents": lambda: F.col("case_number").isNotNull(),       # rows without a case number dropped
+        "stations": lambda: F.col("district").isNotNull(),           # stations without a district dropped
+        "arrests": lambda: F.col("case_number").isNotNull(),
+        "violence": lambda: F.lit(True),
+        "registry": lambda: F.lit(True)}
+
+
+def _prepare(kind: str):
+    return lambda df: DERIVE[kind](df).filter(KEEP[kind]())
+
+
+PREPARE = {kind: _prepare(kind) for kind in DERIVE}
+prepare_incidents, prepare_stations = PREPARE["incidents"], PREPARE["stations"]
+prepare_arrests, prepare_violence = PREPARE["arrests"], PREPARE["violence"]
+prepare_registry = PREPARE["registry"]
 
 
 def load(spark: SparkSession, path: str, kind: str, mode: str = "permissive") -> DataFrame:
@@ -141,20 +152,21 @@ def load_registry(spark, path, mode="permissive"):
 
 
 def stage(spark: SparkSession, path: str, kind: str, out_dir: str) -> dict:
-    """CSV -> Parquet once: ``{out_dir}/{kind}`` (prepared rows) and ``{kind}_rejected``.
+    """CSV -> Parquet in one pass: ``{out_dir}/{kind}/_status=good|dropped|rejected``.
 
-    The CSV is parsed once; the typed result is written to a Parquet staging
-    table and both outputs are read from it, so the text is never re-parsed.
+    The text is parsed once and written once, partitioned by row status:
+    ``good`` (prepared rows), ``dropped`` (well-formed but failing the input's
+    row condition) and ``rejected`` (malformed, with the raw line when the
+    parser failed). Readers of a status folder get only those rows.
     """
-    typed = apply_types(read_raw(spark, path, kind), kind)
-    tmp = f"{out_dir.rstrip('/')}/_{kind}_typed"
-    typed.write.mode("overwrite").parquet(tmp)
-    staged = spark.read.parquet(tmp)
-    PREPARE[kind](staged.filter(~F.col("_rejected")).drop("_rejected")).write.mode("overwrite").parquet(
-        f"{out_dir.rstrip('/')}/{kind}")
-    staged.filter("_rejected").drop("_rejected").write.mode("overwrite").parquet(
-        f"{out_dir.rstrip('/')}/{kind}_rejected")
-    return {"good": f"{out_dir.rstrip('/')}/{kind}", "rejected": f"{out_dir.rstrip('/')}/{kind}_rejected"}
+    base = f"{out_dir.rstrip('/')}/{kind}"
+    derived = DERIVE[kind](apply_types(read_raw(spark, path, kind), kind))
+    keep = KEEP[kind]()
+    status = (F.when(F.col("_rejected"), F.lit("rejected"))
+              .when(keep.isNull() | ~keep, F.lit("dropped")).otherwise(F.lit("good")))
+    derived.withColumn("_status", status).drop("_rejected").write.mode("overwrite") \
+        .partitionBy("_status").parquet(base)
+    return {s: f"{base}/_status={s}" for s in ("good", "dropped", "rejected")}
 
 
 def raw_frame(df: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:

@@ -22,7 +22,7 @@ def test_run_batch_writes_every_mart(spark, scratch):
     for name, n in second.items():
         assert MT.read_mart(spark, name, out).count() == n == first[name]
     years = MT.read_mart(spark, "crime_trends", out).filter("group_type = 'year'").collect()
-    staged = spark.read.parquet(f"{out}/_staged/incidents")
+    staged = spark.read.parquet(f"{out}/_staged/incidents/_status=good")
     assert sum(r.crime_count for r in years) == staged.filter("ts IS NOT NULL").count()
 
 

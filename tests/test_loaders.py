@@ -54,6 +54,7 @@ def test_parse_ts_never_raises_under_ansi(spark):
 def test_stage_writes_good_and_rejected(spark, scratch):
     out = LD.stage(spark, CSV, "incidents", scratch)
     assert spark.read.parquet(out["good"]).count() == 4
+    assert spark.read.parquet(out["dropped"]).count() == 2       # empty and "" case numbers
     assert spark.read.parquet(out["rejected"]).count() == 2
 
 
