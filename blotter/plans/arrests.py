@@ -38,13 +38,16 @@ def arrest_rate_area(incidents: DataFrame) -> DataFrame:
     return arrest_rate_by(incidents, "community_area", "community_area", keep_null=False)
 
 
-def arrest_rate_race(incidents: DataFrame, arrests: DataFrame) -> DataFrame:
+def arrest_rate_race(incidents: DataFrame | None, arrests: DataFrame, total=None) -> DataFrame:
     """Arrests per race over the count of *all* incidents (rounded to 6 places).
 
     The grand total is a scalar subquery: Spark runs it once as its own small
     job and inlines the value, so there is no join and no driver round trip.
+    ``total`` may pass an already computed total (a scalar Column); then
+    ``incidents`` is not read and may be None.
     """
-    total = incidents.agg(F.count(F.lit(1))).scalar()
+    if total is None:
+        total = incidents.agg(F.count(F.lit(1))).scalar()
     by_race = arrests.filter(F.col("race").isNotNull()).groupBy("race").agg(
         F.count(F.lit(1)).alias("total_arrests"))
     return by_race.select(

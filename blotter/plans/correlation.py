@@ -74,9 +74,14 @@ def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = Fa
                           "arrest_count": F.count_if(F.col("arrest") == "TRUE")})
     right = grouped_stats(violence.select("district", "community_area"), dims,
                           {"violence_count": F.count(F.lit(1))})
-    j = left.join(right, ["group_type", "group_value"], "inner")
+    return correlation_rows(left.join(right, ["group_type", "group_value"], "inner"))
+
+
+def correlation_rows(joined: DataFrame) -> DataFrame:
+    """Stored shape from joined per-key counts: group_type (district / community_area),
+    group_value, crime_count, arrest_count (district rows) and violence_count."""
     by_district = F.col("group_type") == "district"
-    return j.select(
+    return joined.select(
         F.when(by_district, F.lit(DISTRICT_TYPE)).otherwise(F.lit(AREA_TYPE)).alias("correlation_type"),
         F.col("group_value").alias("group_key"),
         F.when(by_district, F.lit(ARREST_RATE)).otherwise(F.lit(CRIME_COUNT)).alias("metric_1_name"),

@@ -47,3 +47,34 @@ def test_cli_batch_and_stream(spark, scratch):
                     "--window-seconds", str(24 * 3600), "--threshold", "2", "--available-now"],
                    capture_output=True, text=True, env=env, timeout=600, check=True)
     assert spark.read.parquet(f"{scratch}/alerts").count() > 0
+
+
+def test_marts_from_summaries_equal_standalone_plans(spark):
+    from tests.helpers import spark_bag
+    from blotter.plans import arrests as AR
+    from blotter.plans import correlation as CO
+    from blotter.plans import trends as TR
+    from blotter.plans import violence as VI
+    from blotter.plans.batch import incident_summary, marts_from_summaries, violence_summary
+    inc, vio, arr = TT.incidents(spark, SMALL), TT.violence(spark, SMALL), TT.arrests(spark, SMALL)
+    marts = marts_from_summaries(incident_summary(inc), violence_summary(vio), arr)
+    assert spark_bag(marts["crime_trends"]) == spark_bag(TR.incident_trends(inc))
+    assert spark_bag(marts["arrest_rates"]) == spark_bag(AR.arrest_rates(inc, arr))
+    assert spark_bag(marts["correlations"]) == spark_bag(CO.correlations(inc, vio))
+    assert spark_bag(marts["violence_stats"]) == spark_bag(VI.violence_stats(vio))
+
+
+def test_marts_read_the_cached_summaries_not_the_inputs(spark, tmp_path):
+    from blotter.plans.batch import incident_summary, marts_from_summaries, violence_summary
+    TT.incidents(spark, SMALL).write.parquet(str(tmp_path / "inc"))
+    inc = spark.read.parquet(str(tmp_path / "inc"))
+    s_inc = incident_summary(inc).persist()
+    s_vio = violence_summary(TT.violence(spark, SMALL)).persist()
+    try:
+        s_inc.count(), s_vio.count()
+        for name, df in marts_from_summaries(s_inc, s_vio, TT.arrests(spark, SMALL)).items():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan, name     # served from the cached summary
+    finally:
+        s_inc.unpersist()
+        s_vio.unpersist()
