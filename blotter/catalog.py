@@ -50,6 +50,12 @@ for _part, _key in [("year", "trend_year"), ("month", "trend_month"),
     register(_key)(lambda spark, d, _p=_part: TR.trend(TT.incidents(spark, d), _p))
 
 
+@register("incident_summary")
+def q_incident_summary(spark, d):
+    from blotter.plans.batch import incident_summary
+    return incident_summary(TT.incidents(spark, d))
+
+
 # --- arrest rates ----------------------------------------------------------
 @register("arrest_rate_type")
 def q_arrest_rate_type(spark, d):

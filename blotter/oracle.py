@@ -55,6 +55,18 @@ for _p, _k in [("year", "trend_year"), ("month", "trend_month"), ("day_of_week",
     ORACLE[_k] = _with(INCIDENTS) + _trend_sql(_p)
 
 
+def _summary_sql(label: str, key: str, keep_null: bool = False) -> str:
+    where = "" if keep_null else f"WHERE {key} IS NOT NULL "
+    return (f"SELECT '{label}' AS group_type, CAST({key} AS VARCHAR) AS group_value, count(*) AS crime_count, "
+            f"count(*) FILTER (WHERE arrest = 'TRUE') AS arrest_count FROM incidents {where}GROUP BY {key}")
+
+
+ORACLE["incident_summary"] = _with(INCIDENTS) + "\nUNION ALL\n".join(
+    [_summary_sql(p, e) for p, e in _PARTS.items()]
+    + [_summary_sql("crime_type", "primary_type", True), _summary_sql("district", "district"),
+       _summary_sql("community_area", "community_area")])
+
+
 # --- arrest rates ----------------------------------------------------------
 def _arrest_sql(label: str, key: str, keep_null: bool) -> str:
     where = "" if keep_null else f"WHERE {key} IS NOT NULL "
