@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blotter.schemas import SEVERITY_HIGH, SEVERITY_MEDIUM
+
 
 def severity(count: Column | str, threshold: int) -> Column:
     c = F.col(count) if isinstance(count, str) else count
-    return F.when(c > F.lit(2 * threshold), F.lit("HIGH")).otherwise(F.lit("MEDIUM"))
+    return F.when(c > F.lit(2 * threshold), F.lit(SEVERITY_HIGH)).otherwise(F.lit(SEVERITY_MEDIUM))
 
 
 def over_threshold(df: DataFrame, threshold: int, count: str = "event_count") -> DataFrame:

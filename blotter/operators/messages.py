@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.schemas import MESSAGE_FIELDS, REQUIRED_MESSAGE_FIELDS, message_schema, snake
+from blotter.schemas import MESSAGE_FIELDS, REQUIRED_MESSAGE_FIELDS, UNKNOWN_DISTRICT, message_schema, snake
 
 
 def to_message(fields: Mapping[str, Column]) -> Column:
@@ -64,4 +64,4 @@ def rejected(validated: DataFrame, keep=("id",), value: str = "value") -> DataFr
 def route_key(c: Column | str = "district") -> Column:
     """District routing key with the 'UNKNOWN' default."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(col, F.lit("UNKNOWN"))
+    return F.coalesce(col, F.lit(UNKNOWN_DISTRICT))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions import rate
 from blotter.operators.grouped import grouped_stats
-
-ARREST_FLAG = "TRUE"
+from blotter.schemas import ARREST_FLAG, GT_COMMUNITY_AREA, GT_CRIME_TYPE, GT_DISTRICT, GT_RACE
 
 
 def _arrest_aggs() -> dict:
@@ -27,15 +26,15 @@ def arrest_rate_by(incidents: DataFrame, label: str, key: str, keep_null: bool)
 
 
 def arrest_rate_type(incidents: DataFrame) -> DataFrame:
-    return arrest_rate_by(incidents, "crime_type", "primary_type", keep_null=True)
+    return arrest_rate_by(incidents, GT_CRIME_TYPE, "primary_type", keep_null=True)
 
 
 def arrest_rate_district(incidents: DataFrame) -> DataFrame:
-    return arrest_rate_by(incidents, "district", "district", keep_null=False)
+    return arrest_rate_by(incidents, GT_DISTRICT, "district", keep_null=False)
 
 
 def arrest_rate_area(incidents: DataFrame) -> DataFrame:
-    return arrest_rate_by(incidents, "community_area", "community_area", keep_null=False)
+    return arrest_rate_by(incidents, GT_COMMUNITY_AREA, "community_area", keep_null=False)
 
 
 def arrest_rate_race(incidents: DataFrame | None, arrests: DataFrame, total=None) -> DataFrame:
@@ -51,16 +50,16 @@ def arrest_rate_race(incidents: DataFrame | None, arrests: DataFrame, total=None
     by_race = arrests.filter(F.col("race").isNotNull()).groupBy("race").agg(
         F.count(F.lit(1)).alias("total_arrests"))
     return by_race.select(
-        F.lit("race").alias("group_type"), F.col("race").alias("group_value"),
+        F.lit(GT_RACE).alias("group_type"), F.col("race").alias("group_value"),
         total.alias("total_crimes"), "total_arrests",
     ).withColumn("arrest_rate", rate("total_arrests", "total_crimes", 6))
 
 
 def arrest_rates(incidents: DataFrame, arrests: DataFrame, with_area: bool = False) -> DataFrame:
     """The arrest_rates mart: type (NULL kept) + district (+ area) in one pass, plus race."""
-    dims = {"crime_type": "primary_type", "district": "district"}
+    dims = {GT_CRIME_TYPE: "primary_type", GT_DISTRICT: "district"}
     if with_area:
-        dims["community_area"] = "community_area"
+        dims[GT_COMMUNITY_AREA] = "community_area"
     grouped = _with_rate(grouped_stats(incidents.select(*set(dims.values()), "arrest"), dims,
-                                       _arrest_aggs(), keep_null=["crime_type"]))
+                                       _arrest_aggs(), keep_null=[GT_CRIME_TYPE]))
     return grouped.unionByName(arrest_rate_race(incidents, arrests))

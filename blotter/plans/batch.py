@@ -26,18 +26,19 @@ from blotter.plans import registry as RG
 from blotter.plans import trends as TR
 from blotter.plans import violence as VI
 from blotter.sources import loaders as LD
+from blotter.schemas import GT_COMMUNITY_AREA, GT_CRIME_TYPE, GT_DISTRICT
 from blotter.sources import marts as MT
 
 
 def incident_summary(incidents: DataFrame) -> DataFrame:
     """(group_type, group_value, crime_count, arrest_count) for every incident dimension, one scan."""
     parts = calendar_parts("ts")
-    dims = {**{d: parts[d] for d in TR.TREND_DIMS}, "crime_type": "primary_type", "district": "district",
-            "community_area": "community_area"}
+    dims = {**{d: parts[d] for d in TR.TREND_DIMS}, GT_CRIME_TYPE: "primary_type", GT_DISTRICT: "district",
+            GT_COMMUNITY_AREA: "community_area"}
     return grouped_stats(incidents.select("ts", "primary_type", "district", "community_area", "arrest"), dims,
                          {"crime_count": F.count(F.lit(1)),
                           "arrest_count": F.count_if(F.col("arrest") == AR.ARREST_FLAG)},
-                         keep_null=["crime_type"])
+                         keep_null=[GT_CRIME_TYPE])
 
 
 def violence_summary(violence: DataFrame) -> DataFrame:
@@ -53,19 +54,19 @@ def marts_from_summaries(inc_sum: DataFrame | None, vio_sum: DataFrame | None,
         out["crime_trends"] = (inc_sum.filter(F.col("group_type").isin(*TR.TREND_DIMS))
                                .select("group_type", "group_value", "crime_count"))
         if arrests is not None:
-            rates = (inc_sum.filter(F.col("group_type").isin("crime_type", "district"))
+            rates = (inc_sum.filter(F.col("group_type").isin(GT_CRIME_TYPE, GT_DISTRICT))
                      .select("group_type", "group_value", F.col("crime_count").alias("total_crimes"),
                              F.col("arrest_count").alias("total_arrests"),
                              rate("arrest_count", "crime_count", 4).alias("arrest_rate")))
             # every incident is in exactly one crime_type group (NULL type kept)
-            total = (inc_sum.filter(F.col("group_type") == "crime_type")
+            total = (inc_sum.filter(F.col("group_type") == GT_CRIME_TYPE)
                      .agg(F.coalesce(F.sum("crime_count"), F.lit(0)).cast("bigint")).scalar())
             out["arrest_rates"] = rates.unionByName(AR.arrest_rate_race(None, arrests, total))
     if vio_sum is not None:
         out["violence_stats"] = vio_sum
     if inc_sum is not None and vio_sum is not None:
-        left = inc_sum.filter(F.col("group_type").isin("district", "community_area"))
-        right = (vio_sum.filter(F.col("group_type").isin("district", "community_area"))
+        left = inc_sum.filter(F.col("group_type").isin(GT_DISTRICT, GT_COMMUNITY_AREA))
+        right = (vio_sum.filter(F.col("group_type").isin(GT_DISTRICT, GT_COMMUNITY_AREA))
                  .select("group_type", "group_value", F.col("total_incidents").alias("violence_count")))
         out["correlations"] = CO.correlation_rows(left.join(right, ["group_type", "group_value"]))
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import normalize_key, rate
+from blotter.schemas import ARREST_FLAG, GT_DISTRICT
 
 CORR_COLUMNS = ["correlation_type", "group_key", "metric_1_name", "metric_1_value",
                 "metric_2_name", "metric_2_value", "correlation_value"]
@@ -32,7 +33,7 @@ def corr_district(incidents: DataFrame, violence: DataFrame, normalize: bool = F
     left = (incidents.filter(F.col("district").isNotNull())
             .groupBy(_key("district", normalize).alias("group_key"))
             .agg(F.count(F.lit(1)).alias("crime_count"),
-                 F.count_if(F.col("arrest") == "TRUE").alias("arrest_count"))
+                 F.count_if(F.col("arrest") == ARREST_FLAG).alias("arrest_count"))
             .withColumn("arrest_rate", rate("arrest_count", "crime_count", 4)))
     right = (violence.filter(F.col("district").isNotNull())
              .groupBy(_key("district", normalize).alias("group_key"))
@@ -71,7 +72,7 @@ def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = Fa
     dims = {"district": _key("district", normalize), "community_area": _key("community_area", normalize)}
     left = grouped_stats(incidents.select("district", "community_area", "arrest"), dims,
                          {"crime_count": F.count(F.lit(1)),
-                          "arrest_count": F.count_if(F.col("arrest") == "TRUE")})
+                          "arrest_count": F.count_if(F.col("arrest") == ARREST_FLAG)})
     right = grouped_stats(violence.select("district", "community_area"), dims,
                           {"violence_count": F.count(F.lit(1))})
     return correlation_rows(left.join(right, ["group_type", "group_value"], "inner"))
@@ -80,7 +81,7 @@ def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = Fa
 def correlation_rows(joined: DataFrame) -> DataFrame:
     """Stored shape from joined per-key counts: group_type (district / community_area),
     group_value, crime_count, arrest_count (district rows) and violence_count."""
-    by_district = F.col("group_type") == "district"
+    by_district = F.col("group_type") == GT_DISTRICT
     return joined.select(
         F.when(by_district, F.lit(DISTRICT_TYPE)).otherwise(F.lit(AREA_TYPE)).alias("correlation_type"),
         F.col("group_value").alias("group_key"),

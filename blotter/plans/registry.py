@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MINOR_FLAG = "Y"
+from blotter.schemas import ALL_LABEL, YES_FLAG
+
+MINOR_FLAG = YES_FLAG
 
 
 def _aggs():
@@ -16,7 +18,7 @@ def _aggs():
 def registry_summary(registry: DataFrame) -> DataFrame:
     """One row labelled 'all'; proportion guarded to 0.0 for an empty table."""
     return registry.agg(*_aggs()).select(
-        F.lit("all").alias("district"), "offender_count", "minor_victim_count",
+        F.lit(ALL_LABEL).alias("district"), "offender_count", "minor_victim_count",
         F.round(F.col("minor_victim_count") / F.greatest(F.col("offender_count"), F.lit(1)), 4)
          .alias("minor_victim_proportion"))
 
@@ -39,7 +41,7 @@ def registry_stats(registry: DataFrame) -> DataFrame:
     total = by_gender.agg(
         F.coalesce(F.sum("offender_count"), F.lit(0)).cast("bigint").alias("offender_count"),
         F.coalesce(F.sum("minor_victim_count"), F.lit(0)).cast("bigint").alias("minor_victim_count"),
-    ).select(F.lit("all").alias("district"), "offender_count", "minor_victim_count")
+    ).select(F.lit(ALL_LABEL).alias("district"), "offender_count", "minor_victim_count")
     rows = total.unionByName(by_gender.withColumnRenamed("gender", "district"))
     return rows.withColumn(
         "minor_victim_proportion",

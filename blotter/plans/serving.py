@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import day_name, month_name
+from blotter.schemas import GT_DAY_OF_WEEK, GT_DISTRICT, GT_MONTH, GT_YEAR
 
 
 def kpi_overview(alerts: DataFrame, trends: DataFrame, hotspots: DataFrame,
@@ -20,9 +21,9 @@ def kpi_overview(alerts: DataFrame, trends: DataFrame, hotspots: DataFrame,
 
     Each figure is a scalar subquery over its mart, empty marts give 0.
     """
-    incidents_total = F.coalesce(trends.filter(F.col("group_type") == "year")
+    incidents_total = F.coalesce(trends.filter(F.col("group_type") == GT_YEAR)
                                  .agg(F.sum("crime_count")).scalar(), F.lit(0)).cast("bigint")
-    violence_total = F.coalesce(violence_stats.filter(F.col("group_type") == "district")
+    violence_total = F.coalesce(violence_stats.filter(F.col("group_type") == GT_DISTRICT)
                                 .agg(F.sum("total_incidents")).scalar(), F.lit(0)).cast("bigint")
     return alerts.agg(F.count(F.lit(1)).alias("alerts_triggered")).select(
         "alerts_triggered",
@@ -62,8 +63,8 @@ def mart_slice(mart: DataFrame, group_type: str, order: str = "group_value", des
 
 def trend_labels(trends: DataFrame) -> DataFrame:
     """Trend rows with display labels and an integer sort key (string keys sort wrong)."""
-    label = (F.when(F.col("group_type") == "month", month_name("group_value"))
-             .when(F.col("group_type") == "day_of_week", day_name("group_value"))
+    label = (F.when(F.col("group_type") == GT_MONTH, month_name("group_value"))
+             .when(F.col("group_type") == GT_DAY_OF_WEEK, day_name("group_value"))
              .otherwise(F.col("group_value")))
     return trends.select("group_type", "group_value", "crime_count", label.alias("label"),
                          F.col("group_value").cast("int").alias("sort_key"))

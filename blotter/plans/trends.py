@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from blotter.functions import calendar_parts
 from blotter.operators.grouped import grouped_stats
+from blotter.schemas import GT_DAY_OF_WEEK, GT_HOUR, GT_MONTH, GT_YEAR
 
-TREND_DIMS = ("year", "month", "day_of_week", "hour")
+TREND_DIMS = (GT_YEAR, GT_MONTH, GT_DAY_OF_WEEK, GT_HOUR)
 
 
 def with_calendar_parts(incidents: DataFrame, ts: str = "ts") -> DataFrame:

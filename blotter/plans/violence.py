@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from blotter.functions import rate
 from blotter.operators.grouped import grouped_stats
+from blotter.schemas import GT_COMMUNITY_AREA, GT_DISTRICT, GT_MONTH, YES_FLAG
 
-VIOLENCE_DIMS = {"month": "month", "district": "district", "community_area": "community_area"}
+VIOLENCE_DIMS = {GT_MONTH: "month", GT_DISTRICT: "district", GT_COMMUNITY_AREA: "community_area"}
 
 
 def _aggs() -> dict:
@@ -16,7 +17,7 @@ def _aggs() -> dict:
         "total_incidents": F.count(F.lit(1)),
         "homicides": F.sum("is_homicide").cast("bigint"),
         "non_fatal_shootings": F.sum(F.when(F.col("is_homicide") == 0, 1).otherwise(0)).cast("bigint"),
-        "gunshot_injuries": F.sum(F.when(F.col("gunshot_injury_i") == "Y", 1).otherwise(0)).cast("bigint"),
+        "gunshot_injuries": F.sum(F.when(F.col("gunshot_injury_i") == YES_FLAG, 1).otherwise(0)).cast("bigint"),
     }
 
 

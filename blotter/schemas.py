@@ -69,6 +69,15 @@ REQUIRED_MESSAGE_FIELDS = ["CASE NUMBER", "DISTRICT", "DATE", "PRIMARY TYPE"]
 # Fixed value: the 12-hour timestamp layout used by every date column.
 TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
+# Labels and flag values stored in or compared against the data.
+GT_YEAR, GT_MONTH, GT_DAY_OF_WEEK, GT_HOUR = "year", "month", "day_of_week", "hour"
+GT_CRIME_TYPE, GT_DISTRICT, GT_RACE, GT_COMMUNITY_AREA = "crime_type", "district", "race", "community_area"
+ARREST_FLAG = "TRUE"            # arrest flag after upper(trim())
+YES_FLAG = "Y"                  # gunshot injury and victim-minor flags after upper(trim())
+ALL_LABEL = "all"               # offender summary row
+SEVERITY_HIGH, SEVERITY_MEDIUM = "HIGH", "MEDIUM"
+UNKNOWN_DISTRICT = "UNKNOWN"    # routing key default
+
 INPUTS = {
     "incidents": (INCIDENT_COLUMNS, INCIDENT_TYPES),
     "stations": (STATION_COLUMNS, STATION_TYPES),
