@@ -61,6 +61,8 @@ def validated_stream(messages: DataFrame, keep=("id", "ts")):
 
 def _trailing_state_fn(window_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        import warnings   # PySpark's own state serializer trips a pandas deprecation notice per batch
+        warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas\.serializers")
         (district,) = key
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["__t", "id"], kind="mergesort")
         prev = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
