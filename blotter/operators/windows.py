@@ -13,6 +13,12 @@ the next bucket as context rows (one ``explode``), which is all a later
 event's frame can reach. Work per task is then bounded by bucket size, not by
 key size, and only ``1 / bucket_factor`` of the rows are duplicated.
 
+When one key is dense *within* a bucket span, the position-based forms
+(``trailing_count_ranked``, ``global_position``, ``previous_within(method=
+"ranked")``) work on running counts per (key, small time bucket) plus the
+key's prefix of bucket totals, so no task ever holds more than one small
+bucket of one key; they cost about three times as much (measured).
+
 ``sliding_counts`` is Spark's own ``window()`` grouping (Expand + partial
 aggregate), the batch twin of the streaming sliding window.
 """
