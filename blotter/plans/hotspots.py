@@ -36,10 +36,17 @@ def features(points: DataFrame) -> DataFrame:
 
 def fit_hotspots(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
                  partitions: int | None = None, id_col: str = "id"):
-    """Fit K-Means on the valid (latitude, longitude) points; returns the model."""
+    """Fit K-Means on the valid (latitude, longitude) points; returns the model.
+
+    ``partitions=None`` hash-partitions by id and lets AQE coalesce the
+    partitions by measured size (few tasks per iteration for small inputs,
+    many for large ones; the same data and settings give the same layout);
+    an explicit number pins the layout.
+    """
     from pyspark.ml.clustering import KMeans
-    n = partitions or points.sparkSession.sparkContext.defaultParallelism
-    pts = valid_points(points).repartition(n, id_col).sortWithinPartitions(id_col)
+    pts = valid_points(points)
+    pts = pts.repartition(partitions, id_col) if partitions else pts.repartition(id_col)
+    pts = pts.sortWithinPartitions(id_col)
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features(pts))
 
 
