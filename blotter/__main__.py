@@ -30,7 +30,10 @@ def _stream(args) -> None:
     from blotter.streaming import pipeline as SP
     spark = get_spark(args.master, app="blotter-stream")
     options = dict(o.split("=", 1) for o in args.option)
-    msgs = SP.read_messages(spark, args.source, args.format, schema=args.schema, options=options)
+    if args.broker_rows:   # e.g. --format kafka --option kafka.bootstrap.servers=... --option subscribe=...
+        msgs = SP.from_broker_rows(SP.read_messages(spark, None, args.format, options=options))
+    else:
+        msgs = SP.read_messages(spark, args.source, args.format, schema=args.schema, options=options)
     alerts = SP.build_alert_stream(msgs, args.window_seconds, args.threshold)
     ckpt = args.checkpoint or scratch_path(spark, "alerts-checkpoint")
     w = (alerts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
@@ -54,7 +57,9 @@ def main(argv=None) -> None:
     b.add_argument("--max-iter", type=int, default=20)
     b.set_defaults(fn=_batch)
     s = sub.add_parser("stream", help="messages -> alerts")
-    s.add_argument("--source", required=True)
+    s.add_argument("--source", help="path for file sources")
+    s.add_argument("--broker-rows", action="store_true",
+                   help="source rows have the broker schema (key, value, partition, offset, timestamp)")
     s.add_argument("--format", default="json")
     s.add_argument("--schema", default="id long, ts timestamp_ntz, value string")
     s.add_argument("--option", action="append", default=[], help="source option key=value")

@@ -53,6 +53,22 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return r.load(path) if path else r.load()
 
 
+def from_broker_rows(df: DataFrame, partition_bits: int = 40) -> DataFrame:
+    """Map broker records (Kafka source schema: key, value, topic, partition, offset,
+    timestamp, ...) to the message rows the pipeline reads: ``id, ts, value``.
+
+    ``id`` orders records like arrival within a partition: partition number in
+    the high bits, offset in the low ``partition_bits`` bits. ``ts`` is the
+    record timestamp as a wall-clock NTZ value in UTC, independent of the
+    session zone.
+    """
+    ntz_epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    return df.select(
+        (F.col("partition").cast("long") * F.lit(1 << partition_bits) + F.col("offset")).alias("id"),
+        F.expr(f"timestampadd(MICROSECOND, unix_micros(timestamp), {ntz_epoch})").alias("ts"),
+        F.col("value").cast("string").alias("value"))
+
+
 def validated_stream(messages: DataFrame, keep=("id", "ts")):
     """(accepted, rejected) streams from the JSON ``value`` column."""
     v = MS.with_validation(MS.parse_messages(messages))

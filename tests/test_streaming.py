@@ -155,3 +155,14 @@ def test_table_state_stream_equals_batch_and_replays(spark, scratch):
     sink(last_acc.select("id", "ts", "district"), last)
     assert _rows(spark.read.parquet(f"{scratch}/out").drop("batch_id")) == out_before
     assert sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/hist/v={last}").collect()) == hist_before
+
+
+def test_broker_rows_map_to_messages(spark):
+    rows = [(b"k", b'{"CASE NUMBER":"A","DISTRICT":"3","DATE":"x","PRIMARY TYPE":"T"}', "events", 2, 17,
+             dt.datetime(2024, 1, 1, 12, 0, 0))]
+    df = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, "
+                                     "timestamp timestamp")
+    m = SP.from_broker_rows(df).collect()[0]
+    assert m.id == 2 * (1 << 40) + 17 and m.value.startswith('{"CASE NUMBER"')
+    acc, _ = SP.validated_stream(SP.from_broker_rows(df))
+    assert [r.district for r in acc.collect()] == ["3"]
