@@ -9,7 +9,8 @@ from __spark_entry__ import queries  # noqa: E402
 SINGLE_SCAN = ["incident_trends", "violence_stats", "registry_stats", "trailing_count", "sliding_counts",
                "arrest_rate_type", "priority_records", "validate_events"]
 NO_WRITE = [k for k in queries() if k not in {"hotspots", "mart_roundtrip", "mart_read", "alerts_latest_docs",
-                                              "scan_csv_typed", "stream_alerts", "stream_sliding_counts"}]
+                                              "scan_csv_typed", "stream_alerts", "stream_sliding_counts",
+                                              "stream_alerts_table"}]
 
 
 def _plan(df):
