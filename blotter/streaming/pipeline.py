@@ -53,6 +53,36 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return r.load(path) if path else r.load()
 
 
+def publish_messages(incidents: DataFrame, path: str | None = None, fmt: str = "text",
+                     options: dict | None = None, mode: str = "append") -> None:
+    """Publish incidents as event messages (JSON ``value``, case number as ``key``).
+
+    Only rows with a case number and a district are sent. ``fmt="text"``
+    writes JSON lines to ``path``; a broker format (e.g. ``"kafka"`` with its
+    ``topic`` / bootstrap options) receives ``key`` and ``value`` columns.
+    Columns: ``case_number, ts, primary_type, district, arrest, community_area``
+    (any may be absent).
+    """
+    cols = set(incidents.columns)
+    pick = lambda c: F.col(c) if c in cols else F.lit(None)
+    fields = {"CASE NUMBER": pick("case_number"),
+              "DATE": F.date_format("ts", "MM/dd/yyyy hh:mm:ss a") if "ts" in cols else F.lit(None),
+              "PRIMARY TYPE": pick("primary_type"), "DISTRICT": pick("district"),
+              "ARREST": pick("arrest"), "COMMUNITY AREA": pick("community_area")}
+    out = incidents.filter(MS.publishable(fields)).select(
+        fields["CASE NUMBER"].cast("string").alias("key"), MS.to_message(fields).alias("value"))
+    if fmt == "text":
+        out.select("value").write.mode(mode).text(path)
+        return
+    w = out.write.mode(mode).format(fmt)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if path:
+        w.save(path)
+    else:
+        w.save()
+
+
 def from_broker_rows(df: DataFrame, partition_bits: int = 40) -> DataFrame:
     """Map broker records (Kafka source schema: key, value, topic, partition, offset,
     timestamp, ...) to the message rows the pipeline reads: ``id, ts, value``.

@@ -166,3 +166,11 @@ def test_broker_rows_map_to_messages(spark):
     assert m.id == 2 * (1 << 40) + 17 and m.value.startswith('{"CASE NUMBER"')
     acc, _ = SP.validated_stream(SP.from_broker_rows(df))
     assert [r.district for r in acc.collect()] == ["3"]
+
+
+def test_publish_messages_matches_events_to_json(spark, scratch):
+    from __spark_entry__ import queries
+    SP.publish_messages(TT.incidents(spark, "/root/testdata/sf0.001"), f"{scratch}/pub")
+    got = sorted(r.value for r in spark.read.text(f"{scratch}/pub").collect())
+    want = sorted(r.value for r in queries()["events_to_json"](spark, "/root/testdata/sf0.001").collect())
+    assert got == want and len(got) > 0
