@@ -10,13 +10,21 @@ are checkpointed under ``spark.checkpoint.dir``, and the sink overwrites a
 folder keyed by the micro-batch id, so a batch replayed after a failure
 replaces its own output: each event yields its alert exactly once.
 
-State (per district): the sorted event times inside the window. Within a
-micro-batch a district's rows are processed in (ts, id) order; eviction uses
-the largest time seen, so a late row is counted by its own time but cannot
-revive evicted rows. For in-order input the result equals
-``blotter.operators.windows.trailing_count``. The rows of one district in one
-micro-batch meet in one group: bound the batch with ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``; the state itself is bounded by the window length.
+State, two modes. (1) State store (``trailing_count_stream``): per district
+the sorted event times inside the window. Within a micro-batch a district's
+rows are processed in (ts, id) order; eviction uses the largest time seen, so
+a late row is counted by its own time but cannot revive evicted rows. The
+rows of one district in one micro-batch meet in one group: bound the batch
+with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``; the state itself is
+bounded by the window length. (2) Table state (``table_state_alert_sink``):
+the in-window events are a Parquet table versioned by batch id and each
+micro-batch runs the distributed ``trailing_count`` over history + batch, so
+no district is ever one group. For in-order input both equal
+``blotter.operators.windows.trailing_count``.
+
+Sources: files with ``id, ts, value`` rows, or broker records mapped by
+``from_broker_rows``. Sinks: ``batch_sink`` (rows + JSON documents),
+``raw_event_sink`` (accepted events), ``publish_messages`` (producer side).
 """
 
 from __future__ import annotations
@@ -42,8 +50,8 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", schema:
                   options: dict | None = None) -> DataFrame:
     """Message source: files (parquet/json with ``id, ts, value``) or any streaming format.
 
-    For a broker pass e.g. ``fmt="kafka"`` and its options; the rows then need
-    ``value`` (the JSON text), an event time ``ts`` and an arrival key ``id``.
+    For a broker pass e.g. ``fmt="kafka"`` and its options and map the records
+    with ``from_broker_rows`` (``value`` text, event time ``ts``, arrival ``id``).
     """
     r = spark.readStream.format(fmt)
     if schema:
@@ -162,15 +170,17 @@ def build_alert_stream(messages: DataFrame, window_seconds: int, threshold: int,
     alerting service would.
     Counters (events processed, alerts raised) are observed per micro-batch:
     ``query.lastProgress["observedMetrics"]["stream_counters"]``.
+    Only per-event alerts are streamed; crossing alerts need the batch form
+    (``operators.alerts.alert_records(alert_on="crossing")``).
     """
+    if alert_on != "event":
+        raise ValueError("the stream emits per-event alerts; crossing alerts use the batch form")
     accepted, _ = validated_stream(messages)
     if clock == "processing":
         accepted = accepted.withColumn("ts", F.current_timestamp().cast("timestamp_ntz"))
     counts = trailing_count_stream(accepted, window_seconds)
     counts = counts.observe("stream_counters", F.count(F.lit(1)).alias("processed"),
                             F.count_if(F.col("event_count") > F.lit(threshold)).alias("alerts"))
-    if alert_on == "crossing":
-        raise ValueError("crossing alerts need ordered history; use the batch form")
     return AL.alert_records(counts, threshold)
 
 
