@@ -9,8 +9,9 @@ value does not cast. ``mode="dropmalformed"`` reproduces Spark's own
 DROPMALFORMED with the typed schema, whose verdict depends on the columns a
 query touches.
 
-``stage`` converts a CSV input to Parquet once (good rows + rejects), so the
-marts read a columnar, pushdown-capable copy instead of re-parsing text.
+``stage`` converts a CSV input to Parquet in one pass, partitioned by row
+status (good / dropped / rejected), so the marts read a columnar,
+pushdown-capable copy instead of re-parsing text.
 """
 
 from __future__ import annotations
