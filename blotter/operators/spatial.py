@@ -2,9 +2,11 @@
 
 Two exact strategies, chosen by a measured size:
 
-* few sites (``count <= max_array``): the sites travel as one array in a
-  scalar subquery and each point takes the minimum (squared distance, site id)
-  over it; no join, no shuffle of the points.
+* few sites (``count <= max_array``, default 256): the sites travel as one
+  array in a scalar subquery and each point takes the minimum (squared
+  distance, site id) over it; no join, no shuffle of the points. The cost is
+  one distance per site per point, so beyond a few hundred sites the grid
+  is cheaper.
 * many sites: a grid of square cells. Round ``r`` joins each unresolved point
   to the sites in the cells of ring ``r`` around its cell (an equi-join on
   cell ids, so AQE can split a hot cell). A point is final once its best
@@ -32,7 +34,7 @@ def _best_struct(px, py, sx, sy, sid):
 
 def nearest_site(points: DataFrame, sites: DataFrame, site_id: str = "district",
                  x: str = "latitude", y: str = "longitude", point_id: str = "id",
-                 max_array: int = 10_000, cell: float | None = None) -> DataFrame:
+                 max_array: int = 256, cell: float | None = None) -> DataFrame:
     """``points`` + ``nearest_site`` (ties: smallest id) + ``nearest_d2`` (squared distance)."""
     sites = sites.select(F.col(site_id).alias("__sid"), F.col(x).alias("__sx"), F.col(y).alias("__sy"))
     n = sites.count()                                   # the size check
