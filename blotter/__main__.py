@@ -37,7 +37,7 @@ def _stream(args) -> None:
     alerts = SP.build_alert_stream(msgs, args.window_seconds, args.threshold)
     ckpt = args.checkpoint or scratch_path(spark, "alerts-checkpoint")
     w = (alerts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-         .foreachBatch(SP.batch_sink(args.out, args.docs)))
+         .foreachBatch(SP.batch_sink(args.out, args.docs, mart="alerts")))
     w = w.trigger(availableNow=True) if args.available_now else w.trigger(processingTime=args.trigger)
     w.start().awaitTermination()
 

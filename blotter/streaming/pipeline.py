@@ -204,12 +204,17 @@ def raw_event_sink(accepted: DataFrame, path: str, checkpoint: str, trigger: dic
     return w.start()
 
 
-def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet"):
+def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet", mart: str | None = None):
     """foreachBatch writer: overwrite ``batch_id=<n>`` so a replay is idempotent.
 
     Each target is written independently; the document copy is optional.
+    ``mart="alerts"`` conforms the rows to the stored alerts schema and adds
+    the ``created_at`` audit time, as the alerts table does on insert.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        if mart:
+            from blotter.sources.marts import conform
+            batch = conform(batch, mart)
         target = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
         batch.write.mode("overwrite").format(fmt).save(target)
         if docs_dir:
@@ -296,9 +301,9 @@ def stream_alerts(spark: SparkSession, messages: DataFrame, window_seconds: int,
     stage_messages(messages, src, chunks)
     stream = read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
                            options={"maxFilesPerTrigger": "1"})
-    run_available_now(build_alert_stream(stream, window_seconds, threshold), batch_sink(out),
+    run_available_now(build_alert_stream(stream, window_seconds, threshold), batch_sink(out, mart="alerts"),
                       f"{work}/checkpoint")
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).select("district", "timestamp", "event_count", "threshold", "severity")
 
 
 def stream_alerts_table_state(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,

@@ -174,3 +174,12 @@ def test_publish_messages_matches_events_to_json(spark, scratch):
     got = sorted(r.value for r in spark.read.text(f"{scratch}/pub").collect())
     want = sorted(r.value for r in queries()["events_to_json"](spark, "/root/testdata/sf0.001").collect())
     assert got == want and len(got) > 0
+
+
+def test_alert_sink_adds_audit_time(spark, scratch):
+    df = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 11, 10, "MEDIUM")],
+                               "district string, timestamp timestamp_ntz, event_count int, threshold int, severity string")
+    SP.batch_sink(f"{scratch}/a", mart="alerts")(df, 0)
+    got = spark.read.parquet(f"{scratch}/a")
+    assert got.columns[:6] == ["district", "timestamp", "event_count", "threshold", "severity", "created_at"]
+    assert got.filter("created_at IS NOT NULL").count() == 1
