@@ -38,8 +38,12 @@ def _stream(args) -> None:
     ckpt = args.checkpoint or scratch_path(spark, "alerts-checkpoint")
     w = (alerts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
          .foreachBatch(SP.batch_sink(args.out, args.docs, mart="alerts")))
-    w = w.trigger(availableNow=True) if args.available_now else w.trigger(processingTime=args.trigger)
-    w.start().awaitTermination()
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
+    queries = [w.trigger(**trigger).start()]
+    if args.rejected:
+        queries.append(SP.rejected_event_sink(msgs, args.rejected, f"{ckpt}-rejected", trigger))
+    for q in queries:
+        q.awaitTermination()
 
 
 def main(argv=None) -> None:
@@ -65,6 +69,7 @@ def main(argv=None) -> None:
     s.add_argument("--option", action="append", default=[], help="source option key=value")
     s.add_argument("--out", required=True)
     s.add_argument("--docs")
+    s.add_argument("--rejected", help="path for rejected messages (dead letters)")
     s.add_argument("--checkpoint")
     s.add_argument("--window-seconds", type=int, default=300)
     s.add_argument("--threshold", type=int, default=10)

@@ -204,6 +204,14 @@ def raw_event_sink(accepted: DataFrame, path: str, checkpoint: str, trigger: dic
     return w.start()
 
 
+def rejected_event_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Dead-letter sink: every rejected message with its raw text and the missing fields."""
+    _, rejected = validated_stream(messages)
+    w = (rejected.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet", mart: str | None = None):
     """foreachBatch writer: overwrite ``batch_id=<n>`` so a replay is idempotent.
 

@@ -183,3 +183,14 @@ def test_alert_sink_adds_audit_time(spark, scratch):
     got = spark.read.parquet(f"{scratch}/a")
     assert got.columns[:6] == ["district", "timestamp", "event_count", "threshold", "severity", "created_at"]
     assert got.filter("created_at IS NOT NULL").count() == 1
+
+
+def test_rejected_event_sink(spark, scratch):
+    msgs = TT.message_rows(spark, "/root/testdata/sf0.001")
+    msgs.coalesce(1).write.parquet(f"{scratch}/src")
+    stream = SP.read_messages(spark, f"{scratch}/src", "parquet", schema="id long, ts timestamp_ntz, value string")
+    SP.rejected_event_sink(stream, f"{scratch}/dead", f"{scratch}/ck").awaitTermination()
+    _, rejected = SP.validated_stream(msgs)
+    got = spark.read.parquet(f"{scratch}/dead")
+    assert got.count() == rejected.count() > 0
+    assert got.filter("missing = ''").count() == 0
