@@ -121,3 +121,13 @@ def test_auto_method_switches_on_density(spark):
     for kw in ({"method": "auto", "max_bucket_rows": 10}, {"method": "auto"}, {"method": "ranked"}):
         got = {r.id: r.event_count for r in trailing_count(df, 3600, **kw).collect()}
         assert got == want
+
+
+def test_trailing_count_on_zone_aware_timestamps(spark):
+    rows = [(i, "a" if i % 3 else "b", T0 + dt.timedelta(seconds=37 * i)) for i in range(200)]
+    ntz = _events(spark, rows)
+    ltz = ntz.withColumn("ts", F.col("ts").cast("timestamp"))
+    for method in ("bucket", "ranked"):
+        a = {r.id: r.event_count for r in trailing_count(ntz, 600, method=method).collect()}
+        b = {r.id: r.event_count for r in trailing_count(ltz, 600, method=method).collect()}
+        assert a == b == brute(rows, 600)
