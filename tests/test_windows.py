@@ -131,3 +131,17 @@ def test_trailing_count_on_zone_aware_timestamps(spark):
         a = {r.id: r.event_count for r in trailing_count(ntz, 600, method=method).collect()}
         b = {r.id: r.event_count for r in trailing_count(ltz, 600, method=method).collect()}
         assert a == b == brute(rows, 600)
+
+
+@pytest.mark.parametrize("bucket", [1, 30, 100000])
+def test_global_position_is_rank_within_key(spark, bucket):
+    from blotter.operators.windows import global_position
+    rnd = random.Random(bucket)
+    rows = [(i, rnd.choice(["a", "b", None]), T0 + dt.timedelta(seconds=rnd.randrange(0, 600)))
+            for i in range(250)]
+    got = {r["id"]: r["__pos"] for r in global_position(_events(spark, rows), "district", "ts", "id", bucket).collect()}
+    want = {}
+    for key in ("a", "b", None):
+        ordered = sorted((t, i) for i, d, t in rows if d == key)
+        want.update({i: n for n, (t, i) in enumerate(ordered, start=1)})
+    assert got == want
