@@ -33,7 +33,9 @@ def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt
     obs = Observation(f"write_{name}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if fmt == "jdbc":
-        out.write.jdbc(url=jdbc_url, table=name, mode=mode, properties=jdbc_props or {})
+        # overwrite by TRUNCATE keeps the table's own DDL (ids, defaults, indexes)
+        props = {"truncate": "true", **(jdbc_props or {})}
+        out.write.jdbc(url=jdbc_url, table=name, mode=mode, properties=props)
     else:
         w = out.write.mode(mode).format(fmt)
         if "group_type" in out.columns:

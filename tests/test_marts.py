@@ -74,6 +74,9 @@ def test_jdbc_roundtrip_with_embedded_derby(spark):
         pytest.skip(f"no embedded JDBC driver: {type(e).__name__}")
     back = MT.read_mart(spark, "sex_offender_stats", "", fmt="jdbc", jdbc_url=url, jdbc_props=props)
     assert n == back.count() == df.count()
+    n2 = MT.write_mart(df, "sex_offender_stats", "", fmt="jdbc", jdbc_url=url, jdbc_props=props)  # truncate
+    again = MT.read_mart(spark, "sex_offender_stats", "", fmt="jdbc", jdbc_url=url, jdbc_props=props)
+    assert n2 == again.count() == df.count()
 
 
 def test_padded_keys_need_normalisation(spark):
