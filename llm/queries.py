@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.exact_dedup import exact_dedup
+from llm.packing import pack
 from llm.url_filter import url_filter
 
 
@@ -23,9 +24,15 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_packing": op3_packing,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
