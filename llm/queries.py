@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.exact_dedup import exact_dedup
+from llm.language_id import language_id
 from llm.packing import pack
 from llm.url_filter import url_filter
 
@@ -29,10 +30,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learned from two thirds of them."""
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
+    "op9_language_id": op9_language_id,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
