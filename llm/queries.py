@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.exact_dedup import exact_dedup
 from llm.language_id import language_id
+from llm.near_dedup import near_dedup
 from llm.packing import pack
 from llm.url_filter import url_filter
 
@@ -30,6 +31,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates over all documents."""
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents, learned from two thirds of them."""
     return language_id(table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
+    "op4_near_dedup": op4_near_dedup,
     "op9_language_id": op9_language_id,
 }
 
