@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.decontamination import decontaminate
 from llm.exact_dedup import exact_dedup
 from llm.language_id import language_id
 from llm.near_dedup import near_dedup
 from llm.packing import pack
+from llm.toxicity import toxicity
 from llm.url_filter import url_filter
 
 
@@ -36,17 +38,29 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents, learned from two thirds of them."""
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents, learned from the labelled ones."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
     "op4_near_dedup": op4_near_dedup,
+    "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
