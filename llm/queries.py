@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.decontamination import decontaminate
 from llm.exact_dedup import exact_dedup
 from llm.language_id import language_id
+from llm.lm_scoring import lm_scores
 from llm.near_dedup import near_dedup
 from llm.packing import pack
 from llm.toxicity import toxicity
@@ -38,6 +39,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of all documents, learned from six sevenths of them."""
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -58,6 +64,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
     "op4_near_dedup": op4_near_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
