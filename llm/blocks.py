@@ -36,11 +36,11 @@ def by_hash(blocks: int, *cols: str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(blocks)).cast("int")
 
 
-def asked(keys: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
-    """(shard, lo, hi) for the shards that sorted ``keys`` fall into; shards are key ranges."""
+def asked(keys: np.ndarray, shards: int, bits: int = 64) -> Iterator[tuple[int, int, int]]:
+    """(shard, lo, hi) for the shards that sorted keys of ``bits`` (32 to 64) bits fall into; shards are key ranges."""
     if not len(keys):
         return
-    shard = ((keys >> U64(32)) * U64(shards)) >> U64(32)
+    shard = ((keys >> U64(bits - 32)) * U64(shards)) >> U64(32)
     cut = np.flatnonzero(shard[1:] != shard[:-1]) + 1
     for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]):
         yield int(shard[lo]), lo, hi

@@ -10,6 +10,7 @@ from llm.language_id import language_id
 from llm.lm_scoring import lm_scores
 from llm.near_dedup import near_dedup
 from llm.packing import pack
+from llm.repeat_removal import remove_repeats
 from llm.toxicity import toxicity
 from llm.url_filter import url_filter
 
@@ -44,6 +45,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 100-byte strings removed from all documents."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -65,6 +71,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_near_dedup": op4_near_dedup,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
