@@ -14,7 +14,7 @@ holds a whole match. Bands that reach the bound are verified by aligning the
 segment with the band's region.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` (items are spread by
-hash), each a pass over the documents in the same stage, so its size is not
+hash), each a column over the documents in the same stage, so its size is not
 assumed; documents never move.
 
 Defined results: NULL and empty texts match nothing; items that are NULL or
@@ -25,12 +25,12 @@ every document clean. Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import U64, chunks, lower, text_bytes
@@ -166,36 +166,45 @@ def aligned(segment: bytes, region: np.ndarray, limit: int) -> int:
     return int(min(row.min(), limit + 1))
 
 
-def matcher(items: list[tuple[int, str]]) -> Callable:
-    """Task function: rows (id, text, items, edits) with this block's matches added."""
+def matches_of(items: list[tuple[int, str]], text: Column) -> Column:
+    """What a text holds of these items: a struct items (ids, ascending) and edits (fewest)."""
+    built: list[Index] = []  # one index a worker task
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items)
-        for batch in batches:
-            raw, offs = text_bytes(batch.column(1))
-            found: list[list[int]] = batch.column(2).to_pylist()
-            edits: list[int | None] = batch.column(3).to_pylist()
-            for lo, hi in chunks(offs):
-                t, at = folded(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                for d, seen in index.matches(t, at).items():
-                    found[lo + d] = sorted({*found[lo + d], *seen})
-                    edits[lo + d] = min([*seen.values(), *([edits[lo + d]] if edits[lo + d] is not None else [])])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())), pa.array(edits, pa.int64())],
-                                             ["id", "text", "items", "edits"])
+    def match(texts: pa.Array) -> pa.Array:
+        if not built:
+            built.append(Index(items))
+        raw, offs = text_bytes(texts)
+        found: list[list[int]] = [[] for _ in range(len(texts))]
+        edits: list[int | None] = [None] * len(texts)
+        for lo, hi in chunks(offs):
+            t, at = folded(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
+            for d, seen in built[0].matches(t, at).items():
+                found[lo + d], edits[lo + d] = sorted(seen), min(seen.values())
+        return pa.StructArray.from_arrays([pa.array(found, pa.list_(pa.int64())), pa.array(edits, pa.int64())], ["items", "edits"])
 
-    return run
+    return F.arrow_udf(match, "items array<long>, edits long")(text.cast("string"))
+
+
+def item_blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's items, at most about ``BLOCK_BYTES`` of text at a time."""
+    known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null and item is not null")
+    size = known.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = ceil(size / BLOCK_BYTES * 1.5)
+    for b in range(blocks):
+        yield [(r.item, r.text) for r in known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # one block
+
+
+def benchmark_matches(text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Column:
+    """Matches of a text with the whole benchmark: a struct items (ids, ascending) and edits (fewest, NULL without)."""
+    parts = [matches_of(items, text) for items in item_blocks(benchmark, item_col, item_text)]
+    empty = F.array().cast("array<long>")
+    items = F.array_sort(F.array_distinct(F.concat(empty, *(p["items"] for p in parts))))
+    edits = F.array_min(F.array(F.lit(None).cast("long"), *(p["edits"] for p in parts)))
+    return F.struct(items.alias("items"), edits.alias("edits"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: id, contaminated, n_items, items (ids found), edits (fewest, NULL when clean)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       F.array().cast("array<long>").alias("items"), F.lit(None).cast("long").alias("edits"))
-    kind = rows.schema["id"].dataType.simpleString()
-    known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null and item is not null")
-    size = known.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, ceil(size / BLOCK_BYTES * 1.5))
-    for b in range(blocks if size else 0):
-        items = [(r.item, r.text) for r in known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # one block
-        rows = rows.mapInArrow(matcher(items), f"id {kind}, text string, items array<long>, edits long")
-    return rows.select(F.col("id").alias(id_col), (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"), "items", "edits")
+    found = docs.select(F.col(id_col), benchmark_matches(F.col(text_col), benchmark, item_col, item_text).alias("found"))
+    return found.select(id_col, (F.size("found.items") > 0).alias("contaminated"), F.size("found.items").cast("long").alias("n_items"), "found.items", "found.edits")

@@ -22,11 +22,11 @@ columns are read; lang, source and id never enter a prediction.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import CHUNK_BYTES, text_bytes
@@ -155,37 +155,26 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Coder
     return Coder([r.lang for r in learned], np.stack([np.frombuffer(r.counts, "<i8") for r in learned]).astype(float))
 
 
-def predictor(coder: Coder | None, id_type: pa.DataType) -> Callable:
-    """The task function: (id, text) in, prediction out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1)
-            raw, offs = text_bytes(texts)
-            out = []
-            for i in range(len(texts)):
-                b = raw[offs[i]:offs[i + 1]]
-                if coder is None or not _LETTER.search(b.tobytes().decode("utf-8", "replace")):
-                    out.append((UNKNOWN, 0.0, True))
-                else:
-                    out.append(coder.decode(b))
-            cols = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())],
-                                             ["id", "lang_pred", "score", "ambiguous"])
-
-    return run
+def language_of(coder: Coder | None, text: Column) -> Column:
+    """Prediction of a text as a struct lang_pred, score, ambiguous."""
 
+    def judge(texts: pa.Array) -> pa.Array:
+        raw, offs = text_bytes(texts)
+        out = []
+        for lo, hi in zip(offs[:-1], offs[1:]):
+            b = raw[lo:hi]
+            if coder is None or not _LETTER.search(b.tobytes().decode("utf-8", "replace")):
+                out.append((UNKNOWN, 0.0, True))
+            else:
+                out.append(coder.decode(b))
+        cols = list(zip(*out)) or [(), (), ()]
+        return pa.StructArray.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())],
+                                          ["lang_pred", "score", "ambiguous"])
 
-def predict(df: DataFrame, coder: Coder | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, lang_pred, score, ambiguous."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType
-    out = f"id {kind.simpleString()}, lang_pred string, score double, ambiguous boolean"
-    return rows.mapInArrow(predictor(coder, to_arrow_type(kind)), out).withColumnRenamed("id", id_col)
+    return F.arrow_udf(judge, "lang_pred string, score double, ambiguous boolean")(text.cast("string"))
 
 
-def held_out(id_col: str = "doc_id"):
+def held_out(id_col: str = "doc_id") -> Column:
     """Rows never learned from: crc32 of the id as text, remainder 1 by 3 (a NULL id is learned from)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -193,5 +182,5 @@ def held_out(id_col: str = "doc_id"):
 def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score, ambiguous."""
     coder = fit(df.where(~held_out(id_col)), text_col, lang_col)
-    found = predict(df, coder, id_col, text_col)
-    return found.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score", "ambiguous")
+    found = df.select(F.col(id_col), held_out(id_col).alias("held_out"), language_of(coder, F.col(text_col)).alias("found"))
+    return found.select(id_col, "held_out", "found.lang_pred", "found.score", "found.ambiguous")

@@ -217,6 +217,54 @@ def packer(ranks_file: str, capacity: int, slack: float, end_id: int, with_ids:
     return run
 
 
+def sequencer(ranks_file: str, capacity: int, slack: float, end_id: int) -> Callable:
+    """The task function that gathers each packed sequence into one row: place, count, ids and document ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        me = TaskContext.get().partitionId()
+        encoder = encoder_of(ranks_file)
+        end = np.array([end_id], "<u4").tobytes()
+        bins = Bins(0, capacity)
+        done: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            ids = [np.frombuffer(b"".join(p[1] for p in s), "<u4") for s in done]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(done), me, np.int32)), pa.array([s[0][-2] for s in done], pa.int64()), pa.array([len(x) for x in ids], pa.int32()),
+                 pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array([list(dict.fromkeys(p[0] for p in s if p[0] is not None)) for s in done], pa.list_(pa.int64())),
+                 pa.array([x.astype("<u2").tobytes().ljust(2 * capacity, b"\0") for x in ids], pa.binary())],
+                ["part", "number", "n_tokens", "ids_crc32", "doc_ids", "ids"])
+            done.clear()
+            return out
+
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
+                ids, start = encoder.ids(text.as_py() or "") + end, 0
+                for length, j in cut(len(ids) // 4, capacity, slack):
+                    full = bins.add(j, (key, ids[4 * start:4 * (start + length)], length))
+                    done += [full] if full else []
+                    start += length
+                if len(done) >= 2_000:
+                    yield batch()
+        done += list(bins.rest())
+        if done:
+            yield batch()
+
+    return run
+
+
+def sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_file: str | None = None, capacity: int = CAPACITY,
+              slack: float = SLACK, end_id: int = END_ID) -> DataFrame:
+    """One row per packed sequence: part and number (its place in its task), n_tokens, ids_crc32, doc_ids, ids.
+
+    ``ids`` are little-endian uint16, padded with zeros to ``capacity``; document
+    ids are integers, each listed once, NULLs left out.
+    """
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    fn = sequencer(ranks_file or default_ranks(), capacity, slack, end_id)
+    return rows.mapInArrow(fn, "part int, number long, n_tokens int, ids_crc32 long, doc_ids array<long>, ids binary")
+
+
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_file: str | None = None, capacity: int = CAPACITY,
          slack: float = SLACK, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.

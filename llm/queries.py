@@ -12,6 +12,7 @@ from llm.near_dedup import near_dedup
 from llm.packing import pack
 from llm.repeat_removal import remove_repeats
 from llm.toxicity import toxicity
+from llm.training_order import materialise, shard_path
 from llm.url_filter import url_filter
 
 
@@ -55,6 +56,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed sequences in training order, written to shards."""
+    return materialise(table(spark, sf_dir, "documents"), shard_path(spark))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents, learned from two thirds of them."""
     return language_id(table(spark, sf_dir, "documents"))
@@ -73,6 +79,7 @@ QUERIES = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_training_order": op8_training_order,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }
