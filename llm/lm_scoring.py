@@ -81,15 +81,6 @@ def grams(t: np.ndarray, first: np.ndarray, order: int) -> np.ndarray:
     return mix(h + U64(order))
 
 
-def history(t: np.ndarray, first: np.ndarray, order: int) -> np.ndarray:
-    """Hash, as in :func:`grams`, of the ``order`` tokens before each token; the bare start is START."""
-    g = grams(t, first, order)
-    out = np.full(len(t), START, U64)
-    out[1:] = g[:-1]
-    out[first[:-1]] = START
-    return out
-
-
 def kinds(t: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
     """The hashes asked for, by n-gram length; the starts count as tokens of length 1."""
     return [np.concatenate([t, np.full(len(first) - 1, START, U64)]), *(grams(t, first, k) for k in range(2, order + 1))]
@@ -178,7 +169,10 @@ def scorer(order: int, weight: float, n: int, v: int, id_type: pa.DataType) -> C
         summed = lambda x: np.add.reduceat(x, begin)
         base = summed(np.log10(p))
         for k in range(2, order + 1):
-            p = (count(k, grams(t, first, k)) + weight * p) / (count(1 if k == 2 else k - 1, history(t, first, k - 1)) + weight)
+            # the history is the n-gram before; that of a first token is the start, seen once a text
+            seen = np.roll(count(k - 1, grams(t, first, k - 1)), 1)
+            seen[begin] = count(1, np.array([START]))
+            p = (count(k, grams(t, first, k)) + weight * p) / (seen + weight)
         docs = table.num_rows
         return pa.table({"id": table.column("id").cast(id_type), "held_out": pa.array(~table.column("train").to_numpy()), "n_tokens": pa.array(np.diff(first)),
                          "n_known": pa.array(summed((c > 0).astype(np.int64))), "train_tokens": pa.array(np.full(docs, n, np.int64)),
