@@ -26,7 +26,7 @@ def _batch(args) -> None:
 
 
 def _stream(args) -> None:
-    from blotter.session import get_spark, scratch_path
+    from blotter.session import get_spark
     from blotter.streaming import pipeline as SP
     spark = get_spark(args.master, app="blotter-stream")
     options = dict(o.split("=", 1) for o in args.option)
@@ -34,10 +34,16 @@ def _stream(args) -> None:
         msgs = SP.from_broker_rows(SP.read_messages(spark, None, args.format, options=options))
     else:
         msgs = SP.read_messages(spark, args.source, args.format, schema=args.schema, options=options)
-    alerts = SP.build_alert_stream(msgs, args.window_seconds, args.threshold)
-    ckpt = args.checkpoint or scratch_path(spark, "alerts-checkpoint")
-    w = (alerts.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-         .foreachBatch(SP.batch_sink(args.out, args.docs, mart="alerts")))
+    jdbc = SP.jdbc_target(args.jdbc_url, args.jdbc_table, json.loads(args.jdbc_props or "{}")) if args.jdbc_url else None
+    if args.state == "table":
+        rows = SP.accepted_events(msgs)
+        sink = SP.table_state_alert_sink(f"{args.out}-history", args.out, args.window_seconds, args.threshold, docs_dir=args.docs,
+                                         query=args.name, mart="alerts", jdbc=jdbc)
+    else:
+        rows = SP.build_alert_stream(msgs, args.window_seconds, args.threshold)
+        sink = SP.batch_sink(args.out, args.docs, mart="alerts", query=args.name, jdbc=jdbc)
+    ckpt = args.checkpoint
+    w = rows.writeStream.outputMode("append").option("checkpointLocation", ckpt).foreachBatch(sink)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     queries = [w.trigger(**trigger).start()]
     if args.rejected:
@@ -70,7 +76,12 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--docs")
     s.add_argument("--rejected", help="path for rejected messages (dead letters)")
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", required=True, help="folder that a restart finds again: offsets and state live there")
+    s.add_argument("--name", default="alerts", help="query name; outputs are kept by (name, batch), so a fresh checkpoint needs a new one")
+    s.add_argument("--state", choices=["table", "store"], default="table", help="where the window lives: history table or state store")
+    s.add_argument("--jdbc-url", help="also write alert rows to this database")
+    s.add_argument("--jdbc-table", default="alerts")
+    s.add_argument("--jdbc-props", help="JSON object of JDBC properties")
     s.add_argument("--window-seconds", type=int, default=300)
     s.add_argument("--threshold", type=int, default=10)
     s.add_argument("--trigger", default="10 seconds")

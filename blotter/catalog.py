@@ -192,10 +192,7 @@ def q_route_key(spark, d):
 @register("events_to_json")
 def q_events_to_json(spark, d):
     inc = TT.incidents(spark, d)
-    fields = {"CASE NUMBER": F.col("case_number"),
-              "DATE": F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"),
-              "PRIMARY TYPE": F.col("primary_type"), "DISTRICT": F.col("district"),
-              "ARREST": F.col("arrest"), "COMMUNITY AREA": F.col("community_area")}
+    fields = MS.incident_fields(inc)
     return inc.filter(MS.publishable(fields)).select("id", MS.to_message(fields).alias("value"))
 
 
@@ -206,8 +203,24 @@ def q_trailing_count(spark, d):
 
 @register("trailing_count_ranked")
 def q_trailing_count_ranked(spark, d):
-    ev = accepted_events(spark, d).select("id", "ts", "district")
-    return WO.trailing_count(ev, WINDOW_SECONDS, key="district", ts="ts", order="id", method="ranked")
+    """The earlier name of the position-based form, which is now the only one."""
+    return trailing_counts(spark, d)
+
+
+def tied_events(spark, d, copies):
+    """Accepted events with times cut to the hour, each put down ``copies`` times under one id."""
+    ev = accepted_events(spark, d).select("id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "district")
+    return ev if copies == 1 else ev.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+
+
+@register("trailing_count_ties")
+def q_trailing_count_ties(spark, d):
+    return WO.trailing_count(tied_events(spark, d, 1), WINDOW_SECONDS, key="district", ts="ts", order="id")
+
+
+@register("trailing_count_repeats")
+def q_trailing_count_repeats(spark, d):
+    return WO.trailing_count(tied_events(spark, d, 2), WINDOW_SECONDS, key="district", ts="ts", order="id")
 
 
 @register("alerts")
@@ -429,9 +442,41 @@ def q_stream_alerts(spark, d):
 
 @register("stream_alerts_table")
 def q_stream_alerts_table(spark, d):
-    from blotter.streaming.pipeline import stream_alerts_table_state
-    return stream_alerts_table_state(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD,
-                                     work=_scratch(spark, "stream-table"))
+    """The earlier name of the run with table state, which ``stream_alerts`` now is."""
+    return q_stream_alerts(spark, d)
+
+
+@register("stream_alerts_state_store")
+def q_stream_alerts_state_store(spark, d):
+    from blotter.streaming.pipeline import stream_alerts_state_store
+    return stream_alerts_state_store(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD,
+                                     work=_scratch(spark, "stream-store"))
+
+
+@register("stream_alert_documents")
+def q_stream_alert_documents(spark, d):
+    from blotter.streaming.pipeline import stream_alert_documents
+    return stream_alert_documents(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD,
+                                  work=_scratch(spark, "stream-docs"))
+
+
+@register("stream_rejected")
+def q_stream_rejected(spark, d):
+    from blotter.streaming.pipeline import stream_rejected
+    return stream_rejected(spark, TT.message_rows(spark, d), work=_scratch(spark, "stream-rejected")).select("id", "value", "missing")
+
+
+@register("stream_raw_events")
+def q_stream_raw_events(spark, d):
+    from blotter.streaming.pipeline import stream_raw_events
+    return stream_raw_events(spark, TT.message_rows(spark, d), work=_scratch(spark, "stream-raw"))
+
+
+@register("stream_window_alerts")
+def q_stream_window_alerts(spark, d):
+    from blotter.streaming.pipeline import stream_window_alerts
+    return stream_window_alerts(spark, TT.message_rows(spark, d), WINDOW, SLIDE, "48 hours", THRESHOLD,
+                                work=_scratch(spark, "stream-window-alerts"))
 
 
 @register("stream_sliding_counts")

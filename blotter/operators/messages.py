@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.schemas import MESSAGE_FIELDS, REQUIRED_MESSAGE_FIELDS, UNKNOWN_DISTRICT, message_schema, snake
+from blotter.schemas import MESSAGE_FIELDS, REQUIRED_MESSAGE_FIELDS, TIMESTAMP_FORMAT, UNKNOWN_DISTRICT, message_schema, snake
 
 
 def to_message(fields: Mapping[str, Column]) -> Column:
@@ -22,6 +22,25 @@ def to_message(fields: Mapping[str, Column]) -> Column:
                                 for k in MESSAGE_FIELDS]))
 
 
+#: Column of a loaded incident for each message field.
+INCIDENT_FIELDS = {"CASE NUMBER": "case_number", "DATE": "date", "BLOCK": "block", "PRIMARY TYPE": "primary_type", "DISTRICT": "district",
+                   "ARREST": "arrest", "LATITUDE": "latitude", "LONGITUDE": "longitude", "DESCRIPTION": "description",
+                   "COMMUNITY AREA": "community_area", "BEAT": "beat"}
+
+
+def incident_fields(incidents: DataFrame) -> dict[str, Column]:
+    """The message fields of loaded incidents; a field without a column is absent.
+
+    DATE is the source text as it was read, parseable or not; only rows without
+    that column get it from the parsed time.
+    """
+    cols = set(incidents.columns)
+    fields = {f: F.col(c) for f, c in INCIDENT_FIELDS.items() if c in cols}
+    if "date" not in cols and "ts" in cols:
+        fields["DATE"] = F.date_format("ts", TIMESTAMP_FORMAT)
+    return {"CASE NUMBER": F.lit(None), "DISTRICT": F.lit(None)} | fields
+
+
 def publishable(fields: Mapping[str, Column]) -> Column:
     """Rows the producer sends: case number and district non-empty."""
     return ((F.length(F.coalesce(fields["CASE NUMBER"], F.lit(""))) > 0)
@@ -44,9 +63,15 @@ def _missing(name: str) -> Column:
     return F.coalesce(F.col("msg").getField(name), F.lit("")) == F.lit("")
 
 
-def with_validation(parsed: DataFrame) -> DataFrame:
-    """Add ``valid`` (bool) and ``missing`` (comma list of failed required fields)."""
+def with_validation(parsed: DataFrame, time: str = "ts") -> DataFrame:
+    """Add ``valid`` (bool) and ``missing`` (comma list of failed required fields).
+
+    A message whose arrival time (column ``time``, where there is one) is NULL
+    cannot be counted and fails with ``time`` in the list.
+    """
     flags = [F.when(_missing(n), F.lit(n)) for n in REQUIRED_MESSAGE_FIELDS]
+    if time in parsed.columns:
+        flags.append(F.when(F.col(time).isNull(), F.lit(time)))
     return parsed.withColumn("missing", F.concat_ws(",", *flags)).withColumn(
         "valid", F.col("missing") == F.lit(""))
 

@@ -3,21 +3,18 @@
 ``trailing_count`` is the batch form of the stream's per-event window: for
 every event, the number of events with the same key in ``[t - W, t]`` that
 arrived no later than it (exact-timestamp ties are broken by an order column,
-as arrival order would). The row exactly ``W`` old is kept.
-
-Scale: a plain ``PARTITION BY key`` window sends a whole key to one task, so
-one hot district (say a third of all rows) would serialise the job. Instead
-time is cut into buckets of ``bucket_factor * W``; the window partition is
-``(key, bucket)``. Events in the last ``W`` of a bucket are also copied into
-the next bucket as context rows (one ``explode``), which is all a later
-event's frame can reach. Work per task is then bounded by bucket size, not by
-key size, and only ``1 / bucket_factor`` of the rows are duplicated.
-
-When one key is dense *within* a bucket span, the position-based forms
-(``trailing_count_ranked``, ``global_position``, ``previous_within(method=
-"ranked")``) work on running counts per (key, small time bucket) plus the
-key's prefix of bucket totals, so no task ever holds more than one small
-bucket of one key; they cost about three times as much (measured).
+as arrival order would, and then by row). The row exactly ``W`` old is kept.
+
+Scale: one rule for every size and density. Positions replace frames: with
+``rank(e)`` the number of events up to ``e`` in the order (key, time, order,
+row) and ``before(e)`` the number before the moment ``t - W`` of its key, the
+count is ``rank(e) - before(e)``. Each event is put down twice, as itself and
+as a probe at ``t - W``; the union is range-partitioned on the whole order, so
+a key holding all rows, or all rows in one instant, is spread like any other.
+The running count inside a partition plus the totals of the partitions before
+(one number each) gives both positions, which meet by row id. Rows whose time
+is NULL are kept with a NULL count and counted by no one; repeated ids are
+separate events.
 
 ``sliding_counts`` is Spark's own ``window()`` grouping (Expand + partial
 aggregate), the batch twin of the streaming sliding window.
@@ -25,10 +22,14 @@ aggregate), the batch twin of the streaming sliding window.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.session import scratch_path
+
 
 def _micros_sql(df: DataFrame, ts: str) -> str:
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
@@ -41,146 +42,69 @@ def micros(df: DataFrame, ts: str) -> Column:
     return F.expr(_micros_sql(df, ts))
 
 
-def _bucketed(df: DataFrame, window_seconds: int, ts: str, bucket_factor: int):
-    """Rows tagged with window partition ``__p``; ``__ctx`` marks copies into the next bucket."""
-    w_us = int(window_seconds) * 1_000_000
-    b_us = w_us * max(int(bucket_factor), 1)
-    t = F.col("__t")
-    base = df.withColumn("__t", micros(df, ts)).withColumn(
-        "__b", F.expr(f"(__t - pmod(__t, {b_us})) div {b_us}"))  # exact floor division
-    near_end = t >= (F.col("__b") + 1) * F.lit(b_us) - F.lit(w_us)
-    tagged = base.withColumn(
-        "__ctx", F.explode(F.when(near_end, F.array(F.lit(False), F.lit(True)))
-                           .otherwise(F.array(F.lit(False))))
-    ).withColumn("__p", F.col("__b") + F.col("__ctx").cast("long"))
-    return tagged, w_us
+def _positions(rows: DataFrame, order: list[str], counted: str, work: str | None) -> DataFrame:
+    """``rows`` with ``__g``, the running sum of ``counted`` in the order of ``order``.
+
+    Range partitions are written once to shared storage with their number, so
+    the partition a row is in is fixed before anything is counted.
+    """
+    spark = rows.sparkSession
+    path = work or scratch_path(spark, f"positions-{uuid.uuid4().hex[:12]}")
+    rows.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    ranged = spark.read.parquet(path)
+    run = Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per partition, so this window over all of them is small
+    earlier = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    prior = (ranged.groupBy("__p").agg(F.sum(counted).alias("__n"))
+             .select("__p", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__prior")))
+    local = ranged.withColumn("__run", F.sum(counted).over(run))
+    return local.join(prior, "__p").withColumn("__g", F.col("__prior") + F.col("__run")).drop("__p", "__prior", "__run")
 
 
 def trailing_count(df: DataFrame, window_seconds: int, key: str = "district", ts: str = "ts",
-                   order: str = "id", out: str = "event_count", bucket_factor: int = 4,
-                   method: str = "bucket", max_bucket_rows: int = 20_000_000) -> DataFrame:
-    """Append ``out`` = events of the same key in ``[ts - W, ts]`` up to this one.
-
-    ``method="bucket"`` (default): one shuffle, window per (key, time bucket
-    of ``bucket_factor * W``). ``method="ranked"``: ``trailing_count_ranked``,
-    bounded for any density, ~3x the work (measured). ``method="auto"``
-    measures the largest (key, bucket) first and switches to ``ranked`` above
-    ``max_bucket_rows``.
-    """
-    if method == "ranked":
-        return trailing_count_ranked(df, window_seconds, key, ts, order, out)
-    if method == "auto":
-        b_us = int(window_seconds) * 1_000_000 * max(int(bucket_factor), 1)
-        largest = (df.groupBy(F.col(key), F.expr(f"{_micros_sql(df, ts)} div {b_us}").alias("__b"))
-                   .count().agg(F.max("count")).first()[0]) or 0
-        if largest > max_bucket_rows:
-            return trailing_count_ranked(df, window_seconds, key, ts, order, out)
-    tagged, w_us = _bucketed(df, window_seconds, ts, bucket_factor)
-    frame = Window.partitionBy(key, "__p").orderBy("__t").rangeBetween(-w_us, 0)
-    peers = Window.partitionBy(key, "__p", "__t")
-    counted = (tagged
-               .withColumn("__raw", F.count(F.lit(1)).over(frame))
-               .withColumn("__peers", F.count(F.lit(1)).over(peers))
-               .withColumn("__rank", F.row_number().over(peers.orderBy(order)))
-               .filter(~F.col("__ctx")))
-    return counted.withColumn(out, F.col("__raw") - F.col("__peers") + F.col("__rank")).drop(
-        "__t", "__b", "__ctx", "__p", "__raw", "__peers", "__rank")
-
-
-def trailing_count_ranked(df: DataFrame, window_seconds: int, key: str = "district", ts: str = "ts",
-                          order: str = "id", out: str = "event_count", bucket_seconds: int | None = None
-                          ) -> DataFrame:
-    """Same result as ``trailing_count``; work per task is bounded for any window length.
-
-    Positions instead of frames: with ``rank(e)`` the position of event ``e``
-    in its key's (ts, order) sequence and ``before(x)`` the number of the key's
-    events with time ``< x``, the count is ``rank(e) - before(ts - W)``.
-
-    Time is cut into buckets (default ``W / 4``; any width is exact). Each
-    event also emits a probe at ``ts - W``. Inside each (key, bucket) a
-    running count over (time, probe-first, order) gives local positions of
-    events and probes; probes sort before events of equal time, so the event
-    exactly ``W`` old stays counted. The key's exclusive prefix of per-bucket
-    event totals (over buckets holding events or probes) turns local positions
-    into global ones, and one equi-join on (key, order) pairs each event with
-    its probe. A key holding a third of all rows is spread over its buckets;
-    the only per-key step runs over bucket totals (one row per bucket), and
-    no step emits pairs.
+                   order: str = "id", out: str = "event_count", work: str | None = None) -> DataFrame:
+    """Append ``out`` = events of the same key in ``[ts - W, ts]`` up to this one; NULL where ``ts`` is.
+
+    ``work`` names the folder of the intermediate table (default: a new one
+    under the checkpoint folder).
     """
     w_us = int(window_seconds) * 1_000_000
-    b_us = int(bucket_seconds) * 1_000_000 if bucket_seconds else max(w_us // 4, 1)
-    same_key = lambda a, b: a["__k"].eqNullSafe(b["__k"])
-    ev = (df.withColumn("__k", F.col(key)).withColumn("__o", F.col(order))
-          .withColumn("__t", micros(df, ts)).withColumn("__kind", F.lit(1)))
-    pr = ev.select("__k", "__o", (F.col("__t") - F.lit(w_us)).alias("__t"), F.lit(0).alias("__kind"))
-    u = ev.unionByName(pr, allowMissingColumns=True).withColumn(
-        "__b", F.expr(f"(__t - pmod(__t, {b_us})) div {b_us}"))
-    run = Window.partitionBy("__k", "__b").orderBy("__t", "__kind", "__o").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = u.withColumn("__pos", F.sum("__kind").over(run))
-    prior = (u.groupBy("__k", "__b").agg(F.sum("__kind").alias("__n"))
-             .withColumn("__prior", F.coalesce(F.sum("__n").over(
-                 Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0)))
-             .select(F.col("__k").alias("__pk"), F.col("__b").alias("__pb"), "__prior"))
-    glob = local.join(prior, F.col("__k").eqNullSafe(F.col("__pk")) & (F.col("__b") == F.col("__pb"))) \
-        .withColumn("__g", F.col("__prior") + F.col("__pos"))
-    events = glob.filter(F.col("__kind") == 1)
-    probes = glob.filter(F.col("__kind") == 0).select(
-        F.col("__k").alias("__qk"), F.col("__o").alias("__qo"), F.col("__g").alias("__before"))
-    paired = events.join(probes, F.col("__k").eqNullSafe(F.col("__qk")) & (F.col("__o") == F.col("__qo")))
-    return paired.withColumn(out, F.col("__g") - F.col("__before")).select(*df.columns, out)
-
-
-def global_position(df: DataFrame, key: str, ts: str, order: str, bucket_seconds: int) -> DataFrame:
-    """Append ``__pos``: 1-based position of each row in its key's (ts, order) sequence.
-
-    A running count per (key, time bucket) plus the key's exclusive prefix of
-    bucket sizes; no task ever holds more than one bucket of one key.
+    t = micros(df, ts)
+    rows = df.select(F.col(key).alias("__k"), F.col(order).alias("__o"), t.alias("__t0"),
+                     F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"),
+                     F.monotonically_increasing_id().alias("__r"))
+    both = rows.select("__k", "__o", "__r", F.inline(F.array(
+        F.struct(F.col("__t0").alias("__t"), F.lit(1).alias("__kind"), F.col("__row").alias("__row")),
+        F.struct((F.col("__t0") - F.lit(w_us)).alias("__t"), F.lit(0).alias("__kind"), F.lit(None).alias("__row")))))
+    placed = _positions(both, ["__k", "__t", "__kind", "__o", "__r"], "__kind", work)
+    paired = placed.groupBy("__r").agg(
+        F.first("__row", ignorenulls=True).alias("__row"), F.max("__t").alias("__t"),
+        F.sum(F.when(F.col("__kind") == 1, F.col("__g")).otherwise(-F.col("__g"))).alias("__c"))
+    return paired.select("__row.*", F.when(F.col("__t").isNotNull(), F.col("__c")).alias(out))
+
+
+def global_position(df: DataFrame, key: str, ts: str, order: str, work: str | None = None) -> DataFrame:
+    """Append ``__t`` (microseconds) and ``__pos``, the position in the order (key, time, order column, row) of all rows.
+
+    Positions of one key are consecutive.
     """
-    b_us = max(int(bucket_seconds) * 1_000_000, 1)
-    rows = df.withColumn("__t", micros(df, ts)).withColumn(
-        "__b", F.expr(f"(__t - pmod(__t, {b_us})) div {b_us}"))
-    local = rows.withColumn("__lp", F.row_number().over(
-        Window.partitionBy(key, "__b").orderBy("__t", order)))
-    prior = (rows.groupBy(F.col(key).alias("__pk"), F.col("__b").alias("__pb"))
-             .agg(F.count(F.lit(1)).alias("__n"))
-             .withColumn("__prior", F.coalesce(F.sum("__n").over(
-                 Window.partitionBy("__pk").orderBy("__pb").rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0))))
-    return (local.join(prior, F.col(key).eqNullSafe(F.col("__pk")) & (F.col("__b") == F.col("__pb")))
-            .withColumn("__pos", F.col("__prior") + F.col("__lp"))
-            .drop("__pk", "__pb", "__n", "__prior", "__lp", "__b"))
+    rows = df.withColumns({"__t": micros(df, ts), "__r": F.monotonically_increasing_id(), "__one": F.lit(1)})
+    return _positions(rows, [key, "__t", order, "__r"], "__one", work).withColumnRenamed("__g", "__pos").drop("__r", "__one")
 
 
 def previous_within(df: DataFrame, window_seconds: int, value: str, out: str, key: str = "district",
-                    ts: str = "ts", order: str = "id", bucket_factor: int = 4,
-                    method: str = "bucket") -> DataFrame:
-    """Append ``out`` = ``value`` of the key's previous row (by ts, then order) if at most W older.
-
-    ``method="bucket"``: same bucketed partitioning as ``trailing_count``; a
-    previous row at most ``W`` older is always in the bucket or among its
-    context copies. ``method="ranked"``: the predecessor is the row at
-    position - 1 of the same key (``global_position``), found by one
-    equi-join, so even a key dense within one window is never in one task.
-    Older predecessors give NULL either way.
+                    ts: str = "ts", order: str = "id", work: str | None = None) -> DataFrame:
+    """Append ``out`` = ``value`` of the key's previous row (by ts, then order) if at most W older, else NULL.
+
+    The previous row is the one at the position before, found by one equi-join
+    on positions, which are unique.
     """
-    if method == "ranked":
-        w_us = int(window_seconds) * 1_000_000
-        ranked = global_position(df, key, ts, order, max(int(window_seconds) // 4, 1))
-        prev = ranked.select(F.col(key).alias("__qk"), (F.col("__pos") + 1).alias("__qpos"),
-                             F.col("__t").alias("__qt"), F.col(value).alias("__qv"))
-        j = ranked.join(prev, F.col(key).eqNullSafe(F.col("__qk")) & (F.col("__pos") == F.col("__qpos")),
-                        "left")
-        return j.withColumn(out, F.when(F.col("__t") - F.col("__qt") <= F.lit(w_us), F.col("__qv"))) \
-            .select(*df.columns, out)
-    tagged, w_us = _bucketed(df, window_seconds, ts, bucket_factor)
-    w = Window.partitionBy(key, "__p").orderBy("__t", order)
-    prev_t, prev_v = F.lag("__t").over(w), F.lag(value).over(w)
-    return (tagged.withColumn("__pt", prev_t).withColumn("__pv", prev_v)
-            .filter(~F.col("__ctx"))
-            .withColumn(out, F.when(F.col("__t") - F.col("__pt") <= F.lit(w_us), F.col("__pv")))
-            .drop("__t", "__b", "__ctx", "__p", "__pt", "__pv"))
+    w_us = int(window_seconds) * 1_000_000
+    placed = global_position(df, key, ts, order, work)
+    prev = placed.select(F.col(key).alias("__qk"), (F.col("__pos") + 1).alias("__pos"),
+                         F.col("__t").alias("__qt"), F.col(value).alias("__qv"))
+    near = F.col(key).eqNullSafe(F.col("__qk")) & (F.col("__t") - F.col("__qt") <= F.lit(w_us))
+    return placed.join(prev, "__pos", "left").withColumn(out, F.when(near, F.col("__qv"))).select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 def sliding_counts(df: DataFrame, window: str, slide: str, key: str = "district",

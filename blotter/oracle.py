@@ -13,7 +13,14 @@ INCIDENTS = """incidents AS (
          CASE WHEN event_id % 37 = 0 THEN NULL ELSE event_type END AS primary_type,
          CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(user_id % 25 AS VARCHAR) END AS district,
          CAST(user_id % 77 AS VARCHAR) AS community_area,
-         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) < 25 THEN 'TRUE' ELSE 'FALSE' END AS arrest
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) < 25 THEN 'TRUE' ELSE 'FALSE' END AS arrest,
+         CASE WHEN event_id % 97 = 0 THEN '13/40/' || strftime(ts, '%Y %I:%M:%S %p')
+              WHEN event_id % 7 = 0 THEN lower(strftime(ts, '%m/%d/%Y %I:%M:%S %p'))
+              ELSE strftime(ts, '%m/%d/%Y %I:%M:%S %p') END AS date_text,
+         lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') || 'XX E MAIN ST' AS block,
+         '41.' || CAST(user_id % 9000 + 1000 AS VARCHAR) AS latitude,
+         '-87.' || CAST(event_id % 9000 + 1000 AS VARCHAR) AS longitude,
+         upper(event_type) AS description, CAST(user_id % 300 AS VARCHAR) AS beat
   FROM events)"""
 
 ARRESTS = """arrests AS (
@@ -210,13 +217,26 @@ SELECT id, value, missing FROM (
 WHERE missing <> ''"""
 ORACLE["route_key"] = _with(INCIDENTS, ACCEPTED) + "SELECT id, coalesce(district, 'UNKNOWN') AS route_key FROM accepted"
 ORACLE["events_to_json"] = _with(INCIDENTS) + """
-SELECT id, json_object('CASE NUMBER', case_number, 'DATE', strftime(ts, '%m/%d/%Y %I:%M:%S %p'), 'BLOCK', '',
+SELECT id, json_object('CASE NUMBER', case_number, 'DATE', date_text, 'BLOCK', block,
                        'PRIMARY TYPE', coalesce(primary_type, ''), 'DISTRICT', district, 'ARREST', arrest,
-                       'LATITUDE', '', 'LONGITUDE', '', 'DESCRIPTION', '',
-                       'COMMUNITY AREA', community_area, 'BEAT', '')::VARCHAR AS value
+                       'LATITUDE', latitude, 'LONGITUDE', longitude, 'DESCRIPTION', description,
+                       'COMMUNITY AREA', community_area, 'BEAT', beat)::VARCHAR AS value
 FROM incidents WHERE district IS NOT NULL AND district <> '' AND case_number <> ''"""
 ORACLE["trailing_count"] = _STREAM + "SELECT * FROM trail"
 ORACLE["trailing_count_ranked"] = ORACLE["trailing_count"]
+
+def _ties_sql(copies: int) -> str:
+    return _with(INCIDENTS, ACCEPTED) + f"""
+SELECT id, ts, district,
+       count(*) OVER (PARTITION BY district ORDER BY ts
+                      RANGE BETWEEN INTERVAL {W_SECONDS} SECONDS PRECEDING AND CURRENT ROW)
+       - count(*) OVER (PARTITION BY district, ts)
+       + row_number() OVER (PARTITION BY district, ts ORDER BY id) AS event_count
+FROM (SELECT id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, district FROM accepted, range({copies}))"""
+
+
+ORACLE["trailing_count_ties"] = _ties_sql(1)
+ORACLE["trailing_count_repeats"] = _ties_sql(2)
 ORACLE["alerts"] = _STREAM + "SELECT * FROM alerts"
 ORACLE["alerts_crossing"] = _STREAM + f"""
 SELECT district, ts AS timestamp, CAST(event_count AS INTEGER) AS event_count,
@@ -379,6 +399,11 @@ ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
 # The streaming runs must reproduce their batch forms exactly.
 ORACLE["stream_alerts"] = ORACLE["alerts"]
 ORACLE["stream_alerts_table"] = ORACLE["alerts"]
+ORACLE["stream_alerts_state_store"] = ORACLE["alerts"]
+ORACLE["stream_alert_documents"] = ORACLE["alerts"]
+ORACLE["stream_rejected"] = ORACLE["rejected_events"]
+ORACLE["stream_raw_events"] = ORACLE["validate_events"]
+ORACLE["stream_window_alerts"] = ORACLE["window_alerts"]
 ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
 
 STATIONS = """stations AS (

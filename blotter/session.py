@@ -39,8 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when nothing is configured (local tests) a private folder is
-    created and registered.
+    as is; without it this raises, because a folder of the driver's machine is
+    not the executors'. Only a session in one process (local tests) gets a
+    private folder.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -49,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to storage that every executor of {master} shares")
     local = tempfile.mkdtemp(prefix="blotter-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
@@ -65,3 +69,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is under it, on whichever file system it is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -23,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> id, case_number, ts, primary_type, district, community_area, arrest."""
+    """events -> id, case_number, ts, date (text; impossible where id % 97 = 0), primary_type, district,
+    community_area, arrest, block, latitude, longitude, description, beat (texts)."""
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
@@ -36,6 +37,12 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise((F.col("user_id") % N_DISTRICTS).cast("string")).alias("district"),
         (F.col("user_id") % N_AREAS).cast("string").alias("community_area"),
         F.when(k < 25, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("arrest"),
+        _date_text(F.col("ts"), F.col("event_id")).alias("date"),
+        F.concat(F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("XX E MAIN ST")).alias("block"),
+        F.concat(F.lit("41."), (F.col("user_id") % 9000 + 1000).cast("string")).alias("latitude"),
+        F.concat(F.lit("-87."), (F.col("event_id") % 9000 + 1000).cast("string")).alias("longitude"),
+        F.upper("event_type").alias("description"),
+        (F.col("user_id") % 300).cast("string").alias("beat"),
     )
 
 

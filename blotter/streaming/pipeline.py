@@ -1,38 +1,43 @@
 """Streaming alert pipeline.
 
     readStream -> from_json -> validate -> (accepted, rejected)
-    accepted -> groupBy(district).applyInPandasWithState(trailing count)
+    accepted -> foreachBatch: trailing count over history + batch
              -> filter(count > threshold) -> alert projection
-             -> foreachBatch: alert rows (Parquet/JDBC) + alert documents (JSON)
-
-Delivery: the source is replayable (files or a broker), progress and state
-are checkpointed under ``spark.checkpoint.dir``, and the sink overwrites a
-folder keyed by the micro-batch id, so a batch replayed after a failure
-replaces its own output: each event yields its alert exactly once.
-
-State, two modes. (1) State store (``trailing_count_stream``): per district
-the sorted event times inside the window. Within a micro-batch a district's
-rows are processed in (ts, id) order; eviction uses the largest time seen, so
-a late row is counted by its own time but cannot revive evicted rows. The
-rows of one district in one micro-batch meet in one group: bound the batch
-with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``; the state itself is
-bounded by the window length. (2) Table state (``table_state_alert_sink``):
-the in-window events are a Parquet table versioned by batch id and each
-micro-batch runs the distributed ``trailing_count`` over history + batch, so
-no district is ever one group. For in-order input both equal
-``blotter.operators.windows.trailing_count``.
+             -> alert rows (Parquet/JDBC) + alert documents (JSON)
+
+Delivery: the source is replayable (files or a broker), progress is
+checkpointed in a folder the caller names (a restart must find it again), and
+sinks overwrite what they wrote under the same query name and micro-batch id,
+so a batch replayed after a failure replaces its own output: each event yields
+its alert exactly once. A query started on a fresh checkpoint counts its
+batches from 0 again; under a new name it leaves older output alone. Each
+micro-batch is persisted while its sinks run, so the source is read once.
+
+State, two modes. (1) Table state (``table_state_alert_sink``, the default of
+the command line): the in-window events are a Parquet table versioned by batch
+id and each micro-batch runs the distributed ``trailing_count`` over history +
+batch, so no district is ever one group. (2) State store
+(``trailing_count_stream``): per district the sorted event times inside the
+window, for streams of moderate rate; the rows of one district in one
+micro-batch meet in one group, so bound the batch with ``maxFilesPerTrigger`` /
+``maxOffsetsPerTrigger``. Eviction uses the largest time seen, so a late row is
+counted by its own time but cannot revive evicted rows. For in-order input both
+equal ``blotter.operators.windows.trailing_count``.
 
 Sources: files with ``id, ts, value`` rows, or broker records mapped by
-``from_broker_rows``. Sinks: ``batch_sink`` (rows + JSON documents),
+``from_broker_rows``. Messages without a time are rejected. Sinks: ``batch_sink``
+(rows + JSON documents), ``jdbc_target`` (a database table),
 ``raw_event_sink`` (accepted events), ``publish_messages`` (producer side).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -40,7 +45,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from blotter.operators import alerts as AL
 from blotter.operators import messages as MS
 from blotter.operators.windows import micros
-from blotter.session import scratch_path
+from blotter.session import delete_path, path_exists, scratch_path
 
 COUNT_SCHEMA = "district string, id long, ts timestamp_ntz, event_count long"
 STATE_SCHEMA = "times array<long>"
@@ -68,15 +73,9 @@ def publish_messages(incidents: DataFrame, path: str | None = None, fmt: str = "
     Only rows with a case number and a district are sent. ``fmt="text"``
     writes JSON lines to ``path``; a broker format (e.g. ``"kafka"`` with its
     ``topic`` / bootstrap options) receives ``key`` and ``value`` columns.
-    Columns: ``case_number, ts, primary_type, district, arrest, community_area``
-    (any may be absent).
+    Columns: those of ``operators.messages.incident_fields`` (any may be absent).
     """
-    cols = set(incidents.columns)
-    pick = lambda c: F.col(c) if c in cols else F.lit(None)
-    fields = {"CASE NUMBER": pick("case_number"),
-              "DATE": F.date_format("ts", "MM/dd/yyyy hh:mm:ss a") if "ts" in cols else F.lit(None),
-              "PRIMARY TYPE": pick("primary_type"), "DISTRICT": pick("district"),
-              "ARREST": pick("arrest"), "COMMUNITY AREA": pick("community_area")}
+    fields = MS.incident_fields(incidents)
     out = incidents.filter(MS.publishable(fields)).select(
         fields["CASE NUMBER"].cast("string").alias("key"), MS.to_message(fields).alias("value"))
     if fmt == "text":
@@ -91,18 +90,18 @@ def publish_messages(incidents: DataFrame, path: str | None = None, fmt: str = "
         w.save()
 
 
-def from_broker_rows(df: DataFrame, partition_bits: int = 40) -> DataFrame:
+def from_broker_rows(df: DataFrame) -> DataFrame:
     """Map broker records (Kafka source schema: key, value, topic, partition, offset,
     timestamp, ...) to the message rows the pipeline reads: ``id, ts, value``.
 
-    ``id`` orders records like arrival within a partition: partition number in
-    the high bits, offset in the low ``partition_bits`` bits. ``ts`` is the
-    record timestamp as a wall-clock NTZ value in UTC, independent of the
-    session zone.
+    ``id`` is the record's offset, which orders records as they arrived within a
+    partition; records of different topics or partitions may share it, and count
+    as separate events. ``ts`` is the record timestamp as a wall-clock NTZ value
+    in UTC, independent of the session zone.
     """
     ntz_epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
     return df.select(
-        (F.col("partition").cast("long") * F.lit(1 << partition_bits) + F.col("offset")).alias("id"),
+        F.col("offset").cast("long").alias("id"),
         F.expr(f"timestampadd(MICROSECOND, unix_micros(timestamp), {ntz_epoch})").alias("ts"),
         F.col("value").cast("string").alias("value"))
 
@@ -212,10 +211,53 @@ def rejected_event_sink(messages: DataFrame, path: str, checkpoint: str, trigger
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet", mart: str | None = None):
-    """foreachBatch writer: overwrite ``batch_id=<n>`` so a replay is idempotent.
+@contextmanager
+def persisted(batch: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch computed once for all that is written from it."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
 
-    Each target is written independently; the document copy is optional.
+
+def batch_folder(base: str, query: str, batch_id: int) -> str:
+    """Where a sink keeps the output of one micro-batch of one query."""
+    return f"{base.rstrip('/')}/query={query}/batch_id={batch_id}"
+
+
+def run_sql(spark: SparkSession, url: str, properties: dict, sql: str) -> None:
+    """One statement on a JDBC connection of the driver."""
+    props = spark.sparkContext._jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, str(v))
+    con = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        con.createStatement().executeUpdate(sql)
+    finally:
+        con.close()
+
+
+def jdbc_target(url: str, table: str, properties: dict | None = None, execute=run_sql):
+    """Writer of a micro-batch into a database table: delete what the query wrote for the batch, then append.
+
+    The table has the row's columns and ``query_name``, ``batch_id``. ``execute``
+    runs the delete (replaceable where there is no database).
+    """
+    props = dict(properties or {})
+
+    def write(batch: DataFrame, query: str, batch_id: int) -> None:
+        name = query.replace("'", "''")
+        execute(batch.sparkSession, url, props, f"DELETE FROM {table} WHERE query_name = '{name}' AND batch_id = {int(batch_id)}")
+        batch.withColumns({"query_name": F.lit(query), "batch_id": F.lit(int(batch_id)).cast("long")}).write.jdbc(url, table, "append", props)
+    return write
+
+
+def batch_sink(out_dir: str | None, docs_dir: str | None = None, fmt: str = "parquet", mart: str | None = None, query: str = "alerts", jdbc=None):
+    """foreachBatch writer: overwrites the query's ``batch_id=<n>``, so a replay is idempotent.
+
+    Each target is written independently; rows as files (``out_dir``), documents
+    (``docs_dir``) and database rows (``jdbc``, a ``jdbc_target``) are optional.
     ``mart="alerts"`` conforms the rows to the stored alerts schema and adds
     the ``created_at`` audit time, as the alerts table does on insert.
     """
@@ -223,50 +265,63 @@ def batch_sink(out_dir: str, docs_dir: str | None = None, fmt: str = "parquet",
         if mart:
             from blotter.sources.marts import conform
             batch = conform(batch, mart)
-        target = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
-        batch.write.mode("overwrite").format(fmt).save(target)
-        if docs_dir:
-            (batch.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-             .json(f"{docs_dir.rstrip('/')}/batch_id={batch_id}"))
+        with persisted(batch) as rows:
+            if out_dir:
+                rows.write.mode("overwrite").format(fmt).save(batch_folder(out_dir, query, batch_id))
+            if docs_dir:
+                (rows.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                 .json(batch_folder(docs_dir, query, batch_id)))
+            if jdbc:
+                jdbc(rows, query, batch_id)
     return write
 
 
 HISTORY_SCHEMA = "id long, ts timestamp_ntz, district string"
+#: History versions kept: the one read, the one written, and one for a replay.
+VERSIONS = 3
 
 
-def table_state_alert_sink(history_dir: str, out_dir: str, window_seconds: int, threshold: int,
-                           docs_dir: str | None = None, method: str = "auto"):
+def table_state_alert_sink(history_dir: str, out_dir: str | None, window_seconds: int, threshold: int,
+                           docs_dir: str | None = None, query: str = "alerts", mart: str | None = None, jdbc=None):
     """foreachBatch writer keeping the window state as a versioned table instead of in a state store.
 
     Batch ``n`` reads history version ``n-1`` (the events still inside the
     window), unions the accepted events of the batch, and runs the batch
-    operator ``trailing_count`` (time buckets, or positions for keys dense
-    within one window), so a district holding a third of a micro-batch is
-    spread over many tasks. It writes the batch's alerts and history version
-    ``n`` (events with time >= newest of their district - W), both keyed by
-    the batch id: a replayed batch re-reads the same version and overwrites
-    its own outputs. Input: accepted events with ``id, ts, district``.
+    operator ``trailing_count``, so a district holding a third of a micro-batch
+    is spread over many tasks. It writes the batch's alerts and history version
+    ``n`` (events with time >= newest of their district - W), both keyed by the
+    query and the batch id: a replayed batch re-reads the same version and
+    overwrites its own outputs. A missing version raises, because the window
+    would silently start empty; versions beyond ``VERSIONS`` are deleted.
+    Input: accepted events with ``id, ts, district``.
     """
     from blotter.operators.windows import trailing_count
-    from blotter.session import path_exists
     w_us = int(window_seconds) * 1_000_000
+    base = f"{history_dir.rstrip('/')}/query={query}"
+    sink = batch_sink(out_dir, docs_dir, mart=mart, query=query, jdbc=jdbc)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        previous = f"{history_dir.rstrip('/')}/v={batch_id - 1}"
-        if batch_id > 0 and path_exists(spark, previous):
-            hist = spark.read.schema(HISTORY_SCHEMA).parquet(previous)
-        else:
+        if batch_id == 0:
             hist = spark.createDataFrame([], HISTORY_SCHEMA)
+        elif path_exists(spark, f"{base}/v={batch_id - 1}"):
+            hist = spark.read.schema(HISTORY_SCHEMA).parquet(f"{base}/v={batch_id - 1}")
+        else:
+            raise RuntimeError(f"history version {batch_id - 1} of query {query} is missing under {base}")
         new = batch.select("id", "ts", "district").withColumn("__new", F.lit(True))
-        both = hist.withColumn("__new", F.lit(False)).unionByName(new)
-        counts = trailing_count(both, window_seconds, method=method)
-        batch_sink(out_dir, docs_dir)(AL.alert_records(counts.filter("__new"), threshold), batch_id)
-        t = micros(both, "ts")
-        newest = both.groupBy(F.col("district").alias("__d")).agg(F.max(t).alias("__newest"))
-        keep = (both.join(newest, F.col("district") == F.col("__d"))
-                .filter(t >= F.col("__newest") - F.lit(w_us)).select("id", "ts", "district"))
-        keep.write.mode("overwrite").parquet(f"{history_dir.rstrip('/')}/v={batch_id}")
+        with persisted(hist.withColumn("__new", F.lit(False)).unionByName(new)) as both:
+            work = f"{base}/work/batch_id={batch_id}"
+            try:
+                counts = trailing_count(both, window_seconds, work=work)
+                sink(AL.alert_records(counts.filter("__new"), threshold), batch_id)
+            finally:
+                delete_path(spark, work)
+            t = micros(both, "ts")
+            newest = both.groupBy(F.col("district").alias("__d")).agg(F.max(t).alias("__newest"))
+            keep = (both.join(newest, F.col("district").eqNullSafe(F.col("__d")))
+                    .filter(t >= F.col("__newest") - F.lit(w_us)).select("id", "ts", "district"))
+            keep.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
+        delete_path(spark, f"{base}/v={batch_id - VERSIONS}")
     return write
 
 
@@ -282,63 +337,106 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, output_mode: str = "
     return q
 
 
-def stage_messages(messages: DataFrame, path: str, chunks: int) -> None:
-    """Write message rows as ``chunks`` time-ordered appends, so a file source replays them in order.
+MESSAGE_SCHEMA = "id long, ts timestamp_ntz, value string"
+
+
+def arrivals(messages: DataFrame, path: str, chunks: int) -> Iterator[int]:
+    """Append the message rows to ``path`` as ``chunks`` arrivals in time order; yields after each.
+
+    Every arrival is written by as many tasks as hold its rows. The consumer
+    runs its stream between arrivals, so replay order never rests on file
+    times. Rows without a time arrive first.
+    """
+    t = micros(messages, "ts")
+    with persisted(messages.withColumn("__t", t)) as rows:
+        bounds = rows.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
+        lo, hi = int(bounds["lo"] or 0), int(bounds["hi"] or 0) + 1
+        step = -(-(hi - lo) // chunks)
+        for i in range(chunks):
+            here = (F.col("__t") >= F.lit(lo + i * step)) & (F.col("__t") < F.lit(lo + (i + 1) * step))
+            rows.filter(here | F.col("__t").isNull() if i == 0 else here).drop("__t").write.mode("append").parquet(path)
+            yield i
+
+
+def replay(spark: SparkSession, messages: DataFrame, work: str, chunks: int, build, sink, output_mode: str = "append") -> None:
+    """One catch-up run of the stream per arrival, on one checkpoint.
 
-    The messages are materialised once (``{path}_staged``, with their time in
-    microseconds); each chunk is then a filtered read of that copy.
+    ``build`` maps the message stream to the stream that ``sink`` gets.
     """
-    spark = messages.sparkSession
-    staged = f"{path.rstrip('/')}_staged"
-    messages.withColumn("__t", micros(messages, "ts")).write.mode("overwrite").parquet(staged)
-    copy = spark.read.parquet(staged)
-    bounds = copy.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
-    step = -(-(hi - lo) // chunks)
-    for i in range(chunks):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (copy.filter((F.col("__t") >= F.lit(a)) & (F.col("__t") < F.lit(b))).drop("__t")
-         .coalesce(1).write.mode("append").parquet(path))
+    for _ in arrivals(messages, f"{work}/source", chunks):
+        stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
+        run_available_now(build(stream), sink, f"{work}/checkpoint", output_mode)
+
+
+def accepted_events(messages: DataFrame) -> DataFrame:
+    """What the alert sinks take: the accepted messages' id, time and district."""
+    return validated_stream(messages)[0].select("id", "ts", "district")
+
+
+ALERT_COLUMNS = ["district", "timestamp", "event_count", "threshold", "severity"]
 
 
 def stream_alerts(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
                   chunks: int = 4, work: str | None = None) -> DataFrame:
-    """Run the alert stream over ``messages`` (file source, one chunk per trigger); read the sink."""
+    """Run the alert stream (table state) over ``messages``; read the alert rows."""
     work = work or scratch_path(spark, "stream")
-    src, out = f"{work}/source", f"{work}/alerts"
-    stage_messages(messages, src, chunks)
-    stream = read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
-                           options={"maxFilesPerTrigger": "1"})
-    run_available_now(build_alert_stream(stream, window_seconds, threshold), batch_sink(out, mart="alerts"),
-                      f"{work}/checkpoint")
-    return spark.read.parquet(out).select("district", "timestamp", "event_count", "threshold", "severity")
-
-
-def stream_alerts_table_state(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
-                              chunks: int = 4, work: str | None = None, method: str = "auto") -> DataFrame:
-    """Run the alert stream with table state (``table_state_alert_sink``); read the sink."""
-    work = work or scratch_path(spark, "stream-table")
-    src, out = f"{work}/source", f"{work}/alerts"
-    stage_messages(messages, src, chunks)
-    stream = read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
-                           options={"maxFilesPerTrigger": "1"})
-    accepted, _ = validated_stream(stream)
-    run_available_now(accepted.select("id", "ts", "district"),
-                      table_state_alert_sink(f"{work}/history", out, window_seconds, threshold, method=method),
-                      f"{work}/checkpoint")
-    return spark.read.parquet(out).drop("batch_id")
+    sink = table_state_alert_sink(f"{work}/history", f"{work}/alerts", window_seconds, threshold, mart="alerts")
+    replay(spark, messages, work, chunks, accepted_events, sink)
+    return spark.read.parquet(f"{work}/alerts").select(*ALERT_COLUMNS)
+
+
+def stream_alerts_state_store(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
+                              chunks: int = 4, work: str | None = None) -> DataFrame:
+    """Run the alert stream with the window in the state store; read the alert rows."""
+    work = work or scratch_path(spark, "stream-store")
+    replay(spark, messages, work, chunks, lambda m: build_alert_stream(m, window_seconds, threshold), batch_sink(f"{work}/alerts", mart="alerts"))
+    return spark.read.parquet(f"{work}/alerts").select(*ALERT_COLUMNS)
+
+
+def stream_alert_documents(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int,
+                           chunks: int = 4, work: str | None = None) -> DataFrame:
+    """Run the alert stream into both sinks; read the document copy."""
+    from blotter.sources.marts import read_alert_docs
+    work = work or scratch_path(spark, "stream-docs")
+    sink = table_state_alert_sink(f"{work}/history", f"{work}/alerts", window_seconds, threshold, docs_dir=f"{work}/docs")
+    replay(spark, messages, work, chunks, accepted_events, sink)
+    return read_alert_docs(spark, f"{work}/docs").select(*ALERT_COLUMNS)
+
+
+def stream_rejected(spark: SparkSession, messages: DataFrame, chunks: int = 4, work: str | None = None) -> DataFrame:
+    """Run the dead-letter sink over ``messages``; read it."""
+    work = work or scratch_path(spark, "stream-rejected")
+    for _ in arrivals(messages, f"{work}/source", chunks):
+        stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
+        rejected_event_sink(stream, f"{work}/rejected", f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/rejected")
+
+
+def stream_raw_events(spark: SparkSession, messages: DataFrame, chunks: int = 4, work: str | None = None) -> DataFrame:
+    """Run the raw-event sink over ``messages``; read it."""
+    work = work or scratch_path(spark, "stream-raw")
+    for _ in arrivals(messages, f"{work}/source", chunks):
+        stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
+        raw_event_sink(validated_stream(stream)[0], f"{work}/raw", f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/raw")
+
+
+def stream_window_alerts(spark: SparkSession, messages: DataFrame, window: str, slide: str, watermark: str, threshold: int,
+                         chunks: int = 4, work: str | None = None) -> DataFrame:
+    """Run the sliding-window alert stream; the final alert of each window and district."""
+    work = work or scratch_path(spark, "stream-window-alerts")
+    replay(spark, messages, work, chunks, lambda m: build_window_alert_stream(m, window, slide, watermark, threshold),
+           batch_sink(f"{work}/alerts"), output_mode="update")
+    last = F.max(F.struct("event_count", "threshold", "severity")).alias("last")
+    found = spark.read.parquet(f"{work}/alerts").groupBy("district", "window_start", "window_end").agg(last)
+    return found.select("district", "window_start", "window_end", "last.*")
 
 
 def stream_window_counts(spark: SparkSession, messages: DataFrame, window: str, slide: str,
                          watermark: str, chunks: int = 4, work: str | None = None) -> DataFrame:
     """Sliding-window counts from the stream (update mode; final value = max per window)."""
     work = work or scratch_path(spark, "stream-windows")
-    src, out = f"{work}/source", f"{work}/windows"
-    stage_messages(messages, src, chunks)
-    stream = read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
-                           options={"maxFilesPerTrigger": "1"})
-    accepted, _ = validated_stream(stream)
-    run_available_now(sliding_window_stream(accepted, window, slide, watermark), batch_sink(out),
-                      f"{work}/checkpoint", output_mode="update")
-    return (spark.read.parquet(out).groupBy("window_start", "window_end", "district")
+    replay(spark, messages, work, chunks, lambda m: sliding_window_stream(validated_stream(m)[0], window, slide, watermark),
+           batch_sink(f"{work}/windows"), output_mode="update")
+    return (spark.read.parquet(f"{work}/windows").groupBy("window_start", "window_end", "district")
             .agg(F.max("event_count").alias("event_count")))

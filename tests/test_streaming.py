@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
@@ -11,6 +12,8 @@ from blotter.operators.windows import trailing_count
 from blotter.sources import testtables as TT
 from blotter.streaming import pipeline as SP
 
+ALERT = "district string, timestamp timestamp_ntz, event_count int, threshold int, severity string"
+
 
 def _rows(df):
     return sorted(tuple(r) for r in df.select("district", "timestamp", "event_count", "severity").collect())
@@ -36,7 +39,7 @@ def test_stream_equals_batch_and_restart_is_exact(spark, scratch):
         msgs.filter((F.col("ts") >= a) & (F.col("ts") < b)).coalesce(1).write.mode("append").parquet(src)
     run()
     run()                                   # nothing new: no extra output
-    got = spark.read.parquet(out).drop("batch_id")
+    got = spark.read.parquet(out).drop("query", "batch_id")
     assert _rows(got) == _rows(batch)
 
 
@@ -118,11 +121,8 @@ def test_window_alert_stream_equals_batch(spark, scratch):
     accepted, _ = SP.validated_stream(msgs)
     batch = window_alert_records(sliding_counts(accepted, "24 hours", "6 hours"), 10)
     src = f"{scratch}/src"
-    SP.stage_messages(msgs, src, 3)
-    stream = SP.read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
-                              options={"maxFilesPerTrigger": "1"})
-    SP.run_available_now(SP.build_window_alert_stream(stream, "24 hours", "6 hours", "48 hours", 10),
-                         SP.batch_sink(f"{scratch}/out"), f"{scratch}/ckpt", output_mode="update")
+    SP.replay(spark, msgs, scratch, 3, lambda m: SP.build_window_alert_stream(m, "24 hours", "6 hours", "48 hours", 10),
+              SP.batch_sink(f"{scratch}/out"), output_mode="update")
     got = (spark.read.parquet(f"{scratch}/out")
            .groupBy("district", "window_start", "window_end", "threshold", "severity")
            .agg(F.max("event_count").alias("event_count")))
@@ -135,26 +135,79 @@ def test_table_state_stream_equals_batch_and_replays(spark, scratch):
     msgs = TT.message_rows(spark, MEDIUM).filter(F.col("ts") < dt.datetime(2024, 1, 7))
     accepted, _ = SP.validated_stream(msgs)
     batch = alert_records(trailing_count(accepted.select("id", "ts", "district"), 24 * 3600), 10)
-    src = f"{scratch}/src"
-    SP.stage_messages(msgs, src, 3)
-    stream = SP.read_messages(spark, src, "parquet", schema="id long, ts timestamp_ntz, value string",
-                              options={"maxFilesPerTrigger": "1"})
-    acc, _ = SP.validated_stream(stream)
-    sink = SP.table_state_alert_sink(f"{scratch}/hist", f"{scratch}/out", 24 * 3600, 10, method="ranked")
-    SP.run_available_now(acc.select("id", "ts", "district"), sink, f"{scratch}/ckpt")
-    got = spark.read.parquet(f"{scratch}/out").drop("batch_id")
+    sink = SP.table_state_alert_sink(f"{scratch}/hist", f"{scratch}/out", 24 * 3600, 10)
+    held = []
+
+    def keeping(batch, batch_id):
+        held.append((batch_id, batch.collect(), batch.schema))
+        sink(batch, batch_id)
+
+    SP.replay(spark, msgs, scratch, 5, SP.accepted_events, keeping)
+    got = spark.read.parquet(f"{scratch}/out").drop("query", "batch_id")
     assert _rows(got) == _rows(batch)
     # replay the last micro-batch by hand (as after a failure before its commit)
-    import glob
+    last, rows, schema = held[-1]
+    version = f"{scratch}/hist/query=alerts/v={last}"
+    hist_before = sorted(tuple(r) for r in spark.read.parquet(version).collect())
+    sink(spark.createDataFrame(rows, schema), last)
+    assert _rows(spark.read.parquet(f"{scratch}/out").drop("query", "batch_id")) == _rows(batch)
+    assert sorted(tuple(r) for r in spark.read.parquet(version).collect()) == hist_before
+    # only the newest versions are kept, nothing else stays behind, and a missing version is an error
     import os
-    files = sorted(glob.glob(f"{src}/*.parquet"), key=os.path.getmtime)
-    last = max(int(p.split("=")[1]) for p in os.listdir(f"{scratch}/out") if p.startswith("batch_id="))
-    out_before = _rows(spark.read.parquet(f"{scratch}/out").drop("batch_id"))
-    hist_before = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/hist/v={last}").collect())
-    last_acc, _ = SP.validated_stream(spark.read.parquet(files[-1]))
-    sink(last_acc.select("id", "ts", "district"), last)
-    assert _rows(spark.read.parquet(f"{scratch}/out").drop("batch_id")) == out_before
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/hist/v={last}").collect()) == hist_before
+    assert sorted(os.listdir(f"{scratch}/hist/query=alerts")) == [f"v={last - 2}", f"v={last - 1}", f"v={last}", "work"]
+    assert os.listdir(f"{scratch}/hist/query=alerts/work") == []
+    with pytest.raises(RuntimeError, match="history version"):
+        sink(spark.createDataFrame(rows, schema), last + 5)
+
+
+def test_new_query_name_leaves_old_alerts_alone(spark, scratch):
+    old = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 11, 10, "MEDIUM")], ALERT)
+    new = spark.createDataFrame([("2", dt.datetime(2024, 1, 2), 12, 10, "MEDIUM")], ALERT)
+    SP.batch_sink(f"{scratch}/a", query="first")(old, 0)
+    SP.batch_sink(f"{scratch}/a", query="second")(new, 0)
+    assert {r.district for r in spark.read.parquet(f"{scratch}/a").collect()} == {"1", "2"}
+
+
+def test_micro_batch_is_computed_once(spark, scratch):
+    """Ten upstream rows are read ten times in all, whatever number of sinks writes them."""
+    from pyspark.sql.types import StringType
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    udf = F.udf(count, StringType()).asNondeterministic()
+    rows = spark.createDataFrame([(i, dt.datetime(2024, 1, 1), "a") for i in range(10)], "id long, ts timestamp_ntz, district string")
+    batch = rows.withColumn("district", udf("district"))
+    SP.table_state_alert_sink(f"{scratch}/h", f"{scratch}/o", 300, 2, docs_dir=f"{scratch}/d")(batch, 0)
+    assert seen.value == 10
+    assert spark.read.parquet(f"{scratch}/o").count() == spark.read.json(f"{scratch}/d").count() == 8
+
+
+def test_arrivals_keep_rows_without_time_and_write_many_files(spark, scratch):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i) if i % 3 else None, "{}") for i in range(30)]
+    msgs = spark.createDataFrame(rows, SP.MESSAGE_SCHEMA).repartition(4)
+    seen = []
+    for _ in SP.arrivals(msgs, f"{scratch}/in", 3):
+        seen.append(spark.read.parquet(f"{scratch}/in").count())
+    assert seen == sorted(seen) and seen[-1] == 30
+    _, rejected = SP.validated_stream(spark.read.schema(SP.MESSAGE_SCHEMA).parquet(f"{scratch}/in"))
+    assert {r.id for r in rejected.collect() if "ts" in r.missing.split(",")} == set(range(0, 30, 3))
+
+
+def test_jdbc_target_deletes_then_appends(spark, monkeypatch):
+    """Against a stand-in: no database runs here."""
+    from pyspark.sql import DataFrameWriter
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode, props: calls.append((url, table, mode, props, self._df.collect())))
+    target = SP.jdbc_target("jdbc:x", "alerts", {"user": "u"}, execute=lambda spark, url, props, sql: calls.append((url, props, sql)))
+    rows = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 11, 10, "MEDIUM")], ALERT)
+    SP.batch_sink(None, query="it's", jdbc=target)(rows, 4)
+    assert calls[0] == ("jdbc:x", {"user": "u"}, "DELETE FROM alerts WHERE query_name = 'it''s' AND batch_id = 4")
+    url, table, mode, props, written = calls[1]
+    assert (url, table, mode, props) == ("jdbc:x", "alerts", "append", {"user": "u"})
+    assert [(r.district, r.query_name, r.batch_id) for r in written] == [("1", "it's", 4)]
 
 
 def test_broker_rows_map_to_messages(spark):
@@ -163,7 +216,7 @@ def test_broker_rows_map_to_messages(spark):
     df = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, "
                                      "timestamp timestamp")
     m = SP.from_broker_rows(df).collect()[0]
-    assert m.id == 2 * (1 << 40) + 17 and m.value.startswith('{"CASE NUMBER"')
+    assert m.id == 17 and m.value.startswith('{"CASE NUMBER"')
     acc, _ = SP.validated_stream(SP.from_broker_rows(df))
     assert [r.district for r in acc.collect()] == ["3"]
 
