@@ -160,8 +160,14 @@ def accepted_events(spark, d):
     return MS.accepted(validated_messages(spark, d), keep=("id", "ts"))
 
 
+def counted_events(spark, d):
+    """Accepted events with what the window counts need; no other field is parsed."""
+    parsed = MS.with_validation(MS.parse_messages(TT.message_rows(spark, d), fields=("DISTRICT",)))
+    return MS.accepted(parsed, keep=("id", "ts")).select("id", "ts", "district")
+
+
 def trailing_counts(spark, d):
-    ev = accepted_events(spark, d).select("id", "ts", "district")
+    ev = counted_events(spark, d)
     return WO.trailing_count(ev, WINDOW_SECONDS, key="district", ts="ts", order="id")
 
 
@@ -170,7 +176,7 @@ def alerts_mart(spark, d):
 
 
 def window_counts(spark, d):
-    ev = accepted_events(spark, d).select("ts", "district")
+    ev = counted_events(spark, d).select("ts", "district")
     return WO.sliding_counts(ev, WINDOW, SLIDE, key="district", ts="ts")
 
 
@@ -209,7 +215,7 @@ def q_trailing_count_ranked(spark, d):
 
 def tied_events(spark, d, copies):
     """Accepted events with times cut to the hour, each put down ``copies`` times under one id."""
-    ev = accepted_events(spark, d).select("id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "district")
+    ev = counted_events(spark, d).select("id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "district")
     return ev if copies == 1 else ev.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
 
 
@@ -256,7 +262,7 @@ def q_recent_alerts(spark, d):
 
 @register("busiest_now")
 def q_busiest_now(spark, d):
-    return SV.busiest_now(trailing_counts(spark, d), 5)
+    return SV.busiest_now(counted_events(spark, d), WINDOW_SECONDS, 5)
 
 
 # --- serving top-k and labels ----------------------------------------------
@@ -273,13 +279,37 @@ def q_top_areas(spark, d):
 
 @register("top15_types")
 def q_top15_types(spark, d):
-    return SV.top_by(AR.arrest_rates(TT.incidents(spark, d), TT.arrests(spark, d)),
-                     "crime_type", "arrest_rate", 15)
+    return SV.top_by(AR.arrest_rate_type(TT.incidents(spark, d)), "crime_type", "arrest_rate", 15)
 
 
 @register("top20_areas")
 def q_top20_areas(spark, d):
-    return SV.top_by(VI.violence_stats(TT.violence(spark, d)), "community_area", "total_incidents", 20)
+    return SV.top_by(VI.violence_by(TT.violence(spark, d), "community_area"), "community_area", "total_incidents", 20)
+
+
+@register("slice_hours")
+def q_slice_hours(spark, d):
+    return SV.ranked_slice(TR.trend(TT.incidents(spark, d), "hour"), "hour", numeric=True)
+
+
+@register("slice_months")
+def q_slice_months(spark, d):
+    return SV.ranked_slice(TR.trend(TT.incidents(spark, d), "month"), "month", numeric=True)
+
+
+@register("slice_district_rates")
+def q_slice_district_rates(spark, d):
+    return SV.ranked_slice(AR.arrest_rate_district(TT.incidents(spark, d)), "district", "arrest_rate", descending=True)
+
+
+@register("slice_race_arrests")
+def q_slice_race_arrests(spark, d):
+    return SV.ranked_slice(AR.arrest_rate_race(TT.incidents(spark, d), TT.arrests(spark, d)), "race", "total_arrests", descending=True)
+
+
+@register("slice_violence_months")
+def q_slice_violence_months(spark, d):
+    return SV.ranked_slice(VI.violence_by(TT.violence(spark, d), "month"), "month", numeric=True)
 
 
 @register("trend_labels")
@@ -326,6 +356,12 @@ def q_load_stations(spark, d):
         "district", "district_name", "latitude", "longitude")
 
 
+@register("rejected_rows")
+def q_rejected_rows(spark, d):
+    bad = LD.with_evidence(TT.raw_incidents(spark, d), "incidents").filter("_rejected")
+    return bad.select(F.col("id").cast("bigint").alias("id"), F.explode("_bad_values").alias("field", "value"))
+
+
 @register("parse_ts")
 def q_parse_ts(spark, d):
     raw = TT.raw_incidents(spark, d).select(F.col("ID").cast("bigint").alias("id"), F.col("Date").alias("raw"))
@@ -388,10 +424,16 @@ def q_hotspots(spark, d):
     return hs
 
 
+@register("hotspots_checks")
+def q_hotspots_checks(spark, d):
+    return HS.hotspot_checks(TT.points(spark, d), k=K, seed=42, max_iter=20)
+
+
 @register("kpi_overview")
 def q_kpi_overview(spark, d):
-    return SV.kpi_overview(alerts_mart(spark, d), TR.incident_trends(TT.incidents(spark, d)),
-                           seeded_hotspots(spark, d), VI.violence_stats(TT.violence(spark, d)))
+    # each figure from the one set it needs; a cluster is a row of its centroids
+    return SV.kpi_overview(alerts_mart(spark, d), TR.trend(TT.incidents(spark, d), "year"),
+                           HS.seed_centroids(TT.points(spark, d), K), VI.violence_by(TT.violence(spark, d), "district"))
 
 
 # --- mart storage round trips ------------------------------------------------
@@ -494,3 +536,11 @@ def q_nearest_station(spark, d):
     out = nearest_site(pts, TT.stations(spark, d), site_id="district")
     return out.select("id", F.col("nearest_site").alias("district"),
                       F.round("nearest_d2", 6).alias("distance2"))
+
+
+@register("nearest_supplier")
+def q_nearest_supplier(spark, d):
+    """The same over a site table that grows with the data."""
+    from blotter.operators.spatial import nearest_site
+    out = nearest_site(HS.valid_points(TT.points(spark, d)), TT.depots(spark, d), site_id="depot")
+    return out.select("id", F.col("nearest_site").alias("depot"), F.round("nearest_d2", 6).alias("distance2"))

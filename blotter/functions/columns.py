@@ -19,13 +19,12 @@ def _c(c) -> Column:
 def parse_ts(c, fmt: str = TIMESTAMP_FORMAT) -> Column:
     """12-hour text -> TIMESTAMP_NTZ (the wall clock as written); bad, empty or one-digit parts -> NULL.
 
-    ``to_timestamp_ntz`` keeps the wall clock in every session zone (a
-    zone-aware parse would move times inside a daylight-saving gap), but it
-    raises on bad text under ANSI mode; ``try_to_timestamp`` never raises, so
-    it guards the branch and only parseable text reaches the NTZ parse.
+    The text is parsed once, as UTC (a zone of the session would move times
+    inside a daylight-saving gap) and without raising on bad text; the instant
+    is then read back as that wall clock.
     """
-    col, pattern = _c(c), F.lit(fmt)
-    return F.when(F.try_to_timestamp(col, pattern).isNotNull(), F.to_timestamp_ntz(col, pattern))
+    instant = F.try_to_timestamp(F.concat(_c(c), F.lit(" Z")), F.lit(f"{fmt} X"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def normalize_flag(c) -> Column:

@@ -8,10 +8,11 @@ record, with the missing fields listed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.schemas import MESSAGE_FIELDS, REQUIRED_MESSAGE_FIELDS, TIMESTAMP_FORMAT, UNKNOWN_DISTRICT, message_schema, snake
 
@@ -47,15 +48,22 @@ def publishable(fields: Mapping[str, Column]) -> Column:
             & (F.length(F.coalesce(fields["DISTRICT"], F.lit(""))) > 0))
 
 
-def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_messages(df: DataFrame, value: str = "value", fields: Iterable[str] | None = None) -> DataFrame:
     """Add ``msg`` (struct of the message fields) parsed from JSON text.
 
+    ``fields`` names the fields wanted beside the required ones (default: all);
+    others are not parsed.
+
     The parse sits in a Generate (``inline`` of a one-element array): filters
     on its output cannot be pushed below it, so each message is parsed once.
     A plain projection would be inlined by predicate pushdown into the
     validation filter and the JSON parsed twice per row.
     """
-    parsed = F.from_json(F.col(value).cast("string"), message_schema(), {"mode": "PERMISSIVE"})
+    schema = message_schema()
+    if fields is not None:
+        wanted = {*REQUIRED_MESSAGE_FIELDS, *fields}
+        schema = T.StructType([f for f in schema.fields if f.name in wanted])
+    parsed = F.from_json(F.col(value).cast("string"), schema, {"mode": "PERMISSIVE"})
     return df.select("*", F.inline(F.array(F.struct(parsed.alias("msg")))))
 
 
@@ -77,9 +85,10 @@ def with_validation(parsed: DataFrame, time: str = "ts") -> DataFrame:
 
 
 def accepted(validated: DataFrame, keep=("id",)) -> DataFrame:
-    """Valid messages flattened to snake_case columns."""
+    """Valid messages flattened to snake_case columns (those that were parsed)."""
+    parsed = validated.schema["msg"].dataType.fieldNames()
     return validated.filter("valid").select(
-        *keep, *[F.col("msg").getField(n).alias(snake(n)) for n in MESSAGE_FIELDS])
+        *keep, *[F.col("msg").getField(n).alias(snake(n)) for n in MESSAGE_FIELDS if n in parsed])
 
 
 def rejected(validated: DataFrame, keep=("id",), value: str = "value") -> DataFrame:

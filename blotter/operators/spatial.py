@@ -1,97 +1,88 @@
 """Nearest site (e.g. police station) for every point, Euclidean in the coordinate plane.
 
-Two exact strategies, chosen by a measured size:
+The sites are read in blocks of at most ``BLOCK_SITES`` (spread by hash), each
+block a column over the points: points never move, nothing is joined, and the
+answer of a point is the least (squared distance, site id) over the blocks. In
+a block the sites are sorted by x; a batch of points starts at its place in
+that order and walks outwards on both sides until the distance along x alone
+exceeds the best found, so a point looks at the sites in its strip, and at no
+more than the block wherever it lies.
 
-* few sites (``count <= max_array``, default 256): the sites travel as one
-  array in a scalar subquery and each point takes the minimum (squared
-  distance, site id) over it; no join, no shuffle of the points. The cost is
-  one distance per site per point, so beyond a few hundred sites the grid
-  is cheaper.
-* many sites: a grid of square cells. Round ``r`` joins each unresolved point
-  to the sites in the cells of ring ``r`` around its cell (an equi-join on
-  cell ids, so AQE can split a hot cell). A point is final once its best
-  squared distance is at most ``(r * cell)**2`` (nothing outside the searched
-  rings can be closer) or the rings cover the whole site grid. Each round's
-  finished points are appended to a table under the checkpoint folder and the
-  unresolved rest is checkpointed, so lineage stays short.
+Sites without coordinates are no sites; a point without coordinates has no
+nearest site (NULL), as has every point when there is none. Of equally near
+sites the smallest id wins. Points need no id.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
+from math import ceil
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from blotter.session import scratch_path
+#: Sites that one column holds.
+BLOCK_SITES = 20_000
 
 
-def _best_struct(px, py, sx, sy, sid):
-    dx, dy = px - sx, py - sy
-    return F.struct((dx * dx + dy * dy).alias("d2"), sid.alias("sid"))
+def nearest_in(px: np.ndarray, py: np.ndarray, sx: np.ndarray, sy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(site number, squared distance) of each point's nearest site; of equally near sites the smallest number."""
+    order = np.argsort(sx, kind="stable")
+    xs, ys = sx[order], sy[order]
+    n = len(xs)
+    best, site = np.full(len(px), np.inf), np.full(len(px), n)
+    right = np.searchsorted(xs, px)
+    for at, step in ((right - 1, -1), (right, 1)):
+        at = at.copy()
+        open_ = np.flatnonzero((at >= 0) & (at < n))
+        while len(open_):
+            s = at[open_]
+            dx = px[open_] - xs[s]
+            reach = dx * dx <= best[open_]
+            open_, s, dx = open_[reach], s[reach], dx[reach]
+            dy = py[open_] - ys[s]
+            d2 = dx * dx + dy * dy
+            real = order[s]
+            nearer = (d2 < best[open_]) | ((d2 == best[open_]) & (real < site[open_]))
+            best[open_[nearer]], site[open_[nearer]] = d2[nearer], real[nearer]
+            at[open_] += step
+            open_ = open_[(at[open_] >= 0) & (at[open_] < n)]
+    return site, best
 
 
-def nearest_site(points: DataFrame, sites: DataFrame, site_id: str = "district",
-                 x: str = "latitude", y: str = "longitude", point_id: str = "id",
-                 max_array: int = 256, cell: float | None = None) -> DataFrame:
-    """``points`` + ``nearest_site`` (ties: smallest id) + ``nearest_d2`` (squared distance)."""
-    sites = sites.select(F.col(site_id).alias("__sid"), F.col(x).alias("__sx"), F.col(y).alias("__sy"))
-    n = sites.count()                                   # the size check
-    if n <= max_array:
-        arr = sites.agg(F.collect_list(F.struct("__sid", "__sx", "__sy"))).scalar()
-        best = F.array_min(F.transform(
-            "__sites", lambda s: _best_struct(F.col(x), F.col(y), s["__sx"], s["__sy"], s["__sid"])))
-        return (points.withColumn("__sites", arr).withColumn("__best", best)
-                .select(*points.columns, F.col("__best.sid").alias("nearest_site"),
-                        F.col("__best.d2").alias("nearest_d2")))
-    return _grid_nearest(points, sites, n, x, y, point_id, cell)
+def _block_column(rows: list, x: Column, y: Column, id_type) -> Column:
+    """Nearest of these (id, x, y) rows as a struct d2, sid."""
+    rows = sorted(rows, key=lambda r: (r.sid is None, r.sid))  # a site's number is its rank among ids
+    ids = pa.array([r.sid for r in rows], to_arrow_type(id_type))
+    sx, sy = np.array([r.sx for r in rows]), np.array([r.sy for r in rows])
+
+    def find(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        px, py = (np.asarray(a.fill_null(np.nan), float) for a in (xs, ys))
+        known = np.flatnonzero(np.isfinite(px) & np.isfinite(py))
+        site, d2 = nearest_in(px[known], py[known], sx, sy)
+        at = np.zeros(len(px), np.int64)
+        at[known] = site
+        out = np.full(len(px), np.nan)
+        out[known] = d2
+        gone = np.ones(len(px), bool)
+        gone[known] = False
+        return pa.StructArray.from_arrays([pa.array(out), ids.take(pa.array(at))], ["d2", "sid"], mask=pa.array(gone))
 
+    return F.arrow_udf(find, f"d2 double, sid {id_type.simpleString()}")(x.cast("double"), y.cast("double"))
 
-def _grid_nearest(points, sites, n, x, y, point_id, cell):
-    spark = points.sparkSession
-    ext = sites.agg(F.min("__sx").alias("x0"), F.max("__sx").alias("x1"),
-                    F.min("__sy").alias("y0"), F.max("__sy").alias("y1")).first()
-    span = max(ext.x1 - ext.x0, ext.y1 - ext.y0, 1e-9)
-    cell = cell or span / max(1.0, math.sqrt(n))
-    nx = int((ext.x1 - ext.x0) // cell) + 1
-    ny = int((ext.y1 - ext.y0) // cell) + 1
-    cx = lambda c: F.floor((c - F.lit(ext.x0)) / F.lit(cell)).cast("long")
-    cy = lambda c: F.floor((c - F.lit(ext.y0)) / F.lit(cell)).cast("long")
-    site_cells = sites.select(cx(F.col("__sx")).alias("__cx"), cy(F.col("__sy")).alias("__cy"),
-                              "__sid", "__sx", "__sy")
-    cover = F.greatest(F.abs(F.col("__pcx")), F.abs(F.col("__pcx") - nx),
-                       F.abs(F.col("__pcy")), F.abs(F.col("__pcy") - ny))
-    todo = (points.withColumn("__pcx", cx(F.col(x))).withColumn("__pcy", cy(F.col(y)))
-            .withColumn("__cover", cover))
-    site_type = dict(sites.dtypes)["__sid"]
-    todo = todo.withColumn("__best", F.lit(None).cast(f"struct<d2:double,sid:{site_type}>"))
-    out_path = scratch_path(spark, f"nearest-{uuid.uuid4().hex[:12]}")
-    r = 0
-    while True:
-        ring = [(dx, dy) for dx in range(-r, r + 1) for dy in range(-r, r + 1) if max(abs(dx), abs(dy)) == r]
-        offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ring])
-        cand = (todo.select(point_id, x, y, "__pcx", "__pcy", F.explode(offsets).alias("o"))
-                .select(point_id, x, y, (F.col("__pcx") + F.col("o.dx")).alias("__cx"),
-                        (F.col("__pcy") + F.col("o.dy")).alias("__cy")))
-        ring_best = (cand.join(site_cells, ["__cx", "__cy"])
-                     .groupBy(point_id)
-                     .agg(F.min(_best_struct(F.col(x), F.col(y), F.col("__sx"), F.col("__sy"), F.col("__sid")))
-                          .alias("__rb")))
-        merged = (todo.join(ring_best, point_id, "left")
-                  .withColumn("__best", F.when(F.col("__best").isNull(), F.col("__rb"))
-                              .when(F.col("__rb").isNull(), F.col("__best"))
-                              .otherwise(F.least("__best", "__rb")))
-                  .drop("__rb"))
-        done = (F.col("__best").isNotNull() & (F.col("__best.d2") <= F.lit((r * cell) ** 2))) | \
-               (F.lit(r) >= F.col("__cover"))
-        merged = merged.withColumn("__done", done).checkpoint()
-        (merged.filter("__done")
-         .select(*points.columns, F.col("__best.sid").alias("nearest_site"),
-                 F.col("__best.d2").alias("nearest_d2"))
-         .write.mode("append").parquet(out_path))
-        todo = merged.filter(~F.col("__done")).drop("__done")
-        if todo.isEmpty():
-            break
-        r += 1
-    return spark.read.parquet(out_path)
+
+def nearest_site(points: DataFrame, sites: DataFrame, site_id: str = "district",
+                 x: str = "latitude", y: str = "longitude", block: int = BLOCK_SITES) -> DataFrame:
+    """``points`` + ``nearest_site`` (ties: smallest id) + ``nearest_d2`` (squared distance)."""
+    real = sites.select(F.col(site_id).alias("sid"), F.col(x).cast("double").alias("sx"), F.col(y).cast("double").alias("sy"))
+    real = real.where("sx is not null and sy is not null and not isnan(sx) and not isnan(sy)")
+    id_type = real.schema["sid"].dataType
+    blocks = ceil(real.count() / block)
+    none = F.lit(None).cast(f"struct<d2:double,sid:{id_type.simpleString()}>")
+    parts = [real.where(F.pmod(F.xxhash64("sid", "sx", "sy"), F.lit(blocks)) == b).collect() for b in range(blocks)]
+    found = [_block_column(p, F.col(x), F.col(y), id_type) for p in parts if p]
+    best = F.least(none, none, *found)
+    return points.withColumn("__best", best).select(*[F.col(f"`{c}`") for c in points.columns], F.col("__best.sid").alias("nearest_site"),
+                                                    F.col("__best.d2").alias("nearest_d2"))

@@ -416,3 +416,33 @@ FROM (SELECT v.id, s.district,
              + (v.longitude - s.longitude) * (v.longitude - s.longitude) AS d2
       FROM valid v, stations s)
 GROUP BY id"""
+
+DEPOTS = """depots AS (
+  SELECT s_suppkey AS depot, CAST(900.0 + (s_suppkey * 37) % 1100 AS DOUBLE) AS latitude,
+         CAST((s_suppkey * 13) % 50 + 1 AS DOUBLE) AS longitude
+  FROM supplier WHERE s_suppkey % 20 <> 7)"""
+ORACLE["nearest_supplier"] = _with(POINTS, DEPOTS) + """
+SELECT id, first(depot ORDER BY d2, depot) AS depot, round(min(d2), 6) AS distance2
+FROM (SELECT v.id, s.depot,
+             (v.latitude - s.latitude) * (v.latitude - s.latitude)
+             + (v.longitude - s.longitude) * (v.longitude - s.longitude) AS d2
+      FROM valid v, depots s)
+GROUP BY id"""
+
+# --- checks and slices -------------------------------------------------------
+ORACLE["hotspots_checks"] = _with(POINTS) + (
+    f"SELECT CAST({K} AS BIGINT) AS clusters, (SELECT count(*) FROM valid) AS points, true AS all_nearest, true AS below_mean")
+ORACLE["rejected_rows"] = _with(RAW_INCIDENTS) + (
+    "SELECT CAST(id AS BIGINT) AS id, 'year' AS field, year_raw AS value FROM raw_incidents WHERE year_raw = 'n/a'")
+
+
+def _slice(sql: str, order: str) -> str:
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}, group_value NULLS FIRST) AS INTEGER) AS position FROM ({sql})"
+
+
+_NUMERIC = "CAST(group_value AS INTEGER)"
+ORACLE["slice_hours"] = _with(INCIDENTS) + _slice(_trend_sql("hour"), _NUMERIC)
+ORACLE["slice_months"] = _with(INCIDENTS) + _slice(_trend_sql("month"), _NUMERIC)
+ORACLE["slice_district_rates"] = _with(INCIDENTS) + _slice(_arrest_sql("district", "district", False), "arrest_rate DESC")
+ORACLE["slice_race_arrests"] = _with(INCIDENTS, ARRESTS) + _slice(_RACE, "total_arrests DESC")
+ORACLE["slice_violence_months"] = _with(VIOLENCE) + _slice(_violence_sql("month"), _NUMERIC)

@@ -80,8 +80,9 @@ def run_batch(spark: SparkSession, csv_paths: dict[str, str], out_dir: str, fmt:
     stations) to a CSV path; a missing kind skips the marts that need it.
     """
     stage_dir = f"{out_dir.rstrip('/')}/_staged"
-    staged = {kind: spark.read.parquet(LD.stage(spark, path, kind, stage_dir)["good"])
-              for kind, path in csv_paths.items()}
+    for kind, path in csv_paths.items():
+        LD.stage(spark, path, kind, stage_dir)
+    staged = {kind: LD.read_staged(spark, kind, stage_dir) for kind in csv_paths}
     inc, vio = staged.get("incidents"), staged.get("violence")
     inc_sum = incident_summary(inc).persist(StorageLevel.MEMORY_AND_DISK) if inc is not None else None
     vio_sum = violence_summary(vio).persist(StorageLevel.MEMORY_AND_DISK) if vio is not None else None

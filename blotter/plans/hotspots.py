@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from blotter.functions import valid_coords
 
 
+#: Partitions that K-Means runs on unless told otherwise.
+PARTITIONS = 16
+
+
 def valid_points(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     return df.filter(valid_coords(lat, lon))
 
@@ -35,18 +39,15 @@ def features(points: DataFrame) -> DataFrame:
 
 
 def fit_hotspots(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
-                 partitions: int | None = None, id_col: str = "id"):
+                 partitions: int = PARTITIONS, id_col: str = "id"):
     """Fit K-Means on the valid (latitude, longitude) points; returns the model.
 
-    ``partitions=None`` hash-partitions by id and lets AQE coalesce the
-    partitions by measured size (few tasks per iteration for small inputs,
-    many for large ones; the same data and settings give the same layout);
-    an explicit number pins the layout.
+    The layout is pinned to ``partitions`` by id (raise it with the input), so
+    the centroids follow the data and not the cluster's settings.
     """
     from pyspark.ml.clustering import KMeans
     pts = valid_points(points)
-    pts = pts.repartition(partitions, id_col) if partitions else pts.repartition(id_col)
-    pts = pts.sortWithinPartitions(id_col)
+    pts = pts.repartition(partitions, id_col).sortWithinPartitions(id_col)
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features(pts))
 
 
@@ -59,7 +60,7 @@ def centroid_counts(centroids: DataFrame, assigned: DataFrame, cluster: str = "c
 
 
 def detect_hotspots(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20,
-                    partitions: int | None = None):
+                    partitions: int = PARTITIONS):
     """(hotspots frame: cluster_id, latitude, longitude, crime_count; fitted model)."""
     model = fit_hotspots(points, k, seed, max_iter, partitions)
     spark = points.sparkSession
@@ -88,3 +89,19 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, out: str = "cluste
 
     return (points.withColumn("__cents", arr)
             .withColumn(out, F.array_min(F.transform("__cents", score))["cid"]).drop("__cents"))
+
+
+def hotspot_checks(points: DataFrame, k: int = 10, seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """One row on a fit: clusters, points counted, whether each point went to a nearest centroid, whether the cost
+    is below that of the overall mean as the only centroid."""
+    hotspots, model = detect_hotspots(points, k, seed, max_iter)
+    centers = F.array(*[F.array(F.lit(float(c[0])), F.lit(float(c[1]))) for c in model.clusterCenters()])  # k pairs
+    lat, lon = F.col("latitude"), F.col("longitude")
+    d2 = lambda c: (lat - c[0]) * (lat - c[0]) + (lon - c[1]) * (lon - c[1])
+    pts = valid_points(points).agg(F.avg("latitude").alias("mx"), F.avg("longitude").alias("my"))
+    judged = model.transform(features(points)).select(
+        F.element_at(F.transform(centers, d2), F.col("prediction") + 1).alias("own"), F.array_min(F.transform(centers, d2)).alias("least"),
+        d2([pts.select("mx").scalar(), pts.select("my").scalar()]).alias("whole"))
+    told = judged.agg(F.bool_and(F.col("own") <= F.col("least") * (1 + 1e-9)).alias("all_nearest"), (F.sum("own") < F.sum("whole")).alias("below_mean"))
+    sizes = hotspots.agg(F.count(F.lit(1)).alias("clusters"), F.sum("crime_count").alias("points"))
+    return sizes.select("clusters", "points", told.select("all_nearest").scalar().alias("all_nearest"), told.select("below_mean").scalar().alias("below_mean"))

@@ -8,10 +8,11 @@ full sort. Every order has a unique tiebreaker so the cut is reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions import day_name, month_name
+from blotter.operators.windows import micros
 from blotter.schemas import GT_DAY_OF_WEEK, GT_DISTRICT, GT_MONTH, GT_YEAR
 
 
@@ -61,6 +62,15 @@ def mart_slice(mart: DataFrame, group_type: str, order: str = "group_value", des
     return mart.filter(F.col("group_type") == group_type).orderBy(key, F.col("group_value").asc_nulls_first())
 
 
+def ranked_slice(mart: DataFrame, group_type: str, order: str = "group_value", descending: bool = False,
+                 numeric: bool = False) -> DataFrame:
+    """``mart_slice`` with its order as a column, ``position`` from 1 (a slice is a few rows, so one task ranks it)."""
+    key = F.col(order).cast("int") if numeric else F.col(order)
+    key = key.desc_nulls_last() if descending else key.asc_nulls_first()
+    rank = F.row_number().over(Window.orderBy(key, F.col("group_value").asc_nulls_first()))
+    return mart.filter(F.col("group_type") == group_type).withColumn("position", rank).orderBy("position")
+
+
 def trend_labels(trends: DataFrame) -> DataFrame:
     """Trend rows with display labels and an integer sort key (string keys sort wrong)."""
     label = (F.when(F.col("group_type") == GT_MONTH, month_name("group_value"))
@@ -70,11 +80,23 @@ def trend_labels(trends: DataFrame) -> DataFrame:
                          F.col("group_value").cast("int").alias("sort_key"))
 
 
-def busiest_now(counts: DataFrame, k: int = 5, key: str = "district") -> DataFrame:
-    """Districts by their latest trailing count (count after the key's last event)."""
-    latest = counts.groupBy(key).agg(
-        F.max_by("event_count", F.struct("ts", "id")).alias("window_size"))
-    return latest.orderBy(F.col("window_size").desc(), F.col(key).asc()).limit(k)
+#: Most keys whose latest times are broadcast.
+BROADCAST_KEYS = 100_000
+
+
+def busiest_now(events: DataFrame, window_seconds: int, k: int = 5, key: str = "district", ts: str = "ts") -> DataFrame:
+    """Districts by their latest trailing count (the events of the window that ends with the key's last).
+
+    Two partial aggregations: the last time of each key, then the events at most
+    W older. The last times (a row per key) are broadcast while there are few
+    keys, so no event moves; beyond that the same join shuffles.
+    """
+    timed = events.where(F.col(ts).isNotNull()).select(F.col(key), micros(events, ts).alias("__t"))
+    last = timed.groupBy(F.col(key).alias("__k")).agg(F.max("__t").alias("__last"))
+    last = F.broadcast(last) if last.count() <= BROADCAST_KEYS else last
+    near = timed.join(last, F.col(key).eqNullSafe(F.col("__k"))).where(F.col("__t") >= F.col("__last") - F.lit(int(window_seconds) * 1_000_000))
+    counted = near.groupBy(key).agg(F.count(F.lit(1)).alias("window_size"))
+    return counted.orderBy(F.col("window_size").desc(), F.col(key).asc()).limit(k)
 
 
 def hotspots_ranked(hotspots: DataFrame) -> DataFrame:

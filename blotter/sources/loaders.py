@@ -49,8 +49,17 @@ def apply_types(raw: DataFrame, kind: str) -> DataFrame:
     ``raw`` has the input's original column names, all strings; the corrupt
     record column is optional (absent for rows that did not come from text).
     """
+    return with_evidence(raw, kind).drop(*EVIDENCE)
+
+
+#: What a rejected row keeps: the line the parser could not read, and the texts that failed their type, by column.
+EVIDENCE = ("_raw_line", "_bad_values")
+
+
+def with_evidence(raw: DataFrame, kind: str) -> DataFrame:
+    """``apply_types`` with the ``EVIDENCE`` columns, NULL for good rows."""
     cols, types = INPUTS[kind]
-    out, bad = [], []
+    out, bad, texts = [], [], []
     for c in cols:
         t = types.get(c, "string")
         src = F.col(f"`{c}`")
@@ -60,12 +69,14 @@ def apply_types(raw: DataFrame, kind: str) -> DataFrame:
             typed = F.expr(f"try_cast(`{c}` AS {t.upper()})")
             out.append(typed.alias(snake(c)))
             bad.append(src.isNotNull() & typed.isNull())
-    rejected = F.lit(False)
+            texts.append(F.when(bad[-1], F.struct(F.lit(snake(c)).alias("key"), src.alias("value"))))
+    rejected, line = F.lit(False), F.lit(None).cast("string")
     if CORRUPT in raw.columns:
-        rejected = F.col(CORRUPT).isNotNull()
+        rejected, line = F.col(CORRUPT).isNotNull(), F.col(CORRUPT)
     for b in bad:
         rejected = rejected | b
-    return raw.select(*out, rejected.alias("_rejected"))
+    values = F.map_from_entries(F.array_compact(F.array(*texts))) if texts else F.create_map().cast("map<string,string>")
+    return raw.select(*out, rejected.alias("_rejected"), F.when(rejected, line).alias("_raw_line"), F.when(rejected, values).alias("_bad_values"))
 
 
 def read_typed(spark: SparkSession, path: str, kind: str, mode: str = "permissive") -> DataFrame:
@@ -78,10 +89,8 @@ def read_typed(spark: SparkSession, path: str, kind: str, mode: str = "permissiv
 
 
 def rejected_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The rows the permissive policy rejects (with the raw line when the parser failed)."""
-    raw = read_raw(spark, path, kind)
-    typed = apply_types(raw, kind)
-    return typed.filter("_rejected").drop("_rejected")
+    """The rows the permissive policy rejects, with their ``EVIDENCE``: the raw line when the parser failed, the texts that failed their type."""
+    return with_evidence(read_raw(spark, path, kind), kind).filter("_rejected").drop("_rejected")
 
 
 # --- per-input preparation (typed, snake_case frame in, prepared frame out) --
@@ -157,11 +166,11 @@ def stage(spark: SparkSession, path: str, kind: str, out_dir: str) -> dict:
 
     The text is parsed once and written once, partitioned by row status:
     ``good`` (prepared rows), ``dropped`` (well-formed but failing the input's
-    row condition) and ``rejected`` (malformed, with the raw line when the
-    parser failed). Readers of a status folder get only those rows.
+    row condition) and ``rejected`` (malformed, with their ``EVIDENCE``).
+    ``read_staged`` reads the rows of a status, also when there are none.
     """
     base = f"{out_dir.rstrip('/')}/{kind}"
-    derived = DERIVE[kind](apply_types(read_raw(spark, path, kind), kind))
+    derived = DERIVE[kind](with_evidence(read_raw(spark, path, kind), kind))
     keep = KEEP[kind]()
     status = (F.when(F.col("_rejected"), F.lit("rejected"))
               .when(keep.isNull() | ~keep, F.lit("dropped")).otherwise(F.lit("good")))
@@ -170,6 +179,14 @@ def stage(spark: SparkSession, path: str, kind: str, out_dir: str) -> dict:
     return {s: f"{base}/_status={s}" for s in ("good", "dropped", "rejected")}
 
 
+def read_staged(spark: SparkSession, kind: str, out_dir: str, status: str = "good") -> DataFrame:
+    """Staged rows of one status; the filter prunes to its folder, and a status without rows reads as empty."""
+    layout = DERIVE[kind](with_evidence(spark.createDataFrame([], raw_schema(INPUTS[kind][0])), kind)).drop("_rejected")
+    rows = spark.read.schema(layout.schema.add("_status", "string")).parquet(f"{out_dir.rstrip('/')}/{kind}")
+    rows = rows.filter(F.col("_status") == status).drop("_status")
+    return rows if status == "rejected" else rows.drop(*EVIDENCE)
+
+
 def raw_frame(df: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
     """Project ``df`` into an input's raw CSV layout (all strings; absent columns NULL)."""
     cols, _ = INPUTS[kind]

@@ -44,6 +44,11 @@ def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt
     return int(obs.get.get("rows", 0))
 
 
+def is_absent(e: AnalysisException) -> bool:
+    """Whether the error says that the path or table is not there (any other is the caller's to see)."""
+    return (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def read_mart(spark: SparkSession, name: str, base: str, fmt: str = "parquet",
               jdbc_url: str | None = None, jdbc_props: dict | None = None) -> DataFrame:
     """Read a mart in its stored column order; an absent mart reads as empty."""
@@ -55,7 +60,9 @@ def read_mart(spark: SparkSession, name: str, base: str, fmt: str = "parquet",
             df = spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}")
         extra = [c for c in df.columns if c not in schema.fieldNames()]
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *extra)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -72,7 +79,9 @@ def read_alert_docs(spark: SparkSession, path: str) -> DataFrame:
     try:
         return (spark.read.schema(MARTS["alerts"]).option("timestampNTZFormat", _TS_FORMAT)
                 .option("timestampFormat", _TS_FORMAT + "XXX").json(path))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         return spark.createDataFrame([], MARTS["alerts"])
 
 

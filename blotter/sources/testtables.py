@@ -87,6 +87,14 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def depots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier -> depot, latitude, longitude (spread over the points' plane by key; NULL where key % 20 = 7)."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    return s.select(key.alias("depot"), (F.lit(900.0) + (key * 37) % 1100).alias("latitude"),
+                    F.when(key % 20 != 7, ((key * 13) % 50 + 1).cast("double")).alias("longitude"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part -> id, latitude, longitude; zero and NULL coordinates injected by key."""
     p = table(spark, sf_dir, "part")

@@ -370,7 +370,8 @@ def replay(spark: SparkSession, messages: DataFrame, work: str, chunks: int, bui
 
 def accepted_events(messages: DataFrame) -> DataFrame:
     """What the alert sinks take: the accepted messages' id, time and district."""
-    return validated_stream(messages)[0].select("id", "ts", "district")
+    parsed = MS.with_validation(MS.parse_messages(messages, fields=("DISTRICT",)))
+    return MS.accepted(parsed, keep=("id", "ts")).select("id", "ts", "district")
 
 
 ALERT_COLUMNS = ["district", "timestamp", "event_count", "threshold", "severity"]

@@ -23,7 +23,7 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["nation", "customer", "part", "orders", "lineitem", "events"]:
+    for t in ["nation", "customer", "part", "orders", "lineitem", "events", "supplier"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 

@@ -80,3 +80,20 @@ def test_parse_ts_keeps_wall_clock_in_a_dst_gap(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == [dt.datetime(2024, 3, 10, 2, 30), None, None]
+
+
+def test_rejected_rows_keep_the_evidence(spark):
+    rows = LD.rejected_rows(spark, CSV, "incidents").collect()
+    assert any(r["_raw_line"] for r in rows)                                # the parser failed: the line as it was
+    bad = [r["_bad_values"] for r in rows if r["_bad_values"]]
+    assert bad and all(v for m in bad for v in m.values())                  # a cast failed: the text as it was
+
+
+def test_staging_without_a_good_row(spark, scratch):
+    path = f"{scratch}/in"
+    spark.createDataFrame([("1", "not a year")], "a string, b string").selectExpr(
+        *[("'x'" if c != "Year" else "'not a year'") + f" AS `{c}`" for c in LD.INPUTS["incidents"][0]]).write.option("header", "true").csv(path)
+    LD.stage(spark, path, "incidents", f"{scratch}/staged")
+    assert LD.read_staged(spark, "incidents", f"{scratch}/staged").count() == 0
+    bad = LD.read_staged(spark, "incidents", f"{scratch}/staged", "rejected").collect()
+    assert len(bad) == 1 and bad[0]["_bad_values"]["year"] == "not a year"

@@ -99,3 +99,11 @@ def test_mart_slice_sorts_for_display(spark):
     assert hours == [str(h) for h in sorted(int(h) for h in hours)]
     by_count = [r.crime_count for r in mart_slice(t, "hour", "crime_count", descending=True).collect()]
     assert by_count == sorted(by_count, reverse=True)
+
+
+def test_a_mart_with_other_columns_is_an_error(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+    spark.range(3).write.parquet(f"{scratch}/hotspots")
+    with pytest.raises(AnalysisException):
+        MT.read_mart(spark, "hotspots", scratch)

@@ -1,4 +1,4 @@
-"""Nearest site: array path and grid path agree with brute force."""
+"""Nearest site agrees with brute force, for any number of blocks and for odd points and sites."""
 
 import random
 
@@ -6,23 +6,38 @@ import pytest
 
 from blotter.operators.spatial import nearest_site
 
+SITES = "district string, latitude double, longitude double"
+POINTS = "id long, latitude double, longitude double"
+
 
 def _brute(pts, sites):
-    out = {}
+    out = []
     for i, px, py in pts:
-        out[i] = min(((px - sx) ** 2 + (py - sy) ** 2, s) for s, sx, sy in sites)
-    return out
+        best = min((((px - sx) ** 2 + (py - sy) ** 2, s) for s, sx, sy in sites if sx is not None and sy is not None), default=None) \
+            if px is not None and py is not None else None
+        out.append((i, *((best[1], round(best[0], 6)) if best else (None, None))))
+    return sorted(map(repr, out))
+
+
+def _got(spark, pts, sites, **kw):
+    found = nearest_site(spark.createDataFrame(pts, POINTS), spark.createDataFrame(sites, SITES), **kw)
+    return sorted(repr((r.id, r.nearest_site, None if r.nearest_d2 is None else round(r.nearest_d2, 6))) for r in found.collect())
 
 
-@pytest.mark.parametrize("max_array,cell", [(10_000, None), (0, None), (0, 3.0), (0, 40.0)])
-def test_nearest_site_exact(spark, max_array, cell):
+@pytest.mark.parametrize("block", [20_000, 7, 1])
+def test_nearest_site_exact(spark, block):
     rnd = random.Random(11)
-    sites = [(f"s{j:03d}", rnd.uniform(0, 100), rnd.uniform(0, 50)) for j in range(60)]
+    sites = [(f"s{j:03d}", rnd.uniform(0, 100), rnd.uniform(0, 50)) for j in range(25 if block == 1 else 60)]
+    sites += [("none", None, 3.0), ("void", 3.0, None), ("twin", *sites[5][1:])]
     pts = [(i, rnd.uniform(-20, 120), rnd.uniform(-10, 60)) for i in range(300)]
-    pts += [(1000 + i, 50.0, 25.0) for i in range(50)]         # a hot cell
-    sdf = spark.createDataFrame(sites, "district string, latitude double, longitude double")
-    pdf = spark.createDataFrame(pts, "id long, latitude double, longitude double")
-    got = {r.id: (round(r.nearest_d2, 9), r.nearest_site)
-           for r in nearest_site(pdf, sdf, max_array=max_array, cell=cell).collect()}
-    want = {k: (round(v[0], 9), v[1]) for k, v in _brute(pts, sites).items()}
-    assert got == want
+    pts += [(1000 + i, 50.0, 25.0) for i in range(50)]                      # many in one place
+    pts += [(7, 1.0, 1.0), (7, 99.0, 49.0), (8, None, 1.0), (9, 1.0, None)]  # repeated id, no coordinates
+    pts += [(10, 1e6, 3e7), (11, 50.0, -1e9)]                               # far outliers
+    assert _got(spark, pts, sites, block=block) == _brute(pts, sites)
+
+
+def test_ties_and_no_site(spark):
+    sites = [("b", 0.0, 1.0), ("a", 0.0, -1.0), ("c", 1.0, 0.0), ("a0", -1.0, 0.0)]
+    assert _got(spark, [(1, 0.0, 0.0)], sites) == [repr((1, "a", 1.0))]
+    assert _got(spark, [(1, 0.0, 0.0)], [("x", None, None)]) == [repr((1, None, None))]
+    assert _got(spark, [], sites) == []
