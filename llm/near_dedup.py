@@ -9,22 +9,24 @@ links reach.
    Everything below works on classes, so copies cost one row each.
 2. The forest: ``TREES`` orders, each sorting all classes by its own sequence of
    minima. Sorting is a range partitioning on the whole key (minima, sketch,
-   id), so no prefix, however common, has to fit one task. Candidates are
+   id), so no prefix, however common, has to fit one task. Candidates are the
    neighbours in an order whose longest common prefix is at least ``DEPTH``
    minima. Where a prefix region is small, all its pairs lie within the
-   neighbour window and ``DEPTH`` decides alone; where it is dense, the sorted
-   order itself puts the rows with the longest common prefix side by side, so
-   the depth that counts grows with the density of the region. Each region
-   also offers its first row as a partner of all its rows. A 64-position
-   sketch carried in the rows discards pairs far below the limit.
+   neighbour window and ``DEPTH`` decides alone; where it is dense, the order
+   itself puts the rows with the longest common prefix side by side, so the
+   depth that counts grows with the density of the region. A sketch carried in
+   the rows discards pairs far below the limit.
 3. Candidates are confirmed on the full sets, recomputed from the texts.
    Candidate clusters are split into chunks of bounded size and a pair goes to
    the cell of its two chunks, so a text travels once per cell that needs it
    and no cell grows with its cluster.
-4. Confirmed links give components by contraction.
+4. Clusters larger than the window are sorted once more, with a wide window
+   between what is not yet linked and a longer sketch, and confirmed likewise.
+5. Confirmed links give components by contraction.
 
 With similarity at the limit a pair is missed by all orders with a probability
-of (1 - 0.75**2)**20, less than one in ten million, outside dense regions.
+of (1 - 0.75**2)**32, less than one in a hundred thousand million, outside dense
+regions, and by the sketch with one of a few thousand.
 
 Defined results: NULL and empty texts, and texts without words, have no
 shingles and are linked with nothing; a row with a NULL id takes the component
@@ -48,15 +50,16 @@ from llm.graph import components
 
 #: Shingle words; similarity limit in percent.
 WORDS, PERCENT = 5, 75
-#: Minima of a signature, orders, minima of an order's key, least common prefix, neighbours on each side.
-MINIMA, TREES, KEY, DEPTH, NEIGHBOURS = 64, 20, 6, 2, 4
-#: Least agreeing sketch positions of a candidate: 4.4 standard deviations under those of a pair at the limit.
-AGREE = 34
+#: Minima that make keys, orders, minima of an order's key, least common prefix.
+MINIMA, TREES, KEY, DEPTH = 64, 32, 12, 2
+#: Neighbours on each side, minima of a signature and least agreeing sketch positions: of all classes, then of dense
+#: clusters. A pair at the limit agrees in 49 of 64 positions (standard deviation 3.4), or in 196 of 256 (6.8).
+FIRST, WIDE = (2, 64, 37), (24, 256, 171)
 #: A chunk of a candidate cluster: documents and shingles at most (on average).
-CHUNK_DOCS, CHUNK_SHINGLES = 256, 400_000
+CHUNK_DOCS, CHUNK_SHINGLES = 128, 400_000
 
-_MULTIPLY = mix(np.arange(1, MINIMA + 1, dtype=U64)) | U64(1)
-_XOR = mix(np.arange(1001, 1001 + MINIMA, dtype=U64))
+_MULTIPLY = mix(np.arange(1, WIDE[1] + 1, dtype=U64)) | U64(1)
+_XOR = mix(np.arange(1001, 1001 + WIDE[1], dtype=U64))
 
 
 def tree_positions() -> np.ndarray:
@@ -67,18 +70,18 @@ def tree_positions() -> np.ndarray:
     return np.concatenate([first, np.array(rest)], axis=1)
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """(len(sets), MINIMA) uint32 minima of non-empty sets."""
+def minima(sets: list[np.ndarray], many: int) -> np.ndarray:
+    """(len(sets), many) uint32 minima of non-empty sets."""
     sizes = np.array([len(s) for s in sets])
     values = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    out = np.empty((len(sets), MINIMA), np.uint32)
-    for k in range(MINIMA):
+    out = np.empty((len(sets), many), np.uint32)
+    for k in range(many):
         out[:, k] = np.minimum.reduceat((values ^ _XOR[k]) * _MULTIPLY[k], starts) >> U64(32)
     return out
 
 
-def signer(size: int, id_type: pa.DataType) -> Callable:
+def signer(size: int, many: int) -> Callable:
     """Task function: (id, text) in; id, n_shingles, two set hashes and the minima out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,122 +95,113 @@ def signer(size: int, id_type: pa.DataType) -> Callable:
                 full = np.flatnonzero(n)
                 sig: list[bytes | None] = [None] * len(sets)
                 if len(full):
-                    rows = minima([sets[i] for i in full]).astype(">u4")
+                    rows = minima([sets[i] for i in full], many).astype(">u4")
                     for i, r in zip(full, rows):
                         sig[i] = r.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(id_type), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
                                                   pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["id", "n", "h1", "h2", "sig"])
 
     return run
 
 
-def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per order and class: tree, key (big-endian minima), sketch, id."""
+def planted(many: int) -> Callable:
+    """Task function: classes in, a row per order and class out: key, sketch, id, root.
+
+    The key is the order's number, its first ``DEPTH`` minima whole and sixteen
+    bits of each further one, as bytes that sort like the sequence.
+    """
     positions = tree_positions()
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(n, MINIMA)
-        low = (sig & 15).astype(np.uint8)
-        sketch = (low[:, 0::2] << 4) | low[:, 1::2]
-        marks = pa.array([r.tobytes() for r in sketch], pa.binary())
-        for t, p in enumerate(positions):
-            keys = np.ascontiguousarray(sig[:, p])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array([k.tobytes() for k in keys], pa.binary()), marks, batch.column(0)],
-                                             ["tree", "key", "sketch", "id"])
-
-
-_ONES = np.array([(int(x >> 4 == 0) + int(x & 15 == 0)) for x in range(256)], np.uint8)
-
-
-class Rows:
-    """Sorted rows of an order as arrays: region (tree and first minima), sketch, id."""
-
-    def __init__(self, tree: np.ndarray, key: list[bytes], sketch: list[bytes], ids: np.ndarray):
-        self.tree, self.ids = tree, ids
-        self.key = np.frombuffer(b"".join(key), np.uint32).reshape(-1, KEY)
-        self.sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(-1, MINIMA // 2)
-
-    def pairs(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """The pairs of row numbers that share a region and whose sketches agree, as (2, n) ids."""
-        same = (self.tree[i] == self.tree[j]) & (self.key[i, :DEPTH] == self.key[j, :DEPTH]).all(axis=1)
-        i, j = i[same], j[same]
-        near = _ONES[self.sketch[i] ^ self.sketch[j]].sum(axis=1) >= AGREE
-        x, y = self.ids[i[near]], self.ids[j[near]]
-        return np.stack([np.minimum(x, y), np.maximum(x, y)])[:, x != y]
-
-    def candidates(self) -> np.ndarray:
-        """Neighbours up to NEIGHBOURS apart, and each region's first row with its others."""
-        n = len(self.ids)
-        at = np.arange(n)
-        new = np.ones(n, bool)
-        new[1:] = (self.tree[1:] != self.tree[:-1]) | (self.key[1:, :DEPTH] != self.key[:-1, :DEPTH]).any(axis=1)
-        first = np.maximum.accumulate(np.where(new, at, 0))
-        found = [self.pairs(at[:-d], at[d:]) for d in range(1, min(NEIGHBOURS, n - 1) + 1)]
-        far = np.flatnonzero(at - first > NEIGHBOURS)
-        return np.concatenate([*found, self.pairs(first[far], far)], axis=1)
-
-
-_FOREST = "a long, b long, border int, place int, tree int, key binary, sketch binary, id long"
-
-
-def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of one sorted partition, and its first and last rows for the borders.
-
-    Batches are joined with the rows that may still have neighbours ahead (the
-    last NEIGHBOURS rows and the first row of the open region), so memory is a
-    batch, whatever the partition holds.
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(n, many)
+            low = (sig & 15).astype(np.uint8)
+            sketch = (low[:, 0::2] << 4) | low[:, 1::2]
+            marks = pa.array([r.tobytes() for r in sketch], pa.binary())
+            for t, p in enumerate(positions):
+                head = np.ascontiguousarray(sig[:, p[:DEPTH]]).view(np.uint8).reshape(n, -1)
+                tail = np.ascontiguousarray((sig[:, p[DEPTH:]] & 0xFFFF).astype(">u2")).view(np.uint8).reshape(n, -1)
+                keys = np.concatenate([np.full((n, 1), t, np.uint8), head, tail], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys], pa.binary()), marks, batch.column(0), batch.column(2)],
+                                                 ["key", "sketch", "id", "root"])
+
+    return run
+
+
+_REGION = 1 + 4 * DEPTH
+_ONES = np.array([int(x >> 4 == 0) + int(x & 15 == 0) for x in range(256)], np.uint8)
+_FOREST = "a long, b long, border int, place int, key binary, sketch binary, id long, root long"
+_ROW = ["key", "sketch", "id", "root"]
+
+
+def neighbours(table: pa.Table, window: int, agree: int) -> np.ndarray:
+    """Pairs of sorted rows up to ``window`` apart in one region, of different roots, whose sketches agree: (2, n) ids."""
+    n = table.num_rows
+    ids, root = table.column("id").to_numpy(), table.column("root").to_numpy()
+    key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, -1)[:, :_REGION]
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
+    new = np.ones(n, bool)
+    new[1:] = (key[1:] != key[:-1]).any(axis=1)
+    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    found = [np.zeros((2, 0), np.int64)]
+    for d in range(1, min(window, n - 1) + 1):
+        i = np.flatnonzero((first[d:] <= np.arange(n - d)) & (root[d:] != root[:-d]))
+        i = i[_ONES[sketch[i] ^ sketch[i + d]].sum(axis=1) >= agree]
+        x, y = ids[i], ids[i + d]
+        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)])[:, x != y])
+    return np.concatenate(found, axis=1)
+
+
+def forest(window: int, agree: int) -> Callable:
+    """Task function: candidates of one sorted partition, and its first and last rows for the borders.
+
+    Batches are joined with the last rows before them, so memory is a batch,
+    whatever the partition holds.
     """
-    me = TaskContext.get().partitionId()
-    names = ["tree", "key", "sketch", "id"]
-    held: pa.Table | None = None
-    begun = 0
 
     def border(rows: pa.Table, which: int, place: int) -> pa.RecordBatch:
         n = rows.num_rows
         none = pa.nulls(n, pa.int64())
         return pa.RecordBatch.from_arrays([none, none, pa.array(np.full(n, which, np.int32)), pa.array(np.arange(place, place + n, dtype=np.int32)),
-                                           *(rows.column(c).combine_chunks() for c in names)], ["a", "b", "border", "place", *names])
-
-    def held_hub(rows: Rows, table: pa.Table) -> pa.Table:
-        new = (rows.tree[1:] != rows.tree[:-1]) | (rows.key[1:, :DEPTH] != rows.key[:-1, :DEPTH]).any(axis=1)
-        hub = int(np.flatnonzero(np.concatenate([[True], new]))[-1])
-        last = max(0, table.num_rows - NEIGHBOURS)
-        return table.slice(last) if hub >= last else pa.concat_tables([table.slice(hub, 1), table.slice(last)])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch]).select(names)
-        if begun < NEIGHBOURS:
-            head = table.slice(0, NEIGHBOURS - begun)
-            yield border(head, me - 1, 100 + begun)
-            begun += head.num_rows
-        if held is not None:
-            table = pa.concat_tables([held, table])
-        rows = _rows(table)
-        a, b = rows.candidates()
-        yield _pairs(a, b)
-        held = held_hub(rows, table)
-    if held is not None:
-        yield border(held, me, 0)
+                                           *(rows.column(c).combine_chunks() for c in _ROW)], ["a", "b", "border", "place", *_ROW])
 
+    def pairs(found: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(found.shape[1], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), *none], ["a", "b", "border", "place", *_ROW])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        me = TaskContext.get().partitionId()
+        held: pa.Table | None = None
+        begun = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]).select(_ROW)
+            if begun < window:
+                head = table.slice(0, window - begun)
+                yield border(head, me - 1, window + begun)
+                begun += head.num_rows
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            yield pairs(neighbours(table, window, agree))
+            held = table.slice(max(0, table.num_rows - window))
+        if held is not None:
+            yield border(held, me, 0)
 
-def _rows(table: pa.Table) -> Rows:
-    return Rows(table.column("tree").to_numpy(), table.column("key").to_pylist(), table.column("sketch").to_pylist(), table.column("id").to_numpy())
+    return run
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    none = lambda kind: pa.nulls(len(a), kind)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), none(pa.int32()), none(pa.int32()), none(pa.int32()),
-                                       none(pa.binary()), none(pa.binary()), none(pa.int64())], ["a", "b", "border", "place", "tree", "key", "sketch", "id"])
+def across(window: int, agree: int) -> Callable:
+    """Border function: candidates between the last rows of a partition and the first of the next."""
 
+    def run(table: pa.Table) -> pa.Table:
+        found = neighbours(table.sort_by("place"), window, agree)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-def across(table: pa.Table) -> pa.Table:
-    """Candidates between the last rows of a partition and the first of the next."""
-    a, b = _rows(table.sort_by("place")).candidates()
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
 
 
 def confirmer(size: int, percent: int) -> Callable:
@@ -232,49 +226,65 @@ def confirmer(size: int, percent: int) -> Callable:
     return run
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Stored distinct candidate pairs (a < b) of class rows (id long, sig)."""
-    spark = classes.sparkSession
-    rows = classes.mapInArrow(planted, "tree int, key binary, sketch binary, id long")
-    n = shuffle_parts(spark) if classes.count() > 1000 else 1
-    order = ["tree", "key", "sketch", "id"]
-    raw = stored(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(forest, _FOREST), "forest")
+def candidates(classes: DataFrame, window: int, many: int, agree: int) -> DataFrame:
+    """Stored distinct candidate pairs (a < b) of class rows (id, sig, root); ends of one root are no pair."""
+    rows = classes.mapInArrow(planted(many), "key binary, sketch binary, id long, root long")
+    # a border joins two partitions, so none may be smaller than the window
+    n = shuffle_parts(classes.sparkSession) if classes.count() > 1000 else 1
+    order = ["key", "sketch", "id"]
+    raw = stored(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(forest(window, agree), _FOREST), "forest")
     inside = raw.where("a is not null").select("a", "b")
-    between = raw.where("border is not null").groupBy("border").applyInArrow(across, "a long, b long")
+    between = raw.where("border is not null").groupBy("border").applyInArrow(across(window, agree), "a long, b long")
     return stored(inside.unionByName(between).distinct(), "candidates")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The pairs that reach the limit on their full sets.
+def confirmed(pairs: DataFrame, clusters: DataFrame, texts: DataFrame, sizes: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Stored pairs that reach the limit on their full sets.
 
-    ``texts`` is (id, text), ``sizes`` (id, n): the shingles of each class.
+    ``clusters`` is (node, root) with the ends of every pair under one root,
+    ``texts`` (id, text), ``sizes`` (id, n): the shingles of each class.
     """
-    nodes = components(pairs)
-    weigh = nodes.join(sizes.select(F.col("id").alias("node"), "n"), "node", "left")
+    weigh = clusters.join(sizes.select(F.col("id").alias("node"), "n"), "node", "left")
     heavy = weigh.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
     parts = F.ceil(F.greatest(F.col("docs") / CHUNK_DOCS, F.col("shingles") / CHUNK_SHINGLES, F.lit(1.0)))
     heavy = stored(heavy.select("root", parts.alias("parts")), "clusters")
-    nodes = stored(nodes.join(heavy, "root").select("node", "root", "parts"), "cluster-nodes")
+    nodes = stored(clusters.join(heavy, "root").select("node", "root", "parts"), "cluster-nodes")
     chunk = lambda c: F.pmod(F.xxhash64(c), "parts")
-    cells = pairs.join(nodes.select(F.col("node").alias("a"), "root", "parts"), "a")
+    cells = pairs.join(nodes, pairs.a == nodes.node)
     cells = stored(cells.select("a", "b", F.struct("root", F.least(chunk("a"), chunk("b")).alias("x"), F.greatest(chunk("a"), chunk("b")).alias("y")).alias("cell")), "cells")
     needed = cells.select(F.col("a").alias("id"), "cell").unionByName(cells.select(F.col("b").alias("id"), "cell")).distinct()
-    at = texts.join(stored(needed, "needed"), "id").select("cell", "id", "text")
-    return at.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(confirmer(size, percent), "a long, b long")
+    at = texts.join(stored(needed, "needed").hint("merge"), "id").select("cell", "id", "text")
+    return stored(at.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(confirmer(size, percent), "a long, b long"), "links")
+
+
+_SIGNED = "id long, n long, h1 long, h2 long, sig binary"
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept. Ids are integers."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = stored(docs.mapInArrow(signer(size, pa.int64()), "id long, n long, h1 long, h2 long, sig binary"), "signatures")
+    signed = stored(docs.mapInArrow(signer(size, FIRST[1]), _SIGNED), "signatures")
     key = ["h1", "h2", "n"]
     heads = stored(signed.where("n > 0").groupBy(*key).agg(F.min("id").alias("head")), "classes")
     # sets of one or two shingles reach the limit only with themselves
     lead = signed.where("n > 2").join(heads.select(F.col("head").alias("id")).distinct(), "id", "left_semi")
     lead = stored(lead.groupBy("id").agg(F.max_by("sig", "n").alias("sig"), F.max("n").alias("n")), "heads")
-    pairs = candidates(lead.select("id", "sig"))
-    links = stored(confirmed(pairs, docs, lead.select("id", "n"), size, percent), "links")
-    joined = components(links)
+    sizes = lead.select("id", "n")
+    pairs = candidates(lead.select("id", "sig", F.col("id").alias("root")), *FIRST)
+    clusters = components(pairs)
+    # a merge join at every size: the list of ids grows with the input, so it is not broadcast
+    texts = stored(docs.join(clusters.select(F.col("node").alias("id")).hint("merge"), "id", "left_semi"), "texts")
+    links = confirmed(pairs, clusters, texts, sizes, size, percent)
+
+    # clusters larger than the window: neighbours farther off, across what is linked so far
+    dense = clusters.join(clusters.groupBy("root").count().where(F.col("count") > FIRST[0] + 1), "root", "left_semi")
+    linked = components(links).select(F.col("node").alias("id"), F.col("root"))
+    wide = texts.join(dense.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(signer(size, WIDE[1]), _SIGNED)
+    wide = wide.groupBy("id").agg(F.max_by("sig", "n").alias("sig")).join(linked, "id", "left")
+    wide = stored(wide.select("id", "sig", F.coalesce("root", "id").alias("root")), "dense")
+    more = stored(candidates(wide, *WIDE).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    more = confirmed(more, components(more), texts, sizes, size, percent)
+    joined = components(links.unionByName(more))
     named = heads.join(joined.select(F.col("node").alias("head"), "root"), "head", "left")
     named = stored(named.select(*key, F.coalesce("root", "head").alias("component_id")), "components")
     found = signed.select("id", *key).join(named, key, "left")
