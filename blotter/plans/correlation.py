@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions import normalize_key, rate
-from blotter.schemas import ARREST_FLAG, GT_DISTRICT
+from blotter.operators.grouped import grouped_stats
+from blotter.schemas import ARREST_FLAG, GT_COMMUNITY_AREA, GT_DISTRICT
 
 CORR_COLUMNS = ["correlation_type", "group_key", "metric_1_name", "metric_1_value",
                 "metric_2_name", "metric_2_value", "correlation_value"]
@@ -28,56 +29,31 @@ def _key(c: str, normalize: bool):
     return normalize_key(c) if normalize else F.col(c)
 
 
-def corr_district(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
-    """Arrest rate vs violence count per district (inner join, NULL keys dropped)."""
-    left = (incidents.filter(F.col("district").isNotNull())
-            .groupBy(_key("district", normalize).alias("group_key"))
-            .agg(F.count(F.lit(1)).alias("crime_count"),
-                 F.count_if(F.col("arrest") == ARREST_FLAG).alias("arrest_count"))
-            .withColumn("arrest_rate", rate("arrest_count", "crime_count", 4)))
-    right = (violence.filter(F.col("district").isNotNull())
-             .groupBy(_key("district", normalize).alias("group_key"))
-             .agg(F.count(F.lit(1)).alias("violence_count")))
-    return left.join(right, "group_key", "inner").select(
-        F.lit(DISTRICT_TYPE).alias("correlation_type"), "group_key",
-        F.lit(ARREST_RATE).alias("metric_1_name"), F.col("arrest_rate").alias("metric_1_value"),
-        F.lit(VIOLENCE_COUNT).alias("metric_2_name"),
-        F.col("violence_count").cast("double").alias("metric_2_value"),
-        F.lit(None).cast("double").alias("correlation_value"))
-
-
-def corr_area(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
-    """Incident count vs violence count per community area."""
-    left = (incidents.filter(F.col("community_area").isNotNull())
-            .groupBy(_key("community_area", normalize).alias("group_key"))
-            .agg(F.count(F.lit(1)).alias("crime_count")))
-    right = (violence.filter(F.col("community_area").isNotNull())
-             .groupBy(_key("community_area", normalize).alias("group_key"))
-             .agg(F.count(F.lit(1)).alias("violence_count")))
-    return left.join(right, "group_key", "inner").select(
-        F.lit(AREA_TYPE).alias("correlation_type"), "group_key",
-        F.lit(CRIME_COUNT).alias("metric_1_name"), F.col("crime_count").cast("double").alias("metric_1_value"),
-        F.lit(VIOLENCE_COUNT).alias("metric_2_name"),
-        F.col("violence_count").cast("double").alias("metric_2_value"),
-        F.lit(None).cast("double").alias("correlation_value"))
-
-
-def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
+def correlations(incidents: DataFrame, violence: DataFrame, normalize: bool = False,
+                 dims: tuple[str, ...] = (GT_DISTRICT, GT_COMMUNITY_AREA)) -> DataFrame:
     """The correlations mart (``correlation_value`` stays NULL as in the stored table).
 
-    One scan per input: each side is a GROUPING SETS aggregate over district
-    and community area, and the two are joined on (group_type, key).
+    One scan per input: each side is one aggregate over the wanted dimensions
+    (GROUPING SETS for several), and the two are joined on (group_type, key).
     """
-    from blotter.operators.grouped import grouped_stats
-    dims = {"district": _key("district", normalize), "community_area": _key("community_area", normalize)}
-    left = grouped_stats(incidents.select("district", "community_area", "arrest"), dims,
+    keys = {d: _key(d, normalize) for d in dims}
+    left = grouped_stats(incidents.select(*dims, "arrest"), keys,
                          {"crime_count": F.count(F.lit(1)),
                           "arrest_count": F.count_if(F.col("arrest") == ARREST_FLAG)})
-    right = grouped_stats(violence.select("district", "community_area"), dims,
-                          {"violence_count": F.count(F.lit(1))})
+    right = grouped_stats(violence.select(*dims), keys, {"violence_count": F.count(F.lit(1))})
     return correlation_rows(left.join(right, ["group_type", "group_value"], "inner"))
 
 
+def corr_district(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
+    """Arrest rate vs violence count per district (inner join, NULL keys dropped)."""
+    return correlations(incidents, violence, normalize, (GT_DISTRICT,))
+
+
+def corr_area(incidents: DataFrame, violence: DataFrame, normalize: bool = False) -> DataFrame:
+    """Incident count vs violence count per community area."""
+    return correlations(incidents, violence, normalize, (GT_COMMUNITY_AREA,))
+
+
 def correlation_rows(joined: DataFrame) -> DataFrame:
     """Stored shape from joined per-key counts: group_type (district / community_area),
     group_value, crime_count, arrest_count (district rows) and violence_count."""

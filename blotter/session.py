@@ -76,3 +76,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target`` (on the same file system)."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise RuntimeError(f"could not move {source} to {target}")

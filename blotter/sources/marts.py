@@ -10,11 +10,14 @@ Parquet is the default; ``fmt="jdbc"`` writes to any JDBC database.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from blotter.schemas import AUDIT_COLUMNS, MARTS
+from blotter.session import replace_path
 
 
 def conform(df: DataFrame, name: str, audit: bool = True) -> DataFrame:
@@ -28,7 +31,11 @@ def conform(df: DataFrame, name: str, audit: bool = True) -> DataFrame:
 
 def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt: str = "parquet",
                audit: bool = True, jdbc_url: str | None = None, jdbc_props: dict | None = None) -> int:
-    """Write one mart; returns the number of rows written."""
+    """Write one mart; returns the number of rows written.
+
+    An overwrite of files is written aside and takes the old mart's place when
+    it is complete, so a failed job leaves the old one.
+    """
     out = conform(df, name, audit)
     obs = Observation(f"write_{name}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -40,7 +47,13 @@ def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt
         w = out.write.mode(mode).format(fmt)
         if "group_type" in out.columns:
             w = w.partitionBy("group_type")
-        w.save(f"{base.rstrip('/')}/{name}")
+        target = f"{base.rstrip('/')}/{name}"
+        if mode == "overwrite":
+            aside = f"{base.rstrip('/')}/_{name}-{uuid.uuid4().hex[:12]}"
+            w.save(aside)
+            replace_path(df.sparkSession, aside, target)
+        else:
+            w.save(target)
     return int(obs.get.get("rows", 0))
 
 

@@ -107,3 +107,14 @@ def test_a_mart_with_other_columns_is_an_error(spark, scratch):
     spark.range(3).write.parquet(f"{scratch}/hotspots")
     with pytest.raises(AnalysisException):
         MT.read_mart(spark, "hotspots", scratch)
+
+
+def test_a_failed_overwrite_leaves_the_old_mart(spark, scratch):
+    import pytest
+    from blotter.plans import violence as VI
+    good = VI.violence_stats(TT.violence(spark, SMALL))
+    n = MT.write_mart(good, "violence_stats", scratch)
+    bad = good.withColumn("homicides", F.when(F.col("group_type") == "month", F.raise_error(F.lit("broken"))).otherwise(F.col("homicides")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        MT.write_mart(bad, "violence_stats", scratch)
+    assert MT.read_mart(spark, "violence_stats", scratch).count() == n
