@@ -10,9 +10,10 @@ with its log-rate ratio as scale.
 Labels are 0/1. A toxic labelled text is graded 2 when its density of
 toxic-leaning words is above the median of the toxic texts, else 1, so the
 thresholds separate clean, toxic and severely toxic. The model is fitted on a
-documented sample: at most ``TRAIN_LIMIT`` labelled ids, the smallest by id
-hash. Their words (hashes) meet in one task, whose size that limit bounds.
-Every text is scored whole.
+documented sample: at most ``TRAIN_LIMIT`` labelled ids of either label, the
+smallest by id hash. Their words (hashes) meet in one task, whose size that
+limit bounds; the thresholds are then moved to the odds of all labels. Every
+text is scored whole.
 
 Defined results: NULL and empty texts, and texts without a known word, score
 like a text without features; an id with several labels counts as toxic if any
@@ -33,12 +34,14 @@ from pyspark.sql import functions as F
 
 from llm.common import U64, chunks, prefix_sums, span_hash, text_bytes, words
 
-#: Labelled ids that the model is fitted on, at most.
-TRAIN_LIMIT = 20_000
+#: Labelled ids of either label that the model is fitted on, at most.
+TRAIN_LIMIT = 4_000
 #: Bytes of the word beginnings that are features beside the words.
 STEMS = (4, 5, 6, 7)
 #: Standard errors by which a word's log-rate ratio must differ from zero; L2 penalty; gradient steps.
 Z_LEAST, PENALTY, STEPS = 2.0, 1e-3, 400
+#: Probability of any severity from which a text counts as toxic.
+TOXIC_FROM = 0.3
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -103,8 +106,11 @@ def fit_ordinal(indptr: np.ndarray, cols: np.ndarray, scale: np.ndarray, y: np.n
     return p[:len(scale)], np.cumsum(np.concatenate([p[len(scale):len(scale) + 1], np.exp(p[len(scale) + 1:])]))
 
 
-def fitted(rows: pa.Table) -> pa.Table:
-    """The model of the sample: word hashes, their summands, thresholds (one row, or none)."""
+def fitted(rows: pa.Table, odds: float) -> pa.Table:
+    """The model of the sample: word hashes, their summands, thresholds (one row, or none).
+
+    ``odds`` are toxic to clean among all labels.
+    """
     schema = pa.schema([("hashes", pa.binary()), ("adds", pa.binary()), ("thresholds", pa.binary())])
     docs = [np.frombuffer(x, U64) for x in rows.column("words").to_pylist()]
     toxic = rows.column("toxic").to_numpy() > 0
@@ -123,6 +129,7 @@ def fitted(rows: pa.Table) -> pa.Table:
     known = place[inverse] >= 0
     indptr = np.concatenate([[0], np.cumsum(np.bincount(owner[known], minlength=len(docs)))])
     w, t = fit_ordinal(indptr, place[inverse][known], ratio[chosen], y)
+    t = t + np.log(toxic.sum() / (~toxic).sum() / odds)
     return pa.table([pa.array([vocabulary[chosen].tobytes()], pa.binary()), pa.array([(w * ratio[chosen]).tobytes()], pa.binary()),
                      pa.array([t.tobytes()], pa.binary())], schema=schema)
 
@@ -130,7 +137,12 @@ def fitted(rows: pa.Table) -> pa.Table:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """The model, or None without both kinds of labels."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
-    sample = known.orderBy(F.xxhash64("id"), "id").limit(limit)  # at most `limit` rows, so it may be broadcast
+    count = {r.toxic > 0: r["count"] for r in known.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
+    if len(count) < 2:
+        return None
+    odds = count[True] / count[False]
+    of = lambda kind: known.where(kind).orderBy(F.xxhash64("id"), "id").limit(limit)
+    sample = of("toxic > 0").unionByName(of("toxic <= 0"))  # at most twice the limit, so it may be broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([x.tobytes() for x in found], pa.binary())], ["toxic", "words"])
 
     found = texts.select("text", "toxic").mapInArrow(featurise, "toxic int, words binary").withColumn("all", F.lit(1))
-    model = found.groupBy("all").applyInArrow(lambda t: fitted(t), "hashes binary, adds binary, thresholds binary").collect()
+    model = found.groupBy("all").applyInArrow(lambda t: fitted(t, odds), "hashes binary, adds binary, thresholds binary").collect()
     if not model:
         return None
     return np.frombuffer(model[0].hashes, U64), np.frombuffer(model[0].adds), np.frombuffer(model[0].thresholds)
@@ -161,7 +173,7 @@ def scorer(model: tuple[np.ndarray, np.ndarray, np.ndarray] | None, id_type: pa.
                         z[i] = adds[at[hashes[at] == d]].sum()
                 p = _sigmoid(z[:, None] - thresholds)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(p.sum(axis=1)), pa.array((p >= 0.5).sum(axis=1).astype(np.int32)),
-                                              pa.array(p[:, 0]), pa.array(p[:, 0] >= 0.5)], ["id", "severity", "grade", "p_toxic", "toxic"])
+                                              pa.array(p[:, 0]), pa.array(p[:, 0] >= TOXIC_FROM)], ["id", "severity", "grade", "p_toxic", "toxic"])
 
     return run
 

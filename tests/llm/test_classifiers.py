@@ -67,7 +67,7 @@ def test_toxic_words_are_learned(spark):
     got = {r.doc_id: r for r in toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
     held = range(300, 400)
     assert sum(got[d].toxic == truth[d] for d in held) >= 97
-    assert all(0 <= got[d].severity <= 2 and got[d].grade in (0, 1, 2) and got[d].toxic == (got[d].p_toxic >= 0.5) for d in got)
+    assert all(0 <= got[d].severity <= 2 and got[d].grade in (0, 1, 2) and got[d].toxic == (got[d].p_toxic >= 0.3) for d in got)
     assert np.mean([got[d].severity for d in held if truth[d]]) > 1 > np.mean([got[d].severity for d in held if not truth[d]])
 
 
