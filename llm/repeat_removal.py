@@ -53,7 +53,7 @@ WINDOW = 100
 #: Period of the difference cover and its offsets (every difference once).
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Text of a block, and text per shard of the name space.
-BLOCK_BYTES, SHARD_BYTES = 12 << 20, 24 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
 #: Kinds of questions: sampled names, whole texts, windows.
 SAMPLE, WHOLE, FULL = 1, 2, 3
 
