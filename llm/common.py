@@ -24,7 +24,7 @@ _ODD_BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_ODD_BASE, -1, 1 << 64)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table under ``spark.checkpoint.dir`` and return the reread table.
 
     This cuts the lineage on storage that every executor shares, so a lost
@@ -32,7 +32,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_path(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

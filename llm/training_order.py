@@ -96,7 +96,7 @@ def materialise(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     Rows: slot, shard, row, n_tokens, ids_crc32, doc_ids.
     """
     spark = df.sparkSession
-    packed = stored(sequences(df, id_col, text_col), "sequences")
+    packed = stored(sequences(df, id_col, text_col), "sequences", "zstd")
     rows = in_order(packed, key, stride).select("shard", "row", "slot", "n_tokens", "ids_crc32", "doc_ids", "ids")
     shards = rows.repartition(shuffle_parts(spark), "shard").sortWithinPartitions("shard", "row")
     shards.write.option("compression", "zstd").partitionBy("shard").parquet(path)
