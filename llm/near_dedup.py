@@ -22,11 +22,20 @@ links reach.
    and no cell grows with its cluster.
 4. Clusters larger than the window are sorted once more, with a wide window
    between what is not yet linked and a longer sketch, and confirmed likewise.
-5. Confirmed links give components by contraction.
-
-With similarity at the limit a pair is missed by all orders with a probability
-of (1 - 0.75**2)**32, less than one in a hundred thousand million, outside dense
-regions, and by the sketch with one of a few thousand.
+   This only saves work in the next step.
+5. Dense regions (a prefix of ``DEPTH`` minima with more classes than a row and
+   its window) are completed exactly. All their classes, clustered or not, meet
+   in a prefix-filter join: with the shingles of every set in one order, rare
+   ones first, a pair at the limit has its first common shingle early in both
+   sets, and what follows it must suffice for the limit. Shingles whose classes
+   are all linked already need no pairs; frequent ones are split into cells.
+   Any order of shingles gives all pairs; the counts behind it come from a
+   sample and only decide how many pairs are looked at.
+6. Confirmed links give components by contraction.
+
+With similarity at the limit a pair shares the region of no order with a
+probability of (1 - 0.75**2)**32, less than one in a hundred thousand million.
+A pair in a sparse region is missed by the sketch with one of a few thousand.
 
 Defined results: NULL and empty texts, and texts without words, have no
 shingles and are linked with nothing; a row with a NULL id takes the component
@@ -57,6 +66,8 @@ MINIMA, TREES, KEY, DEPTH = 64, 32, 12, 2
 FIRST, WIDE = (2, 64, 37), (24, 256, 171)
 #: A chunk of a candidate cluster: documents and shingles at most (on average).
 CHUNK_DOCS, CHUNK_SHINGLES = 128, 400_000
+#: Completion: shingles counted for their order (about), rows of a shingle from which it is split, pairs made at a time.
+COUNTED, SPLIT_ROWS, PAIRS = 2_000_000, 2_000, 1 << 20
 
 _MULTIPLY = mix(np.arange(1, WIDE[1] + 1, dtype=U64)) | U64(1)
 _XOR = mix(np.arange(1001, 1001 + WIDE[1], dtype=U64))
@@ -137,15 +148,28 @@ _FOREST = "a long, b long, border int, place int, key binary, sketch binary, id
 _ROW = ["key", "sketch", "id", "root"]
 
 
+def region_starts(key: np.ndarray) -> np.ndarray:
+    """For sorted keys, the number of the first row of each row's region."""
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]).any(axis=1)
+    return np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+
+
+def crowded(table: pa.Table, window: int) -> np.ndarray:
+    """Ids of sorted rows that lie in a region of more than ``window + 1`` rows."""
+    n = table.num_rows
+    key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, -1)[:, :_REGION]
+    far = np.flatnonzero(region_starts(key)[window + 1:] <= np.arange(max(0, n - window - 1)))
+    return np.unique(table.column("id").to_numpy()[np.unique(far[:, None] + np.arange(window + 2))])
+
+
 def neighbours(table: pa.Table, window: int, agree: int) -> np.ndarray:
     """Pairs of sorted rows up to ``window`` apart in one region, of different roots, whose sketches agree: (2, n) ids."""
     n = table.num_rows
     ids, root = table.column("id").to_numpy(), table.column("root").to_numpy()
     key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, -1)[:, :_REGION]
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
-    new = np.ones(n, bool)
-    new[1:] = (key[1:] != key[:-1]).any(axis=1)
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    first = region_starts(key)
     found = [np.zeros((2, 0), np.int64)]
     for d in range(1, min(window, n - 1) + 1):
         i = np.flatnonzero((first[d:] <= np.arange(n - d)) & (root[d:] != root[:-d]))
@@ -156,7 +180,7 @@ def neighbours(table: pa.Table, window: int, agree: int) -> np.ndarray:
 
 
 def forest(window: int, agree: int) -> Callable:
-    """Task function: candidates of one sorted partition, and its first and last rows for the borders.
+    """Task function: candidates and crowded ids (``a`` without ``b``) of one sorted partition, and its first and last rows for the borders.
 
     Batches are joined with the last rows before them, so memory is a batch,
     whatever the partition holds.
@@ -172,6 +196,12 @@ def forest(window: int, agree: int) -> Callable:
         none = [pa.nulls(found.shape[1], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), *none], ["a", "b", "border", "place", *_ROW])
 
+    def alone(ids: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(ids), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(ids), *none], ["a", "b", "border", "place", *_ROW])
+
+    reach = window + 1  # a region is crowded when two rows this far apart are in it
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         me = TaskContext.get().partitionId()
         held: pa.Table | None = None
@@ -180,14 +210,15 @@ def forest(window: int, agree: int) -> Callable:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch]).select(_ROW)
-            if begun < window:
-                head = table.slice(0, window - begun)
-                yield border(head, me - 1, window + begun)
+            if begun < reach:
+                head = table.slice(0, reach - begun)
+                yield border(head, me - 1, reach + begun)
                 begun += head.num_rows
             if held is not None:
                 table = pa.concat_tables([held, table])
             yield pairs(neighbours(table, window, agree))
-            held = table.slice(max(0, table.num_rows - window))
+            yield alone(crowded(table, window))
+            held = table.slice(max(0, table.num_rows - reach))
         if held is not None:
             yield border(held, me, 0)
 
@@ -195,11 +226,13 @@ def forest(window: int, agree: int) -> Callable:
 
 
 def across(window: int, agree: int) -> Callable:
-    """Border function: candidates between the last rows of a partition and the first of the next."""
+    """Border function: candidates and crowded ids between the last rows of a partition and the first of the next."""
 
     def run(table: pa.Table) -> pa.Table:
-        found = neighbours(table.sort_by("place"), window, agree)
-        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+        table = table.sort_by("place")
+        found, ids = neighbours(table, window, agree), crowded(table, window)
+        a, b = pa.array(np.concatenate([found[0], ids]), pa.int64()), pa.array(found[1], pa.int64())
+        return pa.table({"a": a, "b": pa.concat_arrays([b, pa.nulls(len(ids), pa.int64())])})
 
     return run
 
@@ -226,8 +259,11 @@ def confirmer(size: int, percent: int) -> Callable:
     return run
 
 
-def candidates(classes: DataFrame, window: int, many: int, agree: int) -> DataFrame:
-    """Stored distinct candidate pairs (a < b) of class rows (id, sig, root); ends of one root are no pair."""
+def candidates(classes: DataFrame, window: int, many: int, agree: int) -> tuple[DataFrame, DataFrame]:
+    """Stored distinct candidate pairs (a < b) of class rows (id, sig, root), and the ids in crowded regions.
+
+    Ends of one root are no pair.
+    """
     rows = classes.mapInArrow(planted(many), "key binary, sketch binary, id long, root long")
     # a border joins two partitions, so none may be smaller than the window
     n = shuffle_parts(classes.sparkSession) if classes.count() > 1000 else 1
@@ -235,7 +271,8 @@ def candidates(classes: DataFrame, window: int, many: int, agree: int) -> DataFr
     raw = stored(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(forest(window, agree), _FOREST), "forest")
     inside = raw.where("a is not null").select("a", "b")
     between = raw.where("border is not null").groupBy("border").applyInArrow(across(window, agree), "a long, b long")
-    return stored(inside.unionByName(between).distinct(), "candidates")
+    found = stored(inside.unionByName(between).distinct(), "candidates")
+    return found.where("b is not null"), found.where("b is null").select(F.col("a").alias("id"))
 
 
 def confirmed(pairs: DataFrame, clusters: DataFrame, texts: DataFrame, sizes: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -257,6 +294,140 @@ def confirmed(pairs: DataFrame, clusters: DataFrame, texts: DataFrame, sizes: Da
     return stored(at.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(confirmer(size, percent), "a long, b long"), "links")
 
 
+def text_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, shingle set) of the texts in the batch's second column."""
+    raw, offs = text_bytes(batch.column(1))
+    for lo, hi in chunks(offs):
+        yield from enumerate(shingle_sets(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], size), lo)
+
+
+def shingles_of(size: int) -> Callable:
+    """Task function: (id, text) in, a row per shingle of a text out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, found in text_sets(batch, size):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
+
+    return run
+
+
+_PREFIX = "shingle long, hot boolean, id long, n long, rest long, root long"
+
+
+def prefixes(size: int, percent: int, known: np.ndarray, seen: np.ndarray, hot: float) -> Callable:
+    """Task function: (id, text, root) in, the shingles out that can be the first one a pair at the limit shares.
+
+    ``known`` (sorted) shingles come last, by their counts ``seen``; the others
+    by their hash. ``rest`` counts the shingles from this one on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for row, found in text_sets(batch, size):
+                n = len(found)
+                count = np.zeros(n, np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                    count = np.where(known[at] == found, seen[at], 0)
+                order = np.lexsort((found, count))
+                order = order[100 * (n - np.arange(n)) >= percent * n]
+                m = len(order)
+                cols = [found[order].view(np.int64), count[order] >= hot, np.full(m, ids[row]), np.full(m, n), n - np.arange(m), np.full(m, roots[row])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["shingle", "hot", "id", "n", "rest", "root"])
+
+    return run
+
+
+_CELL = ["shingle", "x", "y"]
+
+
+def met(table: pa.Table, percent: int) -> Iterator[np.ndarray]:
+    """Pairs (2, n) of ids in one cell, of different roots, that can still reach the limit; rows are sorted by cell and n.
+
+    A set of n shingles with ``rest`` of them left shares at most that many, so
+    its partner has at most ``rest * (100 + percent) / percent - n``.
+    """
+    cell = np.stack([table.column(c).to_numpy() for c in _CELL])
+    new = np.ones(cell.shape[1], bool)
+    new[1:] = (cell[:, 1:] != cell[:, :-1]).any(axis=0)
+    start = np.flatnonzero(new)
+    roots = table.column("root").to_numpy()
+    open_ = np.minimum.reduceat(roots, start) < np.maximum.reduceat(roots, start)
+    run = np.cumsum(new) - 1
+    at = np.flatnonzero(open_[run])
+    ids, n, rest = (table.column(c).to_numpy()[at] for c in ("id", "n", "rest"))
+    roots, run = roots[at], run[at]
+    most = rest * (100 + percent) // percent - n
+    place = (run << 40) + n
+    small = np.flatnonzero(most >= n)  # the smaller set of a pair
+    lo = np.searchsorted(place, place[small], side="left")
+    hi = np.searchsorted(place, (run[small] << 40) + most[small], side="right")
+    ends = np.cumsum(hi - lo)
+    i = 0
+    while i < len(small):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIRS, side="right")))
+        many = (hi - lo)[i:j]
+        y = np.repeat(small[i:j], many)
+        x = np.repeat(lo[i:j] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        fits = (roots[x] != roots[y]) & (most[x] >= n[y]) & (ids[x] != ids[y])
+        x, y = ids[x[fits]], ids[y[fits]]
+        yield np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+        i = j
+
+
+def meet(percent: int) -> Callable:
+    """Task function: prefix rows sorted by cell and n in, pairs out. A cell is held until its last row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            for a, b in met(table, percent) if table.num_rows else ():
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            cell = np.stack([table.column(c).to_numpy() for c in _CELL])
+            last = int(np.argmax((cell == cell[:, -1:]).all(axis=0)))  # where the last cell of the batch begins
+            if held and last == 0 and all(held[-1].column(c)[-1] == table.column(c)[0] for c in _CELL):
+                held.append(table)
+                continue
+            yield from out(pa.concat_tables([*held, table.slice(0, last)]))
+            held = [table.slice(last)]
+        if held:
+            yield from out(pa.concat_tables(held))
+
+    return run
+
+
+def completion(texts: DataFrame, sizes: DataFrame, roots: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Stored pairs (a < b) of different roots, all that reach the limit among them, of the classes ``texts`` (id, text).
+
+    ``sizes`` is (id, n) of the classes, ``roots`` (node, root) what is linked.
+    """
+    total = texts.select("id").distinct().join(sizes, "id").agg(F.sum("n")).first()[0] or 0
+    part = max(1, -(-total // COUNTED))
+    some = texts.select("id", "text").where(F.pmod(F.xxhash64("id"), F.lit(part)) == 0)
+    counts = some.mapInArrow(shingles_of(size), "shingle long").groupBy("shingle").count().where("count > 1").toArrow()  # at most COUNTED / 2
+    known, seen = counts.column("shingle").to_numpy().view(U64), counts.column("count").to_numpy()
+    order = np.argsort(known)
+    named = texts.join(roots.select(F.col("node").alias("id"), "root").hint("merge"), "id", "left").select("id", "text", F.coalesce("root", "id").alias("root"))
+    rows = stored(named.mapInArrow(prefixes(size, percent, known[order], seen[order], max(2, SPLIT_ROWS / part / 2)), _PREFIX), "prefixes")
+    cold = rows.where("not hot").select("shingle", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), "id", "n", "rest", "root")
+    smaller = F.col("rest") * (100 + percent) >= 2 * percent * F.col("n")
+    hot = rows.where("hot").groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.max(smaller).alias("use"), F.min("root").alias("low"), F.max("root").alias("high"))
+    hot = stored(hot.where("use and low < high").select("shingle", F.ceil(F.col("rows") / SPLIT_ROWS).alias("parts")), "frequent")
+    own = F.pmod(F.xxhash64("id"), "parts")
+    split = rows.where("hot").join(hot, "shingle").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    split = split.select("shingle", F.least(own, "other").alias("x"), F.greatest(own, "other").alias("y"), "id", "n", "rest", "root")
+    cells = cold.unionByName(split).repartition(shuffle_parts(texts.sparkSession), *_CELL).sortWithinPartitions(*_CELL, "n")
+    return stored(cells.mapInArrow(meet(percent), "a long, b long").distinct(), "candidates")
+
+
 _SIGNED = "id long, n long, h1 long, h2 long, sig binary"
 
 
@@ -270,10 +441,11 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     lead = signed.where("n > 2").join(heads.select(F.col("head").alias("id")).distinct(), "id", "left_semi")
     lead = stored(lead.groupBy("id").agg(F.max_by("sig", "n").alias("sig"), F.max("n").alias("n")), "heads")
     sizes = lead.select("id", "n")
-    pairs = candidates(lead.select("id", "sig", F.col("id").alias("root")), *FIRST)
+    pairs, crowd = candidates(lead.select("id", "sig", F.col("id").alias("root")), *FIRST)
     clusters = components(pairs)
     # a merge join at every size: the list of ids grows with the input, so it is not broadcast
-    texts = stored(docs.join(clusters.select(F.col("node").alias("id")).hint("merge"), "id", "left_semi"), "texts")
+    needed = clusters.select(F.col("node").alias("id")).unionByName(crowd).distinct()
+    texts = stored(docs.join(needed.hint("merge"), "id", "left_semi"), "texts")
     links = confirmed(pairs, clusters, texts, sizes, size, percent)
 
     # clusters larger than the window: neighbours farther off, across what is linked so far
@@ -282,9 +454,13 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     wide = texts.join(dense.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(signer(size, WIDE[1]), _SIGNED)
     wide = wide.groupBy("id").agg(F.max_by("sig", "n").alias("sig")).join(linked, "id", "left")
     wide = stored(wide.select("id", "sig", F.coalesce("root", "id").alias("root")), "dense")
-    more = stored(candidates(wide, *WIDE).join(pairs, ["a", "b"], "left_anti"), "candidates")
-    more = confirmed(more, components(more), texts, sizes, size, percent)
-    joined = components(links.unionByName(more))
+    tried = stored(candidates(wide, *WIDE)[0].join(pairs, ["a", "b"], "left_anti"), "candidates")
+    links = links.unionByName(confirmed(tried, components(tried), texts, sizes, size, percent))
+
+    # dense regions: every pair that is left
+    left = completion(texts.join(crowd.hint("merge"), "id", "left_semi"), sizes, components(links), size, percent)
+    left = stored(left.join(pairs.unionByName(tried), ["a", "b"], "left_anti"), "candidates")
+    joined = components(links.unionByName(confirmed(left, components(left), texts, sizes, size, percent)))
     named = heads.join(joined.select(F.col("node").alias("head"), "root"), "head", "left")
     named = stored(named.select(*key, F.coalesce("root", "head").alias("component_id")), "components")
     found = signed.select("id", *key).join(named, key, "left")

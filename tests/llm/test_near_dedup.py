@@ -67,3 +67,28 @@ def test_components_of_a_chain_and_a_star(spark):
     for part in (nodes[:100], nodes[100:150], [6000, 6001]):
         assert {got[x] for x in part} == {min(part)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shared_passage_is_complete(spark):
+    """Texts just under the limit by one long passage, and pairs of 0.75 to 0.78 among them."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(180)]
+    rows = []
+    for k in range(1500):
+        own = [f"u{k}x{i}" for i in range(32)]
+        rows.append((2 * k, " ".join(passage + own)))
+        if k % 5 == 0:  # a partner that shares some of the own words as well
+            keep = rng.choice([3, 4, 5, 6])
+            rows.append((2 * k + 1, " ".join(passage + own[:keep] + [f"v{k}x{i}" for i in range(32 - keep)])))
+    rng.shuffle(rows)
+    sets = {d: shingles(t) for d, t in rows}
+    a, b = sets[0], sets[2]
+    assert 0.72 < len(a & b) / len(a | b) < 0.75
+    got = near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {}
+    for d, s in sets.items():
+        partner = sets.get(d - 1) if d % 2 else None
+        similar = partner and len(s & partner) / len(s | partner)
+        assert similar is None or 0.75 <= similar <= 0.78
+        want[d] = d - 1 if similar else d
+    assert {r.doc_id: r.component_id for r in got} == want
