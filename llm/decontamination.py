@@ -1,17 +1,17 @@
 r"""Benchmark decontamination by the q-gram lemma and banded alignment.
 
-A document is contaminated by a benchmark item when a segment of the item
-occurs in it within an edit budget. Texts are compared as bytes with A-Z
-lower-cased and white-space runs as one space. An item is cut into segments of
-``SEGMENT`` bytes at every half segment (a shorter item is one segment), and a
-segment of m bytes may differ by k = m * ``EDIT_PERCENT`` / 100 edits.
+A document is contaminated by a benchmark item when some ``SEGMENT`` bytes of
+the item, from any start, occur in it within an edit budget. Texts are compared
+as bytes with A-Z lower-cased and white-space runs as one space. A shorter item
+counts as a whole, and a segment of m bytes may differ by
+k = m * ``EDIT_PERCENT`` / 100 edits.
 
 Within k edits a segment keeps at least m - Q + 1 - k * Q of its q-grams, and
-they lie on diagonals (position in the document minus position in the segment)
-at most 2k + 1 apart. Shared q-grams are counted per (document, segment,
-diagonal band); bands are twice that wide and overlap by half, so some band
-holds a whole match. Bands that reach the bound are verified by aligning the
-segment with the band's region.
+they lie on diagonals (position in the document minus position in the item) at
+most 2k + 1 apart. Shared q-grams are gathered per (document, item, diagonal
+band); bands are twice that wide and overlap by half, so some band holds a whole
+match. Every start whose segment holds as many q-grams of a band as the bound
+asks is verified by aligning the segment with the band's region.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` (items are spread by
 hash), each a column over the documents in the same stage, so its size is not
@@ -40,6 +40,10 @@ Q, SEGMENT, EDIT_PERCENT = 12, 96, 5
 #: Benchmark text that one pass holds in a worker.
 BLOCK_BYTES = 4 << 20
 _FILTER_BITS = 22
+#: Starts in an item that are aligned together.
+_TOGETHER = 64
+#: Shared q-grams that are sorted at a time (of one text at least).
+_HITS = 1 << 18
 
 
 def folded(b: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,29 +82,39 @@ def budget(m: int) -> int:
 
 
 class Index:
-    """Q-gram index of the segments of some benchmark items."""
+    """Q-gram index of some benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items: list[int] = []
-        self.segments: list[bytes] = []
-        for item, text in items:
-            t = fold_text(text).strip(b" ")
-            starts = [0] if len(t) <= SEGMENT else [*range(0, len(t) - SEGMENT, SEGMENT // 2), len(t) - SEGMENT]
-            for s in starts if len(t) >= Q else []:
-                self.segments.append(t[s:s + SEGMENT])
-                self.items.append(item)
-        self.edits = np.array([budget(len(s)) for s in self.segments], np.int64)
-        self.bound = np.array([len(s) - Q + 1 - k * Q for s, k in zip(self.segments, self.edits)], np.int64)
-        grams = [qgrams(np.frombuffer(s, np.uint8)) for s in self.segments]
+        kept = [(item, t) for item, t in ((item, fold_text(text).strip(b" ")) for item, text in items) if len(t) >= Q]
+        self.ids, self.texts = [item for item, _ in kept], [np.frombuffer(t, np.uint8) for _, t in kept]
+        #: per item: its bytes, those of a segment, the edits allowed and the q-grams that must be left
+        self.length = np.array([len(t) for t in self.texts], np.int64)
+        self.size = np.minimum(self.length, SEGMENT)
+        self.edits = np.array([budget(m) for m in self.size.tolist()], np.int64)
+        self.bound = self.size - Q + 1 - self.edits * Q
+        grams = [qgrams(t) for t in self.texts]
         codes = np.concatenate(grams) if grams else np.zeros(0, U64)
-        segment = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(codes, kind="stable")
         self.codes, self.first, self.count = np.unique(codes[order], return_index=True, return_counts=True)
-        self.segment, self.place = segment[order], place[order]
+        self.owner, self.place = owner[order], place[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.slot(self.codes)] = True
 
+    def grid(self) -> list[tuple[int, bytes]]:
+        """(item, segment) at every half segment and at the items' ends."""
+        starts = [[0] if n <= SEGMENT else [*range(0, n - SEGMENT, SEGMENT // 2), n - SEGMENT] for n in self.length.tolist()]
+        return [(i, t[s:s + SEGMENT].tobytes()) for i, t, some in zip(self.ids, self.texts, starts) for s in some]
+
+    @property
+    def items(self) -> list[int]:
+        return [i for i, _ in self.grid()]
+
+    @property
+    def segments(self) -> list[bytes]:
+        return [x for _, x in self.grid()]
+
     @staticmethod
     def slot(codes: np.ndarray) -> np.ndarray:
         return ((codes ^ (codes >> U64(31))) * U64(0xD6E8FEB86659FD93)) >> U64(64 - _FILTER_BITS)
@@ -119,51 +133,85 @@ class Index:
         doc = np.searchsorted(offs, at, side="right") - 1
         whole = at + Q <= offs[doc + 1]
         at, u, doc = at[whole], u[whole], doc[whole]
-        if not len(at):
-            return found
+        # whole texts, as many as bound their shared q-grams
+        ends = np.cumsum(self.count[u])
+        i = 0
+        while i < len(at):
+            j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _HITS, side="right"))
+            j = int(np.searchsorted(doc, doc[min(j, len(at) - 1)])) if j < len(at) else j
+            j = j if j > i else int(np.searchsorted(doc, doc[i], side="right"))
+            found |= self.verified(t, offs, at[i:j], u[i:j], doc[i:j])
+            i = j
+        return found
+
+    def verified(self, t: np.ndarray, offs: np.ndarray, at: np.ndarray, u: np.ndarray, doc: np.ndarray) -> dict[int, dict[int, int]]:
+        """:meth:`matches` of the texts ``doc`` (ascending) that hold the codes ``u`` at ``at``."""
+        found: dict[int, dict[int, int]] = {}
         n = self.count[u]
         member = np.repeat(self.first[u], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        segment, doc = self.segment[member], np.repeat(doc, n)
-        diagonal = np.repeat(at, n) - self.place[member] + SEGMENT  # never negative
-        width = 2 * self.edits[segment] + 1
-        band = diagonal // width
-        key = np.stack([np.concatenate([doc, doc]), np.concatenate([segment, segment]), np.concatenate([band, band - 1])])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
+        owner, place, doc = self.owner[member], self.place[member], np.repeat(doc, n)
+        band = (np.repeat(at, n) - place) // (2 * self.edits[owner] + 1)
+        key = np.stack([np.concatenate([doc, doc]), np.concatenate([owner, owner]), np.concatenate([band, band - 1]), np.concatenate([place, place])])
+        key = key[:, np.lexsort(key[::-1])]
         new = np.ones(key.shape[1], bool)
         new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, key.shape[1]))
-        full = size >= self.bound[key[1, start]]
-        for d, s, b in key[:, start[full]].T.tolist():
-            item, seen = self.items[s], found.setdefault(d, {})
+        key = key[:, new]
+        new = np.ones(key.shape[1], bool)
+        new[1:] = (key[:3, 1:] != key[:3, :-1]).any(axis=0)
+        group = np.cumsum(new) - 1
+        # as many q-grams as the bound from this one on, near enough for one segment
+        owner, place = key[1], key[3]
+        last = np.arange(len(group)) + self.bound[owner] - 1
+        far = np.minimum(last, len(group) - 1)
+        span = self.size[owner] - Q
+        full = np.flatnonzero((far == last) & (group[far] == group) & (place[far] - place <= span))
+        low = np.maximum(0, place[far[full]] - span[full])
+        high = np.minimum(place[full], (self.length - self.size)[owner[full]])
+        cut = np.flatnonzero(np.diff(group[full], prepend=-1))
+        for i, j in zip(cut, np.append(cut[1:], len(full))):
+            d, o, b = key[:3, full[i]].tolist()
+            item, seen = self.ids[o], found.setdefault(d, {})
             if seen.get(item) == 0:
                 continue
-            k = int(self.edits[s])
+            k, m = int(self.edits[o]), int(self.size[o])
             w = 2 * k + 1
-            lo = b * w - SEGMENT - k
-            region = t[max(offs[d], lo):min(offs[d + 1], lo + 2 * w + 2 * k + len(self.segments[s]))]
-            edits = aligned(self.segments[s], region, k)
-            if edits <= k:
-                seen[item] = min(edits, seen.get(item, edits))
+            starts = np.unique(np.concatenate([np.arange(x, y + 1) for x, y in zip(low[i:j], high[i:j])]))
+            segments = np.lib.stride_tricks.sliding_window_view(self.texts[o], m)
+            best = k + 1
+            while len(starts) and best:
+                some = starts[starts < starts[0] + _TOGETHER]
+                starts = starts[len(some):]
+                lo = int(some[0]) + b * w - k
+                region = t[max(offs[d], lo):max(offs[d], min(offs[d + 1], int(some[-1]) + b * w + 2 * w + k + m))]
+                best = min(best, nearest(segments[some], region, k))
+            if best <= k:
+                seen[item] = min(best, seen.get(item, best))
         return {d: x for d, x in found.items() if x}
 
 
-def aligned(segment: bytes, region: np.ndarray, limit: int) -> int:
-    """Fewest edits that turn the segment into some part of the region; limit + 1 when more."""
-    if segment in region.tobytes():
+def nearest(segments: np.ndarray, region: np.ndarray, limit: int) -> int:
+    """Fewest edits that turn one of the segments (rows) into some part of the region; limit + 1 when more."""
+    whole = region.tobytes()
+    if any(s.tobytes() in whole for s in segments):
         return 0
-    n = len(region)
-    steps = np.arange(n + 1)
-    row = np.zeros(n + 1, np.int64)
-    for i, c in enumerate(segment, 1):
+    steps = np.arange(len(region) + 1, dtype=np.int32)
+    row = np.zeros((len(segments), len(region) + 1), np.int32)
+    for i in range(segments.shape[1]):
         nxt = row + 1
-        nxt[1:] = np.minimum(nxt[1:], row[:-1] + (region != c))
-        nxt[0] = i
-        row = np.minimum.accumulate(nxt - steps) + steps
-        if row.min() > limit:
-            return limit + 1
-    return int(min(row.min(), limit + 1))
+        np.minimum(nxt[:, 1:], row[:, :-1] + (region != segments[:, i:i + 1]), out=nxt[:, 1:])
+        nxt[:, 0] = i + 1
+        row = np.minimum.accumulate(nxt - steps, axis=1) + steps
+        open_ = row.min(axis=1) <= limit
+        if not open_.all():
+            row, segments = row[open_], segments[open_]
+            if not len(row):
+                return limit + 1
+    return int(row.min())
+
+
+def aligned(segment: bytes, region: np.ndarray, limit: int) -> int:
+    """Fewest edits that turn the segment into some part of the region; limit + 1 when more."""
+    return nearest(np.frombuffer(segment, np.uint8)[None], region, limit)
 
 
 def matches_of(items: list[tuple[int, str]], text: Column) -> Column:

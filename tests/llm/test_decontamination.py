@@ -82,3 +82,23 @@ def test_empty(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate(odd, bench).where("contaminated").count() == 0
     assert decontaminate(none, spark.createDataFrame([(1, "x" * 200)], "item_id long, text string")).count() == 0
+
+
+def test_quotes_from_any_start_are_found():
+    """Against brute force over all starts in the item; a quote of SEGMENT bytes or more is never clean."""
+    import numpy as np
+    rng = random.Random(9)
+    item = "".join(rng.choice("abcdefghij klm") for _ in range(400))[:233].strip().replace("  ", "xx")
+    index = Index([(1, item)])
+    quotes = [(s, m) for m in (SEGMENT, 100, 110, 115, 120, 134) for s in range(0, len(item) - m + 1, 7)] + [(20, 115)]
+    texts = ["9" * 50 + item[s:s + m] + "8" * 50 for s, m in quotes]
+    short = ["9" * 50 + item[s:s + m] + "8" * 50 for m in (70, 90) for s in (0, 30, 100)]
+    few = ["9" * 50 + edited(rng, item[s:s + m], e) + "8" * 50 for m in (96, 105, 130) for s in (5, 30, 70) for e in (1, 2, 4, 6, 9)]
+    folded = [fold(x) for x in texts + short + few]
+    offs = np.concatenate([[0], np.cumsum([len(f) for f in folded])])
+    got = index.matches(np.frombuffer(b"".join(folded), np.uint8), offs)
+    assert all(got.get(d) == {1: 0} for d in range(len(texts)))
+    whole = fold(item)
+    for d in range(len(texts), len(folded)):
+        e = min(fewest(whole[s:s + SEGMENT], folded[d]) for s in range(0, len(whole) - SEGMENT + 1))
+        assert got.get(d, {}) == ({1: e} if e <= budget(SEGMENT) else {}), d
