@@ -91,11 +91,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def prefix_sums(b: np.ndarray) -> np.ndarray:
-    """Running polynomial sums of the bytes: hash of b[s:e] is (S[e]-S[s]) * base**-s."""
+def prefix_sums(b: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Running polynomial sums of the bytes (or their weights): hash of b[s:e] is (S[e]-S[s]) * base**-s."""
     pw, _ = powers(len(b) + 1)
     s = np.zeros(len(b) + 1, U64)
-    np.cumsum((b.astype(U64) + U64(1)) * pw[:len(b)], out=s[1:])
+    np.cumsum((b.astype(U64) + U64(1) if weight is None else weight[b]) * pw[:len(b)], out=s[1:])
     return s
 
 

@@ -19,9 +19,10 @@ that length matter, so suffixes need names, not a full order:
 The classical form, with triples (period 3), ranks and full recursion, moves
 two thirds of all suffixes several times over, tens of times the input; the
 larger cover and the bounded prefix are the same algorithm at the length asked
-for. Names are 64-bit hashes of the bytes (sampled names shorter, as they only
-admit candidates): with n windows in question, some two different ones share a
-name with a probability of about n * n / 2**65.
+for. Names of windows and of whole texts are 128-bit hashes of the bytes, a key
+and a second word (sampled names are shorter, as they only admit candidates):
+with n windows in question, some two different ones share a name with a
+probability of about n * n / 2**129.
 
 Blocks are ranges of ids, so "earlier" is a smaller block, or earlier inside
 one; a block asks with its distinct names and gets one bit for each. Whole
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import asked, count_of, merged, runs, text_total
-from llm.common import U64, chunks, pack_sorted, prefix_sums, shuffle_parts, span_hash, text_bytes
+from llm.common import U64, chunks, mix, pack_sorted, prefix_sums, shuffle_parts, span_hash, text_bytes
 
 #: Bytes of a repeated string.
 WINDOW = 100
@@ -59,6 +60,28 @@ SAMPLE, WHOLE, FULL = 1, 2, 3
 
 _IN_COVER = np.zeros(PERIOD, bool)
 _IN_COVER[list(COVER)] = True
+#: What each byte counts in a name's second word.
+_WEIGHT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+
+
+def order_of(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts (2, n) names (key, second word), stable; starts of the runs of equal ones in it."""
+    order = np.argsort(names[0], kind="stable")
+    some = names[:, order]
+    if ((some[0, 1:] == some[0, :-1]) & (some[1, 1:] != some[1, :-1])).any():  # one key, different names
+        order = np.lexsort(names[::-1])
+        some = names[:, order]
+    new = np.ones(len(order), bool)
+    new[1:] = (some[:, 1:] != some[:, :-1]).any(axis=0)
+    return order, np.flatnonzero(new)
+
+
+def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (2, n) names, where each comes first, and which of them every name is."""
+    order, start = order_of(names)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(order))))
+    return names[:, order[start]], order[start], back
 
 
 class Block:
@@ -81,10 +104,10 @@ class Block:
         self.same = np.array([none[i] == none[j] and number[i] == number[j] for i, j in enumerate(self.head)], bool)
         self.size = np.diff(offs)
         self.docs = [i for i in order if self.head[i] == i and self.size[i] >= window]
-        self.whole = np.array([int.from_bytes(digest[i][:8], "little") for i in self.docs], U64)
+        self.whole = np.array([[int.from_bytes(digest[i][k:k + 8], "little") for i in self.docs] for k in (0, 8)], U64)
 
-    def parts(self, docs: list[int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-        """Documents a chunk at a time: (rows, offsets, hash sums, sampled positions)."""
+    def parts(self, docs: list[int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Documents a chunk at a time: (rows, offsets, bytes, hash sums, sampled positions)."""
         ends = np.concatenate([[0], np.cumsum(self.size[docs])]) if docs else np.zeros(1, np.int64)
         for lo, hi in chunks(ends):
             some = docs[lo:hi]
@@ -92,19 +115,19 @@ class Block:
             at = ends[lo:hi + 1] - ends[lo]
             place = np.arange(len(b)) - np.repeat(at[:-1], np.diff(at))
             s = np.flatnonzero(_IN_COVER[place % PERIOD] & (place + self.reach <= np.repeat(np.diff(at), np.diff(at))))
-            yield some, at, prefix_sums(b), s
+            yield some, at, b, prefix_sums(b), s
 
     def sampled(self, docs: list[int]) -> np.ndarray:
         """Sampled names of all documents, shortened to ``bits``."""
-        found = [self.short(span_hash(sums, s, s + self.reach)) for _, _, sums, s in self.parts(docs)]
+        found = [self.short(span_hash(sums, s, s + self.reach)) for _, _, _, sums, s in self.parts(docs)]
         return np.concatenate(found) if found else np.zeros(0, U64)
 
     def short(self, h: np.ndarray) -> np.ndarray:
         return h >> U64(64 - self.bits)
 
     def candidates(self, docs: list[int], repeated: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-        """Per chunk the windows that hold a repeated sampled name: (rows, offsets, starts, names)."""
-        for some, at, sums, s in self.parts(docs):
+        """Per chunk the windows that hold a repeated sampled name: (rows, offsets, starts, (2, n) names)."""
+        for some, at, b, sums, s in self.parts(docs):
             name = self.short(span_hash(sums, s, s + self.reach))
             u = np.searchsorted(repeated, name)
             u[u == len(repeated)] = 0
@@ -118,18 +141,21 @@ class Block:
             for a in at[1:]:
                 fits[a - self.window + 1:a] = False
             p = np.flatnonzero((np.cumsum(step[:-1]) > 0) & fits)
-            yield some, at, p, span_hash(sums, p, p + self.window)
+            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window)
+            yield some, at, p, np.stack([span_hash(sums, p, p + self.window), second])
 
 
-_QUESTION = "kind int, shard int, block int, keys binary"
+_QUESTION = "kind int, shard int, block int, keys binary, seconds binary"
 _ANSWER = "kind int, shard int, block int, bits binary"
 
 
-def questions(block: int, keys: dict[int, tuple[np.ndarray, int]], shards: int) -> pa.Table:
-    """Question rows of sorted distinct keys by kind, each with its bits."""
-    rows = [(kind, shard, block, pack_sorted(k[lo:hi])) for kind, (k, bits) in keys.items() for shard, lo, hi in asked(k, shards, bits)]
-    cols = list(zip(*rows)) or [()] * 4
-    return pa.table({n: pa.array(c, t) for n, c, t in zip(("kind", "shard", "block", "keys"), cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))})
+def questions(block: int, keys: dict[int, tuple[np.ndarray, np.ndarray | None, int]], shards: int) -> pa.Table:
+    """Question rows of sorted distinct names by kind: their keys, second words (or none) and the bits of a key."""
+    rows = [(kind, shard, block, pack_sorted(k[lo:hi]), b"" if more is None else more[lo:hi].tobytes())
+            for kind, (k, more, bits) in keys.items() for shard, lo, hi in asked(k, shards, bits)]
+    cols = list(zip(*rows)) or [()] * 5
+    types = {"kind": pa.int32(), "shard": pa.int32(), "block": pa.int32(), "keys": pa.binary(), "seconds": pa.binary()}
+    return pa.table({n: pa.array(c, t) for c, (n, t) in zip(cols, types.items())})
 
 
 def answered(table: pa.Table, kind: int, n: int) -> np.ndarray:
@@ -151,6 +177,8 @@ def answer(table: pa.Table) -> pa.Table:
     table = table.sort_by("block")
     keys, owner, order = merged(table.column("keys").to_pylist())
     start = runs(keys[order])
+    if kind != SAMPLE:  # by key and second word
+        order, start = order_of(np.stack([keys, np.frombuffer(b"".join(table.column("seconds").to_pylist()), U64)]))
     n = np.diff(np.append(start, len(keys)))
     if kind == SAMPLE:
         told = np.repeat(n > 1, n)
@@ -169,7 +197,7 @@ def first_questions(window: int, bits: int, shards: int) -> Callable:
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         b = Block(table, window, bits)
-        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), bits), WHOLE: (np.unique(b.whole), 64)}, shards)
+        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards)
 
     return run
 
@@ -178,8 +206,8 @@ def left_over(b: Block, told: pa.Table) -> tuple[list[int], np.ndarray]:
     """After the first round: the documents that are not copies, and the repeated sampled names."""
     names, n = np.unique(b.sampled(b.docs), return_counts=True)
     repeated = names[answered(told, SAMPLE, len(names)) | (n > 1)]
-    texts, back = np.unique(b.whole, return_inverse=True)
-    copy = answered(told, WHOLE, len(texts))[back] if len(texts) else np.zeros(0, bool)
+    texts, _, back = distinct(b.whole)
+    copy = answered(told, WHOLE, texts.shape[1])[back] if texts.size else np.zeros(0, bool)
     return [d for d, c in zip(b.docs, copy) if not c], repeated
 
 
@@ -191,7 +219,7 @@ def second_questions(window: int, bits: int, shards: int) -> Callable:
             return questions(0, {}, shards)
         b = Block(table, window, bits)
         found = [name for _, _, _, name in b.candidates(*left_over(b, told))]
-        return questions(key[0].as_py(), {FULL: (np.unique(np.concatenate(found)) if found else np.zeros(0, U64), 64)}, shards)
+        return questions(key[0].as_py(), {FULL: (*distinct(np.concatenate(found, axis=1))[0], 64)} if found else {}, shards)
 
     return run
 
@@ -206,13 +234,13 @@ def cutter(window: int, bits: int, with_text: bool) -> Callable:
         removed, spans = np.zeros(b.rows, np.int64), np.zeros(b.rows, np.int64)
         kept: list[bytes | None] = [None] * b.rows
         parts = list(b.candidates(docs, repeated))
-        names = np.concatenate([p[3] for p in parts]) if parts else np.zeros(0, U64)
-        distinct, first, back = np.unique(names, return_index=True, return_inverse=True)
-        again = answered(told, FULL, len(distinct))[back] | (first[back] != np.arange(len(names))) if len(names) else np.zeros(0, bool)
+        names = np.concatenate([p[3] for p in parts], axis=1) if parts else np.zeros((2, 0), U64)
+        _, first, back = distinct(names)
+        again = answered(told, FULL, len(first))[back] | (first[back] != np.arange(len(back))) if len(back) else np.zeros(0, bool)
         at_name = 0
-        for some, at, p, name in parts:
-            hit = p[again[at_name:at_name + len(name)]]
-            at_name += len(name)
+        for some, at, p, _ in parts:
+            hit = p[again[at_name:at_name + len(p)]]
+            at_name += len(p)
             step = np.zeros(at[-1] + 1, np.int32)
             step[hit] += 1
             np.add.at(step, hit + window, -1)

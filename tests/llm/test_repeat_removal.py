@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from llm.common import pack_counts, pack_sorted, unpack_counts, unpack_sorted
+from llm.common import pack_counts, pack_sorted, prefix_sums, span_hash, unpack_counts, unpack_sorted
 from llm.repeat_removal import COVER, PERIOD, remove_repeats
 from tests.llm.conftest import odd_rows, prose
 
@@ -67,3 +67,16 @@ def test_packed_arrays_round_trip():
         assert (unpack_sorted(pack_sorted(keys)) == keys).all()
         counts = rng.integers(0, 1 << int(rng.integers(1, 60)), n)
         assert (unpack_counts(pack_counts(counts)) == counts).all()
+
+
+def test_windows_of_one_64_bit_hash_are_told_apart(spark):
+    """Two windows, different in 14 of their bytes, that share the polynomial hash of common.span_hash."""
+    rng = random.Random(2)
+    apart = [-2, -4, -6, 5, 6, 3, 0, -2, 2, 0, 3, 0, 1, -1, 0, -2, -5, -2]
+    first, tail = "mnopqrstmnopqrstmn", "".join(rng.choice("abcdefgh") for _ in range(82))
+    second = "".join(chr(ord(c) + d) for c, d in zip(first, apart))
+    windows = [np.frombuffer((x + tail).encode(), np.uint8) for x in (first, second)]
+    assert len({int(span_hash(prefix_sums(w), np.array([0]), np.array([100]))[0]) for w in windows}) == 1
+    rows = [(1, "0" * 40 + first + tail + "1" * 40), (2, "2" * 40 + second + tail + "3" * 40)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    assert {r.doc_id: bytes(r.kept).decode() for r in got} == dict(rows)
