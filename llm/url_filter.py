@@ -27,10 +27,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import stored
+
 #: Rules of the registered query, as (host/path, verdict).
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block")]
-#: Most labelled URLs that the trees are fitted on (the smallest by URL hash).
+#: Most distinct labelled URLs that the trees are fitted on; of each verdict the smallest by URL hash, at least half
+#: of these (or all, if fewer) and as many as the other verdict leaves free.
 TRAIN_LIMIT = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["url_length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "hyphens",
@@ -98,11 +101,20 @@ def with_rates(df: DataFrame, value: str, rate: str) -> DataFrame:
 
 
 def fit_trees(rows: DataFrame, limit: int = TRAIN_LIMIT, trees: int = 10, depth: int = 4) -> GBTClassificationModel | None:
-    """Boosted trees over at most ``limit`` labelled rows; None with one verdict only."""
-    sample = rows.where("label is not null").orderBy(F.xxhash64("u"), "u").limit(limit).select("features", "label")
-    kinds = sample.select(F.min("label"), F.max("label")).first()
-    if kinds[0] is None or kinds[0] == kinds[1]:
+    """Boosted trees over at most ``limit`` (2 at least) distinct labelled URLs; None when all labelled URLs have one verdict.
+
+    Rows of a URL have the same label and features, so any of them stands for it.
+    """
+    known = rows.where("label is not null")
+    of = lambda label: (known.where(F.col("label") == label).groupBy(F.xxhash64("u").alias("h"), "u")
+                        .agg(F.first("label").alias("label"), F.first("features").alias("features")).orderBy("h", "u").limit(limit))
+    both = [stored(of(label), "labelled") for label in (0.0, 1.0)]
+    many = [d.count() for d in both]
+    if not all(many):
         return None
+    half = limit // 2
+    share = [min(m, max(half, limit - other)) for m, other in (many, many[::-1])]
+    sample = reduce(DataFrame.unionByName, [d.orderBy("h", "u").limit(n) for d, n in zip(both, share)]).select("features", "label")
     return GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(sample)
 
 

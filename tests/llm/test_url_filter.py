@@ -59,3 +59,13 @@ def test_trees_learn_a_lexical_difference(spark):
 def test_nothing_to_learn(spark, urls):
     df = spark.createDataFrame([(i, u, "", "", "", "") for i, u in enumerate(urls)], SCHEMA)
     assert [r.verdict for r in url_filter(df).collect()] == ["allow"] * len(urls)
+
+
+def test_repeated_urls_do_not_fill_the_sample(spark):
+    """With many rows of one labelled URL, or many more URLs of one verdict, the trees still see both verdicts."""
+    bad = [f"https://h{i}.net/es/{i}{i}{i}{i}?a=1&b=2&c=3&d={i}" for i in range(60)]
+    good = [f"http://site{i}.com/en/page" for i in range(60)]
+    for more in (good[:1] * 3000, [x for u in bad + good for x in [u] * 100], [f"http://more{i}.com/en/page" for i in range(2000)]):
+        df = spark.createDataFrame([(i, u, "", "", "", "") for i, u in enumerate(bad + good + more)], SCHEMA)
+        score = {r.page_id: r.block_score for r in url_filter(df, train_limit=100).collect()}
+        assert min(score[i] for i in range(60)) >= 0.5 > max(score[60 + i] for i in range(60))
