@@ -17,7 +17,8 @@ text is scored whole.
 
 Defined results: NULL and empty texts, and texts without a known word, score
 like a text without features; an id with several labels counts as toxic if any
-says so; labels with a NULL id or label, or without a document, are not used;
+says so; labels with a NULL id or label, or without a document, are not used
+(neither for the sample nor for the odds);
 without both kinds of labels nothing can be learned and every text gets
 severity 0 and is not toxic; repeated rows are judged alike; an empty table
 gives an empty result. Only the id, text and label columns are read.
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import U64, chunks, prefix_sums, span_hash, text_bytes, words
+from llm.common import U64, chunks, prefix_sums, span_hash, stored, text_bytes, words
 
 #: Labelled ids of either label that the model is fitted on, at most.
 TRAIN_LIMIT = 4_000
@@ -137,6 +138,7 @@ def fitted(rows: pa.Table, odds: float) -> pa.Table:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """The model, or None without both kinds of labels."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
+    known = stored(known.join(docs.select(F.col(id_col).alias("id")).hint("merge"), "id", "left_semi"), "labels")
     count = {r.toxic > 0: r["count"] for r in known.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     if len(count) < 2:
         return None

@@ -77,3 +77,14 @@ def test_toxicity_of_odd_rows_and_without_labels(spark, odd, none):
     for some in (labels.where("toxic = 0"), labels.where("doc_id = -1")):
         assert {(r.severity, r.toxic) for r in toxicity(odd, some).collect()} == {(0.0, False)}
     assert toxicity(none, labels).count() == 0
+
+
+def test_labels_of_absent_documents_are_not_used(spark):
+    """They neither fill the sample nor shift the thresholds."""
+    rng = random.Random(8)
+    rows = [(d, prose(rng, 30) + " vile nasty" * (d % 4 == 0)) for d in range(200)]
+    labels = [(d, int(d % 4 == 0)) for d in range(150)]
+    absent = [(10_000 + d, int(d % 50 != 0)) for d in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, got = ({r.doc_id: r for r in toxicity(docs, spark.createDataFrame(x, "doc_id long, toxic int"), train_limit=100).collect()} for x in (labels, labels + absent))
+    assert got == want and {d for d in got if got[d].toxic} == set(range(0, 200, 4))
