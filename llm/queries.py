@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.decontamination import decontaminate
 from llm.exact_dedup import exact_dedup
+from llm.fill_middle import fim_digest
 from llm.language_id import language_id
 from llm.lm_scoring import lm_scores
 from llm.near_dedup import near_dedup
@@ -71,6 +72,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of all documents, as lengths and digests."""
+    return fim_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -91,4 +98,28 @@ ORACLE = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op12_fill_middle": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                 regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+          FROM documents),
+        e AS (
+          SELECT *, CAST(len(u) AS BIGINT) AS n,
+                 CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                 CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+          FROM d),
+        f AS (
+          SELECT doc_id, t, n, u, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+          FROM e),
+        g AS (
+          SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s
+          FROM f)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM g""",
 }
