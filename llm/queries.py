@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.collocations import collocations
 from llm.decontamination import decontaminate
 from llm.exact_dedup import exact_dedup
 from llm.fill_middle import fim_digest
@@ -77,6 +78,11 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language over all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -89,6 +95,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
     "op12_fill_middle": op12_fill_middle,
+    "op13_collocations": op13_collocations,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -122,4 +129,31 @@ ORACLE = {
                       ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
                sha256(t) AS restored_sha256
         FROM g""",
+    "op13_collocations": r"""
+        WITH p AS (
+          SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+          FROM (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents)),
+        g AS (
+          SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS k))),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+        t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+        inside AS (
+          SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+          FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))
+          GROUP BY ALL),
+        cut AS (
+          SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, CAST(1000::HUGEINT * c.a * t.n // (x.f::HUGEINT * y.f) AS BIGINT) AS score, c.j
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+          JOIN t USING (lang)
+          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.j], ' ')
+          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1:], ' ')
+          LEFT JOIN inside s ON s.lang = c.lang AND s.phrase = c.phrase
+          WHERE s.longer IS NULL OR 100 * s.longer < 100 * c.a),
+        best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000""",
 }
