@@ -6,12 +6,13 @@ and only from states that can still reach the least count:
 
 * A shard is some megabytes of one language's text. Its words are coded, and
   the sorted phrases of the current length give the shard's count transducer:
-  arcs (state of the phrase without its last word, state without its first)
-  in order, each with a weight.
-* The transducers are cut at prefix ranges, whose borders come from quantiles
-  of all shards' arcs, so a range holds a bounded number of arcs however
-  uneven the prefixes are. Each range unites its pieces and sums the weights.
-  Arcs that reach the least count become states, numbered without gaps.
+  arcs (for words the word; else the state of the phrase without its last word
+  and that without its first) in order, each with a weight.
+* The transducers are cut at prefix ranges: words at even slices of their hash,
+  longer phrases at quantiles of all shards' arcs, so a range holds a bounded
+  number of arcs however uneven the prefixes are. Each range unites its pieces
+  and sums the weights. Arcs that reach the least count become states, numbered
+  without gaps.
 * Each shard gets the new states of its own arcs back and rewrites its text as
   the states that begin at each word. A phrase is only counted where both its
   parts are states, which loses nothing: a part is at least as frequent.
@@ -21,8 +22,8 @@ the first). Composing the two links looks up the count of every first part and
 every rest of a phrase, with joins between consecutive lengths.
 
 A-Z are lower-cased; texts are cut at ``[.,;:!?\x0A-\x0D]`` into pieces and
-those into words ``[^\x20\x09]+``. States stand for words by number, not by
-hash, so counts are exact; scores are computed in 38-digit decimals and are
+those into words ``[^\x20\x09]+``. Words are
+compared as strings and states are numbers, so counts are exact; scores are computed in 38-digit decimals and are
 exact while a count times 1000 stays below 10^19 and n below 10^18.
 
 Defined results: a NULL text is empty and a NULL lang is ``und``; texts without
@@ -40,16 +41,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.blocks import count_of, merged, runs
-from llm.common import U64, lower, pack_counts, pack_sorted, shuffle_parts, stored, text_bytes, unpack_counts, unpack_sorted
+from llm.common import U64, lower, pack_counts, pack_sorted, prefix_sums, shuffle_parts, span_hash, stored, text_bytes, unpack_counts, unpack_sorted
 
 #: Longest phrase, least count, phrases reported per language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Text of a shard, arcs of a prefix range, arcs between two that are sampled for the borders.
+#: Text of a shard, arcs of a prefix range (words: a quarter), arcs between two that are sampled for the borders.
 SHARD_BYTES, RANGE_ARCS, EVERY = 16 << 20, 1 << 21, 1 << 10
 UNKNOWN = "und"
 
@@ -89,8 +91,16 @@ def thinned(stream: np.ndarray) -> np.ndarray:
     return a[keep]
 
 
+def hashed(words: pa.Array) -> np.ndarray:
+    """Hash of each word's bytes, which only deals words to ranges."""
+    raw, offs = text_bytes(words)
+    raw, offs = raw[offs[0]:offs[-1]], offs - offs[0]
+    with np.errstate(over="ignore"):
+        return span_hash(prefix_sums(raw), offs[:-1], offs[1:])
+
+
 def coded(text: bytes) -> tuple[pa.Array, np.ndarray]:
-    """(distinct words, their numbers in text order with -1 between pieces)."""
+    """(distinct words by hash, their numbers in text order with -1 between pieces)."""
     b = lower(np.frombuffer(text, np.uint8))
     kind = _KIND[b]
     solid = kind == 0
@@ -98,10 +108,13 @@ def coded(text: bytes) -> tuple[pa.Array, np.ndarray]:
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(b[solid])]).dictionary_encode()
-    numbers = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    words = found.dictionary.cast(pa.large_string())
+    order = np.argsort(hashed(words), kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
     ended = np.flatnonzero(kind == 2)
     piece = np.searchsorted(ended, starts)
-    return found.dictionary.cast(pa.large_string()), np.insert(numbers, np.flatnonzero(piece[1:] != piece[:-1]) + 1, -1)
+    return words.take(pa.array(order)), np.insert(number[found.indices.to_numpy(zero_copy_only=False)], np.flatnonzero(piece[1:] != piece[:-1]) + 1, -1)
 
 
 def cuts(text: bytes, limit: int) -> Iterator[bytes]:
@@ -147,13 +160,6 @@ def sharder(limit: int) -> Callable:
 
 # ----------------------------------------------------------- states and lengths
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once, with ``state`` numbers from 0 without gaps."""
-    rows = stored(df.withColumn("place", F.monotonically_increasing_id()), name)
-    rows = rows.withColumns({"part": F.shiftright("place", 33), "place": F.col("place").bitwiseAND(F.lit((1 << 33) - 1))})
-    return offset(rows, rows.groupBy("part").agg(F.count(F.lit(1)).alias("size")), "part").withColumn("state", F.col("before") + F.col("place")).drop("part", "place", "before")
-
-
 def offset(rows: DataFrame, sizes: DataFrame, part: str) -> DataFrame:
     """``rows`` with ``before``, the summed sizes of the earlier parts (a row a part, so one window holds them)."""
     earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -226,6 +232,58 @@ def union(least: int) -> Callable:
 
 
 _UNITED = "range long, shard long, states binary, weights binary, size long"
+_WORDS_UNITED = "range long, shard long, states binary, langs array<string>, words array<string>, counts array<long>, size long"
+
+
+def word_ranges(count: int) -> Callable:
+    """Task function: each shard's words cut at even slices of their hash."""
+    borders = np.array([(k << 64) // count for k in range(1, count)], U64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, counts = batch.column(2)[i].values, batch.column(3)[i].values
+                if words is None or not len(words):
+                    continue
+                cut = [0, *np.searchsorted(hashed(words), borders).tolist(), len(words)]
+                spans = [(r, lo, hi) for r, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if hi > lo]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r for r, _, _ in spans], pa.int64()), batch.column(0)[i:i + 1].take(pa.array([0] * len(spans))),
+                     batch.column(1)[i:i + 1].take(pa.array([0] * len(spans))),
+                     pa.array([words[lo:hi] for _, lo, hi in spans], pa.list_(words.type)), pa.array([counts[lo:hi] for _, lo, hi in spans], pa.list_(pa.int64()))],
+                    ["range", "shard", "lang", "words", "counts"])
+
+    return run
+
+
+def word_union(least: int) -> Callable:
+    """Group function of a range of words; rows as :func:`union` gives them, the states as words."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        lists = rows.column("words").combine_chunks()
+        sizes = pc.list_value_length(lists).to_numpy()
+        words = lists.flatten()
+        langs = rows.column("lang").combine_chunks().take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        # a word has no tab, so the pair can be told from its joined form
+        joined = pc.binary_join_element_wise(langs.cast(pa.large_string()), words.cast(pa.large_string()), pa.scalar("\t", pa.large_string())).dictionary_encode()
+        owner = joined.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(owner, kind="stable")
+        start = runs(owner[order])
+        total = np.add.reduceat(rows.column("counts").combine_chunks().flatten().to_numpy()[order], start)
+        kept = total >= least
+        number = np.where(kept, np.cumsum(kept) - 1, -1)[owner]
+        answers = [squeezed(x) for x in np.split(number, np.cumsum(sizes)[:-1])]
+        one = pa.array(order[start][kept])
+        n, size = len(sizes) + 1, int(kept.sum())
+        return pa.table({"range": pa.array([rows.column("range")[0].as_py()] * n, pa.int64()),
+                         "shard": pa.array([*rows.column("shard").to_pylist(), None], pa.int64()),
+                         "states": pa.array([*answers, None], pa.binary()),
+                         "langs": pa.array([None] * (n - 1) + [langs.take(one).to_pylist()], pa.list_(pa.string())),
+                         "words": pa.array([None] * (n - 1) + [words.take(one).to_pylist()], pa.list_(pa.string())),
+                         "counts": pa.array([None] * (n - 1) + [total[kept].tolist()], pa.list_(pa.int64())),
+                         "size": pa.array([size] * n, pa.int64())})
+
+    return run
 
 
 def listed(states: int) -> Callable:
@@ -241,12 +299,17 @@ def listed(states: int) -> Callable:
     return run
 
 
-def first_streams(rows: pa.Table, found: pa.Table) -> pa.Table:
-    """A shard's words replaced by their states."""
-    stream = unsqueezed(rows.column("stream")[0].as_py())
-    state = np.full(int(stream.max(initial=-1)) + 2, -1, np.int64)  # the last entry answers -1
-    state[found.column("pos").to_numpy()] = found.column("state").to_numpy()
-    return pa.table({"shard": rows.column("shard")[:1], "stream": pa.array([squeezed(thinned(state[stream]))], pa.binary())})
+def renamed(answers: pa.Table) -> np.ndarray:
+    """The new state of each of a shard's arcs in order, from the answers of the ranges."""
+    answers = answers.sort_by("range")
+    parts = [np.where((x := unsqueezed(s)) >= 0, x + n, -1) for s, n in zip(answers.column("states").to_pylist(), answers.column("before").to_pylist())]
+    return np.concatenate([*parts, np.full(1, -1)])
+
+
+def first_streams(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """Cogroup function of a shard: its words as states (a place without a word, -1, takes the last entry)."""
+    out = renamed(answers)[unsqueezed(rows.column("stream")[0].as_py())]
+    return pa.table({"shard": rows.column("shard")[:1], "stream": pa.array([squeezed(thinned(out))], pa.binary())})
 
 
 def next_streams(states: int) -> Callable:
@@ -255,12 +318,9 @@ def next_streams(states: int) -> Callable:
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         a = arcs(unsqueezed(rows.column("stream")[0].as_py()), states)
         on = a >= 0
-        answers = answers.sort_by("range")
-        state = [np.where((x := unsqueezed(s)) >= 0, x + n, -1) for s, n in zip(answers.column("states").to_pylist(), answers.column("before").to_pylist())]
         _, at = np.unique(a[on], return_inverse=True)
         out = np.full(len(a), -1, np.int64)
-        if state:
-            out[on] = np.concatenate(state)[at]
+        out[on] = renamed(answers)[at]
         return pa.table({"shard": rows.column("shard")[:1], "stream": pa.array([squeezed(thinned(out))], pa.binary())})
 
     return run
@@ -280,17 +340,21 @@ def phrase_states(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     shards = stored(made.withColumn("shard", F.monotonically_increasing_id()), "phrase-shards", "zstd")
     totals = shards.groupBy("lang").agg(F.sum("tokens").alias("n"))
 
-    pairs = shards.select("lang", F.inline(F.arrays_zip("words", "counts")).alias("word", "c"))
-    counted = pairs.groupBy("lang", "word").agg(F.sum("c").alias("f"))
-    words = numbered(counted.where(F.col("f") >= least), "phrase-words")
+    count = count_of(shards.agg(F.sum(F.size("words"))).first()[0] or 0, range_arcs // 4)
+    pieces = shards.select("shard", "lang", "words", "counts").mapInArrow(word_ranges(count), "range long, shard long, lang string, words array<string>, counts array<long>")
+    pieces = pieces.repartition(shuffle_parts(spark, count), "range")
+    united = stored(pieces.groupBy("range").applyInArrow(word_union(least), _WORDS_UNITED), "phrase-words")
+    united = offset(united, united.where("shard is null").select("range", "size"), "range")
     none = F.lit(None).cast("long")
     empty = F.array().cast("array<bigint>")
-    level = words.select("state", none.alias("parent"), none.alias("suffix"), "lang", F.array("word").alias("words"), "f", empty.alias("heads"), empty.alias("tails"))
+    words = united.where("shard is null").select("before", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("pos", "w"))
+    level = words.select((F.col("before") + F.col("pos")).alias("state"), none.alias("parent"), none.alias("suffix"), F.col("w.langs").alias("lang"),
+                         F.array("w.words").alias("words"), F.col("w.counts").alias("f"), empty.alias("heads"), empty.alias("tails"))
+    level = stored(level, "phrase-level-1")
     automaton = [level]
-    states = words.count()
-    vocabulary = shards.select(F.col("shard").alias("owner"), "lang", F.posexplode("words").alias("pos", "word"))
-    found = vocabulary.join(words.select("lang", "word", "state"), ["lang", "word"]).select("owner", "pos", "state")
-    streams = shards.select("shard", "stream").groupBy("shard").cogroup(found.groupBy("owner")).applyInArrow(first_streams, "shard long, stream binary")
+    states = level.count()
+    answers = united.where("shard is not null").select(F.col("shard").alias("owner"), "range", "states", "before")
+    streams = shards.select("shard", "stream").groupBy("shard").cogroup(answers.groupBy("owner")).applyInArrow(first_streams, "shard long, stream binary")
     streams = stored(streams, "phrase-streams-1")
 
     for length in range(2, longest + 1):
