@@ -12,6 +12,7 @@ from llm.language_id import language_id
 from llm.lm_scoring import lm_scores
 from llm.near_dedup import near_dedup
 from llm.packing import pack
+from llm.page_text import page_text
 from llm.repeat_removal import remove_repeats
 from llm.toxicity import toxicity
 from llm.training_order import materialise, shard_path
@@ -73,6 +74,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return page_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-middle form of all documents, as lengths and digests."""
     return fim_digest(table(spark, sf_dir, "documents"))
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_html_text": op11_html_text,
     "op12_fill_middle": op12_fill_middle,
     "op13_collocations": op13_collocations,
 }
