@@ -7,13 +7,19 @@ classifiers' margins, each bit weighted by how well its classifier did in
 training. A text whose two nearest codewords lie close together is flagged.
 
 Classifiers are linear. Spark counts, per language, the hashed n-grams of all
-training texts (map-side sums into one fixed-width vector a task and language,
-added up per language), and the weights of each bit are the smoothed log-odds
-of the n-grams of the languages at +1 against those at -1. What reaches the
-driver is one vector of ``BUCKETS`` counts per language, whatever the input.
+training texts: each task sums into one fixed-width vector per language, and
+the vectors of ``FAN_IN`` neighbouring tasks are added up at a time, level by
+level, so no group holds more than that many of the vectors below it. The
+weights of each bit are the smoothed log-odds of the n-grams of the languages at
++1 against those at -1. What reaches the driver is one vector of ``BUCKETS``
+counts per language, whatever the input.
+
+Letters are the characters of Unicode's category L, so digits of any kind,
+fractions, Roman and circled numbers and lone accents are none.
 
 Defined results: a NULL text or one without a letter is ``und`` with score 0
-and ambiguous; with no training rows every text is ``und``; with one learned
+and ambiguous; a very long text is counted whole, some bytes at a time; equal
+losses go to the language first by name; with no training rows every text is ``und``; with one learned
 language every text with a letter gets it with score 1; repeated rows are
 judged alike; an empty table gives an empty result. Only the id, text and lang
 columns are read; lang, source and id never enter a prediction.
@@ -21,11 +27,12 @@ columns are read; lang, source and id never enter a prediction.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +43,10 @@ BUCKETS, SIZES, MIN_BITS = 1 << 14, (1, 2, 3), 15
 #: Gap between the two least losses below which a text is ambiguous.
 AMBIGUOUS = 0.05
 UNKNOWN = "und"
+#: Vectors added up in one group, and the levels of groups: enough for 64 ** 4 tasks.
+FAN_IN, LEVELS = 64, 3
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -135,21 +144,29 @@ def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums[lang] += part
             else:
                 sums[lang] = part
+    task = TaskContext.get().partitionId()
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.astype("<i8").tobytes() for v in sums.values()], pa.binary())], ["lang", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([task] * len(sums), pa.int64()),
+                                          pa.array([v.astype("<i8").tobytes() for v in sums.values()], pa.binary())], ["lang", "part", "counts"])
 
 
 def added(rows: pa.Table) -> pa.Table:
-    """One language's vectors summed (a row per task)."""
-    total = sum(np.frombuffer(v, "<i8") for v in rows.column("counts").to_pylist())
-    return pa.table({"lang": rows.column("lang")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    """The vectors of a language and part summed."""
+    total = np.zeros(BUCKETS, np.int64)
+    for v in rows.column("counts"):
+        total += np.frombuffer(v.as_buffer(), "<i8")
+    return pa.table({"lang": rows.column("lang")[:1], "part": rows.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Coder | None:
     """The coder learned from all rows of ``df`` with a language; None without any."""
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("lang"))
-    sums = rows.mapInArrow(counter, "lang string, counts binary").groupBy("lang").applyInArrow(added, "lang string, counts binary")
-    learned = sorted(sums.collect())
+    row = "lang string, part long, counts binary"
+    sums = rows.mapInArrow(counter, row)
+    for _ in range(LEVELS):
+        sums = sums.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("lang", "part").applyInArrow(added, row)
+    sums = sums.withColumn("part", F.lit(0).cast("long")).groupBy("lang").applyInArrow(added, row)
+    learned = sorted(sums.select("lang", "counts").collect())
     if not learned:
         return None
     return Coder([r.lang for r in learned], np.stack([np.frombuffer(r.counts, "<i8") for r in learned]).astype(float))

@@ -1,10 +1,12 @@
 import random
 import re
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 
-from llm.language_id import codebook, language_id
+from llm.language_id import BUCKETS, codebook, language_id
 from llm.toxicity import fit_ordinal, toxicity
 from tests.conftest import SMALL
 from tests.llm.conftest import odd_rows, prose
@@ -32,11 +34,56 @@ def test_languages_of_odd_rows(odd, none):
     by = {r.doc_id: r for r in got}
     for d, t in odd_rows():
         if d is not None:
-            none_told = not re.search(r"[^\W\d_]", t or "")
+            none_told = not any(unicodedata.category(c)[0] == "L" for c in t or "")
             assert (by[d].lang_pred == "und") == none_told
     assert language_id(none).count() == 0
 
 
+def test_only_letters_tell(spark):
+    """Numbers of other scripts and kinds, accents and signs are no letters; a letter of any script is one."""
+    signs = ["²", "½ ¾ ①②", "Ⅷ", "٣", "_", "\u0301", "€ 🙂", "—"]
+    letters = ["漢", "ª", "ʰ 1", "ß", "1a"]
+    rows = [(k, "abc def", ["en", "de"][k % 2]) for k in range(20)] + [(100 + k, t, None) for k, t in enumerate(signs + letters)]
+    got = {r.doc_id: r.lang_pred for r in language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[100 + k] == "und" for k in range(len(signs) + len(letters))] == [True] * len(signs) + [False] * len(letters)
+
+
+def test_decoding_equals_brute_force(spark):
+    """Counts, classifiers and decoding of a small corpus done n-gram by n-gram."""
+    rng = random.Random(2)
+    words = {"aa": ["lorem", "ipsum", "dolor"], "bb": ["straße", "über", "haus"], "cc": ["niño", "año", "casa"]}
+    rows = [(k, " ".join(rng.choice(words[g] + (["casa", "haus"] if k % 5 == 0 else [])) for _ in range(rng.randint(1, 8))) + rng.choice(["", "!", " 42"]), g)
+            for k, g in ((k, rng.choice("abc") * 2) for k in range(150))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    totals = {g: Counter() for g in words}
+    for k, t, g in rows:
+        if zlib.crc32(str(k).encode()) % 3 != 1:
+            totals[g].update(plain_grams(t))
+    langs = sorted(totals)
+    code = codebook(3)
+    p = np.array([[(totals[g][b] + 0.5) / (sum(totals[g].values()) + 0.5 * BUCKETS) for b in range(BUCKETS)] for g in langs])
+    weights = np.stack([np.log(p[code[:, j] > 0].mean(axis=0)) - np.log(p[code[:, j] < 0].mean(axis=0)) for j in range(code.shape[1])], 1)
+    trust = np.array([max(min(p[i] @ weights[:, j] * code[i, j] for i in range(3)), 1e-3) for j in range(code.shape[1])])
+    trust /= trust.sum()
+    got = {r.doc_id: r for r in language_id(df).collect()}
+    for k, t, _ in rows:
+        c = plain_grams(t)
+        margins = np.array([sum(n * weights[b, j] for b, n in c.items()) for j in range(code.shape[1])]) / np.sqrt(sum(c.values()))
+        loss = [sum(trust[j] * np.log1p(np.exp(-code[i, j] * margins[j])) for j in range(code.shape[1])) for i in range(3)]
+        near = sorted(loss)
+        if near[1] - near[0] > 1e-4:
+            assert got[k].lang_pred == langs[int(np.argmin(loss))]
+        assert abs(got[k].score - 1 / sum(np.exp(-(x - near[0]) * len(trust)) for x in loss)) < 1e-3
+
+
+def plain_grams(text):
+    """Buckets of the byte n-grams of one text, by a loop over its bytes."""
+    folded = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+    t = re.sub(b" +", b" ", b" " + folded + b" ")
+    return Counter((((int.from_bytes(t[i:i + n], "big") + (n << 24)) * 0x9E3779B1 & 0xFFFFFFFF) >> 18)
+                   for n in (1, 2, 3) for i in range(len(t) - n + 1) if t[i:i + n] != b" ")
+
+
 def test_one_language_and_no_language(spark):
     one = spark.createDataFrame([(0, "a b", "xx"), (2, "1", "xx"), (1, "c", None)], "doc_id long, text string, lang string")
     assert {r.doc_id: r.lang_pred for r in language_id(one).collect()} == {0: "xx", 1: "xx", 2: "und"}

@@ -1,10 +1,11 @@
 import random
 import re
+import unicodedata
 
 import pytest
 
 import corpus_pipeline as cp
-from llm.decontamination import Index
+from llm.decontamination import SEGMENT, Q, budget
 from llm.packing import pack
 from tests.llm.conftest import DOCS, odd_rows, prose
 from tests.llm.test_decontamination import fewest, fold
@@ -17,6 +18,7 @@ def corpus(spark, tmp_path_factory):
     rng = random.Random(12)
     items = [(k, prose(rng, 30)) for k in range(4)]
     rows = [(i, t) for i, t in odd_rows() if len(t or "") < 100_000]
+    rows += [(720 + k, t) for k, t in enumerate(["²", "½ ¾ ①②", "Ⅷ", "\u0301 1"])]
     rows += [(700 + k, prose(rng, 30) + " " + t + " " + prose(rng, 30)) for k, t in items[:2]]
     base = str(tmp_path_factory.mktemp("corpus"))
     spark.createDataFrame([(i, t, ["en", "de", None][k % 3], "s", *["x"] * 5, k, "y", "z") for k, (i, t) in enumerate(rows)], DOCS).write.parquet(f"{base}/documents.parquet")
@@ -26,7 +28,7 @@ def corpus(spark, tmp_path_factory):
 
 def brute(rows, items):
     """What the four filters keep, one after the other: the kept (id, text) pairs."""
-    rows = [(i, t) for i, t in rows if re.search(r"[^\W\d_]", t or "")]
+    rows = [(i, t) for i, t in rows if any(unicodedata.category(c)[0] == "L" for c in t or "")]
     least = {}
     for i, t in rows:
         key = re.sub(r"[\x20\x09-\x0D]+", " ", t)
@@ -50,8 +52,15 @@ def brute(rows, items):
                     first = min(x, y, key=order.index)
                     up[x if first == y else y] = first
     rows = [rows[k] for k in order if root(k) == k]
-    index = Index(items)
-    return [(i, t) for i, t in rows if not any(fewest(s, fold(t)) <= e for s, e in zip(index.segments, index.edits))]
+    whole = [fold(t).strip() for _, t in items]
+    segments = {w[s:s + SEGMENT] for w in whole for s in range(max(1, len(w) - SEGMENT + 1)) if len(w) >= Q}
+    return [(i, t) for i, t in rows if not any(within(s, fold(t), budget(len(s))) for s in segments)]
+
+
+def within(segment, text, k):
+    """Whether a part of the text is at most k edits from the segment: one of k + 1 parts of it is then untouched."""
+    at = [len(segment) * j // (k + 1) for j in range(k + 2)]
+    return any(segment[a:b] in text for a, b in zip(at[:-1], at[1:])) and fewest(segment, text) <= k
 
 
 def test_stages_equal_brute_force(spark, corpus):
