@@ -52,7 +52,7 @@ from llm.common import U64, lower, pack_counts, pack_sorted, prefix_sums, shuffl
 #: Longest phrase, least count, phrases reported per language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Text of a shard, arcs of a prefix range (words: a quarter), arcs between two that are sampled for the borders.
-SHARD_BYTES, RANGE_ARCS, EVERY = 16 << 20, 1 << 21, 1 << 10
+SHARD_BYTES, RANGE_ARCS, EVERY = 6 << 20, 1 << 20, 1 << 10
 UNKNOWN = "und"
 
 _BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -104,10 +104,12 @@ def coded(text: bytes) -> tuple[pa.Array, np.ndarray]:
     b = lower(np.frombuffer(text, np.uint8))
     kind = _KIND[b]
     solid = kind == 0
-    edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
+    edge = np.diff(solid.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    del edge
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(b[solid])]).dictionary_encode()
+    del solid, offsets, ends
     words = found.dictionary.cast(pa.large_string())
     order = np.argsort(hashed(words), kind="stable")
     number = np.empty(len(order), np.int64)
@@ -131,8 +133,9 @@ def sharder(limit: int) -> Callable:
     def shard(lang: str, parts: list[bytes]) -> pa.RecordBatch:
         words, stream = coded(b"\n".join(parts))
         counts = np.bincount(stream[stream >= 0], minlength=len(words))
+        one = pa.array([0, len(words)], pa.int32())
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang]), pa.array([words.to_pylist()], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
+            [pa.array([lang]), pa.ListArray.from_arrays(one, words.cast(pa.string())), pa.ListArray.from_arrays(one, pa.array(counts, pa.int64())),
              pa.array([int(counts.sum())], pa.int64()), pa.array([squeezed(stream)], pa.binary())], ["lang", "words", "counts", "tokens", "stream"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,11 +180,11 @@ def transducer(states: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, stream in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a = arcs(unsqueezed(stream), states)
+            for shard, stream in zip(batch.column(0), batch.column(1)):
+                a = arcs(unsqueezed(stream.as_py()), states)
                 keys, weights = np.unique(a[a >= 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int64()), pa.array([pack_sorted(keys.astype(U64))], pa.binary()), pa.array([pack_counts(weights)], pa.binary()),
+                    [pa.array([shard.as_py()], pa.int64()), pa.array([pack_sorted(keys.astype(U64))], pa.binary()), pa.array([pack_counts(weights)], pa.binary()),
                      pa.array([len(keys)], pa.int64()), pa.array([keys[::EVERY].tolist()], pa.list_(pa.int64()))], ["shard", "keys", "weights", "arcs", "sample"])
 
     return run
@@ -192,10 +195,10 @@ def ranges(borders: np.ndarray) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, k, w in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                keys, weights = unpack_sorted(k), unpack_counts(w)
+            for shard, k, w in zip(*(batch.column(c) for c in range(3))):
+                keys, weights = unpack_sorted(k.as_py()), unpack_counts(w.as_py())
                 cut = [0, *np.searchsorted(keys, borders).tolist(), len(keys)]
-                rows = [(r, shard, pack_sorted(keys[lo:hi]), pack_counts(weights[lo:hi])) for r, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if hi > lo]
+                rows = [(r, shard.as_py(), pack_sorted(keys[lo:hi]), pack_counts(weights[lo:hi])) for r, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if hi > lo]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
                                                      ["range", "shard", "keys", "weights"])
