@@ -171,6 +171,10 @@ def trailing_counts(spark, d):
     return WO.trailing_count(ev, WINDOW_SECONDS, key="district", ts="ts", order="id")
 
 
+def newest_alerts(spark, d, n):
+    return SV.newest_first(counted_events(spark, d), n, WINDOW_SECONDS, THRESHOLD, clock=TT.message_rows(spark, d).select("ts"))
+
+
 def alerts_mart(spark, d):
     return AL.alert_records(trailing_counts(spark, d), THRESHOLD)
 
@@ -236,8 +240,8 @@ def q_alerts(spark, d):
 
 @register("alerts_crossing")
 def q_alerts_crossing(spark, d):
-    return AL.alert_records(trailing_counts(spark, d), THRESHOLD, alert_on="crossing",
-                            window_seconds=WINDOW_SECONDS)
+    counts = WO.trailing_count(counted_events(spark, d), WINDOW_SECONDS, key="district", ts="ts", order="id", position="position")
+    return AL.alert_records(counts, THRESHOLD, alert_on="crossing", window_seconds=WINDOW_SECONDS, position="position")
 
 
 @register("sliding_counts")
@@ -252,12 +256,12 @@ def q_window_alerts(spark, d):
 
 @register("severity_mix")
 def q_severity_mix(spark, d):
-    return SV.severity_mix(alerts_mart(spark, d), 50)
+    return SV.severity_mix(newest_alerts(spark, d, 50), 50)
 
 
 @register("recent_alerts")
 def q_recent_alerts(spark, d):
-    return SV.newest_alerts(alerts_mart(spark, d), 10)
+    return newest_alerts(spark, d, 10)
 
 
 @register("busiest_now")
@@ -461,7 +465,7 @@ def q_mart_read(spark, d):
 @register("alerts_latest_docs")
 def q_alerts_latest_docs(spark, d):
     path = _scratch(spark, "alert-docs")
-    MT.write_alert_docs(alerts_mart(spark, d), path, mode="overwrite")
+    MT.write_alert_docs(newest_alerts(spark, d, 20), path, mode="overwrite")
     return MT.latest_alert_docs(MT.read_alert_docs(spark, path), 20)
 
 

@@ -20,20 +20,21 @@ def over_threshold(df: DataFrame, threshold: int, count: str = "event_count") ->
 
 def alert_records(counts: DataFrame, threshold: int, key: str = "district", ts: str = "ts",
                   count: str = "event_count", alert_on: str = "event",
-                  window_seconds: int | None = None) -> DataFrame:
+                  window_seconds: int | None = None, position: str | None = None) -> DataFrame:
     """One alert per event above threshold (``alert_on='event'``, the stored behaviour).
 
     ``alert_on='crossing'`` keeps only the events where the count crosses the
     threshold upwards (previous event of the key at or below it). It needs the
     window length: an event above a threshold >= 1 always has its predecessor
-    within the window, so older ones need not be looked up.
+    within the window, so older ones need not be looked up. ``position`` names
+    the column of positions, if ``trailing_count`` left one.
     """
     src = counts
     if alert_on == "crossing":
         from blotter.operators.windows import previous_within
         if threshold < 1 or not window_seconds:
             raise ValueError("crossing alerts need threshold >= 1 and window_seconds")
-        src = previous_within(src, window_seconds, count, "__prev", key=key, ts=ts).filter(
+        src = previous_within(src, window_seconds, count, "__prev", key=key, ts=ts, position=position).filter(
             F.col("__prev").isNull() | (F.col("__prev") <= F.lit(threshold)))
     return over_threshold(src, threshold, count).select(
         F.col(key).cast("string").alias("district"),

@@ -8,12 +8,16 @@ full sort. Every order has a unique tiebreaker so the cut is reproducible.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions import day_name, month_name
-from blotter.operators.windows import micros
+from blotter.operators.alerts import alert_records
+from blotter.operators.windows import micros, trailing_count
 from blotter.schemas import GT_DAY_OF_WEEK, GT_DISTRICT, GT_MONTH, GT_YEAR
+from blotter.session import scratch_path
 
 
 def kpi_overview(alerts: DataFrame, trends: DataFrame, hotspots: DataFrame,
@@ -39,6 +43,33 @@ def newest_alerts(alerts: DataFrame, n: int) -> DataFrame:
                           F.col("event_count").desc()).limit(n)
 
 
+def newest_first(events: DataFrame, n: int, window_seconds: int, threshold: int, clock: DataFrame | None = None,
+                 key: str = "district", ts: str = "ts", order: str = "id") -> DataFrame:
+    """The newest ``n`` alerts straight from the events, counting only as far back as they need.
+
+    Only events of ``[newest - d - W, newest]`` are counted. An alert at or
+    after ``newest - d`` has its whole window in there, so its count is exact
+    and no later alert is missed; d starts at W and doubles until n alerts are
+    found or all events are in, which takes a logarithmic number of rounds.
+    ``clock`` is where the first and last time are read (default: the events;
+    any table with their times, such as the unparsed messages, will do). Events
+    without a time raise no alert.
+    """
+    w_us = int(window_seconds) * 1_000_000
+    source = events if clock is None else clock
+    seen = source.agg(F.min(micros(source, ts)).alias("first"), F.max(micros(source, ts)).alias("last")).first()
+    path = scratch_path(events.sparkSession, f"newest-{uuid.uuid4().hex[:12]}")
+    first, last, reach, t = seen["first"] or 0, seen["last"] or 0, w_us, micros(events, ts)
+    while True:
+        counts = trailing_count(events.where(t >= F.lit(last - reach - w_us)), window_seconds, key=key, ts=ts, order=order)
+        found = alert_records(counts.where(t >= F.lit(last - reach)), threshold, key=key, ts=ts)
+        newest_alerts(found, n).write.mode("overwrite").parquet(path)
+        newest = events.sparkSession.read.schema(found.schema).parquet(path)
+        if last - reach <= first or newest.count() >= n:
+            return newest_alerts(newest, n)
+        reach *= 2
+
+
 def severity_mix(alerts: DataFrame, newest: int = 50) -> DataFrame:
     """Severity distribution of the newest alerts."""
     return newest_alerts(alerts, newest).groupBy("severity").agg(F.count(F.lit(1)).alias("alert_count"))
@@ -87,11 +118,14 @@ BROADCAST_KEYS = 100_000
 def busiest_now(events: DataFrame, window_seconds: int, k: int = 5, key: str = "district", ts: str = "ts") -> DataFrame:
     """Districts by their latest trailing count (the events of the window that ends with the key's last).
 
-    Two partial aggregations: the last time of each key, then the events at most
-    W older. The last times (a row per key) are broadcast while there are few
-    keys, so no event moves; beyond that the same join shuffles.
+    The key and time of each event are written once; then two partial
+    aggregations: the last time of each key, then the events at most W older. The
+    last times (a row per key) are broadcast while there are few keys, so no
+    event moves; beyond that the same join shuffles.
     """
-    timed = events.where(F.col(ts).isNotNull()).select(F.col(key), micros(events, ts).alias("__t"))
+    path = scratch_path(events.sparkSession, f"busiest-{uuid.uuid4().hex[:12]}")
+    events.where(F.col(ts).isNotNull()).select(F.col(key), micros(events, ts).alias("__t")).write.parquet(path)
+    timed = events.sparkSession.read.parquet(path)
     last = timed.groupBy(F.col(key).alias("__k")).agg(F.max("__t").alias("__last"))
     last = F.broadcast(last) if last.count() <= BROADCAST_KEYS else last
     near = timed.join(last, F.col(key).eqNullSafe(F.col("__k"))).where(F.col("__t") >= F.col("__last") - F.lit(int(window_seconds) * 1_000_000))

@@ -316,6 +316,7 @@ def table_state_alert_sink(history_dir: str, out_dir: str | None, window_seconds
                 sink(AL.alert_records(counts.filter("__new"), threshold), batch_id)
             finally:
                 delete_path(spark, work)
+                delete_path(spark, f"{work}-rows")
             t = micros(both, "ts")
             newest = both.groupBy(F.col("district").alias("__d")).agg(F.max(t).alias("__newest"))
             keep = (both.join(newest, F.col("district").eqNullSafe(F.col("__d")))

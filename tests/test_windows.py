@@ -130,3 +130,44 @@ def test_global_position_is_the_rank_of_all_rows(spark):
     got = {r["id"]: r["__pos"] for r in global_position(_events(spark, rows), "district", "ts", "id").collect()}
     want = {i: n for n, (_, _, i) in enumerate(sorted((d or "", t, i) for i, d, t in rows), start=1)}
     assert got == want
+
+
+@pytest.mark.parametrize("window, slide", [("5 minutes", "1 minute"), ("7 minutes", "3 minutes"), ("6 minutes", "4 minutes"), ("90 seconds", "90 seconds")])
+def test_windows_of_panes_equal_the_window_function(spark, window, slide):
+    """Adding up panes gives what grouping every event by window() gives, also before 1970 and where the slide does not divide the window."""
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["a", "b", None]), T0 + dt.timedelta(milliseconds=rnd.randrange(0, 3_600_000))) for i in range(300)]
+    rows += [(900 + i, "old", dt.datetime(1969, 12, 31, 23, 50 + i, 7)) for i in range(8)] + [(950, "a", None)]
+    df = _events(spark, rows)
+    for events in (df, df.withColumn("ts", F.col("ts").cast("timestamp"))):
+        got = {(r.window_start, r.window_end, r.district): r.event_count for r in sliding_counts(events, window, slide).collect()}
+        want = {(r.w.start, r.w.end, r.district): r.n for r in events.groupBy(F.window("ts", window, slide).alias("w"), "district").agg(F.count("*").alias("n")).collect()}
+        assert got == want
+    with pytest.raises(ValueError):
+        sliding_counts(df, "1 month", "1 day")
+
+
+def test_newest_first_equals_all_alerts(spark):
+    """Bursts, silence, ties at the cut and too few alerts: the newest n are those of the whole history."""
+    from blotter.plans.serving import newest_alerts, newest_first
+    rnd = random.Random(6)
+    rows = []
+    for burst in range(12):
+        at = T0 + dt.timedelta(hours=burst * burst)
+        rows += [(len(rows) + i, rnd.choice(["a", "b", None]), at + dt.timedelta(seconds=rnd.randrange(0, 600) // 60 * 60)) for i in range(40)]
+    rows += [(9000, "a", None), (9001, "quiet", T0 + dt.timedelta(days=60))]
+    df = _events(spark, rows)
+    every = alert_records(trailing_count(df, 900), 4)
+    for n in (1, 7, 50, 10_000):
+        got = [tuple(r) for r in newest_first(df, n, 900, 4).collect()]
+        assert got == [tuple(r) for r in newest_alerts(every, n).collect()] and len(got) == min(n, every.count())
+    assert newest_first(df.limit(0), 5, 900, 4).count() == 0 and newest_first(df, 5, 900, 10 ** 6).count() == 0
+
+
+def test_newest_first_counts_a_slice_only(spark, monkeypatch):
+    from blotter.plans import serving
+    rows = [(i, "a", T0 + dt.timedelta(minutes=i)) for i in range(3000)]
+    seen = []
+    plain = serving.trailing_count
+    monkeypatch.setattr(serving, "trailing_count", lambda df, *a, **k: (seen.append(df.count()), plain(df, *a, **k))[1])
+    assert serving.newest_first(_events(spark, rows), 10, 600, 3).count() == 10 and len(seen) == 1 and seen[0] <= 21
