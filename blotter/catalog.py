@@ -454,6 +454,18 @@ def q_mart_roundtrip(spark, d):
     return MT.read_mart(spark, "violence_stats", base)
 
 
+@register("mart_append_twice")
+def q_mart_append_twice(spark, d):
+    """A run appended to a mart, repeated, and another run after it."""
+    base = _scratch(spark, "marts")
+    stats = VI.violence_stats(TT.violence(spark, d))
+    MT.write_mart(stats, "violence_stats", base, mode="append", run_id="2024-01-01")
+    MT.write_mart(stats, "violence_stats", base, mode="append", run_id="2024-01-01")
+    MT.write_mart(VI.violence_by(TT.violence(spark, d), "month"), "violence_stats", base, mode="append", run_id="2024-02-01")
+    kept = MT.read_mart(spark, "violence_stats", base)
+    return kept.select(*stats.columns, F.col("run_id").cast("string").alias("run_id"))
+
+
 @register("mart_read")
 def q_mart_read(spark, d):
     base = _scratch(spark, "marts")
@@ -532,6 +544,41 @@ def q_stream_sliding_counts(spark, d):
                                 work=_scratch(spark, "stream-windows"))
 
 
+@register("stream_restart")
+def q_stream_restart(spark, d):
+    """Alerts of a stream stopped and restarted after each arrival, as its committed batches tell."""
+    from blotter.streaming import commits, pipeline as SP
+    out = SP.committed_run(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD, chunks=2, work=_scratch(spark, "stream-restart"))
+    return commits.read_committed(spark, out).select(*SP.ALERT_COLUMNS)
+
+
+@register("stream_counters")
+def q_stream_counters(spark, d):
+    """Counters of the committed batches of a run."""
+    from blotter.streaming import commits, pipeline as SP
+    out = SP.committed_run(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD, chunks=3, work=_scratch(spark, "stream-counters"))
+    return commits.stream_counters(spark, out)
+
+
+LATE_SECONDS, LATE_CHUNKS = 20 * 24 * 3600, 3
+
+
+@register("stream_late_events")
+def q_stream_late_events(spark, d):
+    """Events put aside as late when the messages arrive dealt by id, out of time order."""
+    from blotter.streaming import commits, pipeline as SP
+    out = SP.committed_run(spark, TT.message_rows(spark, d), WINDOW_SECONDS, THRESHOLD, chunks=LATE_CHUNKS, work=_scratch(spark, "stream-late"),
+                           delay_seconds=LATE_SECONDS, by=(F.col("id") % LATE_CHUNKS).cast("int"))
+    return commits.read_committed(spark, out, "late").select("id", "ts", "district", "batch_id")
+
+
+@register("stream_idle_stop")
+def q_stream_idle_stop(spark, d):
+    """Accepted events of a running stream that stops itself when nothing more comes."""
+    from blotter.streaming.pipeline import stream_idle_stop
+    return stream_idle_stop(spark, TT.message_rows(spark, d), work=_scratch(spark, "stream-idle"))
+
+
 # --- nearest station (declared in the reference docs) ----------------------
 @register("nearest_station")
 def q_nearest_station(spark, d):

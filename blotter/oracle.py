@@ -392,6 +392,9 @@ SELECT (SELECT count(*) FROM alerts) AS alerts_triggered,
 
 # --- mart storage round trips ------------------------------------------------
 ORACLE["mart_roundtrip"] = ORACLE["violence_stats"]
+ORACLE["mart_append_twice"] = (_with(VIOLENCE) + "SELECT *, '2024-01-01' AS run_id FROM ("
+    + "\nUNION ALL\n".join(_violence_sql(k) for k in ("month", "district", "community_area"))
+    + ")\nUNION ALL\nSELECT *, '2024-02-01' AS run_id FROM (" + _violence_sql("month") + ")")
 ORACLE["mart_read"] = ORACLE["trend_year"]
 ORACLE["alerts_latest_docs"] = _STREAM + _NEWEST.format(n=20)
 ORACLE["scan_csv_typed"] = ORACLE["load_incidents"]
@@ -405,6 +408,18 @@ ORACLE["stream_rejected"] = ORACLE["rejected_events"]
 ORACLE["stream_raw_events"] = ORACLE["validate_events"]
 ORACLE["stream_window_alerts"] = ORACLE["window_alerts"]
 ORACLE["stream_sliding_counts"] = ORACLE["sliding_counts"]
+ORACLE["stream_restart"] = ORACLE["alerts"]
+ORACLE["stream_idle_stop"] = ORACLE["validate_events"]
+ORACLE["stream_counters"] = _STREAM + """
+SELECT CAST(3 AS BIGINT) AS batches, (SELECT count(*) FROM accepted) AS processed,
+       (SELECT count(*) FROM incidents) - (SELECT count(*) FROM accepted) AS rejected, CAST(0 AS BIGINT) AS late,
+       (SELECT count(*) FROM alerts) AS alerts"""
+ORACLE["stream_late_events"] = _with(INCIDENTS, ACCEPTED) + f"""
+SELECT a.id, a.ts, a.district, CAST(a.id % 3 AS BIGINT) AS batch_id
+FROM accepted a JOIN (
+  SELECT c, max(newest) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {20 * 24 * 3600} SECONDS AS mark
+  FROM (SELECT id % 3 AS c, max(ts) AS newest FROM accepted GROUP BY 1)) m ON m.c = a.id % 3
+WHERE a.ts < m.mark"""
 
 STATIONS = """stations AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS district, CAST(900.0 + n_nationkey * 40.0 AS DOUBLE) AS latitude,

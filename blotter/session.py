@@ -86,3 +86,10 @@ def replace_path(spark: SparkSession, source: str, target: str) -> None:
     fs.delete(dst, True)
     if not fs.rename(src, dst):
         raise RuntimeError(f"could not move {source} to {target}")
+
+
+def put_path(spark: SparkSession, source: str, target: str) -> None:
+    """:func:`replace_path` that first makes the folder above the target."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path.getParent())
+    replace_path(spark, source, target)

@@ -11,13 +11,14 @@ Parquet is the default; ``fmt="jdbc"`` writes to any JDBC database.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from blotter.schemas import AUDIT_COLUMNS, MARTS
-from blotter.session import replace_path
+from blotter.session import put_path
 
 
 def conform(df: DataFrame, name: str, audit: bool = True) -> DataFrame:
@@ -30,12 +31,18 @@ def conform(df: DataFrame, name: str, audit: bool = True) -> DataFrame:
 
 
 def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt: str = "parquet",
-               audit: bool = True, jdbc_url: str | None = None, jdbc_props: dict | None = None) -> int:
+               audit: bool = True, jdbc_url: str | None = None, jdbc_props: dict | None = None, run_id: str | None = None) -> int:
     """Write one mart; returns the number of rows written.
 
     An overwrite of files is written aside and takes the old mart's place when
-    it is complete, so a failed job leaves the old one.
+    it is complete, so a failed job leaves the old one. An append under a
+    ``run_id`` can be repeated: the run's rows are a folder of their own (and
+    ``run_id`` a column when read), put in place in the same way, so writing a
+    run twice leaves its rows once and other runs alone. A mart is appended to
+    either with run ids or without.
     """
+    if run_id is not None and (mode != "append" or fmt == "jdbc"):
+        raise ValueError("run_id goes with mode='append' and files")
     out = conform(df, name, audit)
     obs = Observation(f"write_{name}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -48,10 +55,12 @@ def write_mart(df: DataFrame, name: str, base: str, mode: str = "overwrite", fmt
         if "group_type" in out.columns:
             w = w.partitionBy("group_type")
         target = f"{base.rstrip('/')}/{name}"
-        if mode == "overwrite":
+        if run_id is not None:
+            target = f"{target}/run_id={quote(run_id, safe='')}"
+        if mode == "overwrite" or run_id is not None:
             aside = f"{base.rstrip('/')}/_{name}-{uuid.uuid4().hex[:12]}"
-            w.save(aside)
-            replace_path(df.sparkSession, aside, target)
+            w.mode("overwrite").save(aside)
+            put_path(df.sparkSession, aside, target)
         else:
             w.save(target)
     return int(obs.get.get("rows", 0))
@@ -82,16 +91,18 @@ def read_mart(spark: SparkSession, name: str, base: str, fmt: str = "parquet",
 _TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+#: Reader and writer options of alert documents: timestamps with full microseconds.
+ALERT_DOC_OPTIONS = {"timestampNTZFormat": _TS_FORMAT, "timestampFormat": _TS_FORMAT + "XXX"}
+
+
 def write_alert_docs(alerts: DataFrame, path: str, mode: str = "append") -> None:
     """Alert documents as JSON lines (timestamps with full microseconds)."""
-    (alerts.write.mode(mode).option("timestampNTZFormat", _TS_FORMAT)
-     .option("timestampFormat", _TS_FORMAT + "XXX").json(path))
+    alerts.write.mode(mode).options(**ALERT_DOC_OPTIONS).json(path)
 
 
 def read_alert_docs(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return (spark.read.schema(MARTS["alerts"]).option("timestampNTZFormat", _TS_FORMAT)
-                .option("timestampFormat", _TS_FORMAT + "XXX").json(path))
+        return spark.read.schema(MARTS["alerts"]).options(**ALERT_DOC_OPTIONS).json(path)
     except AnalysisException as e:
         if not is_absent(e):
             raise

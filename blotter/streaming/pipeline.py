@@ -32,13 +32,14 @@ Sources: files with ``id, ts, value`` rows, or broker records mapped by
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -282,7 +283,7 @@ VERSIONS = 3
 
 
 def table_state_alert_sink(history_dir: str, out_dir: str | None, window_seconds: int, threshold: int,
-                           docs_dir: str | None = None, query: str = "alerts", mart: str | None = None, jdbc=None):
+                           docs_dir: str | None = None, query: str = "alerts", mart: str | None = None, jdbc=None, sink=None):
     """foreachBatch writer keeping the window state as a versioned table instead of in a state store.
 
     Batch ``n`` reads history version ``n-1`` (the events still inside the
@@ -293,12 +294,13 @@ def table_state_alert_sink(history_dir: str, out_dir: str | None, window_seconds
     query and the batch id: a replayed batch re-reads the same version and
     overwrites its own outputs. A missing version raises, because the window
     would silently start empty; versions beyond ``VERSIONS`` are deleted.
-    Input: accepted events with ``id, ts, district``.
+    Input: accepted events with ``id, ts, district``. ``sink`` takes the alerts
+    in place of ``batch_sink`` (see ``streaming.commits``).
     """
     from blotter.operators.windows import trailing_count
     w_us = int(window_seconds) * 1_000_000
     base = f"{history_dir.rstrip('/')}/query={query}"
-    sink = batch_sink(out_dir, docs_dir, mart=mart, query=query, jdbc=jdbc)
+    sink = sink or batch_sink(out_dir, docs_dir, mart=mart, query=query, jdbc=jdbc)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -338,16 +340,42 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, output_mode: str = "
     return q
 
 
+def until_idle(query, idle_seconds: float, poll_seconds: float = 0.2) -> None:
+    """Let a running query (e.g. with a processing-time trigger) go on until it has had no input for a while, then stop it.
+
+    Idle time runs only while no micro-batch is being worked on, from the last
+    one that had rows. A query that fails raises its error here.
+    """
+    seen, since = -1, time.monotonic()
+    while query.isActive:
+        rows = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
+        if query.status["isTriggerActive"] or max(rows, default=-1) > seen:
+            seen, since = max(rows, default=-1), time.monotonic()
+        if time.monotonic() - since >= idle_seconds:
+            query.stop()
+            break
+        time.sleep(poll_seconds)
+    if query.exception():
+        raise query.exception()
+
+
 MESSAGE_SCHEMA = "id long, ts timestamp_ntz, value string"
 
 
-def arrivals(messages: DataFrame, path: str, chunks: int) -> Iterator[int]:
+def arrivals(messages: DataFrame, path: str, chunks: int, by: Column | None = None) -> Iterator[int]:
     """Append the message rows to ``path`` as ``chunks`` arrivals in time order; yields after each.
 
     Every arrival is written by as many tasks as hold its rows. The consumer
     runs its stream between arrivals, so replay order never rests on file
-    times. Rows without a time arrive first.
+    times. Rows without a time arrive first. ``by`` gives the arrival of each
+    row (0 to ``chunks`` - 1) in place of its time.
     """
+    if by is not None:
+        with persisted(messages.withColumn("__c", by)) as rows:
+            for i in range(chunks):
+                rows.filter(F.col("__c") == i).drop("__c").write.mode("append").parquet(path)
+                yield i
+        return
     t = micros(messages, "ts")
     with persisted(messages.withColumn("__t", t)) as rows:
         bounds = rows.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
@@ -359,12 +387,12 @@ def arrivals(messages: DataFrame, path: str, chunks: int) -> Iterator[int]:
             yield i
 
 
-def replay(spark: SparkSession, messages: DataFrame, work: str, chunks: int, build, sink, output_mode: str = "append") -> None:
+def replay(spark: SparkSession, messages: DataFrame, work: str, chunks: int, build, sink, output_mode: str = "append", by: Column | None = None) -> None:
     """One catch-up run of the stream per arrival, on one checkpoint.
 
     ``build`` maps the message stream to the stream that ``sink`` gets.
     """
-    for _ in arrivals(messages, f"{work}/source", chunks):
+    for _ in arrivals(messages, f"{work}/source", chunks, by):
         stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
         run_available_now(build(stream), sink, f"{work}/checkpoint", output_mode)
 
@@ -414,6 +442,35 @@ def stream_rejected(spark: SparkSession, messages: DataFrame, chunks: int = 4, w
     return spark.read.parquet(f"{work}/rejected")
 
 
+def committed_run(spark: SparkSession, messages: DataFrame, window_seconds: int, threshold: int, chunks: int = 4, work: str | None = None,
+                  delay_seconds: int | None = None, by: Column | None = None) -> str:
+    """Run the committed alert sink over ``messages``, each arrival by a new query object; returns the folder to read.
+
+    Every run after the first is a restart: new reader, new sink, only the
+    checkpoint, history, watermark and manifest in storage.
+    """
+    from blotter.streaming.commits import committed_alert_sink, judged_messages
+    work = work or scratch_path(spark, "stream-committed")
+    for _ in arrivals(messages, f"{work}/source", chunks, by):
+        stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
+        sink = committed_alert_sink(f"{work}/out", window_seconds, threshold, delay_seconds=delay_seconds)
+        run_available_now(judged_messages(stream), sink, f"{work}/checkpoint")
+    return f"{work}/out"
+
+
+def stream_idle_stop(spark: SparkSession, messages: DataFrame, chunks: int = 4, idle_seconds: float = 2.0, work: str | None = None) -> DataFrame:
+    """Run the raw-event sink on a processing-time trigger while messages arrive, stop it once idle; read it."""
+    work = work or scratch_path(spark, "stream-idle")
+    coming = arrivals(messages, f"{work}/source", chunks)
+    next(coming)
+    stream = read_messages(spark, f"{work}/source", "parquet", schema=MESSAGE_SCHEMA)
+    query = raw_event_sink(validated_stream(stream)[0], f"{work}/raw", f"{work}/checkpoint", {"processingTime": "500 milliseconds"})
+    for _ in coming:
+        pass
+    until_idle(query, idle_seconds)
+    return spark.read.parquet(f"{work}/raw")
+
+
 def stream_raw_events(spark: SparkSession, messages: DataFrame, chunks: int = 4, work: str | None = None) -> DataFrame:
     """Run the raw-event sink over ``messages``; read it."""
     work = work or scratch_path(spark, "stream-raw")

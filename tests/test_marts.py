@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
@@ -118,3 +119,15 @@ def test_a_failed_overwrite_leaves_the_old_mart(spark, scratch):
     with pytest.raises(Exception, match="broken"):
         MT.write_mart(bad, "violence_stats", scratch)
     assert MT.read_mart(spark, "violence_stats", scratch).count() == n
+
+
+def test_a_repeated_run_is_appended_once(spark, scratch):
+    """Also when the first attempt had other groups; other runs and odd run names stay apart."""
+    from blotter.sources.marts import read_mart, write_mart
+    rows = lambda *keys: spark.createDataFrame([("year", k, 1) for k in keys], "group_type string, group_value string, crime_count long")
+    for run, keys in (("r1", ["1", "2", "3"]), ("r2/x y", ["9"]), ("r1", ["1", "2"]), ("r2/x y", ["9"])):
+        write_mart(rows(*keys), "crime_trends", scratch, mode="append", run_id=run)
+    got = sorted((r.run_id, r.group_value) for r in read_mart(spark, "crime_trends", scratch).collect())
+    assert [v for _, v in got] == ["1", "2", "9"] and len({r for r, _ in got}) == 2
+    with pytest.raises(ValueError):
+        write_mart(rows("1"), "crime_trends", scratch, run_id="r1")
