@@ -50,6 +50,13 @@ def micros(df: DataFrame, ts: str) -> Column:
     return F.expr(_micros_sql(df, ts))
 
 
+def instant(df: DataFrame, ts: str, at: int) -> Column:
+    """The moment ``at`` (microseconds) as a literal of the column's type, so that comparing with it reaches the scan."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.expr(f"timestampadd(MICROSECOND, {int(at)}, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    return F.timestamp_micros(F.lit(int(at)))
+
+
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function: the rows of a partition with the running sum of their last column."""
     total = 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions import day_name, month_name
 from blotter.operators.alerts import alert_records
-from blotter.operators.windows import micros, trailing_count
+from blotter.operators.windows import instant, micros, trailing_count
 from blotter.schemas import GT_DAY_OF_WEEK, GT_DISTRICT, GT_MONTH, GT_YEAR
 from blotter.session import scratch_path
 
@@ -59,10 +59,11 @@ def newest_first(events: DataFrame, n: int, window_seconds: int, threshold: int,
     source = events if clock is None else clock
     seen = source.agg(F.min(micros(source, ts)).alias("first"), F.max(micros(source, ts)).alias("last")).first()
     path = scratch_path(events.sparkSession, f"newest-{uuid.uuid4().hex[:12]}")
-    first, last, reach, t = seen["first"] or 0, seen["last"] or 0, w_us, micros(events, ts)
+    first, last, reach = seen["first"] or 0, seen["last"] or 0, w_us
+    since = lambda back: F.col(ts) >= instant(events, ts, last - back)
     while True:
-        counts = trailing_count(events.where(t >= F.lit(last - reach - w_us)), window_seconds, key=key, ts=ts, order=order)
-        found = alert_records(counts.where(t >= F.lit(last - reach)), threshold, key=key, ts=ts)
+        counts = trailing_count(events.where(since(reach + w_us)), window_seconds, key=key, ts=ts, order=order)
+        found = alert_records(counts.where(since(reach)), threshold, key=key, ts=ts)
         newest_alerts(found, n).write.mode("overwrite").parquet(path)
         newest = events.sparkSession.read.schema(found.schema).parquet(path)
         if last - reach <= first or newest.count() >= n:
