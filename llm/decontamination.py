@@ -14,8 +14,9 @@ match. Every start whose segment holds as many q-grams of a band as the bound
 asks is verified by aligning the segment with the band's region.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` (items are spread by
-hash), each a column over the documents in the same stage, so its size is not
-assumed; documents never move.
+hash), each a column over the documents in the same stage; documents never move.
+All blocks pass through the driver and each worker, so the benchmark as a whole
+must fit there.
 
 Defined results: NULL and empty texts match nothing; items that are NULL or
 shorter than ``Q`` bytes once folded match nothing; equal items are reported

@@ -9,15 +9,17 @@ shorter history; the empty state has an arc for every token. With counts c,
 
 so a seen token costs its arc's log p(w | h), and an unseen one the failure
 arc's log M / (c(h) + M) plus whatever the shorter history gives. The
-probabilities of known tokens and one unknown token sum to one. A text is read
-left to right once: the state after a token is the tokens just read, and the
-log10 probabilities add up.
+probabilities of known tokens and one unknown token sum to one. The log10
+probabilities of a text's tokens add up. The automaton is not built as a graph:
+the counts of each token's state and arcs are looked up by n-gram hash and
+interpolated from the empty state upwards for all tokens at once, which gives
+the sums that walking its arcs and failure arcs would.
 
 The automaton grows with the corpus and is never held whole. Documents form
 blocks of bounded size; each block asks the shards of the n-gram space for the
 training counts of its own n-grams (telling its own training counts at the same
-time), which is the part of the automaton its texts can reach, and traverses
-that. Texts move once, and n-grams as packed arrays.
+time), which is the part of the automaton its texts can reach. Texts move once,
+and n-grams as packed arrays.
 
 Tokens are words (A-Z lower-cased, split at ASCII white space) and one end per
 text. Texts whose crc32(id as text) mod 7 is 2 are never learned from.
