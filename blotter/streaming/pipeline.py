@@ -17,11 +17,9 @@ State, two modes. (1) Table state (``table_state_alert_sink``, the default of
 the command line): the in-window events are a Parquet table versioned by batch
 id and each micro-batch runs the distributed ``trailing_count`` over history +
 batch, so no district is ever one group. (2) State store
-(``trailing_count_stream``): per district the sorted event times inside the
-window, for streams of moderate rate; the rows of one district in one
-micro-batch meet in one group, so bound the batch with ``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``. Eviction uses the largest time seen, so a late row is
-counted by its own time but cannot revive evicted rows. For in-order input both
+(``blotter.streaming.slots.trailing_count_stream``): state by (district, time
+slot), with whole slots inside a window as counts, so the rows of one slot are
+the largest group. Late rows count by their own time. For in-order input both
 equal ``blotter.operators.windows.trailing_count``.
 
 Sources: files with ``id, ts, value`` rows, or broker records mapped by
@@ -36,20 +34,15 @@ import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from blotter.operators import alerts as AL
 from blotter.operators import messages as MS
 from blotter.operators.windows import micros
 from blotter.session import delete_path, path_exists, scratch_path
-
-COUNT_SCHEMA = "district string, id long, ts timestamp_ntz, event_count long"
-STATE_SCHEMA = "times array<long>"
+from blotter.streaming.slots import trailing_count_stream
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None,
@@ -113,35 +106,6 @@ def validated_stream(messages: DataFrame, keep=("id", "ts")):
     return MS.accepted(v, keep=keep), MS.rejected(v, keep=keep)
 
 
-def _trailing_state_fn(window_us: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        import warnings   # PySpark's own state serializer trips a pandas deprecation notice per batch
-        warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas\.serializers")
-        (district,) = key
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["__t", "id"], kind="mergesort")
-        prev = np.asarray(state.get[0] if state.exists else [], dtype=np.int64)
-        t = batch["__t"].to_numpy(dtype=np.int64)
-        lo = t - window_us
-        in_prev = np.searchsorted(prev, t, side="right") - np.searchsorted(prev, lo, side="left")
-        in_batch = np.arange(1, len(t) + 1) - np.searchsorted(t, lo, side="left")
-        counts = in_prev + in_batch
-        newest = max(int(t.max()), int(prev.max()) if len(prev) else int(t.max()))
-        kept = np.sort(np.concatenate([prev, t]))
-        kept = kept[kept >= newest - window_us]
-        state.update((kept.tolist(),))
-        yield pd.DataFrame({"district": district, "id": batch["id"].to_numpy(),
-                            "ts": batch["ts"].to_numpy(), "event_count": counts.astype(np.int64)})
-    return fn
-
-
-def trailing_count_stream(accepted: DataFrame, window_seconds: int) -> DataFrame:
-    """Per-event trailing count per district, kept in the state store."""
-    ev = accepted.select("district", "id", "ts").withColumn("__t", micros(accepted, "ts"))
-    return ev.groupBy("district").applyInPandasWithState(
-        _trailing_state_fn(int(window_seconds) * 1_000_000), COUNT_SCHEMA, STATE_SCHEMA,
-        "append", GroupStateTimeout.NoTimeout)
-
-
 def sliding_window_stream(accepted: DataFrame, window: str, slide: str, watermark: str) -> DataFrame:
     """Count per (sliding window, district); watermark bounds the open windows.
 
