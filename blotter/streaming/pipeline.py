@@ -446,10 +446,12 @@ def stream_raw_events(spark: SparkSession, messages: DataFrame, chunks: int = 4,
 
 def stream_window_alerts(spark: SparkSession, messages: DataFrame, window: str, slide: str, watermark: str, threshold: int,
                          chunks: int = 4, work: str | None = None) -> DataFrame:
-    """Run the sliding-window alert stream; the final alert of each window and district."""
+    """Run the sliding-window stream from panes into an alert sink; the final alert of each window and district."""
+    from blotter.streaming.panes import pane_stream, window_sink
     work = work or scratch_path(spark, "stream-window-alerts")
-    replay(spark, messages, work, chunks, lambda m: build_window_alert_stream(m, window, slide, watermark, threshold),
-           batch_sink(f"{work}/alerts"), output_mode="update")
+    rows = batch_sink(f"{work}/alerts")
+    sink = window_sink(f"{work}/panes", window, slide, watermark, lambda windows, n: rows(AL.window_alert_records(windows, threshold), n))
+    replay(spark, messages, work, chunks, lambda m: pane_stream(validated_stream(m)[0], window, slide, watermark), sink, output_mode="update")
     last = F.max(F.struct("event_count", "threshold", "severity")).alias("last")
     found = spark.read.parquet(f"{work}/alerts").groupBy("district", "window_start", "window_end").agg(last)
     return found.select("district", "window_start", "window_end", "last.*")
@@ -457,9 +459,10 @@ def stream_window_alerts(spark: SparkSession, messages: DataFrame, window: str,
 
 def stream_window_counts(spark: SparkSession, messages: DataFrame, window: str, slide: str,
                          watermark: str, chunks: int = 4, work: str | None = None) -> DataFrame:
-    """Sliding-window counts from the stream (update mode; final value = max per window)."""
+    """Sliding-window counts of the stream from panes; the final count of each window."""
+    from blotter.streaming.panes import pane_stream, window_sink
     work = work or scratch_path(spark, "stream-windows")
-    replay(spark, messages, work, chunks, lambda m: sliding_window_stream(validated_stream(m)[0], window, slide, watermark),
-           batch_sink(f"{work}/windows"), output_mode="update")
+    sink = window_sink(f"{work}/panes", window, slide, watermark, batch_sink(f"{work}/windows"))
+    replay(spark, messages, work, chunks, lambda m: pane_stream(validated_stream(m)[0], window, slide, watermark), sink, output_mode="update")
     return (spark.read.parquet(f"{work}/windows").groupBy("window_start", "window_end", "district")
             .agg(F.max("event_count").alias("event_count")))
