@@ -10,16 +10,17 @@ shorter history; the empty state has an arc for every token. With counts c,
 so a seen token costs its arc's log p(w | h), and an unseen one the failure
 arc's log M / (c(h) + M) plus whatever the shorter history gives. The
 probabilities of known tokens and one unknown token sum to one. The log10
-probabilities of a text's tokens add up. The automaton is not built as a graph:
-the counts of each token's state and arcs are looked up by n-gram hash and
-interpolated from the empty state upwards for all tokens at once, which gives
-the sums that walking its arcs and failure arcs would.
+probabilities of a text's tokens add up: each text is walked once from left to
+right, from the state of the text start, following failure arcs until the token
+has an arc, and carrying the state on. The state after a token depends on the
+last ``ORDER - 1`` tokens only, so a long text is walked in stretches of
+``STRETCH`` tokens side by side, each entered through the tokens before it.
 
 The automaton grows with the corpus and is never held whole. Documents form
 blocks of bounded size; each block asks the shards of the n-gram space for the
 training counts of its own n-grams (telling its own training counts at the same
-time), which is the part of the automaton its texts can reach. Texts move once,
-and n-grams as packed arrays.
+time), and builds from them the part of the automaton its texts can reach. Texts
+move once, and n-grams as packed arrays.
 
 Tokens are words (A-Z lower-cased, split at ASCII white space) and one end per
 text. Texts whose crc32(id as text) mod 7 is 2 are never learned from.
@@ -27,7 +28,8 @@ text. Texts whose crc32(id as text) mod 7 is 2 are never learned from.
 Defined results: NULL and empty texts are one end token; a NULL id is learned
 from and not held out; repeated rows count as often as they occur and score
 alike; without training texts every token is unknown (N = V = 0); an empty
-table gives an empty result. Only the id and text columns are read.
+table gives an empty result. Only the id and text columns are read. A text of
+any length is scored whole; it is the smallest part of a block.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ from llm.common import U64, chunks, mix, pack_counts, pack_sorted, shuffle_parts
 ORDER, WEIGHT = 2, 100.0
 #: Text of a block, and text per shard of the n-gram space.
 BLOCK_BYTES, SHARD_BYTES = 12 << 20, 24 << 20
+#: Tokens walked in one go; longer texts are walked in several stretches.
+STRETCH = 512
 END, START = U64(0x1B873593CC9E2D51), U64(0x52DCE729DA442695)
 
 
@@ -151,7 +155,106 @@ def sizes(rows: pa.Table) -> pa.Table:
     return pa.table({"tokens": pa.array([int(total.sum())], pa.int64()), "types": pa.array([len(keys)], pa.int64())})
 
 
-def scorer(order: int, weight: float, n: int, v: int, id_type: pa.DataType) -> Callable:
+class Automaton:
+    """The part of the backoff automaton that a block's texts can reach.
+
+    State 0 is the empty history; ``fail`` and ``fail_cost`` are the failure arcs.
+    Arcs of the other states are sorted by ``state * tokens + token``; the empty
+    state's arcs are arrays over the tokens. Costs are log10 probabilities.
+    ``seen(k, hashes)`` gives the training counts of n-grams of length k.
+    """
+
+    def __init__(self, t: np.ndarray, first: np.ndarray, seen: Callable, order: int, weight: float, n: int, v: int) -> None:
+        names, self.token = np.unique(t, return_inverse=True)
+        self.tokens = len(names)
+        count = seen(1, names)
+        p = (count + 1) / (n + v + 1)
+        self.known, self.empty_cost = count > 0, np.log10(p)
+        self.empty_next = np.zeros(len(names), np.int64)
+        begin = np.zeros(len(t), bool)
+        begin[first[:-1]] = True
+        starts = int(seen(1, np.array([START]))[0])
+        fail, held = [np.zeros(1, np.int64)], [np.zeros(1)]
+        states, self.start = 1, 0
+        gram, lower = self.token, p              # of each token: its n-gram of the length below, and that arc's p
+        state_of, start_of = np.zeros(len(t), np.int64), 0      # the state after it, and that of the text start, one length below
+        arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in range(2, order + 1):
+            # histories of k - 1 tokens become states
+            used = count > 0
+            number = np.where(used, states + np.cumsum(used) - 1, 0)
+            at = np.zeros(len(count), np.int64)
+            at[gram] = np.arange(len(gram))      # a place where each n-gram ends
+            fail += [state_of[at[used]], np.array([start_of])]
+            held += [count[used], np.array([starts])]
+            states += int(used.sum()) + 1
+            if k == 2:
+                self.empty_next = number
+            else:
+                src, tok, p_arc, where = arcs[-1][:4]
+                arcs[-1] = (src, tok, p_arc, number[where])
+            state_of, start_of = number[gram], states - 1
+            # n-grams of k tokens become arcs of those states
+            hashes, place, longer = np.unique(grams(t, first, k), return_index=True, return_inverse=True)
+            more = seen(k, hashes)
+            kept = np.flatnonzero(more > 0)
+            here = place[kept]
+            source = np.where(begin[here], start_of, state_of[here - 1])
+            history = np.where(begin[here], starts, count[gram[here - 1]])
+            prob = np.zeros(len(hashes))
+            prob[kept] = (more[kept] + weight * lower[gram[here]]) / (history + weight)
+            arcs.append((source, self.token[here], np.log10(prob[kept]), kept))
+            self.start, last = start_of, state_of
+            gram, count, lower = longer, more, prob
+            if k == order:                       # the longest n-grams lead to the state of their last tokens
+                arcs[-1] = (*arcs[-1][:3], last[here])
+        self.fail = np.concatenate(fail)
+        self.fail_cost = np.log10(weight / (np.concatenate(held) + weight))
+        key = np.concatenate([a[0] * self.tokens + a[1] for a in arcs]) if arcs else np.zeros(0, np.int64)
+        by_key = np.argsort(key)
+        self.arc = np.append(key[by_key], -1)    # one entry that no key equals
+        self.arc_cost = np.append(np.concatenate([a[2] for a in arcs])[by_key] if arcs else np.zeros(0), 0.0)
+        self.arc_next = np.append(np.concatenate([a[3] for a in arcs])[by_key] if arcs else np.zeros(0, np.int64), 0)
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, costs) of reading one token in each state, through failure arcs where need be."""
+        cost, after = np.zeros(len(state)), np.empty(len(state), np.int64)
+        open_, state = np.arange(len(state)), state.copy()
+        while len(open_):
+            s, w = state[open_], token[open_]
+            at = np.searchsorted(self.arc[:-1], s * self.tokens + w)
+            hit = (self.arc[at] == s * self.tokens + w) & (s > 0)
+            end = s == 0
+            cost[open_] += np.where(hit, self.arc_cost[at], np.where(end, self.empty_cost[w], self.fail_cost[s]))
+            after[open_] = np.where(hit, self.arc_next[at], self.empty_next[w])
+            state[open_] = self.fail[s]
+            open_ = open_[~(hit | end)]
+        return after, cost
+
+    def walk(self, first: np.ndarray, order: int, stretch: int) -> np.ndarray:
+        """Cost of each text (tokens first[i] to first[i + 1]), read from left to right."""
+        stretch = max(stretch, order)
+        size = np.diff(first)
+        pieces = -(-size // stretch)
+        text = np.repeat(np.arange(len(size)), pieces)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        lo = first[:-1][text] + nth * stretch
+        length = np.minimum(first[1:][text] - lo, stretch)
+        state = np.where(nth == 0, self.start, 0)
+        inner = np.flatnonzero(nth > 0)
+        for back in range(order - 1, 0, -1):     # the tokens before a stretch lead to its state
+            state[inner], _ = self.step(state[inner], self.token[lo[inner] - back])
+        longest = np.argsort(-length, kind="stable")
+        state, lo, length, text = state[longest], lo[longest], length[longest], text[longest]
+        total = np.zeros(len(text))
+        for j in range(int(length[0]) if len(length) else 0):
+            live = int(np.searchsorted(-length, -j, side="left"))
+            state[:live], cost = self.step(state[:live], self.token[lo[:live] + j])
+            total[:live] += cost
+        return np.bincount(text, total, len(size))
+
+
+def scorer(order: int, weight: float, n: int, v: int, id_type: pa.DataType, stretch: int) -> Callable:
     """Block function: texts and the answered counts in, scores out."""
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -162,29 +265,22 @@ def scorer(order: int, weight: float, n: int, v: int, id_type: pa.DataType) -> C
         known: list[tuple[np.ndarray, np.ndarray]] = []
         for k, h in enumerate(kinds(t, first, order), 1):
             known.append((np.unique(h), np.concatenate([unpack_counts(packed[i]) for i in np.flatnonzero(of_kind == k)])))
-        def count(k: int, h: np.ndarray) -> np.ndarray:
+
+        def seen(k: int, h: np.ndarray) -> np.ndarray:
             return known[k - 1][1][np.searchsorted(known[k - 1][0], h)]
 
-        c = count(1, t)
-        p = (c + 1) / (n + v + 1)
-        begin = first[:-1]
+        made = Automaton(t, first, seen, order, weight, n, v)
+        docs, begin = table.num_rows, first[:-1]
         summed = lambda x: np.add.reduceat(x, begin)
-        base = summed(np.log10(p))
-        for k in range(2, order + 1):
-            # the history is the n-gram before; that of a first token is the start, seen once a text
-            seen = np.roll(count(k - 1, grams(t, first, k - 1)), 1)
-            seen[begin] = count(1, np.array([START]))
-            p = (count(k, grams(t, first, k)) + weight * p) / (seen + weight)
-        docs = table.num_rows
         return pa.table({"id": table.column("id").cast(id_type), "held_out": pa.array(~table.column("train").to_numpy()), "n_tokens": pa.array(np.diff(first)),
-                         "n_known": pa.array(summed((c > 0).astype(np.int64))), "train_tokens": pa.array(np.full(docs, n, np.int64)),
-                         "base_score": pa.array(base), "score": pa.array(summed(np.log10(p)))})
+                         "n_known": pa.array(summed(made.known[made.token].astype(np.int64))), "train_tokens": pa.array(np.full(docs, n, np.int64)),
+                         "base_score": pa.array(summed(made.empty_cost[made.token])), "score": pa.array(made.walk(first, order, stretch))})
 
     return run
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, weight: float = WEIGHT,
-              block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+              block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, stretch: int = STRETCH) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     from pyspark.sql.pandas.types import to_arrow_type
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
@@ -201,5 +297,5 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ord
     answers = questions.groupBy("shard", "kind").applyInArrow(lambda t: answer(t), "block int, kind int, shard int, counts binary")
     kind = docs.schema["id"].dataType
     out = f"id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scorer(order, weight, n, v, to_arrow_type(kind)), out)
+    scored = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scorer(order, weight, n, v, to_arrow_type(kind), stretch), out)
     return scored.withColumnRenamed("id", id_col)

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from llm.lm_scoring import lm_scores
+from llm.lm_scoring import START, Automaton, grams, lm_scores
 from tests.llm.conftest import odd_rows, words
 
 
@@ -36,9 +36,9 @@ def brute(rows, order, weight):
     return out
 
 
-@pytest.mark.parametrize("order,block", [(2, 4000), (3, 1 << 20)])
-def test_odd_rows(odd, order, block):
-    got = lm_scores(odd, order=order, weight=7.0, block_bytes=block, shard_bytes=3000).collect()
+@pytest.mark.parametrize("order,block,stretch", [(1, 4000, 5), (2, 4000, 512), (3, 1 << 20, 7), (4, 1 << 20, 1)])
+def test_odd_rows(odd, order, block, stretch):
+    got = lm_scores(odd, order=order, weight=7.0, block_bytes=block, shard_bytes=3000, stretch=stretch).collect()
     key = lambda r: (repr(r[0]), r[2], round(r[6], 6))
     want = sorted(brute(odd_rows(), order, 7.0), key=key)
     got = sorted(map(tuple, got), key=key)
@@ -60,3 +60,30 @@ def test_nothing_to_learn_from(spark, none):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = lm_scores(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).collect()[0]
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_states_arcs_and_failure_arcs():
+    """Texts ``a b END`` and ``a c END`` learned, ``b a b`` met: each arc and failure arc by hand."""
+    a, b, c, end = np.arange(1, 5, dtype=np.uint64)
+    t = np.array([a, b, end, a, c, end, b, a, b], np.uint64)
+    first = np.array([0, 3, 6, 9])
+    seen_of = {}
+    with np.errstate(over="ignore"):
+        for k in (1, 2, 3):
+            h = grams(t, first, k)
+            for i in range(9):
+                seen_of.setdefault((k, int(h[i])), 0)
+                seen_of[k, int(h[i])] += i < 6
+        seen_of[1, int(START)] = 2
+        made = Automaton(t, first, lambda k, h: np.array([seen_of[k, int(x)] for x in h]), 3, 1.0, 6, 4)
+    assert len(made.fail) == 1 + 4 + 1 + 5 + 1      # empty; tokens; start; pairs seen; start of two places
+    state, token = np.array([made.start]), lambda i: made.token[[i]]
+    after, cost = made.step(state, token(0))        # a at the start of a text: an arc
+    p_a, p_b = 3 / 11, 2 / 11
+    p_start_a = (2 + p_a) / 3
+    assert np.isclose(cost[0], math.log10((2 + p_start_a) / 3))
+    _, cost = made.step(after, token(1))            # b after (start, a): an arc
+    p_ab = (1 + p_b) / 3
+    assert np.isclose(cost[0], math.log10((1 + p_ab) / 3))
+    _, cost = made.step(state, token(1))            # b at the start of a text: two failure arcs, then the empty state
+    assert np.isclose(cost[0], math.log10(1 / 3) * 2 + math.log10(p_b))
