@@ -13,20 +13,25 @@ band); bands are twice that wide and overlap by half, so some band holds a whole
 match. Every start whose segment holds as many q-grams of a band as the bound
 asks is verified by aligning the segment with the band's region.
 
-The benchmark is read in blocks of at most ``BLOCK_BYTES`` (items are spread by
-hash), each a column over the documents in the same stage; documents never move.
-All blocks pass through the driver and each worker, so the benchmark as a whole
-must fit there.
+The benchmark is read in blocks of about ``BLOCK_BYTES`` (distinct items are
+spread by hash), each a column over the documents in the same stage; documents
+never move. At most ``PASS_BLOCKS`` blocks pass through the driver and the
+workers together. A larger benchmark takes one pass over the documents for every
+``PASS_BLOCKS`` blocks: a pass writes what it finds by text digest, and the
+findings of all passes are joined to the documents, so memory does not depend on
+the benchmark's size.
 
 Defined results: NULL and empty texts match nothing; items that are NULL or
 shorter than ``Q`` bytes once folded match nothing; equal items are reported
 each under its own id; repeated rows are judged alike; an empty benchmark leaves
-every document clean. Only the id and text columns are read.
+every document clean; a text or item of any length is compared whole. Only the
+id and text columns are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -34,12 +39,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import U64, chunks, lower, text_bytes
+from llm.common import U64, chunks, lower, stored, text_bytes
 
 #: Gram length, segment length and edits allowed in percent of the segment.
 Q, SEGMENT, EDIT_PERCENT = 12, 96, 5
-#: Benchmark text that one pass holds in a worker.
-BLOCK_BYTES = 4 << 20
+#: Benchmark text of a block, and blocks held together by the driver and a worker.
+BLOCK_BYTES, PASS_BLOCKS = 4 << 20, 8
 _FILTER_BITS = 22
 #: Starts in an item that are aligned together.
 _TOGETHER = 64
@@ -234,26 +239,49 @@ def matches_of(items: list[tuple[int, str]], text: Column) -> Column:
     return F.arrow_udf(match, "items array<long>, edits long")(text.cast("string"))
 
 
-def item_blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items, at most about ``BLOCK_BYTES`` of text at a time."""
-    known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null and item is not null")
+def item_blocks(benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> tuple[int, Callable[[int], list[tuple[int, str]]]]:
+    """(number of blocks, reader of one block): the benchmark's distinct items, about ``block_bytes`` of text a block."""
+    known = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("text is not null and item is not null").distinct()
     size = known.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = ceil(size / BLOCK_BYTES * 1.5)
-    for b in range(blocks):
-        yield [(r.item, r.text) for r in known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # one block
+    blocks = ceil(size / block_bytes * 1.5)
 
+    def block(b: int) -> list[tuple[int, str]]:
+        return [(r.item, r.text) for r in known.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # one block
 
-def benchmark_matches(text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> Column:
-    """Matches of a text with the whole benchmark: a struct items (ids, ascending) and edits (fewest, NULL without)."""
-    parts = [matches_of(items, text) for items in item_blocks(benchmark, item_col, item_text)]
-    empty = F.array().cast("array<long>")
-    items = F.array_sort(F.array_distinct(F.concat(empty, *(p["items"] for p in parts))))
-    edits = F.array_min(F.array(F.lit(None).cast("long"), *(p["edits"] for p in parts)))
-    return F.struct(items.alias("items"), edits.alias("edits"))
+    return blocks, block
+
+
+def united(items: list[Column], edits: list[Column]) -> Column:
+    """One struct items (ids, ascending) and edits (fewest, NULL without) from several."""
+    found = F.array_sort(F.array_distinct(F.concat(F.array().cast("array<long>"), *items)))
+    return F.struct(found.alias("items"), F.array_min(F.array(F.lit(None).cast("long"), *edits)).alias("edits"))
+
+
+def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str, out: str, item_col: str = "item_id", item_text: str = "text",
+                 block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
+    """``docs`` with the struct ``out``: the benchmark's items in the text (ids, ascending) and the fewest edits (NULL without)."""
+    blocks, block = item_blocks(benchmark, item_col, item_text, block_bytes)
+    text = F.col(text_col).cast("string")
+
+    def found(some: Iterable[int]) -> Column:
+        parts = [matches_of(block(b), text) for b in some]
+        return united([p["items"] for p in parts], [p["edits"] for p in parts])
+
+    if blocks <= pass_blocks:
+        return docs.withColumn(out, found(range(blocks)))
+    digest = F.sha2(text, 256)
+    passes = [stored(docs.select(digest.alias("digest"), found(range(b, min(b + pass_blocks, blocks))).alias("found"))
+                     .where(F.size("found.items") > 0).dropDuplicates(["digest"]), f"matches-{b}") for b in range(0, blocks, pass_blocks)]
+    every = reduce(DataFrame.unionAll, passes).groupBy(F.col("digest").alias("__digest")).agg(
+        F.flatten(F.collect_list("found.items")).alias("__items"), F.min("found.edits").alias("__edits"))
+    joined = docs.withColumn("__text_digest", digest).join(every, F.col("__text_digest") == F.col("__digest"), "left")
+    items = F.coalesce("__items", F.array().cast("array<long>"))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), united([items], [F.col("__edits")]).alias(out))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
     """One row per document: id, contaminated, n_items, items (ids found), edits (fewest, NULL when clean)."""
-    found = docs.select(F.col(id_col), benchmark_matches(F.col(text_col), benchmark, item_col, item_text).alias("found"))
-    return found.select(id_col, (F.size("found.items") > 0).alias("contaminated"), F.size("found.items").cast("long").alias("n_items"), "found.items", "found.edits")
+    narrow = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
+    found = with_matches(narrow, benchmark, "__text", "__found", item_col, item_text, block_bytes, pass_blocks)
+    return found.select(id_col, (F.size("__found.items") > 0).alias("contaminated"), F.size("__found.items").cast("long").alias("n_items"), "__found.items", "__found.edits")

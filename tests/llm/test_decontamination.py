@@ -78,6 +78,19 @@ def test_odd_rows(spark, odd):
             assert not r.contaminated and r["items"] == [] and r.edits is None
 
 
+def test_passes_over_a_large_benchmark_equal_one(spark, odd):
+    """A benchmark of many blocks, taken a block or two a pass; items repeat and share texts."""
+    text = dict((d, t) for d, t in odd_rows() if d is not None)
+    rng = random.Random(12)
+    quotes = [(n, text[n % 6 + 1][:300]) for n in range(8)] + [(20, text[107][1000:1400]), (20, text[107][1000:1400]), (21, text[107][-500:])]
+    bench = spark.createDataFrame(quotes + [(100 + n, prose(rng, 60)) for n in range(40)], "item_id long, text string")
+    key = lambda r: (repr(r.doc_id), tuple(r["items"]))
+    whole = sorted(decontaminate(odd, bench).collect(), key=key)
+    assert any(len(r["items"]) > 1 for r in whole)
+    for block, together in [(2000, 2), (6000, 1)]:
+        assert sorted(decontaminate(odd, bench, block_bytes=block, pass_blocks=together).collect(), key=key) == whole
+
+
 def test_empty(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate(odd, bench).where("contaminated").count() == 0
