@@ -62,8 +62,9 @@ WORDS, PERCENT = 5, 75
 #: Minima that make keys, orders, minima of an order's key, least common prefix.
 MINIMA, TREES, KEY, DEPTH = 64, 32, 12, 2
 #: Neighbours on each side, minima of a signature and least agreeing sketch positions: of all classes, then of dense
-#: clusters. A pair at the limit agrees in 49 of 64 positions (standard deviation 3.4), or in 196 of 256 (6.8).
-FIRST, WIDE = (2, 64, 37), (24, 256, 171)
+#: clusters. A pair at the limit agrees in 48 of 64 positions (standard deviation 3.5; under 30 about once in some
+#: millions), or in 192 of 256 (6.9).
+FIRST, WIDE = (2, 64, 30), (24, 256, 171)
 #: A chunk of a candidate cluster: documents and shingles at most (on average).
 CHUNK_DOCS, CHUNK_SHINGLES = 128, 400_000
 #: Completion: shingles counted for their order (about), rows of a shingle from which it is split, pairs made at a time.
@@ -265,8 +266,8 @@ def candidates(classes: DataFrame, window: int, many: int, agree: int) -> tuple[
     Ends of one root are no pair.
     """
     rows = classes.mapInArrow(planted(many), "key binary, sketch binary, id long, root long")
-    # a border joins two partitions, so none may be smaller than the window
-    n = shuffle_parts(classes.sparkSession) if classes.count() > 1000 else 1
+    # a border joins two partitions, so none may be smaller than the window: eight times that on average
+    n = max(1, min(shuffle_parts(classes.sparkSession), TREES * classes.count() // (8 * (window + 1))))
     order = ["key", "sketch", "id"]
     raw = stored(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(forest(window, agree), _FOREST), "forest")
     inside = raw.where("a is not null").select("a", "b")
