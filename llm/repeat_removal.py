@@ -19,10 +19,13 @@ that length matter, so suffixes need names, not a full order:
 The classical form, with triples (period 3), ranks and full recursion, moves
 two thirds of all suffixes several times over, tens of times the input; the
 larger cover and the bounded prefix are the same algorithm at the length asked
-for. Names of windows and of whole texts are 128-bit hashes of the bytes, a key
-and a second word (sampled names are shorter, as they only admit candidates):
-with n windows in question, some two different ones share a name with a
-probability of about n * n / 2**129.
+for. Names of windows and of whole texts are hashes of the bytes, a 64-bit key
+and a second word (sampled names are shorter, as they only admit candidates).
+The second word of a text has 64 bits; that of a window has as many whole bytes
+(4 to 8) as the table needs: of n windows in question some two different ones
+share a name of B bits with a probability of about n * n / 2**(B + 1), and B is
+taken so that this stays under 2**-30 if every byte started one (to 2**47 bytes;
+beyond, B is 128).
 
 Blocks are ranges of ids, so "earlier" is a smaller block, or earlier inside
 one; a block asks with its distinct names and gets one bit for each. Whole
@@ -55,6 +58,8 @@ WINDOW = 100
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Text of a block, and text per shard of the name space.
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+#: A window's second word has this many bytes at least, and shared names a probability of 2**-SAFE_BITS at most.
+LEAST_SECOND, SAFE_BITS = 4, 30
 #: Kinds of questions: sampled names, whole texts, windows.
 SAMPLE, WHOLE, FULL = 1, 2, 3
 
@@ -64,6 +69,26 @@ _IN_COVER[list(COVER)] = True
 _WEIGHT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
+def second_width(total: int) -> int:
+    """Bytes of a window's second word in a table of ``total`` bytes of text."""
+    more = 2 * total.bit_length() + SAFE_BITS - 1 - 64
+    return min(8, max(LEAST_SECOND, -(-more // 8)))
+
+
+def narrowed(words: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each word."""
+    return np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def widened(packed: bytes, n: int) -> np.ndarray:
+    """Inverse of :func:`narrowed` for ``n`` words."""
+    wide = np.zeros((n, 8), np.uint8)
+    if n:
+        body = np.frombuffer(packed, np.uint8).reshape(n, -1)
+        wide[:, :body.shape[1]] = body
+    return wide.view(U64).ravel()
+
+
 def order_of(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts (2, n) names (key, second word), stable; starts of the runs of equal ones in it."""
     order = np.argsort(names[0], kind="stable")
@@ -87,8 +112,9 @@ def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Block:
     """The documents of a block in (id, text) order, without copies of one another."""
 
-    def __init__(self, table: pa.Table, window: int, bits: int):
+    def __init__(self, table: pa.Table, window: int, bits: int, width: int):
         self.window, self.bits, self.reach = window, bits, window - PERIOD + 1
+        self.low = U64(64 - 8 * width)
         raw, offs = text_bytes(table.column("text"))
         ids = table.column("id")
         none = np.asarray(ids.is_null())
@@ -141,7 +167,7 @@ class Block:
             for a in at[1:]:
                 fits[a - self.window + 1:a] = False
             p = np.flatnonzero((np.cumsum(step[:-1]) > 0) & fits)
-            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window)
+            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window) >> self.low
             yield some, at, p, np.stack([span_hash(sums, p, p + self.window), second])
 
 
@@ -149,9 +175,12 @@ _QUESTION = "kind int, shard int, block int, keys binary, seconds binary"
 _ANSWER = "kind int, shard int, block int, bits binary"
 
 
-def questions(block: int, keys: dict[int, tuple[np.ndarray, np.ndarray | None, int]], shards: int) -> pa.Table:
-    """Question rows of sorted distinct names by kind: their keys, second words (or none) and the bits of a key."""
-    rows = [(kind, shard, block, pack_sorted(k[lo:hi]), b"" if more is None else more[lo:hi].tobytes())
+def questions(block: int, keys: dict[int, tuple[np.ndarray, np.ndarray | None, int]], shards: int, width: int) -> pa.Table:
+    """Question rows of sorted distinct names by kind: their keys, second words (or none) and the bits of a key.
+
+    Second words of windows take ``width`` bytes, those of texts eight.
+    """
+    rows = [(kind, shard, block, pack_sorted(k[lo:hi]), b"" if more is None else narrowed(more[lo:hi], width if kind == FULL else 8))
             for kind, (k, more, bits) in keys.items() for shard, lo, hi in asked(k, shards, bits)]
     cols = list(zip(*rows)) or [()] * 5
     types = {"kind": pa.int32(), "shard": pa.int32(), "block": pa.int32(), "keys": pa.binary(), "seconds": pa.binary()}
@@ -178,7 +207,7 @@ def answer(table: pa.Table) -> pa.Table:
     keys, owner, order = merged(table.column("keys").to_pylist())
     start = runs(keys[order])
     if kind != SAMPLE:  # by key and second word
-        order, start = order_of(np.stack([keys, np.frombuffer(b"".join(table.column("seconds").to_pylist()), U64)]))
+        order, start = order_of(np.stack([keys, widened(b"".join(table.column("seconds").to_pylist()), len(keys))]))
     n = np.diff(np.append(start, len(keys)))
     if kind == SAMPLE:
         told = np.repeat(n > 1, n)
@@ -192,12 +221,12 @@ def answer(table: pa.Table) -> pa.Table:
     return pa.table({"kind": table.column("kind"), "shard": table.column("shard"), "block": table.column("block"), "bits": pa.array(bits, pa.binary())})
 
 
-def first_questions(window: int, bits: int, shards: int) -> Callable:
+def first_questions(window: int, bits: int, width: int, shards: int) -> Callable:
     """Block function of the first round: sampled names and whole texts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        b = Block(table, window, bits)
-        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards)
+        b = Block(table, window, bits, width)
+        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards, width)
 
     return run
 
@@ -211,24 +240,24 @@ def left_over(b: Block, told: pa.Table) -> tuple[list[int], np.ndarray]:
     return [d for d, c in zip(b.docs, copy) if not c], repeated
 
 
-def second_questions(window: int, bits: int, shards: int) -> Callable:
+def second_questions(window: int, bits: int, width: int, shards: int) -> Callable:
     """Block function of the second round: names of the windows in question."""
 
     def run(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return questions(0, {}, shards)
-        b = Block(table, window, bits)
+            return questions(0, {}, shards, width)
+        b = Block(table, window, bits, width)
         found = [name for _, _, _, name in b.candidates(*left_over(b, told))]
-        return questions(key[0].as_py(), {FULL: (*distinct(np.concatenate(found, axis=1))[0], 64)} if found else {}, shards)
+        return questions(key[0].as_py(), {FULL: (*distinct(np.concatenate(found, axis=1))[0], 64)} if found else {}, shards, width)
 
     return run
 
 
-def cutter(window: int, bits: int, with_text: bool) -> Callable:
+def cutter(window: int, bits: int, width: int, with_text: bool) -> Callable:
     """Block function of the end: documents and all answers in, the cut documents out."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        b = Block(table, window, bits)
+        b = Block(table, window, bits, width)
         docs, repeated = left_over(b, told)
         own = set(docs)
         removed, spans = np.zeros(b.rows, np.int64), np.zeros(b.rows, np.int64)
@@ -278,7 +307,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = text_total(docs)
     blocks, shards = count_of(total, block_bytes), count_of(total, shard_bytes)
-    bits = min(64, max(32, total.bit_length() + 10))
+    bits, width = min(64, max(32, total.bit_length() + 10)), second_width(total)
     low = id_blocks(docs.select("id"), blocks)
 
     @F.pandas_udf("int")
@@ -288,10 +317,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     placed = docs.withColumn("block", block_of("id")).repartition(shuffle_parts(df.sparkSession, blocks), "block")
     at_home = placed.groupBy("block")
-    first = at_home.applyInArrow(first_questions(window, bits, shards), _QUESTION)
+    first = at_home.applyInArrow(first_questions(window, bits, width, shards), _QUESTION)
     told = first.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
-    second = at_home.cogroup(told.groupBy("block")).applyInArrow(second_questions(window, bits, shards), _QUESTION)
+    second = at_home.cogroup(told.groupBy("block")).applyInArrow(second_questions(window, bits, width, shards), _QUESTION)
     more = second.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    cut = at_home.cogroup(told.unionByName(more).groupBy("block")).applyInArrow(cutter(window, bits, with_text), out)
+    cut = at_home.cogroup(told.unionByName(more).groupBy("block")).applyInArrow(cutter(window, bits, width, with_text), out)
     return cut.withColumnRenamed("id", id_col)

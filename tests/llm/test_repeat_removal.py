@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from llm.common import pack_counts, pack_sorted, prefix_sums, span_hash, unpack_counts, unpack_sorted
-from llm.repeat_removal import COVER, PERIOD, remove_repeats
+from llm.repeat_removal import COVER, PERIOD, narrowed, remove_repeats, second_width, widened
 from tests.llm.conftest import odd_rows, prose
 
 
@@ -80,3 +80,11 @@ def test_windows_of_one_64_bit_hash_are_told_apart(spark):
     rows = [(1, "0" * 40 + first + tail + "1" * 40), (2, "2" * 40 + second + tail + "3" * 40)]
     got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
     assert {r.doc_id: bytes(r.kept).decode() for r in got} == dict(rows)
+
+
+def test_second_words():
+    assert [second_width(n) for n in (0, 1 << 29, 30 << 30, 1 << 46, 1 << 60)] == [4, 4, 5, 8, 8]
+    words = np.random.default_rng(3).integers(0, 1 << 40, 50, dtype=np.uint64)
+    for width in (5, 8):
+        assert (widened(narrowed(words, width), 50) == words).all()
+    assert len(widened(b"", 0)) == 0
