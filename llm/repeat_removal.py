@@ -6,7 +6,7 @@ that length matter, so suffixes need names, not a full order:
 
 1. Sample: positions whose offset modulo ``PERIOD`` is in a difference cover.
    For any two positions some shift below the period puts both on sampled ones
-   (the cover is a perfect difference set, so a seventh of all positions).
+   (the cover is a perfect difference set, so a fifth of all positions).
    Sampled suffixes get a name for their first ``WINDOW - PERIOD + 1`` bytes.
 2. Names are sorted in shards; equal neighbours are repeated names. Two windows
    that are equal have, at that shift, equal names inside them, so a window
@@ -19,13 +19,12 @@ that length matter, so suffixes need names, not a full order:
 The classical form, with triples (period 3), ranks and full recursion, moves
 two thirds of all suffixes several times over, tens of times the input; the
 larger cover and the bounded prefix are the same algorithm at the length asked
-for. Names of windows and of whole texts are hashes of the bytes, a 64-bit key
-and a second word (sampled names are shorter, as they only admit candidates).
-The second word of a text has 64 bits; that of a window has as many whole bytes
-(4 to 8) as the table needs: of n windows in question some two different ones
-share a name of B bits with a probability of about n * n / 2**(B + 1), and B is
-taken so that this stays under 2**-30 if every byte started one (to 2**47 bytes;
-beyond, B is 128).
+for. Names of windows and of whole texts are hashes of the bytes, a key and a
+second word (sampled names are shorter, as they only admit candidates). Names of
+texts have 128 bits. Of n windows in question some two different ones share a
+name of B bits with a probability of about n * n / 2**(B + 1); B is the least
+for which this is under 2**-30 if every byte of the table started one (128 bits
+beyond 2**49 bytes). Sorted keys travel in Elias-Fano form.
 
 Blocks are ranges of ids, so "earlier" is a smaller block, or earlier inside
 one; a block asks with its distinct names and gets one bit for each. Whole
@@ -49,17 +48,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import asked, count_of, merged, runs, text_total
-from llm.common import U64, chunks, mix, pack_sorted, prefix_sums, shuffle_parts, span_hash, text_bytes
+from llm.blocks import asked, count_of, runs, text_total
+from llm.common import U64, chunks, mix, prefix_sums, shuffle_parts, span_hash, text_bytes
 
 #: Bytes of a repeated string.
 WINDOW = 100
 #: Period of the difference cover and its offsets (every difference once).
-PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
+PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Text of a block, and text per shard of the name space.
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
-#: A window's second word has this many bytes at least, and shared names a probability of 2**-SAFE_BITS at most.
-LEAST_SECOND, SAFE_BITS = 4, 30
+#: The probability that any two windows share a name is 2**-SAFE_BITS at most; second words have some bytes at least.
+SAFE_BITS, LEAST_SECOND = 30, 4
 #: Kinds of questions: sampled names, whole texts, windows.
 SAMPLE, WHOLE, FULL = 1, 2, 3
 
@@ -69,10 +68,45 @@ _IN_COVER[list(COVER)] = True
 _WEIGHT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
-def second_width(total: int) -> int:
-    """Bytes of a window's second word in a table of ``total`` bytes of text."""
-    more = 2 * total.bit_length() + SAFE_BITS - 1 - 64
-    return min(8, max(LEAST_SECOND, -(-more // 8)))
+def name_size(total: int) -> tuple[int, int]:
+    """Bits of the key and bytes of the second word of a window's name, in a table of ``total`` bytes of text."""
+    all_bits = min(128, max(80, 2 * total.bit_length() + SAFE_BITS - 1))
+    second = max(LEAST_SECOND, -(-(all_bits - 64) // 8))
+    return all_bits - 8 * second, second
+
+
+def pack_fano(keys: np.ndarray) -> bytes:
+    """Sorted uint64 keys as first key, low bits as they are and high bits in unary (Elias-Fano)."""
+    n = len(keys)
+    if not n:
+        return b""
+    d = keys - keys[0]
+    low_bits = max(0, (int(d[-1]) // n).bit_length() - 1)
+    whole, rest = divmod(low_bits, 8)
+    high = (d >> U64(low_bits)).astype(np.int64) + np.arange(n)
+    unary = np.zeros(int(high[-1]) + 1, np.uint8)
+    unary[high] = 1
+    parts = d.view(np.uint8).reshape(-1, 8)
+    tail = np.unpackbits(parts[:, whole:whole + 1], axis=1)[:, 8 - rest:] if rest else np.zeros(0, np.uint8)
+    head = np.array([n, keys[0], low_bits], U64).tobytes()
+    return head + parts[:, :whole].tobytes() + np.packbits(tail).tobytes() + np.packbits(unary).tobytes()
+
+
+def unpack_fano(packed: bytes) -> np.ndarray:
+    """Inverse of :func:`pack_fano`."""
+    if not packed:
+        return np.zeros(0, U64)
+    n, first, low_bits = (int(x) for x in np.frombuffer(packed, U64, 3))
+    whole, rest = divmod(low_bits, 8)
+    at = 24 + n * whole
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :whole] = np.frombuffer(packed, np.uint8, n * whole, 24).reshape(n, whole)
+    many = -(-n * rest // 8)
+    if rest:
+        tail = np.unpackbits(np.frombuffer(packed, np.uint8, many, at))[:n * rest].reshape(n, rest)
+        wide[:, whole] = np.packbits(tail, axis=1)[:, 0] >> (8 - rest)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8, -1, at + many))) - np.arange(n)
+    return (wide.view(U64).ravel() | (high.astype(U64) << U64(low_bits))) + U64(first)
 
 
 def narrowed(words: np.ndarray, width: int) -> bytes:
@@ -112,9 +146,9 @@ def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Block:
     """The documents of a block in (id, text) order, without copies of one another."""
 
-    def __init__(self, table: pa.Table, window: int, bits: int, width: int):
+    def __init__(self, table: pa.Table, window: int, bits: int, size: tuple[int, int]):
         self.window, self.bits, self.reach = window, bits, window - PERIOD + 1
-        self.low = U64(64 - 8 * width)
+        self.less = U64(64 - size[0]), U64(64 - 8 * size[1])
         raw, offs = text_bytes(table.column("text"))
         ids = table.column("id")
         none = np.asarray(ids.is_null())
@@ -167,20 +201,20 @@ class Block:
             for a in at[1:]:
                 fits[a - self.window + 1:a] = False
             p = np.flatnonzero((np.cumsum(step[:-1]) > 0) & fits)
-            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window) >> self.low
-            yield some, at, p, np.stack([span_hash(sums, p, p + self.window), second])
+            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window) >> self.less[1]
+            yield some, at, p, np.stack([span_hash(sums, p, p + self.window) >> self.less[0], second])
 
 
 _QUESTION = "kind int, shard int, block int, keys binary, seconds binary"
 _ANSWER = "kind int, shard int, block int, bits binary"
 
 
-def questions(block: int, keys: dict[int, tuple[np.ndarray, np.ndarray | None, int]], shards: int, width: int) -> pa.Table:
+def questions(block: int, keys: dict[int, tuple[np.ndarray, np.ndarray | None, int]], shards: int, size: tuple[int, int]) -> pa.Table:
     """Question rows of sorted distinct names by kind: their keys, second words (or none) and the bits of a key.
 
-    Second words of windows take ``width`` bytes, those of texts eight.
+    Second words of windows take ``size[1]`` bytes, those of texts eight.
     """
-    rows = [(kind, shard, block, pack_sorted(k[lo:hi]), b"" if more is None else narrowed(more[lo:hi], width if kind == FULL else 8))
+    rows = [(kind, shard, block, pack_fano(k[lo:hi]), b"" if more is None else narrowed(more[lo:hi], size[1] if kind == FULL else 8))
             for kind, (k, more, bits) in keys.items() for shard, lo, hi in asked(k, shards, bits)]
     cols = list(zip(*rows)) or [()] * 5
     types = {"kind": pa.int32(), "shard": pa.int32(), "block": pa.int32(), "keys": pa.binary(), "seconds": pa.binary()}
@@ -204,9 +238,12 @@ def answer(table: pa.Table) -> pa.Table:
     """A shard's answers: names in several blocks (samples), or in an earlier block (texts, windows)."""
     kind = table.column("kind")[0].as_py()
     table = table.sort_by("block")
-    keys, owner, order = merged(table.column("keys").to_pylist())
-    start = runs(keys[order])
-    if kind != SAMPLE:  # by key and second word
+    parts = [unpack_fano(x) for x in table.column("keys").to_pylist()]
+    keys, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    if kind == SAMPLE:
+        order = np.argsort(keys, kind="stable")
+        start = runs(keys[order])
+    else:  # by key and second word
         order, start = order_of(np.stack([keys, widened(b"".join(table.column("seconds").to_pylist()), len(keys))]))
     n = np.diff(np.append(start, len(keys)))
     if kind == SAMPLE:
@@ -221,12 +258,12 @@ def answer(table: pa.Table) -> pa.Table:
     return pa.table({"kind": table.column("kind"), "shard": table.column("shard"), "block": table.column("block"), "bits": pa.array(bits, pa.binary())})
 
 
-def first_questions(window: int, bits: int, width: int, shards: int) -> Callable:
+def first_questions(window: int, bits: int, size: tuple[int, int], shards: int) -> Callable:
     """Block function of the first round: sampled names and whole texts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        b = Block(table, window, bits, width)
-        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards, width)
+        b = Block(table, window, bits, size)
+        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards, size)
 
     return run
 
@@ -240,24 +277,24 @@ def left_over(b: Block, told: pa.Table) -> tuple[list[int], np.ndarray]:
     return [d for d, c in zip(b.docs, copy) if not c], repeated
 
 
-def second_questions(window: int, bits: int, width: int, shards: int) -> Callable:
+def second_questions(window: int, bits: int, size: tuple[int, int], shards: int) -> Callable:
     """Block function of the second round: names of the windows in question."""
 
     def run(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return questions(0, {}, shards, width)
-        b = Block(table, window, bits, width)
+            return questions(0, {}, shards, size)
+        b = Block(table, window, bits, size)
         found = [name for _, _, _, name in b.candidates(*left_over(b, told))]
-        return questions(key[0].as_py(), {FULL: (*distinct(np.concatenate(found, axis=1))[0], 64)} if found else {}, shards, width)
+        return questions(key[0].as_py(), {FULL: (*distinct(np.concatenate(found, axis=1))[0], size[0])} if found else {}, shards, size)
 
     return run
 
 
-def cutter(window: int, bits: int, width: int, with_text: bool) -> Callable:
+def cutter(window: int, bits: int, size: tuple[int, int], with_text: bool) -> Callable:
     """Block function of the end: documents and all answers in, the cut documents out."""
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        b = Block(table, window, bits, width)
+        b = Block(table, window, bits, size)
         docs, repeated = left_over(b, told)
         own = set(docs)
         removed, spans = np.zeros(b.rows, np.int64), np.zeros(b.rows, np.int64)
@@ -307,7 +344,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = text_total(docs)
     blocks, shards = count_of(total, block_bytes), count_of(total, shard_bytes)
-    bits, width = min(64, max(32, total.bit_length() + 10)), second_width(total)
+    bits, size = min(64, max(32, total.bit_length() + 10)), name_size(total)
     low = id_blocks(docs.select("id"), blocks)
 
     @F.pandas_udf("int")
@@ -317,10 +354,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     placed = docs.withColumn("block", block_of("id")).repartition(shuffle_parts(df.sparkSession, blocks), "block")
     at_home = placed.groupBy("block")
-    first = at_home.applyInArrow(first_questions(window, bits, width, shards), _QUESTION)
+    first = at_home.applyInArrow(first_questions(window, bits, size, shards), _QUESTION)
     told = first.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
-    second = at_home.cogroup(told.groupBy("block")).applyInArrow(second_questions(window, bits, width, shards), _QUESTION)
+    second = at_home.cogroup(told.groupBy("block")).applyInArrow(second_questions(window, bits, size, shards), _QUESTION)
     more = second.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    cut = at_home.cogroup(told.unionByName(more).groupBy("block")).applyInArrow(cutter(window, bits, width, with_text), out)
+    cut = at_home.cogroup(told.unionByName(more).groupBy("block")).applyInArrow(cutter(window, bits, size, with_text), out)
     return cut.withColumnRenamed("id", id_col)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from llm.common import pack_counts, pack_sorted, prefix_sums, span_hash, unpack_counts, unpack_sorted
-from llm.repeat_removal import COVER, PERIOD, narrowed, remove_repeats, second_width, widened
+from llm.repeat_removal import COVER, PERIOD, name_size, narrowed, pack_fano, remove_repeats, unpack_fano, widened
 from tests.llm.conftest import odd_rows, prose
 
 
@@ -82,9 +82,19 @@ def test_windows_of_one_64_bit_hash_are_told_apart(spark):
     assert {r.doc_id: bytes(r.kept).decode() for r in got} == dict(rows)
 
 
-def test_second_words():
-    assert [second_width(n) for n in (0, 1 << 29, 30 << 30, 1 << 46, 1 << 60)] == [4, 4, 5, 8, 8]
+def test_names():
+    assert [name_size(n) for n in (0, 1 << 29, 30 << 30, 1 << 46, 1 << 60)] == [(48, 4), (57, 4), (59, 5), (59, 8), (64, 8)]
     words = np.random.default_rng(3).integers(0, 1 << 40, 50, dtype=np.uint64)
     for width in (5, 8):
         assert (widened(narrowed(words, width), 50) == words).all()
     assert len(widened(b"", 0)) == 0
+
+
+def test_sorted_keys_round_trip():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 7, 1000):
+        for top in (1, 5, 300, 1 << 21, 1 << 40, (1 << 64) - 1):
+            keys = np.sort(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))  # also repeated ones
+            assert (unpack_fano(pack_fano(keys)) == keys).all()
+    keys = np.sort(rng.integers(0, 1 << 40, 1 << 16, dtype=np.uint64))
+    assert len(pack_fano(keys)) < (40 - 16 + 2) / 8 * len(keys) + 100
