@@ -27,7 +27,8 @@ for which this is under 2**-30 if every byte of the table started one (128 bits
 beyond 2**49 bytes). Sorted keys travel in Elias-Fano form.
 
 Blocks are ranges of ids, so "earlier" is a smaller block, or earlier inside
-one; a block asks with its distinct names and gets one bit for each. Whole
+one; a block asks with its distinct names and gets one bit for each. Texts are
+shuffled once, each compressed by itself, and read three times from there. Whole
 copies are found by a name for the text and take no further part.
 
 Defined results: NULL counts as empty, and texts under ``WINDOW`` bytes are
@@ -43,8 +44,8 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,7 +150,10 @@ class Block:
     def __init__(self, table: pa.Table, window: int, bits: int, size: tuple[int, int]):
         self.window, self.bits, self.reach = window, bits, window - PERIOD + 1
         self.less = U64(64 - size[0]), U64(64 - 8 * size[1])
-        raw, offs = text_bytes(table.column("text"))
+        whole = zstandard.ZstdDecompressor()
+        texts = [whole.decompress(x) for x in table.column("packed").to_pylist()]
+        raw, offs = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        del texts
         ids = table.column("id")
         none = np.asarray(ids.is_null())
         number = ids.fill_null(0).to_numpy()
@@ -338,6 +342,22 @@ def id_blocks(ids: DataFrame, blocks: int) -> np.ndarray:
     return np.array(sorted(r.low for r in low.select("low").collect()), np.int64)
 
 
+def placing(low: np.ndarray) -> Callable:
+    """Task function: (id, text) in, (block, id, compressed text) out. ``low`` has the smallest id of each block; NULL ids are the last block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            ids = batch.column(0)
+            found = np.searchsorted(low, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+            block = np.where(ids.is_null().to_numpy(zero_copy_only=False), len(low) + 1, found)
+            raw, offs = text_bytes(batch.column(1))
+            packed = [small.compress(raw[a:b]) for a, b in zip(offs[:-1], offs[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), ids, pa.array(packed, pa.binary())], ["block", "id", "packed"])
+
+    return run
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, with_text: bool = False,
                    block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, the kept bytes."""
@@ -347,17 +367,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits, size = min(64, max(32, total.bit_length() + 10)), name_size(total)
     low = id_blocks(docs.select("id"), blocks)
 
-    @F.pandas_udf("int")
-    def block_of(ids: pd.Series) -> pd.Series:
-        found = np.searchsorted(low, ids.fillna(np.iinfo(np.int64).max).to_numpy(np.int64), side="right")
-        return pd.Series(np.where(ids.isna(), len(low) + 1, found))
-
-    placed = docs.withColumn("block", block_of("id")).repartition(shuffle_parts(df.sparkSession, blocks), "block")
+    spread = lambda rows: rows.repartition(shuffle_parts(df.sparkSession, 2 * shards), "kind", "shard").groupBy("kind", "shard")
+    placed = docs.mapInArrow(placing(low), "block int, id long, packed binary").repartition(shuffle_parts(df.sparkSession, blocks), "block")
     at_home = placed.groupBy("block")
     first = at_home.applyInArrow(first_questions(window, bits, size, shards), _QUESTION)
-    told = first.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
+    told = spread(first).applyInArrow(lambda t: answer(t), _ANSWER)
     second = at_home.cogroup(told.groupBy("block")).applyInArrow(second_questions(window, bits, size, shards), _QUESTION)
-    more = second.groupBy("kind", "shard").applyInArrow(lambda t: answer(t), _ANSWER)
+    more = spread(second).applyInArrow(lambda t: answer(t), _ANSWER)
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     cut = at_home.cogroup(told.unionByName(more).groupBy("block")).applyInArrow(cutter(window, bits, size, with_text), out)
     return cut.withColumnRenamed("id", id_col)
