@@ -10,9 +10,10 @@ joined on the hash. Should two texts share a hash, the rows under that hash
 
 Defined results: NULL text counts as empty; a NULL id never becomes the id
 that stays unless the group has no other; rows that repeat an id with the same
-text are copies of one document and share its verdict; an empty table gives an
-empty result. Only the id and text columns are read, so other columns may have
-any name.
+text are copies of one document and share its verdict; an empty text is a
+text like any other, and a text of any length is compared whole; an empty table
+gives an empty result. Only the id and text columns are read, so other columns
+may have any name.
 """
 
 from __future__ import annotations

@@ -35,13 +35,14 @@ links reach.
 
 With similarity at the limit a pair shares the region of no order with a
 probability of (1 - 0.75**2)**32, less than one in a hundred thousand million.
-A pair in a sparse region is missed by the sketch with one of a few thousand.
+The sketch of a sparse region misses such a pair with less than one in a million.
 
 Defined results: NULL and empty texts, and texts without words, have no
 shingles and are linked with nothing; a row with a NULL id takes the component
 of its class, NULL when the class has no id, and is kept only then; rows that
-repeat an id are one document; an empty table gives an empty result. Only the
-id and text columns are read.
+repeat an id are one document; of equal sets the smallest id stands for all; a
+text of any length is compared whole; an empty table gives an empty result. Only
+the id and text columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -34,8 +34,9 @@ copies are found by a name for the text and take no further part.
 Defined results: NULL counts as empty, and texts under ``WINDOW`` bytes are
 never cut; rows that repeat an id and text are one document with one result;
 different texts under one id stand in a fixed order (of their hashes); NULL ids
-come after all others, as one document; an empty table gives an empty result.
-Ids are integers. Only the id and text columns are read.
+come after all others, as one document; an empty table gives an empty result;
+a text of any length is cut whole, as the smallest part of a block. Ids are
+integers. Only the id and text columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -14,7 +14,10 @@ trees cannot read the answer from it.
 Defined results: a URL that is NULL or has no ``://`` has empty host and path
 and no rule; repeated rows are judged alike; when the labelled URLs hold fewer
 than two verdicts the trees have nothing to learn and the rest gets the verdict
-that was seen (``allow`` when none was); an empty table gives an empty result.
+that was seen (``allow`` when none was); a probability of
+exactly one half blocks; a URL of any length is
+judged whole; an empty table gives an empty result. Only the id and URL columns
+are read, so other columns may have any name.
 """
 
 from __future__ import annotations
