@@ -63,9 +63,9 @@ BLOCK_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
 SAFE_BITS, LEAST_SECOND = 30, 4
 #: Kinds of questions: sampled names, whole texts, windows.
 SAMPLE, WHOLE, FULL = 1, 2, 3
+#: Leading bits of a sampled name that are looked up before the search among the repeated ones (at most 32).
+FILTER_BITS = 22
 
-_IN_COVER = np.zeros(PERIOD, bool)
-_IN_COVER[list(COVER)] = True
 #: What each byte counts in a name's second word.
 _WEIGHT = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
@@ -125,9 +125,16 @@ def widened(packed: bytes, n: int) -> np.ndarray:
     return wide.view(U64).ravel()
 
 
+def counted(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct names and how often each occurs."""
+    names = np.sort(names)
+    start = runs(names) if len(names) else np.zeros(0, np.int64)
+    return names[start], np.diff(np.append(start, len(names)))
+
+
 def order_of(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order that sorts (2, n) names (key, second word), stable; starts of the runs of equal ones in it."""
-    order = np.argsort(names[0], kind="stable")
+    """Order that sorts (2, n) names (key, second word), equal ones in any order; starts of the runs of equal ones in it."""
+    order = np.argsort(names[0])
     some = names[:, order]
     if ((some[0, 1:] == some[0, :-1]) & (some[1, 1:] != some[1, :-1])).any():  # one key, different names
         order = np.lexsort(names[::-1])
@@ -142,7 +149,16 @@ def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order, start = order_of(names)
     back = np.empty(len(order), np.int64)
     back[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(order))))
-    return names[:, order[start]], order[start], back
+    return names[:, order[start]], np.minimum.reduceat(order, start) if len(order) else order, back
+
+
+def sampled_places(at: np.ndarray, reach: int) -> np.ndarray:
+    """Positions in the cover, counted within each of the texts between offsets ``at``, with ``reach`` bytes of their text from there on."""
+    size = np.diff(at)
+    many = -(-size // PERIOD)
+    period = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    place = period[:, None] * PERIOD + np.array(COVER)
+    return (np.repeat(at[:-1], many)[:, None] + place)[place <= np.repeat(size - reach, many)[:, None]]
 
 
 class Block:
@@ -171,43 +187,51 @@ class Block:
         self.docs = [i for i in order if self.head[i] == i and self.size[i] >= window]
         self.whole = np.array([[int.from_bytes(digest[i][k:k + 8], "little") for i in self.docs] for k in (0, 8)], U64)
 
-    def parts(self, docs: list[int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Documents a chunk at a time: (rows, offsets, bytes, hash sums, sampled positions)."""
-        ends = np.concatenate([[0], np.cumsum(self.size[docs])]) if docs else np.zeros(1, np.int64)
+    def parts(self) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Documents a chunk at a time: (rows, offsets, bytes)."""
+        ends = np.concatenate([[0], np.cumsum(self.size[self.docs])]) if self.docs else np.zeros(1, np.int64)
         for lo, hi in chunks(ends):
-            some = docs[lo:hi]
-            b = np.concatenate([self.raw[self.offs[i]:self.offs[i + 1]] for i in some])
-            at = ends[lo:hi + 1] - ends[lo]
-            place = np.arange(len(b)) - np.repeat(at[:-1], np.diff(at))
-            s = np.flatnonzero(_IN_COVER[place % PERIOD] & (place + self.reach <= np.repeat(np.diff(at), np.diff(at))))
-            yield some, at, b, prefix_sums(b), s
+            some = self.docs[lo:hi]
+            yield some, ends[lo:hi + 1] - ends[lo], np.concatenate([self.raw[self.offs[i]:self.offs[i + 1]] for i in some])
 
-    def sampled(self, docs: list[int]) -> np.ndarray:
-        """Sampled names of all documents, shortened to ``bits``."""
-        found = [self.short(span_hash(sums, s, s + self.reach)) for _, _, _, sums, s in self.parts(docs)]
-        return np.concatenate(found) if found else np.zeros(0, U64)
-
-    def short(self, h: np.ndarray) -> np.ndarray:
-        return h >> U64(64 - self.bits)
+    def sampled(self) -> np.ndarray:
+        """Sampled names of all documents, shortened to ``bits``. Each chunk's positions and names stay in ``marks``."""
+        self.marks: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, at, b in self.parts():
+            s = sampled_places(at, self.reach)
+            self.marks.append((s, span_hash(prefix_sums(b), s, s + self.reach) >> U64(64 - self.bits)))
+        return np.concatenate([name for _, name in self.marks]) if self.marks else np.zeros(0, U64)
 
     def candidates(self, docs: list[int], repeated: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-        """Per chunk the windows that hold a repeated sampled name: (rows, offsets, starts, (2, n) names)."""
-        for some, at, b, sums, s in self.parts(docs):
-            name = self.short(span_hash(sums, s, s + self.reach))
+        """Per chunk the windows of ``docs`` that hold a repeated sampled name (after ``sampled``): (rows, offsets, starts, (2, n) names)."""
+        if not len(repeated):
+            return
+        asks = np.zeros(self.rows, bool)
+        asks[docs] = True
+        less = U64(self.bits - FILTER_BITS)
+        near = np.zeros(1 << FILTER_BITS, bool)
+        near[repeated >> less] = True
+        for (some, at, b), (s, name) in zip(self.parts(), self.marks):
+            maybe = np.flatnonzero(near[name >> less])
+            name = name[maybe]
             u = np.searchsorted(repeated, name)
             u[u == len(repeated)] = 0
-            hit = s[repeated[u] == name] if len(repeated) else s[:0]
-            n = at[-1]
+            hit = s[maybe[repeated[u] == name]]
             owner = np.searchsorted(at, hit, side="right") - 1
-            step = np.zeros(n + 1, np.int64)
+            ours = asks[some][owner]
+            hit, owner = hit[ours], owner[ours]
+            if not len(hit):
+                continue
+            n = at[-1]
+            step = np.zeros(n + 1, np.int32)
             np.add.at(step, np.maximum(at[owner], hit - PERIOD + 1), 1)
-            np.add.at(step, hit + 1, -1)
-            fits = np.ones(n, bool)
+            step[hit + 1] -= 1
+            inside = np.cumsum(step[:-1], dtype=np.int32) > 0
             for a in at[1:]:
-                fits[a - self.window + 1:a] = False
-            p = np.flatnonzero((np.cumsum(step[:-1]) > 0) & fits)
-            second = span_hash(prefix_sums(b, _WEIGHT), p, p + self.window) >> self.less[1]
-            yield some, at, p, np.stack([span_hash(sums, p, p + self.window) >> self.less[0], second])
+                inside[a - self.window + 1:a] = False
+            p = np.flatnonzero(inside)
+            names = [span_hash(prefix_sums(b, w), p, p + self.window) >> less for w, less in zip((None, _WEIGHT), self.less)]
+            yield some, at, p, np.stack(names)
 
 
 _QUESTION = "kind int, shard int, block int, keys binary, seconds binary"
@@ -246,18 +270,15 @@ def answer(table: pa.Table) -> pa.Table:
     parts = [unpack_fano(x) for x in table.column("keys").to_pylist()]
     keys, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     if kind == SAMPLE:
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         start = runs(keys[order])
-    else:  # by key and second word
+        n = np.diff(np.append(start, len(keys)))
+        bit = np.empty(len(keys), bool)
+        bit[order] = np.repeat(n > 1, n)
+    else:  # by key and second word; rows are in block order, so the first of a run's places is the earliest
         order, start = order_of(np.stack([keys, widened(b"".join(table.column("seconds").to_pylist()), len(keys))]))
-    n = np.diff(np.append(start, len(keys)))
-    if kind == SAMPLE:
-        told = np.repeat(n > 1, n)
-    else:  # rows are in block order and the sort is stable: the first of a run is the earliest
-        told = np.ones(len(keys), bool)
-        told[start] = False
-    bit = np.empty(len(keys), bool)
-    bit[order] = told
+        bit = np.ones(len(keys), bool)
+        bit[np.minimum.reduceat(order, start)] = False
     cut = np.flatnonzero(np.diff(owner)) + 1
     bits = [len(x).to_bytes(4, "little") + np.packbits(x).tobytes() for x in np.split(bit, cut)]
     return pa.table({"kind": table.column("kind"), "shard": table.column("shard"), "block": table.column("block"), "bits": pa.array(bits, pa.binary())})
@@ -268,14 +289,14 @@ def first_questions(window: int, bits: int, size: tuple[int, int], shards: int)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         b = Block(table, window, bits, size)
-        return questions(key[0].as_py(), {SAMPLE: (np.unique(b.sampled(b.docs)), None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards, size)
+        return questions(key[0].as_py(), {SAMPLE: (counted(b.sampled())[0], None, bits), WHOLE: (*distinct(b.whole)[0], 64)}, shards, size)
 
     return run
 
 
 def left_over(b: Block, told: pa.Table) -> tuple[list[int], np.ndarray]:
     """After the first round: the documents that are not copies, and the repeated sampled names."""
-    names, n = np.unique(b.sampled(b.docs), return_counts=True)
+    names, n = counted(b.sampled())
     repeated = names[answered(told, SAMPLE, len(names)) | (n > 1)]
     texts, _, back = distinct(b.whole)
     copy = answered(told, WHOLE, texts.shape[1])[back] if texts.size else np.zeros(0, bool)
@@ -314,7 +335,7 @@ def cutter(window: int, bits: int, size: tuple[int, int], with_text: bool) -> Ca
             at_name += len(p)
             step = np.zeros(at[-1] + 1, np.int32)
             step[hit] += 1
-            np.add.at(step, hit + window, -1)
+            step[hit + window] -= 1
             gone = np.cumsum(step[:-1]) > 0
             for i, lo, hi in zip(some, at[:-1], at[1:]):
                 g = gone[lo:hi]

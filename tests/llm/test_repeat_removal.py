@@ -2,10 +2,15 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 
+from llm import repeat_removal
 from llm.common import pack_counts, pack_sorted, prefix_sums, span_hash, unpack_counts, unpack_sorted
-from llm.repeat_removal import COVER, PERIOD, name_size, narrowed, pack_fano, remove_repeats, unpack_fano, widened
+from llm.repeat_removal import (COVER, FULL, PERIOD, SAMPLE, WHOLE, answer, first_questions, name_size, narrowed, pack_fano, remove_repeats,
+                               sampled_places, second_questions, unpack_fano, widened)
 from tests.llm.conftest import odd_rows, prose
 
 
@@ -98,3 +103,31 @@ def test_sorted_keys_round_trip():
             assert (unpack_fano(pack_fano(keys)) == keys).all()
     keys = np.sort(rng.integers(0, 1 << 40, 1 << 16, dtype=np.uint64))
     assert len(pack_fano(keys)) < (40 - 16 + 2) / 8 * len(keys) + 100
+
+
+def test_sampled_places_are_the_cover_of_every_text():
+    rng = random.Random(4)
+    for reach in (70, 1, 40):
+        sizes = [0, 1, reach - 1, reach, 31, 62, *(rng.randint(0, 300) for _ in range(20))]
+        at = np.cumsum([0, *sizes])
+        want = [a + i for a, n in zip(at, sizes) for i in range(n) if i % PERIOD in COVER and i + reach <= n]
+        assert sampled_places(at, reach).tolist() == want
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_bytes_are_summed_once_where_nothing_repeats(monkeypatch, repeat):
+    """A round sums a chunk's bytes for the sampled names, and again only for windows in question."""
+    calls = []
+    monkeypatch.setattr(repeat_removal, "prefix_sums", lambda b, w=None: calls.append(len(b)) or prefix_sums(b, w))
+    rng = random.Random(6)
+    texts = [prose(rng, 200) for _ in range(20)]
+    texts += [texts[3][50:400] + "x"] * repeat
+    packed = [zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    table, key, args = pa.table({"id": list(range(len(texts))), "packed": packed}), (pa.scalar(0),), (100, 40, (56, 5), 1)
+    asked = first_questions(*args)(key, table)
+    told = pa.concat_tables([answer(asked.filter(pc.equal(asked.column("kind"), k))) for k in (SAMPLE, WHOLE)])
+    assert len(calls) == 1
+    calls.clear()
+    more = second_questions(*args)(key, table, told)
+    assert set(more.column("kind").to_pylist()) == ({FULL} if repeat else set())
+    assert len(calls) == (3 if repeat else 1)
