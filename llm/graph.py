@@ -44,3 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         left = stored(at.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
         if left.isEmpty():
             return found
+
+
+def joined(reached: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) when ``edges`` (a, b) are added to the graph that ``reached`` (node, root) is of: an edge per node stands for the old ones."""
+    return components(reached.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(edges.select("a", "b")))

@@ -29,8 +29,9 @@ links reach.
    ones first, a pair at the limit has its first common shingle early in both
    sets, and what follows it must suffice for the limit. Shingles whose classes
    are all linked already need no pairs; frequent ones are split into cells.
-   Any order of shingles gives all pairs; the counts behind it come from a
-   sample and only decide how many pairs are looked at.
+   Shingles are counted over all these classes: blocks of texts ask the shards
+   of the shingles' hashes. Any order would give all pairs; the counts only
+   decide how many are looked at, and a shingle of one class makes none.
 6. Confirmed links give components by contraction.
 
 With similarity at the limit a pair shares the region of no order with a
@@ -55,8 +56,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import CHUNK_BYTES, U64, chunks, mix, shingle_sets, shuffle_parts, stored, text_bytes
-from llm.graph import components
+from llm.blocks import asked, by_hash, count_of, merged, runs, text_total
+from llm.common import CHUNK_BYTES, U64, chunks, mix, pack_counts, pack_sorted, shingle_sets, shuffle_parts, stored, text_bytes, unpack_counts
+from llm.graph import components, joined
 
 #: Shingle words; similarity limit in percent.
 WORDS, PERCENT = 5, 75
@@ -68,8 +70,9 @@ MINIMA, TREES, KEY, DEPTH = 64, 32, 12, 2
 FIRST, WIDE = (2, 64, 30), (24, 256, 171)
 #: A chunk of a candidate cluster: documents and shingles at most (on average).
 CHUNK_DOCS, CHUNK_SHINGLES = 128, 400_000
-#: Completion: shingles counted for their order (about), rows of a shingle from which it is split, pairs made at a time.
-COUNTED, SPLIT_ROWS, PAIRS = 2_000_000, 2_000, 1 << 20
+#: Completion: text of a block, and text per shard of the counts; classes of a shingle from which it is split, pairs made at a time.
+BLOCK_BYTES, SHARD_BYTES = 4 << 20, 16 << 20
+SPLIT_ROWS, PAIRS = 2_000, 1 << 20
 
 _MULTIPLY = mix(np.arange(1, WIDE[1] + 1, dtype=U64)) | U64(1)
 _XOR = mix(np.arange(1001, 1001 + WIDE[1], dtype=U64))
@@ -296,48 +299,74 @@ def confirmed(pairs: DataFrame, clusters: DataFrame, texts: DataFrame, sizes: Da
     return stored(at.groupBy("cell").cogroup(cells.groupBy("cell")).applyInArrow(confirmer(size, percent), "a long, b long"), "links")
 
 
-def text_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, shingle set) of the texts in the batch's second column."""
-    raw, offs = text_bytes(batch.column(1))
-    for lo, hi in chunks(offs):
-        yield from enumerate(shingle_sets(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], size), lo)
+def text_sets(texts: pa.ChunkedArray, size: int) -> list[np.ndarray]:
+    """The shingle set of every text."""
+    raw, offs = text_bytes(texts)
+    return [s for lo, hi in chunks(offs) for s in shingle_sets(raw[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], size)]
 
 
-def shingles_of(size: int) -> Callable:
-    """Task function: (id, text) in, a row per shingle of a text out."""
+def counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of some sets, and how many sets have each."""
+    every = np.sort(np.concatenate(sets))
+    start = runs(every) if len(every) else np.zeros(0, np.int64)
+    return every[start], np.diff(np.append(start, len(every)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, found in text_sets(batch, size):
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
+
+_COUNTS = "shard int, block int, keys binary, counts binary"
+_TOTALS = "shard int, block int, counts binary"
+
+
+def asker(size: int, shards: int) -> Callable:
+    """Block function: texts in, the block's shingles and their counts in it out, a row per shard."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        shingles, n = counted(text_sets(table.column("text"), size))
+        rows = [(shard, key[0].as_py(), pack_sorted(shingles[lo:hi]), pack_counts(n[lo:hi])) for shard, lo, hi in asked(shingles, shards)]
+        cols = list(zip(*rows)) or [()] * 4
+        return pa.table({n: pa.array(c, kind) for n, c, kind in zip(("shard", "block", "keys", "counts"), cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))})
 
     return run
 
 
+def totals(rows: pa.Table) -> pa.Table:
+    """Shard function: per block, the counts over all blocks of the shingles it has."""
+    keys, _, order = merged(rows.column("keys").to_pylist())
+    parts = [unpack_counts(c) for c in rows.column("counts").to_pylist()]
+    start = runs(keys[order])
+    total = np.add.reduceat(np.concatenate(parts)[order], start)
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.repeat(total, np.diff(np.append(start, len(keys))))
+    cut = np.cumsum([len(p) for p in parts])[:-1]
+    return pa.table({"shard": rows.column("shard"), "block": rows.column("block"), "counts": pa.array([pack_counts(x) for x in np.split(back, cut)], pa.binary())})
+
+
 _PREFIX = "shingle long, hot boolean, id long, n long, rest long, root long"
 
 
-def prefixes(size: int, percent: int, known: np.ndarray, seen: np.ndarray, hot: float) -> Callable:
-    """Task function: (id, text, root) in, the shingles out that can be the first one a pair at the limit shares.
+def prefixes(size: int, percent: int) -> Callable:
+    """Block function: (id, text, root) and the totals in, the shingles out that can be the first one a pair at the limit shares.
 
-    ``known`` (sorted) shingles come last, by their counts ``seen``; the others
-    by their hash. ``rest`` counts the shingles from this one on.
+    Shingles stand in the order of their counts, then of their hashes. ``rest``
+    counts those from this one on. A shingle that no other class has is left out.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, roots = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            for row, found in text_sets(batch, size):
-                n = len(found)
-                count = np.zeros(n, np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    count = np.where(known[at] == found, seen[at], 0)
-                order = np.lexsort((found, count))
-                order = order[100 * (n - np.arange(n)) >= percent * n]
-                m = len(order)
-                cols = [found[order].view(np.int64), count[order] >= hot, np.full(m, ids[row]), np.full(m, n), n - np.arange(m), np.full(m, roots[row])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["shingle", "hot", "id", "n", "rest", "root"])
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        sets = text_sets(table.column("text"), size) if table.num_rows else [np.zeros(0, U64)]
+        shingles, _ = counted(sets)
+        seen = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(c) for c in told.sort_by("shard").column("counts").to_pylist())])
+        if len(seen) != len(shingles):
+            raise ValueError(f"{len(seen)} counts for {len(shingles)} shingles")
+        out = []
+        for i, found in enumerate(sets):
+            n = len(found)
+            count = seen[np.searchsorted(shingles, found)]
+            order = np.lexsort((found, count))
+            rest = n - np.arange(n)
+            use = (100 * rest >= percent * n) & (count[order] > 1)
+            order, rest = order[use], rest[use]
+            out.append((found[order].view(np.int64), count[order] >= SPLIT_ROWS, np.full(len(order), i), np.full(len(order), n), rest))
+        shingle, hot, row, n, rest = (np.concatenate(c) for c in zip(*out))
+        return pa.table({"shingle": shingle, "hot": hot, "id": table.column("id").take(pa.array(row)), "n": n, "rest": rest, "root": table.column("root").take(pa.array(row))})
 
     return run
 
@@ -406,19 +435,19 @@ def meet(percent: int) -> Callable:
     return run
 
 
-def completion(texts: DataFrame, sizes: DataFrame, roots: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def completion(texts: DataFrame, roots: DataFrame, size: int = WORDS, percent: int = PERCENT,
+               block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Stored pairs (a < b) of different roots, all that reach the limit among them, of the classes ``texts`` (id, text).
 
-    ``sizes`` is (id, n) of the classes, ``roots`` (node, root) what is linked.
+    ``roots`` (node, root) is what is linked.
     """
-    total = texts.select("id").distinct().join(sizes, "id").agg(F.sum("n")).first()[0] or 0
-    part = max(1, -(-total // COUNTED))
-    some = texts.select("id", "text").where(F.pmod(F.xxhash64("id"), F.lit(part)) == 0)
-    counts = some.mapInArrow(shingles_of(size), "shingle long").groupBy("shingle").count().where("count > 1").toArrow()  # at most COUNTED / 2
-    known, seen = counts.column("shingle").to_numpy().view(U64), counts.column("count").to_numpy()
-    order = np.argsort(known)
+    total = text_total(texts)
+    blocks, shards = count_of(total, block_bytes), count_of(total, shard_bytes)
+    parts = shuffle_parts(texts.sparkSession, blocks)
     named = texts.join(roots.select(F.col("node").alias("id"), "root").hint("merge"), "id", "left").select("id", "text", F.coalesce("root", "id").alias("root"))
-    rows = stored(named.mapInArrow(prefixes(size, percent, known[order], seen[order], max(2, SPLIT_ROWS / part / 2)), _PREFIX), "prefixes")
+    placed = named.withColumn("block", by_hash(blocks, "id")).repartition(parts, "block").groupBy("block")
+    told = placed.applyInArrow(asker(size, shards), _COUNTS).groupBy("shard").applyInArrow(lambda t: totals(t), _TOTALS)
+    rows = stored(placed.cogroup(told.groupBy("block")).applyInArrow(prefixes(size, percent), _PREFIX), "prefixes")
     cold = rows.where("not hot").select("shingle", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), "id", "n", "rest", "root")
     smaller = F.col("rest") * (100 + percent) >= 2 * percent * F.col("n")
     hot = rows.where("hot").groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.max(smaller).alias("use"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -452,18 +481,19 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     # clusters larger than the window: neighbours farther off, across what is linked so far
     dense = clusters.join(clusters.groupBy("root").count().where(F.col("count") > FIRST[0] + 1), "root", "left_semi")
-    linked = components(links).select(F.col("node").alias("id"), F.col("root"))
+    reached = components(links)
+    linked = reached.select(F.col("node").alias("id"), F.col("root"))
     wide = texts.join(dense.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(signer(size, WIDE[1]), _SIGNED)
     wide = wide.groupBy("id").agg(F.max_by("sig", "n").alias("sig")).join(linked, "id", "left")
     wide = stored(wide.select("id", "sig", F.coalesce("root", "id").alias("root")), "dense")
     tried = stored(candidates(wide, *WIDE)[0].join(pairs, ["a", "b"], "left_anti"), "candidates")
-    links = links.unionByName(confirmed(tried, components(tried), texts, sizes, size, percent))
+    reached = joined(reached, confirmed(tried, components(tried), texts, sizes, size, percent))
 
     # dense regions: every pair that is left
-    left = completion(texts.join(crowd.hint("merge"), "id", "left_semi"), sizes, components(links), size, percent)
+    left = completion(texts.join(crowd.hint("merge"), "id", "left_semi"), reached, size, percent)
     left = stored(left.join(pairs.unionByName(tried), ["a", "b"], "left_anti"), "candidates")
-    joined = components(links.unionByName(confirmed(left, components(left), texts, sizes, size, percent)))
-    named = heads.join(joined.select(F.col("node").alias("head"), "root"), "head", "left")
+    reached = joined(reached, confirmed(left, components(left), texts, sizes, size, percent))
+    named = heads.join(reached.select(F.col("node").alias("head"), "root"), "head", "left")
     named = stored(named.select(*key, F.coalesce("root", "head").alias("component_id")), "components")
     found = signed.select("id", *key).join(named, key, "left")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))

@@ -1,9 +1,12 @@
 import random
+from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 
-from llm.graph import components
-from llm.near_dedup import near_dedup
+from llm.graph import components, joined
+from llm.near_dedup import asker, completion, near_dedup, prefixes, text_sets, totals
 from tests.llm.conftest import odd_rows, prose, words
 
 
@@ -67,6 +70,8 @@ def test_components_of_a_chain_and_a_star(spark):
     for part in (nodes[:100], nodes[100:150], [6000, 6001]):
         assert {got[x] for x in part} == {min(part)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    cut = [spark.createDataFrame(x, "a long, b long") for x in (edges[::2], edges[1::2])]
+    assert {r.node: r.root for r in joined(components(cut[0]), cut[1]).collect()} == {n: r for n, r in got.items() if n != 5000}
 
 
 def test_shared_passage_is_complete(spark):
@@ -92,3 +97,42 @@ def test_shared_passage_is_complete(spark):
         assert similar is None or 0.75 <= similar <= 0.78
         want[d] = d - 1 if similar else d
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def crowd(rng):
+    """(id, text): variants of one text, texts with a common passage, a long one and ones without words."""
+    base, passage = prose(rng, 60).split(" "), prose(rng, 12)
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            w[rng.randrange(len(w))] = f"new{rng.random()}"
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, passage + " " + prose(rng, 10)) for k in range(40)]
+    return rows + [(200, prose(rng, 3000)), (201, ""), (202, None), (203, "one two"), (204, "one two")]
+
+
+def test_shingles_are_ordered_by_their_counts_in_all_texts():
+    rows = crowd(random.Random(12))
+    seen = Counter(s for x in text_sets(pa.chunked_array([[t for _, t in rows]]), 5) for s in x.tolist())
+    blocks = {b: pa.table({"id": [d for d, _ in rows[b::4]], "text": [t for _, t in rows[b::4]], "root": [d for d, _ in rows[b::4]]}) for b in range(4)}
+    asked = pa.concat_tables([asker(5, 3)((pa.scalar(b),), x) for b, x in blocks.items()])
+    told = pa.concat_tables([totals(asked.filter(pc.equal(asked.column("shard"), s))) for s in range(3)])
+    for b, x in blocks.items():
+        got = prefixes(5, 75)(x, told.filter(pc.equal(told.column("block"), b))).to_pylist()
+        want = []
+        for d, found in zip(x.column("id").to_pylist(), text_sets(x.column("text"), 5)):
+            order = sorted(found.tolist(), key=lambda s: (seen[s], s))
+            want += [(d, s, len(order), len(order) - i) for i, s in enumerate(order) if 100 * (len(order) - i) >= 75 * len(order) and seen[s] > 1]
+        assert [(r["id"], r["shingle"] % (1 << 64), r["n"], r["rest"]) for r in got] == want
+    assert max(seen.values()) > 40
+
+
+def test_completion_has_every_pair_whatever_the_blocks(spark):
+    rows = crowd(random.Random(13))
+    sets = {d: shingles(t or "") for d, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(want) > 50
+    texts, roots = spark.createDataFrame(rows, "id long, text string"), spark.createDataFrame([], "node long, root long")
+    for size in (1 << 20, 3000):
+        assert want <= {tuple(r) for r in completion(texts, roots, block_bytes=size, shard_bytes=size).collect()}
